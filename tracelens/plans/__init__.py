@@ -1,0 +1,5 @@
+"""Registered queries over the test tables and their DuckDB twins."""
+
+from . import oracle, queries  # noqa: F401  (trace family)
+from . import catalog_queries  # noqa: F401
+from .registry import ORACLE, QUERIES  # noqa: F401

@@ -68,6 +68,11 @@ def lineitem_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Base addresses added to event ids / cents to make tracer-like hex values.
+TEXT_INS_BASE = 0x7FFD37CD0000
+TEXT_TGT_BASE = 0x361957EC40
+
+
 def events_trace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracer-style text lines from ``events`` (one line per event).
 
@@ -82,9 +87,9 @@ def events_trace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(
         F.format_string(
             "0x%016x: %s 0x%016x  %d  0x%x",
-            F.col("event_id") + F.lit(0x7FFD37CD0000),
+            F.col("event_id") + F.lit(TEXT_INS_BASE),
             rw,
-            F.round(F.col("value") * 100).cast("long") + F.lit(0x361957EC40),
+            F.round(F.col("value") * 100).cast("long") + F.lit(TEXT_TGT_BASE),
             size,
             F.col("user_id"),
         )
@@ -94,3 +99,82 @@ def events_trace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         line.alias("value"),
     )
+
+
+# -- catalogue, scans, uploads ----------------------------------------------
+
+def customer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample catalogue from ``customer``: sample = custkey, source = nation
+    name, explicit label MACHINERY -> malware, HOUSEHOLD -> benign, else none."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    label = F.when(F.col("c_mktsegment") == "MACHINERY", "malware").when(F.col("c_mktsegment") == "HOUSEHOLD", "benign")
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select(
+        F.col("c_custkey").alias("sample"), F.col("n_name").alias("source"), label.alias("label")
+    )
+
+
+def order_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan reports in long form from ``orders``: one engine verdict per order;
+    urgent/high orders form the vti report, the rest the existing report,
+    detected = status F."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_custkey").alias("sample"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "vti").otherwise("existing").alias("report"),
+        F.format_string("e%d", F.col("o_orderkey")).alias("engine"),
+        (F.col("o_orderstatus") == "F").alias("detected"),
+    )
+
+
+def order_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads from ``orders``: one run per order of customer o_custkey;
+    status F -> OK, O -> ERR, P -> WARN; pack-1 except priority 5-LOW
+    (an unknown pack-9)."""
+    o = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "OK").when(F.col("o_orderstatus") == "O", "ERR").when(
+        F.col("o_orderstatus") == "P", "WARN"
+    )
+    return o.select(
+        F.col("o_custkey").alias("sample"),
+        F.format_string("%032x", F.col("o_orderkey")).alias("uuid"),
+        F.lit(0).alias("run_id"),
+        F.col("o_orderkey").alias("orderkey"),
+        status.alias("status"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "pack-9").otherwise("pack-1").alias("extractor_pack"),
+        F.col("o_orderdate").alias("ts"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
+def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature documents: one per order with lineitems; its feature-set count
+    is the number of lineitems with linestatus F (zero = empty document)."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    per = li.groupBy("l_orderkey").agg(F.count_if(F.col("l_linestatus") == "F").alias("n_feature_sets"))
+    return per.join(o, per["l_orderkey"] == o["o_orderkey"], "inner").select(
+        F.col("o_custkey").alias("sample"), F.col("l_orderkey").alias("orderkey"), "n_feature_sets"
+    )
+
+
+# Fixed stand-in file types per document language (input data for F5/F6).
+FILE_TYPES = {
+    "en": "PE32 executable (GUI) Intel 80386, for MS Windows",
+    "de": "PE32+ executable (GUI) x86-64, for MS Windows",
+    "fr": "PE32 executable (DLL) (GUI) Intel 80386, for MS Windows",
+    "es": "ELF 64-bit LSB executable, x86-64",
+}
+
+
+def document_binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary catalogue from ``documents``: content = text bytes, name =
+    SHA-256 of the content, file type by language."""
+    d = table(spark, sf_dir, "documents")
+    ft = F.lit(None).cast("string")
+    for lang, t in FILE_TYPES.items():
+        ft = F.when(F.col("lang") == lang, F.lit(t)).otherwise(ft)
+    return d.select(
+        "doc_id", F.sha2(F.col("text"), 256).alias("sample"), F.col("text").cast("binary").alias("content"),
+        "lang", "source", ft.alias("file_type"),
+    )

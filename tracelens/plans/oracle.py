@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from . import adapters as A
 
-ORACLE: dict[str, str] = {}
+from .registry import ORACLE
 
 EVENTS_TRACE = """
 trace AS (
@@ -77,9 +77,9 @@ WITH lines AS (
   SELECT printf('s%d', user_id % 10) AS sample, event_id AS seq,
          CASE WHEN event_type = 'signup' THEN '# ' || props
               ELSE printf('0x%016x: %s 0x%016x  %d  0x%x',
-                          event_id + 140726535110656,
+                          event_id + {TEXT_INS_BASE},
                           CASE WHEN event_type IN ('view', 'error') THEN 'R' ELSE 'W' END,
-                          CAST(round(value * 100) AS BIGINT) + 232666852416,
+                          CAST(round(value * 100) AS BIGINT) + {TEXT_TGT_BASE},
                           1 << CAST(user_id % 5 AS INTEGER), user_id) END AS value
   FROM events),
 m AS (
@@ -90,7 +90,7 @@ m AS (
   FROM lines WHERE NOT starts_with(value, '#'))
 SELECT sample, seq, CAST(ins_hex AS BIGINT) AS ins, rw, CAST(tgt_hex AS BIGINT) AS tgt
 FROM m WHERE rw <> ''
-"""
+""".replace("{TEXT_INS_BASE}", str(A.TEXT_INS_BASE)).replace("{TEXT_TGT_BASE}", str(A.TEXT_TGT_BASE))
 
 ORACLE["access_filter_counts"] = f"""
 WITH {EVENTS_TRACE.strip()}

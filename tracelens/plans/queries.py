@@ -7,8 +7,6 @@ STRING) so that they compare one-to-one with ``plans.oracle``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +15,7 @@ from ..operators import chunks as C
 from ..operators import histogram as H
 from . import adapters as A
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
-
-    return deco
+from .registry import QUERIES, Query, register  # noqa: F401
 
 
 def _r6(c):
