@@ -46,16 +46,21 @@ def run_ok(status: Column) -> Column:
 
 
 def parse_ts(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` with an optional fraction."""
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
+    """``yyyy-MM-dd HH:mm:ss`` with an optional fraction (F10), as a
+    time-zone-free TIMESTAMP_NTZ (the text carries no zone)."""
+    return F.when(
+        text.rlike(r"\.[0-9]+$"), F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    ).otherwise(F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss")))
+
+
+def epoch_us(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
 
 
 def run_duration_seconds(start: Column, end: Column) -> Column:
     """End minus start in seconds, with microseconds (F11); whole days kept."""
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)
+    return (epoch_us(end) - epoch_us(start)) / F.lit(1_000_000.0)
 
 
 def compression_ratio(before: Column, after: Column) -> Column:

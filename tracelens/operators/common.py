@@ -1,0 +1,19 @@
+"""Small shared helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate to every row of ``df``.
+
+    ``one_row`` must be a global aggregate (exactly one row, size known), so
+    it is broadcast and joined on a constant key: a projection, not a
+    product of two tables.
+    """
+    key = "_scalar_key"
+    return df.withColumn(key, F.lit(1)).join(
+        F.broadcast(one_row.withColumn(key, F.lit(1))), on=key, how="inner"
+    ).drop(key)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as LF
+from .common import with_scalars
 from .rank import ordered_positions
 
 DEFAULT_BUCKET_ROWS = 1 << 20
@@ -73,10 +74,7 @@ def balance_classes(
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     n_min = counts.agg(F.min("_n").alias("_n_min"))
     ranked = hash_rank(df, [label_col], key_col, seed, pos_col="_r")
-    # n_min is a single row: a cross product with one row is a projection.
-    return ranked.join(F.broadcast(n_min), how="inner", on=F.col("_r") <= F.col("_n_min")).drop(
-        "_r", "_h", "_n_min"
-    )
+    return with_scalars(ranked, n_min).where(F.col("_r") <= F.col("_n_min")).drop("_r", "_h", "_n_min")
 
 
 def k_fold(df: DataFrame, key_col: str, k: int = DEFAULT_FOLDS, seed: int | str = 0, method: str = "xxhash") -> DataFrame:
@@ -113,9 +111,7 @@ def overlapping_subsets(
     exploded = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_sets - 1))).alias("set_id"))
     keyed = exploded.withColumn("_k", F.concat_ws(":", F.col("set_id").cast("string"), F.col(key_col).cast("string")))
     ranked = hash_rank(keyed, ["set_id", label_col], "_k", seed, pos_col="_r")
-    return ranked.join(F.broadcast(size), how="inner", on=F.col("_r") <= F.col("_size")).drop(
-        "_r", "_h", "_k", "_size"
-    )
+    return with_scalars(ranked, size).where(F.col("_r") <= F.col("_size")).drop("_r", "_h", "_k", "_size")
 
 
 def in_flight_union(*id_sets: DataFrame, col: str = "sample") -> DataFrame:
