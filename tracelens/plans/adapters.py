@@ -178,3 +178,31 @@ def document_binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.sha2(F.col("text"), 256).alias("sample"), F.col("text").cast("binary").alias("content"),
         "lang", "source", ft.alias("file_type"),
     )
+
+
+def write_events_trace_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the tracer text of ``events`` as one text file per trace under
+    ``root/sample=<s>/uuid=u0/run_id=0/`` in line order; returns the glob."""
+    lines = events_trace_text(spark, sf_dir).select(
+        "sample", F.lit("u0").alias("uuid"), F.lit(0).alias("run_id"), "seq", "value"
+    )
+    (
+        lines.repartition("sample", "uuid", "run_id")
+        .sortWithinPartitions("sample", "uuid", "run_id", "seq")
+        .select("sample", "uuid", "run_id", "value")
+        .write.mode("overwrite")
+        .partitionBy("sample", "uuid", "run_id")
+        .text(root)
+    )
+    return f"{root.rstrip('/')}/*/*/*/*.txt"
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled vectors from ``embeddings``: label = 1 when label >= 5."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.col("vec_id").alias("sample"),
+        F.col("embedding").cast("array<double>").alias("feature_data"),
+        F.lit("embedding").alias("feature"),
+        F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("label"),
+    )

@@ -81,8 +81,8 @@ SAMPLE_SET = T.StructType(
     ]
 )
 
-# Upload layout: <root>/<sample>/<uuid>/<run_id>/<file>
-_UPLOAD_PATH = r"/([^/]+)/([^/]+)/([0-9]+)/[^/]+$"
+# Upload layout: <root>/<sample>/<uuid>/<run_id>/<file> (plain or key=value directories)
+_UPLOAD_PATH = r"/(?:sample=)?([^/=]+)/(?:uuid=)?([^/=]+)/(?:run_id=)?([0-9]+)/[^/]+$"
 
 
 # -- S1: traces ---------------------------------------------------------------
