@@ -206,3 +206,29 @@ def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("embedding").alias("feature"),
         F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("label"),
     )
+
+
+def supplier_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One upload per supplier trace: status ERR when the account balance is
+    negative, else OK."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.format_string("p%d", F.col("s_suppkey")).alias("sample"),
+        F.lit("u0").alias("uuid"),
+        F.lit(0).alias("run_id"),
+        F.when(F.col("s_acctbal") < 0, "ERR").otherwise("OK").alias("status"),
+    )
+
+
+def write_weekly_event_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write ``(uuid=user_id, event_id, ts)`` of ``events`` one week per
+    directory, oldest week first, so a file stream sees them in time order."""
+    from ..functions.catalog import epoch_us
+
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("uuid"), "event_id", "ts")
+    wk = F.floor(epoch_us(F.col("ts")) / F.lit(7 * 86400 * 1_000_000)).cast("long")
+    e = e.withColumn("_wk", wk)
+    weeks = sorted(r["_wk"] for r in e.select("_wk").distinct().collect())  # a few rows
+    for w in weeks:
+        e.where(F.col("_wk") == w).drop("_wk").coalesce(1).write.mode("overwrite").parquet(f"{root}/w={w:06d}")
+    return f"{root}/*"
