@@ -160,20 +160,18 @@ def read_trace(spark: SparkSession, paths: str | Sequence[str], on_error: str =
 def read_uploads(spark: SparkSession, root: str, meta_glob: str = "*/*/*/run-*-meta.json") -> DataFrame:
     """Upload metadata of every ``<sample>/<uuid>/<run_id>`` tree.
 
-    Unreadable documents are skipped (PERMISSIVE mode drops malformed rows).
-    Keys come from the path; the real run id is used (D3).
+    Unreadable documents are skipped (DROPMALFORMED).  Keys come from the
+    path; the real run id is used (D3).
     """
-    schema = T.StructType(UPLOAD_METADATA.fields + [T.StructField("_corrupt_record", T.StringType())])
     raw = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        spark.read.schema(UPLOAD_METADATA)
+        .option("mode", "DROPMALFORMED")
         .option("multiLine", True)
         .json(f"{root.rstrip('/')}/{meta_glob}")
     )
     path = F.col("_metadata.file_path")
     pat = r"/([^/]+)/([^/]+)/([0-9]+)/run-[0-9]+-meta\.json$"
-    return raw.where(F.col("_corrupt_record").isNull()).select(
+    return raw.select(
         F.regexp_extract(path, pat, 1).alias("sample"),
         F.regexp_extract(path, pat, 2).alias("uuid"),
         F.regexp_extract(path, pat, 3).cast("int").alias("run_id"),
