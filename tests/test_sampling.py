@@ -18,7 +18,7 @@ def test_balance_equal_counts(spark):
 
 def test_hash_rank_many_buckets_is_dense(spark):
     df = _labelled(spark, 0, 5000)
-    r = U.hash_rank(df, ["label"], "sample", bucket_rows=64)
+    r = U.hash_rank(df, ["label"], "sample", bucket_bits=6)
     ranks = sorted(x["rank"] for x in r.collect())
     assert ranks == list(range(1, 5001))
 

@@ -74,6 +74,7 @@ def _stats(df: DataFrame, group: list[str], pos: str, tgt: str) -> DataFrame:
         F.min(f).alias("min_f"),
         F.max(f).alias("max_f"),
         F.min_by(f, F.col(pos)).alias("first_f"),
+        F.max("n_rows").alias("n_rows"),
     )
 
 
@@ -84,7 +85,7 @@ def _rollup(stats: DataFrame, keys: list[str], base: int, sizes: Sequence[int])
     if len(sizes) == 1 and sizes[0] == base:
         return exploded.drop("_k").withColumnRenamed("_c", "chunk_id")
     return (
-        exploded.withColumn("chunk_id", F.floor(F.col("_c") / F.col("_k")).cast("long"))
+        exploded.withColumn("chunk_id", F.expr("_c div _k"))
         .groupBy(*keys, "access", "chunk_size", "chunk_id")
         .agg(
             F.sum("cnt").alias("cnt"),
@@ -93,6 +94,7 @@ def _rollup(stats: DataFrame, keys: list[str], base: int, sizes: Sequence[int])
             F.min("min_f").alias("min_f"),
             F.max("max_f").alias("max_f"),
             F.min_by("first_f", "_c").alias("first_f"),
+            F.max("n_rows").alias("n_rows"),
         )
     )
 
@@ -112,7 +114,9 @@ def chunk_stats(
 
     Columns: ``keys, access, chunk_size, chunk_id, cnt, n_rows`` plus the
     exact unsigned ``sum_u, min_u, max_u, first_u`` (DECIMAL).  ``n_rows`` is
-    the number of rows of the access-filtered trace.
+    the number of rows of the access-filtered trace; it comes with the
+    positions (from the rank's small offset table), so no second pass over
+    the trace is needed for the row and chunk-count gates.
     """
     keys = list(keys)
     sizes = sorted(set(int(n) for n in chunk_sizes))
@@ -125,26 +129,21 @@ def chunk_stats(
 
     g = reduce(math.gcd, sizes)
     if g >= _MIN_USEFUL_GCD or len(sizes) == 1:
-        base = pos.withColumn("_c", F.floor((F.col("pos") - 1) / F.lit(g)).cast("long"))
+        base = pos.withColumn("_c", F.expr(f"(pos - 1) div {g}"))
         stats = _rollup(_stats(base, [*keys, "access", "_c"], "pos", tgt_col), keys, g, sizes)
     else:
         per_size = pos.select(
             "*", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("chunk_size")
-        ).withColumn("chunk_id", F.floor((F.col("pos") - 1) / F.col("chunk_size")).cast("long"))
+        ).withColumn("chunk_id", F.expr("(pos - 1) div chunk_size"))
         stats = _stats(per_size, [*keys, "access", "chunk_size", "chunk_id"], "pos", tgt_col)
 
-    # Rows per (trace, access): a tiny aggregate joined back (never a window
-    # over one trace's chunks, which could all sit on one task).
-    totals = stats.where(F.col("chunk_size") == sizes[0]).groupBy(*keys, "access").agg(
-        F.sum("cnt").alias("n_rows")
-    )
     two32 = F.lit(str(_TWO_32)).cast("decimal(38,0)")
     two63 = F.lit(str(_TWO_63)).cast("decimal(20,0)")
 
     def unsigned(c: str) -> Column:
         return (F.col(c).cast("decimal(20,0)") + two63).cast("decimal(20,0)")
 
-    return stats.join(totals, on=[*keys, "access"]).select(
+    return stats.select(
         *keys,
         "access",
         "chunk_size",
@@ -248,10 +247,14 @@ def chunk_counts(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
 def min_chunks_gate(deltas: DataFrame, keys: Sequence[str], min_chunks: int = MIN_CHUNKS_FOR_HISTOGRAM) -> DataFrame:
     """Keep only features with at least ``min_chunks`` chunks.
 
-    The chunk count is a small aggregate joined back, so a long trace's chunks
-    never meet in one window partition.
+    Chunks partition positions ``1..n_rows``, so a feature has
+    ``ceil(n_rows / chunk_size)`` chunks: a row filter, no aggregate.  Without
+    an ``n_rows`` column the count is a small aggregate joined back.
     """
     keys = list(keys)
+    if "n_rows" in deltas.columns:
+        n_chunks = F.ceil(F.col("n_rows") / F.col("chunk_size"))
+        return deltas.where(n_chunks >= F.lit(min_chunks))
     counts = chunk_counts(deltas, keys).where(F.col("n_chunks") >= min_chunks)
     return deltas.join(counts.drop("n_chunks"), on=[*keys, "access", "chunk_size", "mode"], how="left_semi")
 

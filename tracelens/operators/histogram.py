@@ -133,30 +133,47 @@ def feature_vectors(
     bins: int = BINS,
     min_chunks: int = MIN_CHUNKS_FOR_HISTOGRAM,
 ) -> DataFrame:
-    """Dense feature table ``(keys, feature, feature_data ARRAY<LONG>, histogram_*)`` (H4).
-
-    The sparse bins of one feature (at most ``bins`` entries) are gathered
-    into a map and expanded to a dense array with zeros; metadata is joined on
-    the feature key.  Features whose deltas all fall out of range still get a
-    vector of zeros, as numpy's histogram does.
+    """Dense feature table ``(keys, feature, feature_data ARRAY<LONG>, histogram_*)`` (H3, H4).
+
+    One pass over the deltas: a grouping-sets aggregate yields both the
+    per-bin counts (set ``feature, bin``) and the metadata over all deltas of
+    the feature (set ``feature``), map-side combined.  A second aggregate
+    gathers a feature's bins - at most ``bins`` entries - into a map that is
+    expanded to a dense array with zeros.  Features whose deltas all fall out
+    of range still get a vector of zeros, as numpy's histogram does.
     """
     keys = list(keys)
     fkeys = [*keys, "access", "chunk_size", "mode"]
-    hist = delta_histogram(deltas, keys, ranges, bins, min_chunks)
-    sparse = hist.groupBy(*fkeys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
-    meta = histogram_metadata(deltas, keys, min_chunks)
+    binned = with_bins(min_chunks_gate(deltas, keys, min_chunks), ranges, bins)
+    per_set = binned.groupingSets([[*fkeys, "bin"], fkeys], *fkeys, "bin").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("delta").alias("_min"),
+        F.max("delta").alias("_max"),
+        F.avg("delta").alias("_mean"),
+        F.stddev_samp(F.col("delta").cast("double")).alias("_std"),
+        F.grouping_id().alias("_gid"),
+    )
+    is_bin = (F.col("_gid") == 0) & F.col("bin").isNotNull()
+    is_all = F.col("_gid") != 0
+    per_feature = per_set.groupBy(*fkeys).agg(
+        F.map_from_entries(F.collect_list(F.when(is_bin, F.struct("bin", "_n")))).alias("_m"),
+        F.max(F.when(is_all, F.col("_min"))).alias("_min"),
+        F.max(F.when(is_all, F.col("_max"))).alias("_max"),
+        F.max(F.when(is_all, F.col("_mean"))).alias("_mean"),
+        F.max(F.when(is_all, F.col("_std"))).alias("_std"),
+    )
     dense = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0).cast("long")))
-    return meta.join(sparse, on=fkeys, how="left").select(
+    return per_feature.select(
         *keys,
         feature_name(F.col("access"), F.col("mode"), F.col("chunk_size")).alias("feature"),
         "access",
         "chunk_size",
         "mode",
         dense.alias("feature_data"),
-        "histogram_min",
-        "histogram_max",
-        "histogram_mean",
-        "histogram_std_dev",
+        _trunc(F.col("_min")).cast("decimal(38,0)").alias("histogram_min"),
+        _trunc(F.col("_max")).cast("decimal(38,0)").alias("histogram_max"),
+        _trunc(F.col("_mean")).cast("decimal(38,0)").alias("histogram_mean"),
+        _trunc(F.col("_std")).cast("decimal(38,0)").alias("histogram_std_dev"),
     )
 
 

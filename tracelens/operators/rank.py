@@ -8,16 +8,20 @@ one task; a single trace may hold a third of all rows, so instead:
 1. cut each trace into seq buckets of at most ``bucket_rows`` rows
    (``b = seq div bucket_rows``);
 2. count R / W / all rows per (trace, bucket): a map-side combined aggregate
-   whose output is ``rows / bucket_rows`` rows;
-3. a running sum over that small table gives each bucket's offsets;
-4. one window partitioned by (trace, bucket) gives running counts of all, R and
-   W rows inside the bucket (one shuffle, one sort, bounded partitions);
-5. position = bucket offset + running count; the join with the small offset
-   table reuses the window's partitioning (or is broadcast by AQE when its
-   measured size is under the broadcast threshold).
-
-Positions for all three access types come out of the same pass, so the trace
-is shuffled once, not three times.
+   over a scan pruned to keys, seq and access code (like the counting job of
+   ``zipWithIndex``), whose result has ``rows / bucket_rows`` rows;
+3. a running sum over that small table gives each bucket's offsets (and the
+   trace totals);
+4. hash-partition the rows on (trace, bucket) - the only exchange of whole
+   trace rows - and one window per (trace, bucket) gives running counts of
+   all, R and W rows inside the bucket (a sort, bounded groups);
+5. position = bucket offset + running count; the small offset table is
+   joined on (trace, bucket) - broadcast by AQE when its measured size is
+   under the threshold, otherwise co-partitioned with the ranked rows.
+
+The trace keys travel as one struct column, so every stage partitions on
+the same expression whatever the keys are.  Positions for all three access
+types come out of one shuffle of the trace.
 """
 
 from __future__ import annotations
@@ -44,11 +48,12 @@ def access_positions(
 ) -> DataFrame:
     """Rows of ``trace`` with their position per access type.
 
-    Returns ``keys + [access, pos] + carry``: every R/W row appears twice,
-    once under its own access code with its position among same-code rows,
-    once under ``'RW'`` with its position among all rows.  ``order_cols``
-    must order the rows of one trace totally; the first one must be numeric
-    (it defines the buckets).
+    Returns ``keys + [access, pos, n_rows] + carry``: every R/W row appears
+    twice, once under its own access code with its position among same-code
+    rows, once under ``'RW'`` with its position among all rows; ``n_rows`` is
+    the size of that access view of the trace.  ``order_cols`` must order the
+    rows of one trace totally; the first one must be numeric (it defines the
+    buckets).
     """
     keys = list(keys)
     order_cols = list(order_cols)
@@ -57,51 +62,59 @@ def access_positions(
     is_w = (F.col(rw_col) == "W").cast("long")
 
     base = trace.where(F.col(rw_col).isin("R", "W")).select(
-        *keys, *[c for c in order_cols if c not in keys], rw_col, *[c for c in carry if c not in order_cols],
-        _bucket(order_cols[0], bucket_rows).alias("_b"),
+        F.struct(*keys).alias("_k"), *[c for c in order_cols if c not in keys], rw_col,
+        *[c for c in carry if c not in order_cols], _bucket(order_cols[0], bucket_rows).alias("_b"),
     )
 
     # (2) + (3): per-bucket counts and exclusive prefix sums over the small table.
-    counts = base.groupBy(*keys, "_b").agg(
+    counts = base.groupBy("_k", "_b").agg(
         F.count(F.lit(1)).alias("_n_all"),
         F.sum(is_r).alias("_n_r"),
         F.sum(is_w).alias("_n_w"),
     )
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_k")
     offsets = counts.select(
-        *keys,
+        "_k",
         "_b",
         F.coalesce(F.sum("_n_all").over(before), F.lit(0)).alias("_off_all"),
         F.coalesce(F.sum("_n_r").over(before), F.lit(0)).alias("_off_r"),
         F.coalesce(F.sum("_n_w").over(before), F.lit(0)).alias("_off_w"),
+        F.sum("_n_all").over(whole).alias("_tot_all"),
+        F.sum("_n_r").over(whole).alias("_tot_r"),
+        F.sum("_n_w").over(whole).alias("_tot_w"),
     )
 
     # (4): running counts inside each bounded bucket.
+    shuffled = base.repartition("_k", "_b")
     upto = (
-        Window.partitionBy(*keys, "_b")
+        Window.partitionBy("_k", "_b")
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = base.select(
-        *keys,
+    ranked = shuffled.select(
+        "_k",
         "_b",
         rw_col,
         *carry,
-        F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order_cols)).alias("_rn_all"),
+        F.row_number().over(Window.partitionBy("_k", "_b").orderBy(*order_cols)).alias("_rn_all"),
         F.sum(is_r).over(upto).alias("_rn_r"),
         F.sum(is_w).over(upto).alias("_rn_w"),
     )
 
     # (5): add offsets, emit one row per access view.
-    joined = ranked.join(offsets, on=[*keys, "_b"], how="inner")
-    own_pos = F.when(F.col(rw_col) == "R", F.col("_off_r") + F.col("_rn_r")).otherwise(
-        F.col("_off_w") + F.col("_rn_w")
-    )
+    joined = ranked.join(offsets, on=["_k", "_b"], how="inner")
+    is_read = F.col(rw_col) == "R"
+    own_pos = F.when(is_read, F.col("_off_r") + F.col("_rn_r")).otherwise(F.col("_off_w") + F.col("_rn_w"))
+    own_tot = F.when(is_read, F.col("_tot_r")).otherwise(F.col("_tot_w"))
     views = F.array(
-        F.struct(F.col(rw_col).alias("access"), own_pos.alias("pos")),
-        F.struct(F.lit("RW").alias("access"), (F.col("_off_all") + F.col("_rn_all")).alias("pos")),
+        F.struct(F.col(rw_col).alias("access"), own_pos.alias("pos"), own_tot.alias("n_rows")),
+        F.struct(
+            F.lit("RW").alias("access"), (F.col("_off_all") + F.col("_rn_all")).alias("pos"),
+            F.col("_tot_all").alias("n_rows"),
+        ),
     )
-    return joined.select(*keys, F.inline(views), *carry)
+    return joined.select(*[F.col("_k")[k].alias(k) for k in keys], F.inline(views), *carry)
 
 
 def ordered_positions(
@@ -110,25 +123,36 @@ def ordered_positions(
     order_cols: Sequence[str],
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     pos_col: str = "pos",
-) -> DataFrame:
+    bucket_col: str | None = None,
+    with_totals: bool = False,
+):
     """``row_number() over (partition by keys order by order_cols)`` without
-    putting a whole key on one task: the same two-level scheme as
-    :func:`access_positions` for a single access view.  The first order column
-    must be numeric and not null (use ``unix_micros(ts)`` for timestamps)."""
+    putting a whole key on one task: the two-level scheme of
+    :func:`access_positions` for a single view.
+
+    The bucket is ``order_cols[0] div bucket_rows`` (the first order column
+    must be numeric and not null; for timestamps pass epoch microseconds, for
+    which ``bucket_rows`` is a time width), or the given ``bucket_col``, which
+    must be monotone in the order.  With ``with_totals`` also returns the
+    per-key row counts ``(keys, n)`` computed from the same exchange.
+    """
     keys = list(keys)
     order_cols = list(order_cols)
-    b = _bucket(order_cols[0], bucket_rows)
-    base = df.withColumn("_b", b)
-    counts = base.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ranked = base.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order_cols))
+    b = F.col(bucket_col) if bucket_col else _bucket(order_cols[0], bucket_rows)
+    base = df.withColumn("_k", F.struct(*keys)).withColumn("_b", b)
+    counts = base.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_k", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    ranked = base.repartition("_k", "_b").withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_k", "_b").orderBy(*order_cols))
     )
-    return (
-        ranked.join(offsets, on=[*keys, "_b"], how="inner")
+    out = (
+        ranked.join(offsets, on=["_k", "_b"], how="inner")
         .withColumn(pos_col, F.col("_off") + F.col("_rn"))
-        .drop("_b", "_off", "_rn")
+        .drop("_k", "_b", "_off", "_rn")
     )
+    if with_totals:
+        return out, counts.groupBy("_k").agg(F.sum("_n").alias("n")).select(
+            *[F.col("_k")[k].alias(k) for k in keys], "n"
+        )
+    return out

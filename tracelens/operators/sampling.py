@@ -22,7 +22,7 @@ from ..functions import labels as LF
 from .common import with_scalars
 from .rank import ordered_positions
 
-DEFAULT_BUCKET_ROWS = 1 << 20
+HASH_BUCKET_BITS = 20
 # Fixed values of the reference: folds, queue cap.
 DEFAULT_FOLDS = 10
 QUEUE_DEPTH_LIMIT = 50
@@ -44,24 +44,27 @@ def hash_rank(
     key_col: str,
     seed: str | int = "",
     pos_col: str = "rank",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    expected_rows: int | None = None,
-) -> DataFrame:
+    bucket_bits: int = HASH_BUCKET_BITS,
+    with_totals: bool = False,
+):
     """1-based rank of rows inside ``part_cols`` by md5(seed:key), then key.
 
-    Buckets are the top bits of the hash, sized so a bucket holds about
-    ``bucket_rows`` rows (the row count is a one-number aggregate when not
-    given).  Output adds ``pos_col`` and ``_h`` (the md5 hex).
+    Buckets are the top ``bucket_bits`` bits of the hash (a uniform split: a
+    class of 10^12 rows gives buckets of about 10^6 rows, a small one gives
+    single-row buckets), ranked with the two-level scheme, so neither a large
+    class nor a count pre-pass is needed.  Output adds ``pos_col`` and ``_h``
+    (the md5 hex); with ``with_totals`` also returns ``(part_cols, n)``.
     """
-    n = expected_rows if expected_rows is not None else df.count()
-    bits = max(0, min(40, math.ceil(math.log2(max(1, n) / bucket_rows)))) if n > bucket_rows else 0
     h = hash_key(F.col(key_col), seed)
     with_h = df.withColumn("_h", h).withColumn("_hn", _hash_prefix(F.col("_h")))
-    with_b = with_h.withColumn("_hb", F.shiftright(F.col("_hn"), 60 - bits) if bits else F.lit(0).cast("long"))
-    ranked = ordered_positions(
-        with_b, part_cols, ["_hb", "_hn", "_h", key_col], bucket_rows=1, pos_col=pos_col
+    with_b = with_h.withColumn("_hb", F.shiftright(F.col("_hn"), 60 - bucket_bits))
+    res = ordered_positions(
+        with_b, part_cols, ["_hn", "_h", key_col], pos_col=pos_col, bucket_col="_hb", with_totals=with_totals
     )
-    return ranked.drop("_hn", "_hb")
+    if with_totals:
+        ranked, totals = res
+        return ranked.drop("_hn", "_hb"), totals
+    return res.drop("_hn", "_hb")
 
 
 def balance_classes(
@@ -71,9 +74,8 @@ def balance_classes(
 
     Survivors are the first rows of each class in md5(seed:key) order.
     """
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    n_min = counts.agg(F.min("_n").alias("_n_min"))
-    ranked = hash_rank(df, [label_col], key_col, seed, pos_col="_r")
+    ranked, totals = hash_rank(df, [label_col], key_col, seed, pos_col="_r", with_totals=True)
+    n_min = totals.agg(F.min("n").alias("_n_min"))
     return with_scalars(ranked, n_min).where(F.col("_r") <= F.col("_n_min")).drop("_r", "_h", "_n_min")
 
 
@@ -106,12 +108,12 @@ def overlapping_subsets(
 ) -> DataFrame:
     """``n_sets`` class-balanced subsets, each ``floor(class/3)`` rows per class,
     no repeats inside a set, overlap between sets (U5).  Adds ``set_id``."""
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    size = counts.agg(F.floor(F.min("_n") / F.lit(fraction_den)).alias("_size"))
     exploded = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_sets - 1))).alias("set_id"))
-    keyed = exploded.withColumn("_k", F.concat_ws(":", F.col("set_id").cast("string"), F.col(key_col).cast("string")))
-    ranked = hash_rank(keyed, ["set_id", label_col], "_k", seed, pos_col="_r")
-    return with_scalars(ranked, size).where(F.col("_r") <= F.col("_size")).drop("_r", "_h", "_k", "_size")
+    keyed = exploded.withColumn("_sk", F.concat_ws(":", F.col("set_id").cast("string"), F.col(key_col).cast("string")))
+    ranked, totals = hash_rank(keyed, ["set_id", label_col], "_sk", seed, pos_col="_r", with_totals=True)
+    # Every set holds every row once, so any set's class sizes are the class sizes.
+    size = totals.agg(F.floor(F.min("n") / F.lit(fraction_den)).alias("_size"))
+    return with_scalars(ranked, size).where(F.col("_r") <= F.col("_size")).drop("_r", "_h", "_sk", "_size")
 
 
 def in_flight_union(*id_sets: DataFrame, col: str = "sample") -> DataFrame:
