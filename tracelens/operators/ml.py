@@ -98,12 +98,16 @@ def cross_validate(
     Folds are a seeded hash of the key, so every recomputation sees the same
     split.  Returns one row with the mean of each metric over folds.
     """
-    data = k_fold(vectors, key_col, k, seed)
+    # The vectors are read by every fold's fit: checkpoint them once into the
+    # shared folder (also cuts the lineage if an executor is lost mid-loop).
+    data = cut_lineage(k_fold(vectors, key_col, k, seed))
+    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+    total = sum(sizes.values())
     preds = None
     for i in range(k):
-        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
-        if train.isEmpty() or test.isEmpty():
+        if sizes.get(i, 0) == 0 or sizes.get(i, 0) == total:
             continue
+        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
         p = predict(train_model(train, classifier, normalizer, seed), test).select(key_col, "fold", "label", "prediction")
         preds = p if preds is None else preds.unionByName(p)
     if preds is None:
@@ -162,7 +166,7 @@ def train_ensemble(
 
     Returns the mean metrics over the k folds of the held-out half.
     """
-    halves = k_fold(vectors, key_col, 2, seed).withColumnRenamed("fold", "_half")
+    halves = cut_lineage(k_fold(vectors, key_col, 2, seed).withColumnRenamed("fold", "_half"))
     train, held = halves.where(F.col("_half") == 0).drop("_half"), halves.where(F.col("_half") == 1).drop("_half")
     long = None
     for i, (clf, norm) in enumerate(members):

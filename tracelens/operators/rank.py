@@ -125,6 +125,7 @@ def ordered_positions(
     pos_col: str = "pos",
     bucket_col: str | None = None,
     with_totals: bool = False,
+    adaptive: bool = False,
 ):
     """``row_number() over (partition by keys order by order_cols)`` without
     putting a whole key on one task: the two-level scheme of
@@ -135,11 +136,31 @@ def ordered_positions(
     which ``bucket_rows`` is a time width), or the given ``bucket_col``, which
     must be monotone in the order.  With ``with_totals`` also returns the
     per-key row counts ``(keys, n)`` computed from the same exchange.
+
+    With ``adaptive`` the bucket width is chosen per key from a small
+    ``(min, max, count)`` aggregate so that a key's buckets hold about
+    ``bucket_rows`` rows whatever the spread of its order values (timestamps
+    of a hot key, say); that per-key table is joined before the shuffle
+    (broadcast when AQE measures it small, skew-split otherwise).
     """
     keys = list(keys)
     order_cols = list(order_cols)
-    b = F.col(bucket_col) if bucket_col else _bucket(order_cols[0], bucket_rows)
-    base = df.withColumn("_k", F.struct(*keys)).withColumn("_b", b)
+    base = df.withColumn("_k", F.struct(*keys))
+    if adaptive and not bucket_col:
+        o0 = order_cols[0]
+        span = base.groupBy("_k").agg(
+            F.min(o0).alias("_lo"), F.max(o0).alias("_hi"), F.count(F.lit(1)).alias("_cnt")
+        )
+        width = F.greatest(
+            F.lit(1).cast("long"),
+            F.ceil((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") * F.lit(float(bucket_rows)) / F.col("_cnt")).cast("long"),
+        )
+        base = base.join(span.select("_k", "_lo", width.alias("_w")), "_k").withColumn(
+            "_b", F.expr(f"(`{o0}` - _lo) div _w")
+        ).drop("_lo", "_w")
+    else:
+        b = F.col(bucket_col) if bucket_col else _bucket(order_cols[0], bucket_rows)
+        base = base.withColumn("_b", b)
     counts = base.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_k", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -565,7 +565,7 @@ def run_counter(spark, sf_dir):
     e = A.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("uuid"), "event_id", "ts", CF.epoch_us(F.col("ts")).alias("_us")
     )
-    p = ordered_positions(e, ["uuid"], ["_us", "event_id"], bucket_rows=1 << 40)
+    p = ordered_positions(e, ["uuid"], ["_us", "event_id"], adaptive=True)
     return p.select("uuid", "event_id", (F.col("pos") - 1).alias("run_id"))
 
 
