@@ -35,13 +35,16 @@ def pooled_distribution(spark, sf_dir):
     return D.pooled_distribution(_features(spark, sf_dir))
 
 
-@register("repeated_samples", _VALS + """,
+_DRAWS_SQL = _VALS + """,
 nper AS (SELECT chunk_size, count(*) AS n FROM vals GROUP BY chunk_size),
 dr AS (
   SELECT v.*, CAST(d.draw AS INTEGER) AS draw,
          md5(':' || CAST(d.draw AS VARCHAR) || ':' || v.sample || ':' || v.feature || ':' || CAST(v.bin AS VARCHAR)) AS h
   FROM vals v CROSS JOIN range(0, 50) d(draw)),
-rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)
+rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)"""
+
+
+@register("repeated_samples", _DRAWS_SQL + """
 SELECT rk.chunk_size, draw, sample, feature, bin, value, round(50 * 150 / CAST(nper.n AS DOUBLE) * 100, 6) AS sampled_pct
 FROM rk JOIN nper USING (chunk_size) WHERE r <= 150""")
 def repeated_samples(spark, sf_dir):
@@ -53,9 +56,22 @@ def repeated_samples(spark, sf_dir):
     )
 
 
-@register("kde_curve")
+@register("kde_curve", _DRAWS_SQL + """,
+sel AS (SELECT chunk_size, draw, CAST(value AS DOUBLE) AS v FROM rk WHERE r <= 150),
+per AS (
+  SELECT chunk_size, draw, count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
+         stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw
+  FROM sel GROUP BY chunk_size, draw),
+grid AS (
+  SELECT per.*, CAST(g.i AS INTEGER) AS gi,
+         (lo - 3.0 * bw) + g.i * ((hi - lo + 6.0 * bw) / 99) AS x
+  FROM per CROSS JOIN range(0, 100) g(i))
+SELECT grid.chunk_size, grid.draw, gi, round(x, 6) AS x,
+       round(CASE WHEN bw > 0 THEN sum(exp(-0.5 * pow((x - sel.v) / bw, 2.0))) * (1.0 / sqrt(2 * pi())) / (n * bw) END, 9) AS density
+FROM grid JOIN sel USING (chunk_size, draw)
+GROUP BY grid.chunk_size, grid.draw, gi, x, bw, n""")
 def kde_curve(spark, sf_dir):
-    """Gaussian KDE of every draw on a 100-point grid (H8); rows-only check."""
+    """Gaussian KDE of every draw on a 100-point grid, Scott bandwidth (H8)."""
     k = D.kde_curve(D.repeated_samples(_features(spark, sf_dir)))
     return k.select("chunk_size", "draw", "gi", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
 

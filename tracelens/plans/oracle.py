@@ -118,8 +118,10 @@ SELECT sample, printf('%s-MemOffsetMode.%s-%d', access, mode, chunk_size) AS fea
 FROM d WHERE mode IN {GRID}
 """
 
-_HIST_BASE = chunk_sql(EVENTS_TRACE, EVENTS_ORDER, A.EVENTS_CHUNKS) + f""",
-{_ranges_cte(A.EVENTS_RANGES)},
+def hist_sql(trace_cte: str, order: str, sizes, ranges) -> str:
+    """CTEs up to ``hist`` (sparse bins) and ``meta`` (metadata) over the grid modes."""
+    return chunk_sql(trace_cte, order, sizes) + f""",
+{_ranges_cte(ranges)},
 feat AS (
   SELECT sample, access, chunk_size, mode FROM d WHERE mode IN {GRID}
   GROUP BY ALL HAVING count(*) >= 3),
@@ -142,6 +144,9 @@ meta AS (
          CAST(trunc(stddev_samp(delta)) AS BIGINT) AS histogram_std_dev
   FROM gd GROUP BY ALL)"""
 
+
+_HIST_BASE = hist_sql(EVENTS_TRACE, EVENTS_ORDER, A.EVENTS_CHUNKS, A.EVENTS_RANGES)
+
 ORACLE["delta_histogram"] = _HIST_BASE + """
 SELECT sample, access, chunk_size, mode, bin, n FROM hist
 """

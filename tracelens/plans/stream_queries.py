@@ -13,8 +13,26 @@ from ..session import scratch_path
 from ..streaming import state as ST
 from ..streaming import uploads as SU
 from . import adapters as A
+from .oracle import LINEITEM_ORDER, hist_sql
 from .registry import ORACLE, register
 
+# SQL twin of the extraction over successful supplier uploads (W1 and W2 give the same rows).
+_OK_SUPPLIER_TRACE = """
+trace AS (
+  SELECT printf('p%d', l_suppkey) AS sample,
+         l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
+         CASE WHEN l_returnflag = 'N' THEN 'R' ELSE 'W' END AS rw,
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS tgt
+  FROM lineitem
+  WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal IS NULL OR s_acctbal >= 0))"""
+_EXTRACT_SQL = hist_sql(_OK_SUPPLIER_TRACE, LINEITEM_ORDER, A.LINEITEM_CHUNKS, A.LINEITEM_RANGES) + """
+SELECT m.sample, printf('%s-MemOffsetMode.%s-%d', m.access, m.mode, m.chunk_size) AS feature,
+       CAST(coalesce((SELECT sum(h.n) FROM hist h WHERE h.sample = m.sample AND h.access = m.access
+                       AND h.chunk_size = m.chunk_size AND h.mode = m.mode), 0) AS BIGINT) AS n_binned,
+       m.histogram_min, m.histogram_max, m.histogram_mean, m.histogram_std_dev
+FROM meta m"""
+
 UPLOAD_SCHEMA = T.StructType(
     [
         T.StructField("sample", T.StringType()),
@@ -48,7 +66,7 @@ def _feature_summary(df):
     )
 
 
-@register("stream_uploads")
+@register("stream_uploads", _EXTRACT_SQL)
 def stream_uploads(spark, sf_dir):
     """Upload records stream in (4 files, one per micro-batch); successful,
     not yet extracted uploads get their traces chunked and histogrammed,
@@ -61,7 +79,7 @@ def stream_uploads(spark, sf_dir):
     return _feature_summary(out)
 
 
-@register("backfill_features")
+@register("backfill_features", _EXTRACT_SQL)
 def backfill_features(spark, sf_dir):
     """All successful existing uploads re-extracted as one batch."""
     return _feature_summary(SU.backfill(A.supplier_uploads(spark, sf_dir), _extractor(spark, sf_dir)))
