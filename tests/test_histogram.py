@@ -10,7 +10,9 @@ KEYS = ["sample"]
 
 
 def _deltas(spark, values, chunk_size=1000, mode="SUM_REF_ASC", den=1):
-    rows = [("s", "R", chunk_size, mode, i, 0, int(v), den) for i, v in enumerate(values)]
+    # One delta per full chunk: the trace has len(values) * chunk_size rows.
+    n_rows = len(values) * chunk_size
+    rows = [("s", "R", chunk_size, mode, i, n_rows, int(v), den) for i, v in enumerate(values)]
     df = spark.createDataFrame(
         rows, "sample string, access string, chunk_size int, mode string, chunk_id long, n_rows long, num long, den long"
     )
