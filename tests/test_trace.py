@@ -175,3 +175,25 @@ def test_read_trace_files_line_order(spark, tmp_dir):
     assert first["rw"] == "W" and first["seq"] == 3
     v = C.chunk_delta(tr, KEYS, mode="SUM_ABS_REF").collect()
     assert sorted(float(r["delta"]) for r in v) == [230203830252.0] * 2
+
+
+def test_single_scan_line_order_matches_dense(spark, tmp_dir):
+    import os
+
+    for s in ("a1", "b2"):
+        d = os.path.join(tmp_dir, s, "u", "0")
+        os.makedirs(d)
+        with open(os.path.join(d, "t.out"), "w") as fh:
+            fh.write(FIXTURE * 50)
+    # Small splits: several splits per file, several files per partition.
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        dense = read_trace(spark, f"{tmp_dir}/*/*/*/*")
+        one = read_trace(spark, f"{tmp_dir}/*/*/*/*", dense_seq=False)
+        a = C.chunk_deltas(dense, KEYS, [7, 21], C.ALL_MODES)
+        b = C.chunk_deltas(one, KEYS, [7, 21], C.ALL_MODES, order_cols=("split_start", "split_row"), bucket_rows=1)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

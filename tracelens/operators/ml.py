@@ -29,6 +29,9 @@ NORMALIZERS = (None, "std")
 TREE_MAX_DEPTH = 5
 TREE_MAX_BINS = 32
 FOREST_TREES = 6
+SVM_REG = 0.01
+SVM_ITERATIONS = 100
+SVM_TOL = 1e-3
 ENSEMBLE_FEATURE = "W-MemOffsetMode.MIN_REF-5000"
 ENSEMBLE_MEMBERS = (("dt", "std"), ("rf", None), ("svm", "std"))
 METRIC_NAMES = ("accuracy", "precision", "recall", "specificity", "f1", "auroc")
@@ -47,7 +50,11 @@ def labelled_vectors(features: DataFrame, feature: str | None = None, data_col:
 def make_classifier(name: str, seed: int = 0):
     """A fresh classifier by name (M3-M5)."""
     if name == "svm":
-        return LinearSVC(featuresCol="features_n", labelCol="label")
+        # The reference's SGD-SVM defaults: L2 0.01, 100 iterations, no intercept, tol 1e-3.
+        return LinearSVC(
+            featuresCol="features_n", labelCol="label", regParam=SVM_REG, maxIter=SVM_ITERATIONS,
+            fitIntercept=False, tol=SVM_TOL,
+        )
     if name == "dt":
         return DecisionTreeClassifier(
             featuresCol="features_n", labelCol="label", impurity="gini", maxDepth=TREE_MAX_DEPTH, maxBins=TREE_MAX_BINS

@@ -37,15 +37,19 @@ trace AS (
 @register("read_trace_files", chunk_sql(_TEXT_TRACE, "seq", A.EVENTS_CHUNKS) + f"""
 SELECT sample, access, chunk_size, mode, chunk_id, round(delta, 6) AS delta FROM d WHERE mode IN {GRID}""")
 def read_trace_files(spark, sf_dir):
-    """Tracer text files -> line numbers -> parse -> chunk deltas.
+    """Tracer text files -> line order -> parse -> chunk deltas.
 
     The text files are written once from ``events`` into the shared scratch
     folder; the query then reads them like real uploads.
     """
     root = scratch_path(spark, f"trace-text-{uuid.uuid4().hex[:8]}")
     glob = A.write_events_trace_files(spark, sf_dir, root)
-    tr = R.read_trace(spark, glob)
-    d = C.chunk_deltas(tr, A.TRACE_KEYS, A.EVENTS_CHUNKS)
+    # Single scan of the text: lines ordered by (split start, row in split),
+    # one rank bucket per split.
+    tr = R.read_trace(spark, glob, dense_seq=False)
+    d = C.chunk_deltas(
+        tr, A.TRACE_KEYS, A.EVENTS_CHUNKS, order_cols=("split_start", "split_row"), bucket_rows=1
+    )
     return d.select(
         "sample", "access", F.col("chunk_size").cast("long").alias("chunk_size"), "mode",
         F.col("chunk_id").cast("long").alias("chunk_id"), F.round(F.col("delta").cast("double"), 6).alias("delta"),

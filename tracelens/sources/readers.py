@@ -110,49 +110,63 @@ def parse_trace(lines: DataFrame, line_col: str = "value", keep: Sequence[str] =
     return out
 
 
-def read_trace_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Trace text files (plain or .gz by suffix) as ``(path, seq, value)``.
-
-    Comment lines are dropped and lines right-stripped.  ``seq`` is the line
-    number inside the file, computed without a shuffle of the lines: in the
-    same projection as the scan we take the file split start and the
-    per-partition row counter; a per-split line count (one row per split)
-    gives each split's offset in its file.  Write the result to Parquet once:
-    gz files are not splittable, and a materialised ``seq`` is what later
-    stages order by.
+def read_trace_lines(spark: SparkSession, paths: str | Sequence[str], dense_seq: bool = True) -> DataFrame:
+    """Trace text files (plain or .gz by suffix) as lines with their order.
+
+    Comment lines are dropped and lines right-stripped.  In the same
+    projection as the scan we take the file split start (``split_start``) and
+    the per-partition row counter (``split_row``): inside one file,
+    ``(split_start, split_row)`` is the line order.
+
+    * ``dense_seq=False`` returns ``(path, split_start, split_row, value)``
+      from a single scan; rank with ``order_cols=("split_start",
+      "split_row")`` and ``bucket_rows=1`` (one bucket per split).
+    * ``dense_seq=True`` (default) adds ``seq``, the 0-based line number in
+      the file, from a per-split line count (one row per split) - a second,
+      cheap pass over the text.
+
+    gz files are not splittable; write the result to Parquet once.
     """
     raw = spark.read.text(paths if isinstance(paths, str) else list(paths))
     base = raw.select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("_bs"),
-        (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_lo"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("split_row"),
         "value",
     )
-    splits = base.groupBy("path", "_bs").agg(F.min("_lo").alias("_lo0"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("path").orderBy("_bs").rowsBetween(Window.unboundedPreceding, -1)
+    if not dense_seq:
+        return base.select("path", "split_start", "split_row", F.rtrim("value").alias("value")).where(
+            ~F.col("value").startswith("#")
+        )
+    splits = base.groupBy("path", "split_start").agg(
+        F.min("split_row").alias("_lo0"), F.count(F.lit(1)).alias("_n")
+    )
+    before = Window.partitionBy("path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
-        "path", "_bs", "_lo0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+        "path", "split_start", "_lo0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    lines = base.join(offsets, on=["path", "_bs"], how="inner").select(
-        "path", (F.col("_off") + F.col("_lo") - F.col("_lo0")).alias("seq"), F.rtrim("value").alias("value")
+    lines = base.join(offsets, on=["path", "split_start"], how="inner").select(
+        "path", (F.col("_off") + F.col("split_row") - F.col("_lo0")).alias("seq"), F.rtrim("value").alias("value")
     )
     return lines.where(~F.col("value").startswith("#"))
 
 
-def read_trace(spark: SparkSession, paths: str | Sequence[str], on_error: str = "raise") -> DataFrame:
-    """Trace rows ``(sample, uuid, run_id, seq, ins, rw, tgt)`` from upload trees.
+def read_trace(spark: SparkSession, paths: str | Sequence[str], on_error: str = "raise", dense_seq: bool = True) -> DataFrame:
+    """Trace rows ``(sample, uuid, run_id, seq | split_start+split_row, ins, rw, tgt)``.
 
-    Keys come from the path ``.../<sample>/<uuid>/<run_id>/<file>``.
+    Keys come from the path ``.../<sample>/<uuid>/<run_id>/<file>``; see
+    :func:`read_trace_lines` for the two order forms.
     """
-    lines = read_trace_lines(spark, paths)
+    lines = read_trace_lines(spark, paths, dense_seq)
+    order = ["seq"] if dense_seq else ["split_start", "split_row"]
     keyed = lines.select(
         F.regexp_extract("path", _UPLOAD_PATH, 1).alias("sample"),
         F.regexp_extract("path", _UPLOAD_PATH, 2).alias("uuid"),
         F.regexp_extract("path", _UPLOAD_PATH, 3).cast("int").alias("run_id"),
-        "seq",
+        *order,
         "value",
     )
-    return parse_trace(keyed, keep=["sample", "uuid", "run_id", "seq"], on_error=on_error)
+    return parse_trace(keyed, keep=["sample", "uuid", "run_id", *order], on_error=on_error)
 
 
 # -- S2, S3, S5, S6: JSON documents -----------------------------------------
