@@ -68,7 +68,10 @@ GRID = "('SUM_REF_ASC', 'MAX_REF', 'MIN_REF', 'MEAN')"
 
 
 def _ranges_cte(ranges) -> str:
-    rows = ", ".join(f"({int(n)}, {int(lo)}, {int(hi)})" for n, (lo, hi) in sorted(ranges.items()))
+    rows = ", ".join(
+        f"(CAST({int(n)} AS BIGINT), CAST({int(lo)} AS BIGINT), CAST({int(hi)} AS BIGINT))"
+        for n, (lo, hi) in sorted(ranges.items())
+    )
     return f"rng(chunk_size, lo, hi) AS (VALUES {rows})"
 
 
