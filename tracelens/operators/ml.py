@@ -10,6 +10,7 @@ driver only loops over configurations, each fit being a distributed job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, RandomForestClassifier
@@ -35,6 +36,16 @@ SVM_TOL = 1e-3
 ENSEMBLE_FEATURE = "W-MemOffsetMode.MIN_REF-5000"
 ENSEMBLE_MEMBERS = (("dt", "std"), ("rf", None), ("svm", "std"))
 METRIC_NAMES = ("accuracy", "precision", "recall", "specificity", "f1", "auroc")
+# Fits submitted concurrently from the driver (each fit is its own Spark jobs),
+# like the ``parallelism`` parameter of Spark ML's tuning classes.
+DEFAULT_PARALLELISM = 4
+
+
+def _run_all(tasks, parallelism: int):
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda t: t(), tasks))
 
 
 def labelled_vectors(features: DataFrame, feature: str | None = None, data_col: str = "feature_data", label_col: str = "label") -> DataFrame:
@@ -99,23 +110,30 @@ def cross_validate(
     k: int = DEFAULT_FOLDS,
     seed: int = 0,
     key_col: str = "sample",
+    parallelism: int = DEFAULT_PARALLELISM,
 ) -> DataFrame:
     """k-fold cross-validation: per-fold metrics averaged.
 
     Folds are a seeded hash of the key, so every recomputation sees the same
-    split.  Returns one row with the mean of each metric over folds.
+    split; the fold fits run ``parallelism`` at a time.  Returns one row with
+    the mean of each metric over folds.
     """
     # The vectors are read by every fold's fit: checkpoint them once into the
     # shared folder (also cuts the lineage if an executor is lost mid-loop).
     data = cut_lineage(k_fold(vectors, key_col, k, seed))
     sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
     total = sum(sizes.values())
+    def fold_fit(i: int):
+        def run():
+            train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
+            model = train_model(train, classifier, normalizer, seed)
+            return predict(model, test).select(key_col, "fold", "label", "prediction")
+
+        return run
+
+    folds = [i for i in range(k) if 0 < sizes.get(i, 0) < total]
     preds = None
-    for i in range(k):
-        if sizes.get(i, 0) == 0 or sizes.get(i, 0) == total:
-            continue
-        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
-        p = predict(train_model(train, classifier, normalizer, seed), test).select(key_col, "fold", "label", "prediction")
+    for p in _run_all([fold_fit(i) for i in folds], parallelism):
         preds = p if preds is None else preds.unionByName(p)
     if preds is None:
         return vectors.sparkSession.createDataFrame([], ", ".join(f"{m} double" for m in METRIC_NAMES))
@@ -130,24 +148,31 @@ def evaluate_grid(
     normalizers: Sequence[str | None] = NORMALIZERS,
     k: int = DEFAULT_FOLDS,
     seed: int = 0,
+    parallelism: int = DEFAULT_PARALLELISM,
 ) -> DataFrame:
     """Every feature x classifier x normaliser, cross-validated.
 
     The vector table is checkpointed once (into the shared checkpoint
     folder) so the many fits read it instead of recomputing the lineage.
+    Grid cells run ``parallelism`` at a time; inside a cell the folds run
+    one after another (the pool is not nested).
     """
     base = cut_lineage(features.select("sample", "feature", "feature_data", "label"))
-    rows = None
-    for feat in feature_names:
-        vec = labelled_vectors(base, feat)
-        for clf in classifiers:
-            for norm in normalizers:
-                m = cross_validate(vec, clf, norm, k, seed).select(
-                    F.lit(feat).alias("feature"), F.lit(clf).alias("classifier"),
-                    F.lit(norm).cast("string").alias("normaliser"), *METRIC_NAMES,
-                )
-                rows = m if rows is None else rows.unionByName(m)
-    return rows
+
+    def cell(feat, clf, norm):
+        def run():
+            vec = labelled_vectors(base, feat)
+            m = cross_validate(vec, clf, norm, k, seed, parallelism=1)
+            # Materialise the one-row result so the cell's jobs run in this thread.
+            return [tuple(r) for r in m.collect()]
+
+        return run
+
+    grid = [(f, c, n) for f in feature_names for c in classifiers for n in normalizers]
+    results = _run_all([cell(*g) for g in grid], parallelism)
+    rows = [(f, c, n, *vals) for (f, c, n), res in zip(grid, results) for vals in res]
+    schema = "feature string, classifier string, normaliser string, " + ", ".join(f"{m} double" for m in METRIC_NAMES)
+    return base.sparkSession.createDataFrame(rows, schema)
 
 
 def ensemble_vote(predictions: DataFrame, id_col: str = "id", pred_col: str = "prediction") -> DataFrame:
