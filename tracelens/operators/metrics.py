@@ -68,10 +68,12 @@ def auroc(
     negatives with an equal score) / (P * N), i.e. average ranks for ties.
 
     Rows are first combined per distinct (group, score).  The running count
-    of negatives below each score is two-level: equal-width score buckets
-    (from the group's min/max, a tiny aggregate) get prefix offsets over the
-    small per-bucket table, and the window over distinct scores runs inside
-    one bucket at a time.
+    of negatives below each score is two-level: approximate-quantile cut
+    points of the distinct scores (one small array per group) split them into
+    ``n_buckets`` buckets of similar size whatever the score distribution;
+    the small per-bucket table gets prefix offsets, and the window over
+    distinct scores runs inside one bucket at a time.  Equal scores always
+    share a bucket, so ties are exact.
     """
     out_groups = list(groups)
     groups = out_groups or ["_all"]
@@ -81,11 +83,12 @@ def auroc(
     per_score = df.groupBy(*groups, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(lab == 1.0).alias("_p"), F.count_if(lab == 0.0).alias("_n")
     )
-    rng = per_score.groupBy(*groups).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_s") - F.col("_lo")) / width * n_buckets), F.lit(n_buckets - 1))).otherwise(F.lit(0)).cast("long")
-    b = per_score.join(rng, on=groups, how="inner")
-    b = b.withColumn("_b", bucket).drop("_lo", "_hi")
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = per_score.groupBy(*groups).agg(
+        F.percentile_approx("_s", probs, 10 * n_buckets).alias("_cuts") if probs else F.array().cast("array<double>").alias("_cuts")
+    )
+    b = per_score.join(cuts, on=groups, how="inner")
+    b = b.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).cast("long")).drop("_cuts")
     per_bucket = b.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
     before_b = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*groups, "_b", F.coalesce(F.sum("_bn").over(before_b), F.lit(0)).alias("_off"))
