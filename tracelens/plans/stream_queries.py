@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.catalog import epoch_us
 from ..operators import chunks as C
 from ..operators import histogram as H
 from ..session import scratch_path
@@ -104,3 +105,26 @@ def stream_run_counter(spark, sf_dir):
     )
     q.awaitTermination()
     return spark.read.schema(ST.RUN_COUNTER_OUT).parquet(f"{root}/out")
+
+
+@register("stream_node_liveness")
+def stream_node_liveness(spark, sf_dir):
+    """Heartbeats stream in a week per micro-batch; a node's keyed state times
+    out when the event-time watermark passes its last heartbeat + 300 s and
+    one expiry row is emitted (W3, W4 trigger)."""
+    root = scratch_path(spark, f"stream-live-{uuid.uuid4().hex[:8]}")
+    glob = A.write_weekly_event_files(spark, sf_dir, f"{root}/in")
+    src = spark.readStream.schema("uuid long, event_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(glob)
+    # NTZ wall time read as UTC instants: independent of the session time zone.
+    beats = src.select(F.col("uuid").alias("node"), F.timestamp_micros(epoch_us(F.col("ts"))).alias("ts"))
+    q = (
+        ST.liveness_stream(beats, delay="0 seconds")
+        .writeStream.format("parquet")
+        .option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/ckpt")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(ST.LIVENESS_OUT).parquet(f"{root}/out")
