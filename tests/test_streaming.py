@@ -44,3 +44,24 @@ def test_liveness_stream_emits_expiry(spark, tmp_dir):
     q.stop()
     got = spark.sql("SELECT node FROM live_t").collect()
     assert [r["node"] for r in got] == [2]
+
+
+def test_upload_batches_idempotent_on_replay(spark, tmp_dir):
+    from tracelens.streaming.uploads import process_uploads
+
+    out = os.path.join(tmp_dir, "out")
+    calls = []
+
+    def extract(todo):
+        calls.append(sorted(r["sample"] for r in todo.collect()))
+        return todo.select("sample", "uuid", "run_id", F.lit(1).alias("feature"))
+
+    b0 = spark.createDataFrame([("a", "u", 0, "OK"), ("b", "u", 0, "ERR"), ("c", "u", 0, "WARN")],
+                               "sample string, uuid string, run_id int, status string")
+    process_uploads(b0, 0, out, extract, ["sample", "uuid", "run_id"])
+    process_uploads(b0, 0, out, extract, ["sample", "uuid", "run_id"])  # replay of epoch 0
+    b1 = spark.createDataFrame([("a", "u", 0, "OK"), ("d", "u", 0, "OK")], "sample string, uuid string, run_id int, status string")
+    process_uploads(b1, 1, out, extract, ["sample", "uuid", "run_id"])
+    assert calls == [["a", "c"], ["a", "c"], ["d"]]
+    got = sorted(r["sample"] for r in spark.read.parquet(out).collect())
+    assert got == ["a", "c", "d"]
