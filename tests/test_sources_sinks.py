@@ -41,7 +41,7 @@ def test_sample_metadata_and_binaries(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "short"), "wb") as fh:
         fh.write(b"x")
     meta = {"source": "zoo", "arch": "PE32 executable (GUI) Intel 80386", "label": "malware",
-            "malml-sample-mgr": "0.0.1", "existing": {"scans": {"e1": {"detected": True}}, "additional_info": "x"}}
+            CF.METADATA_VERSION_KEY: "0.0.1", "existing": {"scans": {"e1": {"detected": True}}, "additional_info": "x"}}
     with open(os.path.join(tmp_dir, name + ".json"), "w") as fh:
         json.dump(meta, fh)
     s = R.read_samples(spark, os.path.join(tmp_dir, "*")).collect()
@@ -49,7 +49,7 @@ def test_sample_metadata_and_binaries(spark, tmp_dir):
     m = R.read_sample_metadata(spark, tmp_dir).first()
     assert m["sample"] == name and m["existing"]["scans"]["e1"]["detected"] is True
     doc = K.metadata_document(spark.createDataFrame([(name, "zoo", "32", None)], "sample string, source string, arch string, label string"))
-    assert json.loads(doc.first()["value"]) == {"source": "zoo", "arch": "32", "malml-sample-mgr": "0.0.1"}
+    assert json.loads(doc.first()["value"]) == {"source": "zoo", "arch": "32", CF.METADATA_VERSION_KEY: "0.0.1"}
 
 
 def test_features_round_trip(spark, tmp_dir):

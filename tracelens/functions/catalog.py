@@ -15,6 +15,9 @@ RUN_TIMEOUT_SECONDS = 3 * 60
 STATUS_OK, STATUS_ERR, STATUS_WARN = "OK", "ERR", "WARN"
 NO_FILE_MSG = "no_file_to_upload"
 WATCHDOG_TIMEOUT_MSG = "vm watchdog timeout"
+# Fixed value: key of the importer version field in sample metadata documents
+# (existing documents carry it, so readers and writers must use it verbatim).
+METADATA_VERSION_KEY = "malml-sample-mgr"
 # Extractor pack -> feature families / extractors (fixed lookup of the reference).
 PACK_FAMILIES = {"pack-1": ["mem_rw_dump"]}
 PACK_EXTRACTORS = {"pack-1": ["ext-mem-rw-dump"]}

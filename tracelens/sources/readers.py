@@ -24,7 +24,7 @@ SAMPLE_METADATA = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("arch", T.StringType()),
         T.StructField("label", T.StringType()),
-        T.StructField("malml-sample-mgr", T.StringType()),
+        T.StructField(CF.METADATA_VERSION_KEY, T.StringType()),
         T.StructField("vti", REPORT),
         T.StructField("existing", REPORT),
     ]

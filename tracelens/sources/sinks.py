@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.catalog import METADATA_VERSION_KEY
 from ..operators.chunks import FEATURE_FAMILY, FEATURE_VERSION
 
 
@@ -141,7 +142,7 @@ def rebuild_tables(tables: dict[str, DataFrame], root: str) -> None:
 
 def metadata_document(df: DataFrame, version: str = "0.0.1") -> DataFrame:
     """Sample metadata JSON; optional vti / label / existing only when present."""
-    cols = [F.col("source"), F.col("arch"), F.lit(version).alias("malml-sample-mgr")]
+    cols = [F.col("source"), F.col("arch"), F.lit(version).alias(METADATA_VERSION_KEY)]
     for opt in ("label", "vti", "existing"):
         if opt in df.columns:
             cols.append(F.col(opt))
