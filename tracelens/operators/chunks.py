@@ -180,19 +180,16 @@ def deltas_from_stats(stats: DataFrame, keys: Sequence[str], modes: Sequence[str
     delta_den, delta`` where ``delta = delta_num / delta_den`` as DECIMAL(38,6).
     """
     keys = list(keys)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("mode"),
-                _mode_num(m).alias("delta_num"),
-                (F.col("cnt") if m == "MEAN" else F.lit(1).cast("long")).alias("delta_den"),
-            )
-            for m in modes
-        ]
-    )
-    out = stats.select(*keys, "access", "chunk_size", "chunk_id", "n_rows", F.inline(entries))
-    return out.withColumn(
-        "delta", (F.col("delta_num") / F.col("delta_den").cast("decimal(20,0)")).cast("decimal(38,6)")
+
+    def entry(m: str):
+        num = _mode_num(m)
+        den = F.col("cnt") if m == "MEAN" else F.lit(1).cast("long")
+        delta = (num / den.cast("decimal(20,0)")).cast("decimal(38,6)")
+        return F.struct(F.lit(m).alias("mode"), num.alias("delta_num"), den.alias("delta_den"), delta.alias("delta"))
+
+    # One projection (no trailing withColumn): the plan is analysed once.
+    return stats.select(
+        *keys, "access", "chunk_size", "chunk_id", "n_rows", F.inline(F.array(*[entry(m) for m in modes]))
     )
 
 
