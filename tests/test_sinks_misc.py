@@ -81,3 +81,14 @@ def test_searches(spark):
     assert R.search_features(f, sample="b").count() == 1 and R.search_features(f).count() == 2
     up = spark.createDataFrame([("a", "pack-1"), ("b", "pack-9")], "sample string, extractor_pack string")
     assert [r["sample"] for r in R.search_uploads(up, feature_family="mem_rw_dump").collect()] == ["a"]
+
+
+def test_sidecar_reports_attach_to_binaries(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "x.exe"), "wb") as fh:
+        fh.write(b"MZ")
+    with open(os.path.join(tmp_dir, "x.exe.json"), "w") as fh:
+        json.dump({"scans": {"e1": {"detected": True}, "e2": {"detected": False}}}, fh)
+    bins = R.read_binaries(spark, os.path.join(tmp_dir, "*.exe"))
+    side = R.read_sidecar_reports(spark, tmp_dir)
+    got = J.attach_scan_report(bins.select("path", "sample"), side).first()
+    assert got["existing"]["scans"]["e1"]["detected"] is True

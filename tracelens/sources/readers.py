@@ -209,6 +209,18 @@ def read_sample_metadata(spark: SparkSession, samples_dir: str) -> DataFrame:
     return raw.where(CF.is_sha256_meta_name(F.col("_metadata.file_name"))).select(name.alias("sample"), "*")
 
 
+def read_sidecar_reports(spark: SparkSession, input_dir: str) -> DataFrame:
+    """Scan reports shipped next to imported files as ``<file>.json`` (J9 input).
+
+    Returns ``(path, existing)`` where ``path`` is the imported file's path.
+    """
+    raw = spark.read.schema(REPORT).option("multiLine", True).json(f"{input_dir.rstrip('/')}/*.json")
+    return raw.select(
+        F.regexp_replace(F.col("_metadata.file_path"), r"\.json$", "").alias("path"),
+        F.struct("scans", "additional_info").alias("existing"),
+    )
+
+
 def read_samples(spark: SparkSession, samples_dir: str, verify: bool = True) -> DataFrame:
     """Binary samples ``(sample, length, content)`` (S4): only 64-character
     names; with ``verify`` the content hash must equal the name."""
