@@ -15,11 +15,10 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as LF
-from .common import with_scalars
 from .rank import ordered_positions
 
 HASH_BUCKET_BITS = 20
@@ -75,8 +74,10 @@ def balance_classes(
     Survivors are the first rows of each class in md5(seed:key) order.
     """
     ranked, totals = hash_rank(df, [label_col], key_col, seed, pos_col="_r", with_totals=True)
-    n_min = totals.agg(F.min("n").alias("_n_min"))
-    return with_scalars(ranked, n_min).where(F.col("_r") <= F.col("_n_min")).drop("_r", "_h", "_n_min")
+    # One row per class: the smallest class size over that tiny table, joined
+    # back on the class (an equi-join AQE broadcasts by its measured size).
+    limits = totals.select(label_col, F.min("n").over(Window.partitionBy()).alias("_n_min"))
+    return ranked.join(limits, on=label_col).where(F.col("_r") <= F.col("_n_min")).drop("_r", "_h", "_n_min")
 
 
 def k_fold(df: DataFrame, key_col: str, k: int = DEFAULT_FOLDS, seed: int | str = 0, method: str = "xxhash") -> DataFrame:
@@ -111,9 +112,14 @@ def overlapping_subsets(
     exploded = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_sets - 1))).alias("set_id"))
     keyed = exploded.withColumn("_sk", F.concat_ws(":", F.col("set_id").cast("string"), F.col(key_col).cast("string")))
     ranked, totals = hash_rank(keyed, ["set_id", label_col], "_sk", seed, pos_col="_r", with_totals=True)
-    # Every set holds every row once, so any set's class sizes are the class sizes.
-    size = totals.agg(F.floor(F.min("n") / F.lit(fraction_den)).alias("_size"))
-    return with_scalars(ranked, size).where(F.col("_r") <= F.col("_size")).drop("_r", "_h", "_sk", "_size")
+    # Every set holds every row once, so any set's class sizes are the class sizes;
+    # the (set, class) table has n_sets x classes rows.
+    limits = totals.select(
+        "set_id", label_col, F.floor(F.min("n").over(Window.partitionBy()) / F.lit(fraction_den)).alias("_size")
+    )
+    return ranked.join(limits, on=["set_id", label_col]).where(F.col("_r") <= F.col("_size")).drop(
+        "_r", "_h", "_sk", "_size"
+    )
 
 
 def in_flight_union(*id_sets: DataFrame, col: str = "sample") -> DataFrame:
@@ -165,8 +171,6 @@ def next_batch(
     ben = _top_by_hash(candidates.where(F.col(label_col) == LF.BENIGN), key_col, n, seed)
     unl = _top_by_hash(candidates.where(~F.col(label_col).isin(LF.MALWARE, LF.BENIGN) | F.col(label_col).isNull()), key_col, n, seed)
     # At most 3n rows from here on: ranks by a window over one tiny partition.
-    from pyspark.sql import Window
-
     def ranked(df: DataFrame, cls: int, base) -> DataFrame:
         r = F.row_number().over(Window.orderBy("_h", key_col))
         lvl = (F.lit(base) if not isinstance(base, Column) else base) + r - F.lit(1)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.catalog import STATUS_ERR, WATCHDOG_TIMEOUT_MSG, epoch_us
-from ..operators.common import with_scalars
 
 # Fixed value of the reference: heartbeat timeout (5 minutes).
 HEARTBEAT_TIMEOUT_SECONDS = 5 * 60
@@ -18,16 +17,16 @@ HEARTBEAT_TIMEOUT_SECONDS = 5 * 60
 def node_liveness(nodes: DataFrame, heartbeats: DataFrame, now=None, timeout_s: int = HEARTBEAT_TIMEOUT_SECONDS) -> DataFrame:
     """Last heartbeat per node; expired when never seen or idle longer than the timeout.
 
-    ``now`` defaults to the latest heartbeat seen (a one-row aggregate).  Idle
-    time keeps whole days (D17).
+    ``now`` defaults to the latest heartbeat seen: one number read from a
+    distributed max aggregate.  Idle time keeps whole days (D17).
     """
     last = heartbeats.groupBy("node").agg(F.max("ts").alias("last_ts"))
     if now is None:
-        now_df = heartbeats.agg(F.max("ts").alias("now_ts"))
+        now_us = heartbeats.agg(F.max(epoch_us(F.col("ts")))).first()[0]
     else:
-        now_df = heartbeats.sparkSession.range(1).select(F.lit(now).cast("timestamp_ntz").alias("now_ts"))
-    j = with_scalars(nodes.join(last, on="node", how="left"), now_df)
-    idle_us = epoch_us(F.col("now_ts")) - epoch_us(F.col("last_ts"))
+        now_us = heartbeats.sparkSession.range(1).select(epoch_us(F.lit(now).cast("timestamp_ntz"))).first()[0]
+    j = nodes.join(last, on="node", how="left")
+    idle_us = F.lit(now_us).cast("long") - epoch_us(F.col("last_ts"))
     return j.select(
         "node",
         epoch_us(F.col("last_ts")).alias("last_seen_us"),
