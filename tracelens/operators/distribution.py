@@ -1,20 +1,24 @@
 """Feature-value distributions: pooled stats, repeated draws, KDE (H6-H8).
 
 Values are the entries of the dense feature vectors, pooled by chunk size.
-A value's identity is (sample, feature, bin index); draws rank values by a
-seeded md5 of ``draw:identity``, so the draws are reproducible and equal to
-what any engine computes with the same hash.
+A value's identity is (sample, feature, bin index).  Each value is hashed
+once, ``x = md5(seed:identity)`` reduced mod p (p = 2^31 - 1), and draw ``d``
+ranks values by ``(a_d * x + b_d) mod p`` - a member of a pairwise
+independent hash family whose constants come from the seed - then by
+identity.  All of it is long arithmetic (products stay below 2^62), so the
+draws are reproducible, cheap per (value, draw) pair, and equal to what any
+engine computes from the same constants.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .sampling import _hash_prefix
 
 # Fixed values of the reference's distribution report.
 DRAWS = 50
@@ -41,6 +45,19 @@ def pooled_distribution(features: DataFrame) -> DataFrame:
     )
 
 
+HASH_PRIME = (1 << 31) - 1
+
+
+def draw_constants(draws: int, seed: str = "") -> list[tuple[int, int, int]]:
+    """``(draw, a_d, b_d)`` with 1 <= a_d < p and 0 <= b_d < p, derived from the seed."""
+    out = []
+    for d in range(draws):
+        ha = int(hashlib.md5(f"{seed}:a:{d}".encode()).hexdigest()[:15], 16)
+        hb = int(hashlib.md5(f"{seed}:b:{d}".encode()).hexdigest()[:15], 16)
+        out.append((d, 1 + ha % (HASH_PRIME - 1), hb % HASH_PRIME))
+    return out
+
+
 def _identity(df: DataFrame) -> Column:
     return F.concat_ws(":", F.col("sample").cast("string"), F.col("feature"), F.col("bin").cast("string"))
 
@@ -51,7 +68,7 @@ def repeated_samples(
     """``draws`` independent draws of ``draw_size`` values per chunk size,
     without replacement inside a draw (H7).
 
-    Each draw keeps the values with the smallest md5(seed:draw:identity).
+    Each draw keeps the values with the smallest draw hash (module docstring).
     Before the draw expansion reaches a shuffle, every (value, draw) pair is
     thinned to hashes under about ``oversample * draw_size / n`` of the hash
     range (the smallest hashes are exactly the ones kept), so only a few
@@ -64,20 +81,27 @@ def repeated_samples(
     # over every core first (an explicit count, which AQE keeps) and cut the
     # lineage once so the completeness check and the final pass share it.
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    vals = cut_lineage(pooled_values(features).repartition(parts, "sample", "feature"))
+    pooled = pooled_values(features)
+    x = F.pmod(
+        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), _identity(pooled))), 1, 8), 16, 10).cast("long"),
+        F.lit(HASH_PRIME),
+    )
+    vals = cut_lineage(pooled.withColumn("_x", x).repartition(parts, "sample", "feature"))
     n_per = vals.groupBy("chunk_size").agg(F.count(F.lit(1)).alias("_n"))
     sizes = {r["chunk_size"]: r["_n"] for r in n_per.collect()}  # one row per chunk size
+    consts = F.array(*[
+        F.struct(F.lit(d).alias("draw"), F.lit(a).cast("long").alias("_a"), F.lit(b).cast("long").alias("_bc"))
+        for d, a, b in draw_constants(draws, seed)
+    ])
     factor = oversample
     while True:
         frac = F.least(F.lit(1.0), F.lit(factor * draw_size) / F.col("_n"))
-        limit = (frac * F.lit(float(1 << 60))).cast("long")
-        expanded = vals.join(F.broadcast(n_per), "chunk_size").select(
-            "*", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
-        )
-        ident = F.concat_ws(":", F.lit(seed), F.col("draw").cast("string"), _identity(expanded))
+        limit = (frac * F.lit(float(HASH_PRIME))).cast("long")
+        expanded = vals.join(F.broadcast(n_per), "chunk_size").select("*", F.inline(consts))
+        key = F.pmod(F.col("_a") * F.col("_x") + F.col("_bc"), F.lit(HASH_PRIME))
         # The thinned draws are small (about oversample x draw_size rows per draw):
         # materialise them once so the check and the ranking read the same rows.
-        thin = cut_lineage(expanded.withColumn("_h", F.md5(ident)).where(_hash_prefix(F.col("_h")) < limit))
+        thin = cut_lineage(expanded.withColumn("_h", key).where(F.col("_h") < limit).drop("_a", "_bc", "_x"))
         # One row per (chunk size, draw): a bounded check, then widen if short.
         kept = thin.groupBy("chunk_size", "draw").agg(F.count(F.lit(1)).alias("_k")).collect()
         complete = len(kept) == len(sizes) * draws and all(

@@ -37,11 +37,16 @@ def pooled_distribution(spark, sf_dir):
 
 _DRAWS_SQL = _VALS + """,
 nper AS (SELECT chunk_size, count(*) AS n FROM vals GROUP BY chunk_size),
+hx AS (
+  SELECT v.*, ('0x' || substr(md5(':' || v.sample || ':' || v.feature || ':' || CAST(v.bin AS VARCHAR)), 1, 8))::BIGINT % 2147483647 AS x
+  FROM vals v),
+dc(draw, a, b) AS (VALUES {DRAW_CONSTANTS}),
 dr AS (
-  SELECT v.*, CAST(d.draw AS INTEGER) AS draw,
-         md5(':' || CAST(d.draw AS VARCHAR) || ':' || v.sample || ':' || v.feature || ':' || CAST(v.bin AS VARCHAR)) AS h
-  FROM vals v CROSS JOIN range(0, 50) d(draw)),
-rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)"""
+  SELECT hx.*, CAST(dc.draw AS INTEGER) AS draw, (dc.a * hx.x + dc.b) % 2147483647 AS h
+  FROM hx CROSS JOIN dc),
+rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)""".replace(
+    "{DRAW_CONSTANTS}", ", ".join(f"({d}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))" for d, a, b in D.draw_constants(D.DRAWS))
+)
 
 
 @register("repeated_samples", _DRAWS_SQL + """
