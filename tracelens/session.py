@@ -47,7 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder there; only when it is unset (local tests)
     do we create a scratch folder.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     sc = spark.sparkContext
     if conf_dir:
         if sc.getCheckpointDir() is None:
@@ -57,9 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     local = tempfile.mkdtemp(prefix="tl-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
-    return local
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
+        pass
+    return sc.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
