@@ -197,3 +197,19 @@ def test_single_scan_line_order_matches_dense(spark, tmp_dir):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_ingest_traces_round_trip(spark, tmp_dir):
+    import os
+
+    from tracelens.sources.sinks import ingest_traces
+
+    d = os.path.join(tmp_dir, "in", "abc", "u1", "0")
+    os.makedirs(d)
+    with open(os.path.join(d, "trace.out"), "w") as fh:
+        fh.write(FIXTURE * 3)
+    out = os.path.join(tmp_dir, "table")
+    ingest_traces(spark, f"{tmp_dir}/in/*/*/*/*", out)
+    t = spark.read.parquet(out)
+    assert t.count() == 27 and set(t.columns) >= {"sample", "uuid", "run_id", "seq", "rw", "tgt"}
+    assert [float(r["delta"]) for r in C.chunk_delta(t, KEYS, mode="SUM_ABS_REF", chunk_size=9).collect()] == [230203830252.0] * 3

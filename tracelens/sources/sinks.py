@@ -147,3 +147,22 @@ def metadata_document(df: DataFrame, version: str = "0.0.1") -> DataFrame:
         if opt in df.columns:
             cols.append(F.col(opt))
     return df.select("sample", F.to_json(F.struct(*cols), {"ignoreNullFields": "true"}).alias("value"))
+
+
+def ingest_traces(spark, paths, out: str, on_error: str = "raise") -> None:
+    """Parse tracer text once into the canonical trace table (S1 -> Parquet).
+
+    Rows ``(sample, uuid, run_id, seq, ins, rw, tgt)`` with ``seq`` the line
+    number in the file, clustered by trace and line inside each output file
+    (a local sort, no shuffle), so later chunking reads Parquet with column
+    pruning instead of re-reading text (gz files are one split each).
+    """
+    from .readers import read_trace
+
+    tr = read_trace(spark, paths, on_error=on_error, dense_seq=True)
+    (
+        tr.sortWithinPartitions("sample", "uuid", "run_id", "seq")
+        .write.mode("overwrite")
+        .option("compression", "zstd")
+        .parquet(out)
+    )
