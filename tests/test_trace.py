@@ -213,3 +213,13 @@ def test_ingest_traces_round_trip(spark, tmp_dir):
     t = spark.read.parquet(out)
     assert t.count() == 27 and set(t.columns) >= {"sample", "uuid", "run_id", "seq", "rw", "tgt"}
     assert [float(r["delta"]) for r in C.chunk_delta(t, KEYS, mode="SUM_ABS_REF", chunk_size=9).collect()] == [230203830252.0] * 3
+
+
+def test_adaptive_buckets_same_result(spark):
+    # Order values with a huge spread: fixed buckets would be one per row or one for all.
+    rows = [("s", "u", 0, int(i) * 10**9 + (i % 7), "R" if i % 3 else "W", i * 37 % 1000) for i in range(3000)]
+    rows += [("t", "u", 0, i, "W", i) for i in range(500)]
+    tr = spark.createDataFrame(rows, "sample string, uuid string, run_id int, seq long, rw string, tgt long")
+    a = C.chunk_deltas(tr, KEYS, [10, 30], C.ALL_MODES, bucket_rows=1 << 62)
+    b = C.chunk_deltas(tr, KEYS, [10, 30], C.ALL_MODES, bucket_rows=97, adaptive_buckets=True)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -109,6 +109,7 @@ def chunk_stats(
     tgt_col: str = "tgt",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     positions: DataFrame | None = None,
+    adaptive_buckets: bool = False,
 ) -> DataFrame:
     """Per-chunk statistics for every (trace, access, chunk size, chunk).
 
@@ -123,7 +124,8 @@ def chunk_stats(
     if not sizes or sizes[0] <= 0:
         raise ValueError("chunk sizes must be positive")
     pos = positions if positions is not None else access_positions(
-        trace, keys, order_cols=order_cols, rw_col=rw_col, carry=[tgt_col], bucket_rows=bucket_rows
+        trace, keys, order_cols=order_cols, rw_col=rw_col, carry=[tgt_col], bucket_rows=bucket_rows,
+        adaptive=adaptive_buckets,
     )
     pos = pos.where(F.col("access").isin(list(access_types)))
 
@@ -204,6 +206,7 @@ def chunk_deltas(
     tgt_col: str = "tgt",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     min_rows_gate: bool = True,
+    adaptive_buckets: bool = False,
 ) -> DataFrame:
     """Chunk deltas for the whole (access x chunk size x mode) grid in one pass.
 
@@ -211,7 +214,8 @@ def chunk_deltas(
     the filtered trace has fewer rows than the chunk size.
     """
     stats = chunk_stats(
-        trace, keys, chunk_sizes, access_types, order_cols, rw_col, tgt_col, bucket_rows
+        trace, keys, chunk_sizes, access_types, order_cols, rw_col, tgt_col, bucket_rows,
+        adaptive_buckets=adaptive_buckets,
     )
     if min_rows_gate:
         stats = stats.where(F.col("n_rows") >= F.col("chunk_size"))

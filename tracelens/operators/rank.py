@@ -38,6 +38,32 @@ def _bucket(order_col: str, bucket_rows: int) -> Column:
     return F.floor(F.col(order_col) / F.lit(bucket_rows)).cast("long")
 
 
+def _with_buckets(base: DataFrame, order_col: str, bucket_rows: int, adaptive: bool) -> DataFrame:
+    """Add ``_b`` to rows keyed by ``_k``.
+
+    Fixed: ``order_col div bucket_rows`` - right when the order column is a
+    dense position such as a line number.  Adaptive: a per-key width from a
+    small ``(min, max, count)`` aggregate, so a key's buckets hold about
+    ``bucket_rows`` rows whatever the spread of its order values; that per-key
+    table is joined before the shuffle (broadcast when AQE measures it small,
+    skew-split otherwise).
+    """
+    if not adaptive:
+        return base.withColumn("_b", _bucket(order_col, bucket_rows))
+    span = base.groupBy("_k").agg(
+        F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"), F.count(F.lit(1)).alias("_cnt")
+    )
+    width = F.greatest(
+        F.lit(1).cast("long"),
+        F.ceil((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") * F.lit(float(bucket_rows)) / F.col("_cnt")).cast("long"),
+    )
+    return (
+        base.join(span.select("_k", "_lo", width.alias("_w")), "_k")
+        .withColumn("_b", F.expr(f"(`{order_col}` - _lo) div _w"))
+        .drop("_lo", "_w")
+    )
+
+
 def access_positions(
     trace: DataFrame,
     keys: Sequence[str],
@@ -45,6 +71,7 @@ def access_positions(
     rw_col: str = "rw",
     carry: Sequence[str] = ("tgt",),
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    adaptive: bool = False,
 ) -> DataFrame:
     """Rows of ``trace`` with their position per access type.
 
@@ -61,9 +88,12 @@ def access_positions(
     is_r = (F.col(rw_col) == "R").cast("long")
     is_w = (F.col(rw_col) == "W").cast("long")
 
-    base = trace.where(F.col(rw_col).isin("R", "W")).select(
-        F.struct(*keys).alias("_k"), *[c for c in order_cols if c not in keys], rw_col,
-        *[c for c in carry if c not in order_cols], _bucket(order_cols[0], bucket_rows).alias("_b"),
+    base = _with_buckets(
+        trace.where(F.col(rw_col).isin("R", "W")).select(
+            F.struct(*keys).alias("_k"), *[c for c in order_cols if c not in keys], rw_col,
+            *[c for c in carry if c not in order_cols],
+        ),
+        order_cols[0], bucket_rows, adaptive,
     )
 
     # (2) + (3): per-bucket counts and exclusive prefix sums over the small table.
@@ -137,30 +167,16 @@ def ordered_positions(
     must be monotone in the order.  With ``with_totals`` also returns the
     per-key row counts ``(keys, n)`` computed from the same exchange.
 
-    With ``adaptive`` the bucket width is chosen per key from a small
-    ``(min, max, count)`` aggregate so that a key's buckets hold about
-    ``bucket_rows`` rows whatever the spread of its order values (timestamps
-    of a hot key, say); that per-key table is joined before the shuffle
-    (broadcast when AQE measures it small, skew-split otherwise).
+    With ``adaptive`` the bucket width is chosen per key (see
+    :func:`_with_buckets`), for order values of any spread.
     """
     keys = list(keys)
     order_cols = list(order_cols)
     base = df.withColumn("_k", F.struct(*keys))
-    if adaptive and not bucket_col:
-        o0 = order_cols[0]
-        span = base.groupBy("_k").agg(
-            F.min(o0).alias("_lo"), F.max(o0).alias("_hi"), F.count(F.lit(1)).alias("_cnt")
-        )
-        width = F.greatest(
-            F.lit(1).cast("long"),
-            F.ceil((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") * F.lit(float(bucket_rows)) / F.col("_cnt")).cast("long"),
-        )
-        base = base.join(span.select("_k", "_lo", width.alias("_w")), "_k").withColumn(
-            "_b", F.expr(f"(`{o0}` - _lo) div _w")
-        ).drop("_lo", "_w")
+    if bucket_col:
+        base = base.withColumn("_b", F.col(bucket_col))
     else:
-        b = F.col(bucket_col) if bucket_col else _bucket(order_cols[0], bucket_rows)
-        base = base.withColumn("_b", b)
+        base = _with_buckets(base, order_cols[0], bucket_rows, adaptive)
     counts = base.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_k", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
