@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .metrics import confusion_metrics, mean_over_folds
+from .metrics import auroc, confusion_metrics, mean_over_folds
 from .sampling import DEFAULT_FOLDS, k_fold
 
 # Classifier settings of the reference (tree depth, bins,
@@ -35,7 +35,7 @@ SVM_ITERATIONS = 100
 SVM_TOL = 1e-3
 ENSEMBLE_FEATURE = "W-MemOffsetMode.MIN_REF-5000"
 ENSEMBLE_MEMBERS = (("dt", "std"), ("rf", None), ("svm", "std"))
-METRIC_NAMES = ("accuracy", "precision", "recall", "specificity", "f1", "auroc")
+METRIC_NAMES = ("accuracy", "precision", "recall", "specificity", "f1", "auroc", "auroc_hard")
 # Fits submitted concurrently from the driver (each fit is its own Spark jobs),
 # like the ``parallelism`` parameter of Spark ML's tuning classes.
 DEFAULT_PARALLELISM = 4
@@ -127,7 +127,7 @@ def cross_validate(
         def run():
             train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
             model = train_model(train, classifier, normalizer, seed)
-            return predict(model, test).select(key_col, "fold", "label", "prediction")
+            return predict(model, test).select(key_col, "fold", "label", "prediction", "score")
 
         return run
 
@@ -137,8 +137,15 @@ def cross_validate(
         preds = p if preds is None else preds.unionByName(p)
     if preds is None:
         return vectors.sparkSession.createDataFrame([], ", ".join(f"{m} double" for m in METRIC_NAMES))
-    per_fold = confusion_metrics(preds, groups=["fold"]).withColumnRenamed("auroc_hard", "auroc")
-    return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"]).drop("_cfg")
+    # Predictions (one row per sample) feed several metric aggregates:
+    # materialise them once instead of re-running every fold's model.
+    preds = cut_lineage(preds)
+    # AuROC from the classifier's score (probability, or the SVM margin) is the
+    # default; ``auroc_hard`` is the area of the hard 0/1 predictions.
+    per_fold = confusion_metrics(preds, groups=["fold"]).join(
+        auroc(preds, "score", "label", ["fold"]).select("fold", "auroc"), on="fold", how="left"
+    )
+    return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"], METRIC_NAMES).drop("_cfg")
 
 
 def evaluate_grid(
@@ -208,5 +215,6 @@ def train_ensemble(
         long = p if long is None else long.unionByName(p)
     votes = ensemble_vote(long, key_col)
     scored = k_fold(held.select(key_col, "label"), key_col, k, seed + 1).join(votes, key_col)
-    per_fold = confusion_metrics(scored, prediction="vote", groups=["fold"]).withColumnRenamed("auroc_hard", "auroc")
-    return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"]).drop("_cfg")
+    # A vote is a hard 0/1 output: its AuROC is the hard one.
+    per_fold = confusion_metrics(scored, prediction="vote", groups=["fold"]).withColumn("auroc", F.col("auroc_hard"))
+    return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"], METRIC_NAMES).drop("_cfg")
