@@ -11,7 +11,6 @@ half the rows, so it is never one window partition.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
