@@ -232,3 +232,12 @@ def write_weekly_event_files(spark: SparkSession, sf_dir: str, root: str) -> str
     for w in weeks:
         e.where(F.col("_wk") == w).drop("_wk").coalesce(1).write.mode("overwrite").parquet(f"{root}/w={w:06d}")
     return f"{root}/*"
+
+
+def supplier_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label per supplier trace: 1.0 when the account balance is above 4500."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.format_string("p%d", F.col("s_suppkey")).alias("sample"),
+        F.when(F.col("s_acctbal") > 4500, 1.0).otherwise(0.0).alias("label"),
+    )

@@ -81,3 +81,21 @@ def train_ensemble(spark, sf_dir):
     vec = ML.labelled_vectors(A.embedding_vectors(spark, sf_dir))
     m = ML.train_ensemble(vec, seed=5)
     return m.select(*[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
+
+
+GRID_FEATURE = "RW-MemOffsetMode.MAX_REF-50"
+
+
+@register("evaluate_feature_grid")
+def evaluate_feature_grid(spark, sf_dir):
+    """End to end: supplier traces -> chunk deltas -> dense histogram vectors
+    -> labelled samples -> 10-fold grid of {dt, rf} on raw vectors for one
+    feature (M1, M6, M9, M10; the full six-config grid runs in ``cv_*``)."""
+    from ..operators import histogram as H
+
+    tr = A.lineitem_trace(spark, sf_dir)
+    d = C.chunk_deltas(tr, A.TRACE_KEYS, A.LINEITEM_CHUNKS, order_cols=A.LINEITEM_ORDER)
+    fv = H.feature_vectors(d, A.TRACE_KEYS, A.LINEITEM_RANGES).select("sample", "feature", "feature_data")
+    labelled = fv.join(A.supplier_labels(spark, sf_dir), "sample")
+    g = ML.evaluate_grid(labelled, [GRID_FEATURE], classifiers=("dt", "rf"), normalizers=(None,), k=10, seed=13)
+    return g.select("feature", "classifier", "normaliser", *[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
