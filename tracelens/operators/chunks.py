@@ -21,7 +21,9 @@ unsigned address.  The exact unsigned values are rebuilt as DECIMAL(38,0)
 only on the per-chunk table, which is ``rows / chunk`` rows.
 
 All chunk sizes are aggregated at their greatest common divisor and rolled
-up, so the trace is aggregated once whatever the number of sizes.
+up, so the trace is aggregated once whatever the number of sizes.  When the
+gcd is below 16 (roll-up would save little) every size is aggregated directly
+from the positions, still in one aggregate over exploded sizes.
 """
 
 from __future__ import annotations

@@ -3,8 +3,9 @@
 Feature vectors stay distributed: a feature's dense bins become an ML vector
 column, classifiers are ``Pipeline`` stages (optional scaler + classifier),
 cross-validation folds come from a seeded hash, predictions are a DataFrame
-and metrics are grouped aggregates.  Nothing is collected to the driver; the
-driver only loops over configurations, each fit being a distributed job.
+and metrics are grouped aggregates.  The driver only loops over
+configurations (each fit is a distributed job) and reads bounded results: the
+fold sizes (k rows) and one metric row per grid configuration.
 """
 
 from __future__ import annotations
