@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.catalog import epoch_us
 from ..operators import chunks as C
@@ -34,14 +33,6 @@ SELECT m.sample, printf('%s-MemOffsetMode.%s-%d', m.access, m.mode, m.chunk_size
        m.histogram_min, m.histogram_max, m.histogram_mean, m.histogram_std_dev
 FROM meta m"""
 
-UPLOAD_SCHEMA = T.StructType(
-    [
-        T.StructField("sample", T.StringType()),
-        T.StructField("uuid", T.StringType()),
-        T.StructField("run_id", T.IntegerType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
 
 
 def _extractor(spark, sf_dir):
@@ -69,14 +60,19 @@ def _feature_summary(df):
 
 @register("stream_uploads", _EXTRACT_SQL)
 def stream_uploads(spark, sf_dir):
-    """Upload records stream in (4 files, one per micro-batch); successful,
-    not yet extracted uploads get their traces chunked and histogrammed,
-    epoch-idempotent sink (W1, K2, F7)."""
+    """Upload metadata documents (one JSON file per ``sample/uuid/run_id``
+    tree) stream in, half of the files per micro-batch; successful, not
+    yet extracted uploads get their traces chunked and histogrammed into an
+    epoch-idempotent sink (S2, W1, K2, F7)."""
+    from ..sources.readers import read_uploads
+
     root = scratch_path(spark, f"stream-uploads-{uuid.uuid4().hex[:8]}")
-    A.supplier_uploads(spark, sf_dir).repartition(4, "sample").write.parquet(f"{root}/in")
-    out = SU.stream_uploads(
-        spark, f"{root}/in", UPLOAD_SCHEMA, f"{root}/out", f"{root}/ckpt", _extractor(spark, sf_dir)
-    )
+    meta = A.supplier_uploads(spark, sf_dir)
+    meta.write.partitionBy("sample", "uuid", "run_id").json(f"{root}/in")
+    n_files = meta.count()
+    src = read_uploads(spark, f"{root}/in", meta_glob="*/*/*/*.json", stream=True,
+                       max_files_per_trigger=max(1, -(-n_files // 2)))
+    out = SU.stream_uploads(spark, src, f"{root}/out", f"{root}/ckpt", _extractor(spark, sf_dir))
     return _feature_summary(out)
 
 

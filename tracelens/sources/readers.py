@@ -171,24 +171,32 @@ def read_trace(spark: SparkSession, paths: str | Sequence[str], on_error: str =
 
 # -- S2, S3, S5, S6: JSON documents -----------------------------------------
 
-def read_uploads(spark: SparkSession, root: str, meta_glob: str = "*/*/*/run-*-meta.json") -> DataFrame:
+def read_uploads(
+    spark: SparkSession,
+    root: str,
+    meta_glob: str = "*/*/*/run-*-meta.json",
+    stream: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
     """Upload metadata of every ``<sample>/<uuid>/<run_id>`` tree.
 
     Unreadable documents are skipped (DROPMALFORMED).  Keys come from the
-    path; the real run id is used (D3).
+    path (plain or ``key=value`` directories); the real run id is used (D3).
+    With ``stream`` the same documents are read as a file stream (W1 source):
+    each new metadata file is one new upload.
     """
-    raw = (
-        spark.read.schema(UPLOAD_METADATA)
-        .option("mode", "DROPMALFORMED")
-        .option("multiLine", True)
-        .json(f"{root.rstrip('/')}/{meta_glob}")
-    )
+    if stream:
+        reader = spark.readStream.schema(UPLOAD_METADATA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = spark.read.schema(UPLOAD_METADATA)
+    raw = reader.option("mode", "DROPMALFORMED").option("multiLine", True).json(f"{root.rstrip('/')}/{meta_glob}")
     path = F.col("_metadata.file_path")
-    pat = r"/([^/]+)/([^/]+)/([0-9]+)/run-[0-9]+-meta\.json$"
     return raw.select(
-        F.regexp_extract(path, pat, 1).alias("sample"),
-        F.regexp_extract(path, pat, 2).alias("uuid"),
-        F.regexp_extract(path, pat, 3).cast("int").alias("run_id"),
+        F.regexp_extract(path, _UPLOAD_PATH, 1).alias("sample"),
+        F.regexp_extract(path, _UPLOAD_PATH, 2).alias("uuid"),
+        F.regexp_extract(path, _UPLOAD_PATH, 3).cast("int").alias("run_id"),
         "node",
         F.col("`extractor-pack`").alias("extractor_pack"),
         "status",

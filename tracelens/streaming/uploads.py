@@ -17,7 +17,6 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.catalog import run_ok
 from ..sources.sinks import skip_existing
@@ -51,27 +50,23 @@ def process_uploads(
 
 def stream_uploads(
     spark: SparkSession,
-    uploads_dir: str,
-    schema: T.StructType,
+    uploads: DataFrame,
     out_dir: str,
     checkpoint_dir: str,
     extract: Extract,
     keys: Sequence[str] = ("sample", "uuid", "run_id"),
-    max_files_per_trigger: int | None = 1,
     available_now: bool = True,
 ) -> DataFrame:
     """Run the upload stream until the files present are processed.
 
-    ``available_now`` processes everything available and stops (the batch
-    equivalent, W2 backfill uses the same path); without it the query keeps
-    running on new files every 10 seconds.
+    ``uploads`` is a streaming DataFrame of upload records, e.g.
+    ``read_uploads(..., stream=True)``.  ``available_now`` processes
+    everything available and stops (the batch equivalent; W2 backfill is
+    the same extraction in batch); without it the query keeps running on new
+    files every 10 seconds.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(uploads_dir)
     writer = (
-        src.writeStream.foreachBatch(lambda df, epoch: process_uploads(df, epoch, out_dir, extract, keys))
+        uploads.writeStream.foreachBatch(lambda df, epoch: process_uploads(df, epoch, out_dir, extract, keys))
         .option("checkpointLocation", checkpoint_dir)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
