@@ -86,7 +86,6 @@ def access_positions(
     order_cols = list(order_cols)
     carry = list(carry)
     is_r = (F.col(rw_col) == "R").cast("long")
-    is_w = (F.col(rw_col) == "W").cast("long")
 
     base = _with_buckets(
         trace.where(F.col(rw_col).isin("R", "W")).select(
@@ -97,11 +96,11 @@ def access_positions(
     )
 
     # (2) + (3): per-bucket counts and exclusive prefix sums over the small table.
+    # Every row is R or W, so W counts are all minus R (one aggregate less per row).
     counts = base.groupBy("_k", "_b").agg(
         F.count(F.lit(1)).alias("_n_all"),
         F.sum(is_r).alias("_n_r"),
-        F.sum(is_w).alias("_n_w"),
-    )
+    ).withColumn("_n_w", F.col("_n_all") - F.col("_n_r"))
     before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_k")
     offsets = counts.select(
@@ -129,13 +128,14 @@ def access_positions(
         *carry,
         F.row_number().over(Window.partitionBy("_k", "_b").orderBy(*order_cols)).alias("_rn_all"),
         F.sum(is_r).over(upto).alias("_rn_r"),
-        F.sum(is_w).over(upto).alias("_rn_w"),
     )
 
     # (5): add offsets, emit one row per access view.
     joined = ranked.join(offsets, on=["_k", "_b"], how="inner")
     is_read = F.col(rw_col) == "R"
-    own_pos = F.when(is_read, F.col("_off_r") + F.col("_rn_r")).otherwise(F.col("_off_w") + F.col("_rn_w"))
+    own_pos = F.when(is_read, F.col("_off_r") + F.col("_rn_r")).otherwise(
+        F.col("_off_w") + F.col("_rn_all") - F.col("_rn_r")
+    )
     own_tot = F.when(is_read, F.col("_tot_r")).otherwise(F.col("_tot_w"))
     views = F.array(
         F.struct(F.col(rw_col).alias("access"), own_pos.alias("pos"), own_tot.alias("n_rows")),
