@@ -7,8 +7,11 @@ stage's docs.
 
 from __future__ import annotations
 
-from tracelens.llm import exact_dedup, simhash
+from pyspark.sql import functions as F
+
+from tracelens.llm import bpe, decontaminate, exact_dedup, simhash
 from tracelens.llm.common import table
+from tracelens.llm.queries import tokenizer_path
 from tracelens.session import stage_table
 
 
@@ -22,7 +25,18 @@ def near(spark, docs, sf_dir):
     return simhash.drop_near_copies(docs, shingle=3, distance=3)
 
 
-STAGES = [("exact dedup", exact), ("simhash near-dedup", near)]
+def clean(spark, docs, sf_dir):
+    """Every run of benchmark windows is cut out of the texts; n_chars is that of the text that stays."""
+    cut = decontaminate.remove_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
+
+
+def token_ids(spark, docs, sf_dir):
+    """Token ids of what is left, with digests of the ids and of the text they decode to."""
+    return bpe.encode_and_decode(docs, tokenizer_path(), carry=("lang", "source"), with_text=False)
+
+
+STAGES = [("exact dedup", exact), ("simhash near-dedup", near), ("benchmark decontamination", clean), ("BPE encoding and decoding", token_ids)]
 
 #: SQL can't express the classifier, the fingerprints and the token ids; tests hold run() against brute force.
 ORACLE_SQL = None

@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from . import bpe, decontaminate, exact_dedup, simhash
 from . import common as C
-from . import exact_dedup, simhash
+
+#: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op6_simhash(spark, sf_dir):
@@ -11,12 +22,27 @@ def op6_simhash(spark, sf_dir):
     return simhash.simhash_groups(C.table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op7_bpe(spark, sf_dir):
+    """Token ids of all documents and their decoded texts, as digests."""
+    return bpe.encode_and_decode(C.table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False, with_text=False)
+
+
+def op8_decontaminate(spark, sf_dir):
+    """Benchmark windows of ten words in all documents."""
+    found = decontaminate.contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), "spans",
+    )
+
+
 def op10_exact_dedup(spark, sf_dir):
     """Groups of equal texts over all documents; the largest id of a group stays."""
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_simhash": op6_simhash, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE = {
     "op10_exact_dedup": """
