@@ -9,12 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracelens.llm import bpe, decontaminate, exact_dedup, simhash
+from tracelens.llm import bpe, decontaminate, exact_dedup, quality, simhash
 from tracelens.llm.common import table
 from tracelens.llm.queries import tokenizer_path
 from tracelens.session import stage_table
 
 
+def good(spark, docs, sf_dir):
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def exact(spark, docs, sf_dir):
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.drop_copies(docs)
@@ -36,7 +41,7 @@ def token_ids(spark, docs, sf_dir):
     return bpe.encode_and_decode(docs, tokenizer_path(), carry=("lang", "source"), with_text=False)
 
 
-STAGES = [("exact dedup", exact), ("simhash near-dedup", near), ("benchmark decontamination", clean), ("BPE encoding and decoding", token_ids)]
+STAGES = [("quality classifier", good), ("exact dedup", exact), ("simhash near-dedup", near), ("benchmark decontamination", clean), ("BPE encoding and decoding", token_ids)]
 
 #: SQL can't express the classifier, the fingerprints and the token ids; tests hold run() against brute force.
 ORACLE_SQL = None

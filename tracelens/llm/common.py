@@ -90,15 +90,15 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 def alnum_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of each text after lower-casing A-Z, as :func:`split_words` gives them."""
     binary = large_binary(column)
-    return split_words(_mapped(binary, WORD_BYTES))
+    return split_words(mapped(binary, WORD_BYTES))
 
 
 def lowered(column: pa.Array) -> pa.LargeBinaryArray:
     """Texts with A-Z lower-cased, all else as it is."""
-    return _mapped(large_binary(column), bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)))
+    return mapped(large_binary(column), bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)))
 
 
-def _mapped(binary: pa.LargeBinaryArray, mapping: bytes) -> pa.LargeBinaryArray:
+def mapped(binary: pa.LargeBinaryArray, mapping: bytes) -> pa.LargeBinaryArray:
     offsets = np.frombuffer(binary.buffers()[1], dtype=np.int64, count=len(binary) + 1 + binary.offset)[binary.offset :]
     data = binary.buffers()[2]
     body = data.to_pybytes()[offsets[0] : offsets[-1]].translate(mapping) if data is not None else b""

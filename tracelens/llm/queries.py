@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, simhash
+from . import bpe, decontaminate, exact_dedup, quality, simhash
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -17,6 +17,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality(spark, sf_dir):
+    """Quality scores of all documents, by a network that learns from the labels of four fifths of the ids."""
+    docs = C.table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, C.table(spark, sf_dir, "labels")))
+
+
 def op6_simhash(spark, sf_dir):
     """SimHash groups of all documents: three-word shingles, three bits."""
     return simhash.simhash_groups(C.table(spark, sf_dir, "documents"), shingle=3, distance=3)
@@ -42,7 +48,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op3_quality": op3_quality, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE = {
     "op10_exact_dedup": """
