@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash
+from . import bpe, decontaminate, exact_dedup, licenses, quality, simhash
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -17,6 +17,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_licenses(spark, sf_dir):
+    """License phrases, and blocks that meet a license template, in all documents."""
+    found = licenses.license_scan(C.table(spark, sf_dir, "documents"))
+    starts, base = F.col("places.start"), F.array_distinct("places.label")
+    best = F.array_max("blocks.containment")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(base, F.col("blocks.label"))), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
 def op3_quality(spark, sf_dir):
     """Quality scores of all documents, by a network that learns from the labels of four fifths of the ids."""
     docs = C.table(spark, sf_dir, "documents")
@@ -48,7 +60,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_quality": op3_quality, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_licenses": op1_licenses, "op3_quality": op3_quality, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE = {
     "op10_exact_dedup": """
