@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, licenses, quality, simhash
+from . import bpe, decontaminate, exact_dedup, language_id, licenses, quality, simhash, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -35,6 +35,12 @@ def op3_quality(spark, sf_dir):
     return quality.score_quality(docs, quality.fit_quality(docs, C.table(spark, sf_dir, "labels")))
 
 
+def op4_token_counts(spark, sf_dir):
+    """Greedy longest-match token counts of all documents, with the pieces of the public sentencepiece model."""
+    begin, go_on = token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.token_counts(C.table(spark, sf_dir, "documents"), begin, go_on)
+
+
 def op6_simhash(spark, sf_dir):
     """SimHash groups of all documents: three-word shingles, three bits."""
     return simhash.simhash_groups(C.table(spark, sf_dir, "documents"), shingle=3, distance=3)
@@ -55,12 +61,20 @@ def op8_decontaminate(spark, sf_dir):
     )
 
 
+def op9_language_id(spark, sf_dir):
+    """Languages of all documents by cross-parsing against labelled text."""
+    return language_id.identify_languages(C.table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark, sf_dir):
     """Groups of equal texts over all documents; the largest id of a group stays."""
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_licenses": op1_licenses, "op3_quality": op3_quality, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_decontaminate": op8_decontaminate, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_licenses, op3_quality, op4_token_counts, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
+}
 
 ORACLE = {
     "op10_exact_dedup": """
