@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, licenses, quality, simhash, token_counts
+from . import bpe, decontaminate, exact_dedup, language_id, licenses, pii, quality, simhash, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -29,6 +29,13 @@ def op1_licenses(spark, sf_dir):
     )
 
 
+def op2_pii(spark, sf_dir):
+    """Personal data in all documents: base patterns, and what bootstrapped contexts add."""
+    found = pii.find_pii(C.table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("found")).alias("spans"))
+
+
 def op3_quality(spark, sf_dir):
     """Quality scores of all documents, by a network that learns from the labels of four fifths of the ids."""
     docs = C.table(spark, sf_dir, "documents")
@@ -73,7 +80,7 @@ def op10_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_licenses, op3_quality, op4_token_counts, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
+    for f in (op1_licenses, op2_pii, op3_quality, op4_token_counts, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
 }
 
 ORACLE = {
