@@ -3,16 +3,17 @@
 1. Texts are split at ASCII white space into words. The tokenizer drops white
    space and no piece, normal form or special token crosses it, so a text's
    ids are its words' ids in a row.
-2. The distinct words of all texts are encoded, each once.
+2. The distinct words of all texts are encoded, each once, in the bucket to
+   which it hashes.
 3. Ids go back by position: a block's texts are arrays of word numbers
    (:mod:`word_blocks`), and the block's words, joined with their ids, turn
    them into ids.
-4. Decoding joins ids with the vocabulary's id-to-piece table; a text's
-   decoded form is its pieces joined by a space, as the tokenizer, which has
-   no decoder of its own, gives them.
+4. Decoding joins ids with the vocabulary's id-to-piece table, by position in
+   it; a text's decoded form is its pieces joined by a space, as the
+   tokenizer, which has no decoder of its own, gives them.
 
-A word appears once in a block whatever the skew of texts or words. The
-piece table is broadcast: it is as large as the vocabulary file, no more.
+A word is in a block once whatever the skew of texts or words. The tokenizer
+and its piece table are broadcast: they are as large as the vocabulary file.
 Null texts count as empty; a word that is only exotic white space has no ids.
 """
 
@@ -42,35 +43,60 @@ def _encoder(content: str):
     return tokenizer
 
 
+def pieces(content: str) -> list[bytes]:
+    """The id-to-piece table: the piece of id i, special tokens included, at place i."""
+    vocabulary = _encoder(content).get_vocab(with_added_tokens=True)
+    table = [b""] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        table[i] = piece.encode()
+    return table
+
+
 def encode_words(words: DataFrame, content: str) -> DataFrame:
-    """(word binary) -> (word, ids). ``content`` is the tokenizer's file as text, a broadcast of bounded size."""
+    """The rows of :func:`word_blocks.block_words` with each word's ids: (block, hash, codes, sizes, ids), packed.
+
+    A bucket has all rows of its words, so every distinct word is encoded once.
+    """
     shared = words.sparkSession.sparkContext.broadcast(content)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = None
+        tokenizer = _encoder(shared.value)
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            tokenizer = tokenizer or _encoder(shared.value)
-            texts = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
-            ids = []
-            for start in range(0, len(texts), BATCH):
-                ids += [x.ids for x in tokenizer.encode_batch_fast(texts[start : start + BATCH], add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    return words.mapInArrow(run, "word binary, ids array<int>")
-
-
-def pieces(spark, content: str) -> DataFrame:
-    """(id, piece): the vocabulary with its special tokens."""
-    vocabulary = _encoder(content).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(vocabulary.values()), pa.int32()), "piece": pa.array(list(vocabulary), pa.string())}))
-
-
-def decode_words(encoded: DataFrame, table: DataFrame) -> DataFrame:
-    """(word, ids) -> (word, ids, decoded): ids joined with their pieces, in order, a space between."""
-    placed = encoded.select("word", F.posexplode("ids").alias("at", "id")).join(F.broadcast(table), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "id", "piece")))
-    whole = placed.groupBy("word").agg(ordered.alias("x"))
-    return whole.select("word", F.col("x.id").alias("ids"), F.array_join("x.piece", " ").cast("binary").alias("decoded"))
+            rows = batch.to_pylist()
+            lists = [W.unpack_words(r["words"]) for r in rows]
+            new = [w for w in dict.fromkeys(w for x in lists for w in x) if w not in known]
+            for start in range(0, len(new), BATCH):
+                part = new[start : start + BATCH]
+                found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+                known.update(zip(part, [x.ids for x in found], strict=True))
+            sizes = [W.pack(np.array([len(known[w]) for w in x])) for x in lists]
+            ids = [W.pack(np.array([i for w in x for i in known[w]], dtype=np.int64)) for x in lists]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("hash"), batch.column("codes"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], names=["block", "hash", "codes", "sizes", "ids"])
+
+    return words.groupBy("bucket").applyInArrow(run, "block long, hash long, codes binary, sizes binary, ids binary")
+
+
+class BlockIds:
+    """Ids and decoded forms of a block's words, by code."""
+
+    def __init__(self, rows: list[dict], table: list[bytes]):
+        codes = [W.unpack(r["codes"]) for r in rows]
+        sizes = [W.unpack(r["sizes"]) for r in rows]
+        none = [np.zeros(0, np.int64)]
+        order, size = np.concatenate(codes or none), np.concatenate(sizes or none)
+        self.flat = np.concatenate([W.unpack(r["ids"]) for r in rows] or none)
+        self.first, self.size = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        self.first[order], self.size[order] = np.cumsum(size) - size, size
+        ids = self.flat.tolist()
+        self.forms = [b" ".join([table[i] for i in ids[a : a + n]]) for a, n in zip(self.first.tolist(), self.size.tolist(), strict=True)]
+
+    def ids(self, codes: np.ndarray) -> np.ndarray:
+        size = self.size[codes]
+        return self.flat[np.arange(size.sum()) + np.repeat(self.first[codes] - np.cumsum(size) + size, size)]
+
+    def decoded(self, codes: np.ndarray) -> bytes:
+        return b" ".join([f for f in map(self.forms.__getitem__, codes.tolist()) if f])
 
 
 def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), with_ids: bool = True, with_text: bool = True) -> DataFrame:
@@ -80,34 +106,22 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     decoded_sha256 over the decoded text in UTF-8. ``docs`` must be a scan or
     a staged table.
     """
-    spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
         content = file.read()
-    own = docs.select(F.col(id_col).alias("doc_id"), *[c for c in carry if c not in ("doc_id", "text")], C.text_bytes(text_col).alias("text"))
+    names_of = {f"carry{i}": c for i, c in enumerate(carry)}  # so that no carried name meets one used here
+    own = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(k) for k, c in names_of.items()), C.text_bytes(text_col).alias("text"))
     kept = [f for f in own.schema.fields if f.name != "text"]
-    # The words are dealt out by word once; distinct, decoding and the join back all use that.
-    placed = W.block_words(own).repartition("word")
-    encoded = encode_words(placed.select("word").distinct(), content).repartition("word")
-    decoded = decode_words(encoded, pieces(spark, content))
-    words = placed.join(decoded, "word", "left").select("block", "hash", "code", "ids", "decoded")
+    words = encode_words(W.block_words(own, W.buckets_for(own)), content)
+    table = docs.sparkSession.sparkContext.broadcast(pieces(content))
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
     fields += ["ids array<int>"] * with_ids + ["decoded string"] * with_text
 
-    def work(texts: pa.Table, words: pa.Table) -> pa.Table:
-        lists = words.column("ids").combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-        sizes = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64)
-        flat = np.asarray(lists.flatten(), dtype=np.uint32)
-        first = np.cumsum(sizes) - sizes
-        forms = words.column("decoded").to_pylist()
+    def work(texts: pa.Table, words: list[dict]) -> pa.Table:
+        block = BlockIds(words, table.value)
         n, shas, back, ids_out, text_out = [], [], [], [], []
-        for data in texts.column("codes").to_pylist():
-            codes = W.unpack(data)
-            size = sizes[codes]
-            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[codes], size)
-            ids = flat[at]
-            whole = b" ".join([f for f in map(forms.__getitem__, codes.tolist()) if f])
+        for data in texts.column("codes"):
+            codes = W.unpack(data.as_py())
+            ids, whole = block.ids(codes), block.decoded(codes)
             n.append(len(ids))
             shas.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
             back.append(hashlib.sha256(whole).hexdigest())
@@ -123,4 +137,4 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
             columns, names = [*columns, pa.array(text_out, pa.string())], [*names, "decoded"]
         return pa.table(columns, names=names)
 
-    return W.with_words(W.block_texts(own), words, work, ", ".join(fields))
+    return W.with_words(W.block_texts(own), words, work, ", ".join(fields)).withColumnsRenamed(names_of)

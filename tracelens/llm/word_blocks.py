@@ -3,18 +3,22 @@
 A block is up to ``most`` bytes of consecutive texts in one task. Its words
 (split at ASCII white space) are numbered in order of first appearance, so
 what is known of a word travels once for a block, not once for each place
-where it stands: tables over words join (block, code, word) rows, and come
-back to the block as an array by code.
+where it stands. The words are dealt out to buckets by hash, packed: a row
+holds a block's words of one bucket. All of a word's rows meet in its bucket,
+where it is looked at once, and what was found goes back to the blocks as rows
+packed alike. A word is in a block's row once, so no word is hot, and a bucket
+holds its share of the distinct words, whatever the skew of the texts.
 
 Both tables, the words and the coded texts, come from the same scan of the
 same rows, so ``docs`` must give the same partitions whenever it is read: a
 file scan or a staged table does (see :func:`tracelens.session.stage_table`).
 Blocks are named by partition and number, carry a hash of what they hold, and
-:func:`same_block` fails loudly if two reads differ.
+:func:`with_words` fails loudly if two reads differ.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +31,9 @@ from pyspark.sql import DataFrame
 from . import common as C
 
 #: Bytes of text in a block, about.
-MOST = 32 << 20
+MOST = 16 << 20
+#: Buckets of words for each partition of the texts, and at most.
+BUCKETS, MOST_BUCKETS = 4, 1 << 16
 
 
 def pack(codes: np.ndarray) -> bytes:
@@ -53,28 +59,43 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int, lower: bool):
         yield part + number, check, batch, coded.dictionary, np.asarray(coded.indices, dtype=np.int64), offsets
 
 
-def block_words(docs: DataFrame, most: int = MOST, lower: bool = False, counted: str | None = None) -> DataFrame:
-    """(block, hash, code, word[, n]) of the blocks of ``docs`` (columns text and others).
+def buckets_for(docs: DataFrame) -> int:
+    """Buckets that keep the words of each to a few MB, however large the input."""
+    return min(MOST_BUCKETS, max(16, BUCKETS * docs.rdd.getNumPartitions()))
 
-    ``counted`` names a boolean column: n is how often the word stands in rows
-    where it holds.
+
+def block_words(docs: DataFrame, buckets: int, most: int = MOST, lower: bool = False, counted: str | None = None) -> DataFrame:
+    """(bucket, block, hash, codes, words[, counts]): each block's words of each bucket, packed.
+
+    ``counted`` names a boolean column: counts say how often each word stands
+    in rows where it holds.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, check, batch, words, codes, offsets in _blocks(batches, most, lower):
-            n = len(words)
-            columns = [pa.array(np.full(n, block)), pa.array(np.full(n, check)), pa.array(np.arange(n, dtype=np.int32)), words.cast(pa.large_binary()).cast(pa.binary())]
-            names = ["block", "hash", "code", "word"]
+            distinct = words.cast(pa.large_binary()).to_pylist()
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in distinct), np.int64, len(distinct))
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            counts = None
             if counted:
                 rows = np.asarray(batch.column(counted).to_numpy(zero_copy_only=False), dtype=bool)
-                inside = np.repeat(rows, np.diff(offsets))
-                columns.append(pa.array(np.bincount(codes[inside], minlength=n).astype(np.int64)))
-                names.append("n")
-            whole = pa.RecordBatch.from_arrays(columns, names=names)
-            for start in range(0, n, 1 << 16):
-                yield whole.slice(start, 1 << 16)
+                counts = np.bincount(codes[np.repeat(rows, np.diff(offsets))], minlength=len(distinct))
+            held = []
+            for k in np.flatnonzero(np.diff(cuts)):
+                mine = order[cuts[k] : cuts[k + 1]]
+                row = {"bucket": int(k), "block": block, "hash": check, "codes": pack(mine), "words": zstandard.compress(b"\n".join([distinct[i] for i in mine]), 1)}
+                held.append(row | {"counts": pack(counts[mine])} if counted else row)
+            if held:
+                yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+    kinds = {"bucket": pa.int32(), "block": pa.int64(), "hash": pa.int64(), "codes": pa.binary(), "words": pa.binary()}
+    schema = pa.schema(kinds | ({"counts": pa.binary()} if counted else {}))
+    return docs.mapInArrow(run, "bucket int, block long, hash long, codes binary, words binary" + (", counts binary" if counted else ""))
+
 
-    return docs.mapInArrow(run, "block long, hash long, code int, word binary" + (", n long" if counted else ""))
+def unpack_words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b"\n")
 
 
 def block_texts(docs: DataFrame, most: int = MOST, lower: bool = False) -> DataFrame:
@@ -94,23 +115,12 @@ def block_texts(docs: DataFrame, most: int = MOST, lower: bool = False) -> DataF
     return docs.mapInArrow(run, schema)
 
 
-def same_block(texts: pa.Table, words: pa.Table) -> None:
-    """Fails if the words are not those of the texts: the input gave other rows when read again."""
-    seen = {*texts.column("hash").unique().to_pylist(), *words.column("hash").unique().to_pylist()}
-    if len(seen) > 1:
-        raise ValueError("the input changed between two reads; stage it as a table first")
-
-
-def by_code(words: pa.Table) -> pa.Table:
-    """The block's words in order of their codes."""
-    return words.take(pa.array(np.argsort(np.asarray(words.column("code")), kind="stable")))
-
-
-def with_words(texts: DataFrame, words: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``work`` over each block's texts and its words in order of code."""
+def with_words(texts: DataFrame, words: DataFrame, work: Callable[[pa.Table, list[dict]], pa.Table], schema: str) -> DataFrame:
+    """``work`` over each block's texts and the rows of its words, one a bucket."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        same_block(left, right)
-        return work(left, by_code(right))
+        if len({*left.column("hash").unique().to_pylist(), *right.column("hash").unique().to_pylist()}) > 1:
+            raise ValueError("the input changed between two reads; stage it as a table first")
+        return work(left, right.to_pylist())
 
     return texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, schema)
