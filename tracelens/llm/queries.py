@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, licenses, pii, quality, simhash, token_counts
+from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, pii, quality, simhash, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -48,6 +48,11 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(C.table(spark, sf_dir, "documents"), begin, go_on)
 
 
+def op5_lm_score(spark, sf_dir):
+    """log10 probabilities of all documents under the maximum-entropy model and under add-one counts."""
+    return lm.score_texts(C.table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark, sf_dir):
     """SimHash groups of all documents: three-word shingles, three bits."""
     return simhash.simhash_groups(C.table(spark, sf_dir, "documents"), shingle=3, distance=3)
@@ -80,7 +85,7 @@ def op10_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_licenses, op2_pii, op3_quality, op4_token_counts, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
+    for f in (op1_licenses, op2_pii, op3_quality, op4_token_counts, op5_lm_score, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
 }
 
 ORACLE = {
