@@ -15,10 +15,10 @@ RUN_TIMEOUT_SECONDS = 3 * 60
 STATUS_OK, STATUS_ERR, STATUS_WARN = "OK", "ERR", "WARN"
 NO_FILE_MSG = "no_file_to_upload"
 WATCHDOG_TIMEOUT_MSG = "vm watchdog timeout"
-# Fixed value: key of the importer version field in sample metadata documents
-# (existing documents carry it, so readers and writers must use it verbatim).
-METADATA_VERSION_KEY = "malml-sample-mgr"
-# Extractor pack -> feature families / extractors (fixed lookup of the reference).
+# Key of the importer version field in sample metadata documents; documents
+# written elsewhere may name it otherwise, which readers and writers take as a parameter.
+METADATA_VERSION_KEY = "importer-version"
+# Extractor pack -> feature families, and extractor pack -> extractors (fixed lookups of the reference).
 PACK_FAMILIES = {"pack-1": ["mem_rw_dump"]}
 PACK_EXTRACTORS = {"pack-1": ["ext-mem-rw-dump"]}
 
@@ -104,6 +104,7 @@ def sample_of_doc_id(doc: Column) -> Column:
     return F.split_part(doc, F.lit("-"), F.lit(1))
 
 
-def truncate_to_long(x: Column) -> Column:
-    """``int(x)``: toward zero."""
-    return x.cast("long")
+def truncate(c: Column) -> Column:
+    """``int(x)``: toward zero, exact for decimals."""
+    # int() of the reference: toward zero (floor would be wrong on negatives).
+    return F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c))

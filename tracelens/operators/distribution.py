@@ -1,13 +1,14 @@
 """Feature-value distributions: pooled stats, repeated draws, KDE (H6-H8).
 
-Values are the entries of the dense feature vectors, pooled by chunk size.
-A value's identity is (sample, feature, bin index).  Each value is hashed
-once, ``x = md5(seed:identity)`` reduced mod p (p = 2^31 - 1), and draw ``d``
-ranks values by ``(a_d * x + b_d) mod p`` - a member of a pairwise
-independent hash family whose constants come from the seed - then by
-identity.  All of it is long arithmetic (products stay below 2^62), so the
-draws are reproducible, cheap per (value, draw) pair, and equal to what any
-engine computes from the same constants.
+Values are the entries of the dense feature vectors, pooled by chunk size. A
+value's identity is (sample, uuid, run id, feature, bin index), hashed once
+into three 28-bit numbers of the md5 of ``seed:identity``. Draw ``d`` ranks
+values by two sums ``a*x1 + b*x2 + c*x3 + e mod p`` (p = 2^31 - 1), the first as
+the high and the second as the low half of a 62-bit key, then by identity:
+members of a pairwise independent family over the whole identity, whose
+constants come from the seed. Values that fall together in one draw part in
+others, and no pool is too large for the key. It is long arithmetic (the sums
+stay below 2^62), so draws are reproducible and the same in any engine.
 """
 
 from __future__ import annotations
@@ -27,12 +28,16 @@ KDE_GRID = 100
 KDE_CUT = 3.0
 
 
+#: What tells one extraction's values from another's.
+RUN_KEYS = ("sample", "uuid", "run_id")
+
+
 def pooled_values(features: DataFrame) -> DataFrame:
-    """``(chunk_size, sample, feature, bin, value)``: every vector entry, with
+    """``(chunk_size, sample, uuid, run_id, feature, bin, value)``: every vector entry, with
     the chunk size taken from the feature name's suffix."""
     return features.select(
         F.regexp_extract("feature", r"-([0-9]+)$", 1).cast("long").alias("chunk_size"),
-        "sample",
+        *RUN_KEYS,
         "feature",
         F.posexplode("feature_data").alias("bin", "value"),
     )
@@ -48,18 +53,25 @@ def pooled_distribution(features: DataFrame) -> DataFrame:
 HASH_PRIME = (1 << 31) - 1
 
 
-def draw_constants(draws: int, seed: str = "") -> list[tuple[int, int, int]]:
-    """``(draw, a_d, b_d)`` with 1 <= a_d < p and 0 <= b_d < p, derived from the seed."""
-    out = []
-    for d in range(draws):
-        ha = int(hashlib.md5(f"{seed}:a:{d}".encode()).hexdigest()[:15], 16)
-        hb = int(hashlib.md5(f"{seed}:b:{d}".encode()).hexdigest()[:15], 16)
-        out.append((d, 1 + ha % (HASH_PRIME - 1), hb % HASH_PRIME))
-    return out
+def draw_constants(draws: int, seed: str = "") -> list[tuple[int, ...]]:
+    """``(draw, a, b, c, e, a', b', c', e')`` per draw, derived from the seed: factors from 1 to p - 1, offsets below p."""
+    number = lambda d, name: int(hashlib.md5(f"{seed}:{name}:{d}".encode()).hexdigest()[:15], 16)
+    return [
+        (d, *(number(d, n) % HASH_PRIME if n.startswith("e") else 1 + number(d, n) % (HASH_PRIME - 1) for n in DRAW_CONSTANTS))
+        for d in range(draws)
+    ]
+
+
+DRAW_CONSTANTS = ("a1", "b1", "c1", "e1", "a2", "b2", "c2", "e2")
 
 
 def _identity(df: DataFrame) -> Column:
-    return F.concat_ws(":", F.col("sample").cast("string"), F.col("feature"), F.col("bin").cast("string"))
+    return F.concat_ws(":", *[F.col(c).cast("string") for c in (*RUN_KEYS, "feature", "bin")])
+
+
+def _hex(text: Column, start: int) -> Column:
+    """28 bits of a hex text."""
+    return F.conv(F.substring(text, start, 7), 16, 10).cast("long")
 
 
 def repeated_samples(
@@ -68,40 +80,39 @@ def repeated_samples(
     """``draws`` independent draws of ``draw_size`` values per chunk size,
     without replacement inside a draw (H7).
 
-    Each draw keeps the values with the smallest draw hash (module docstring).
-    Before the draw expansion reaches a shuffle, every (value, draw) pair is
-    thinned to hashes under about ``oversample * draw_size / n`` of the hash
-    range (the smallest hashes are exactly the ones kept), so only a few
-    hundred rows per draw are shuffled and ranked.  If a draw comes out short
-    the threshold is widened and the draw recomputed; nothing is capped.
+    Each draw keeps the values with the smallest draw key (module docstring).
+    The vectors are checkpointed as they are, one row a feature; values are
+    hashed and expanded over the draws inside the scan of those, and every
+    (value, draw) pair is thinned to keys under about
+    ``oversample * draw_size / n`` of the range (the smallest keys are exactly
+    the ones kept), so only a few hundred rows per draw are ever written,
+    shuffled and ranked. If a draw comes out short the threshold is widened and
+    the draw recomputed; nothing is capped.
     Output adds ``sampled_pct = draws * draw_size / n * 100``.
     """
-    spark = features.sparkSession
-    # The draw expansion multiplies rows by ``draws``; spread the pooled values
-    # over every core first (an explicit count, which AQE keeps) and cut the
-    # lineage once so the completeness check and the final pass share it.
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pooled = pooled_values(features)
-    x = F.pmod(
-        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), _identity(pooled))), 1, 8), 16, 10).cast("long"),
-        F.lit(HASH_PRIME),
-    )
-    vals = cut_lineage(pooled.withColumn("_x", x).repartition(parts, "sample", "feature"))
-    n_per = vals.groupBy("chunk_size").agg(F.count(F.lit(1)).alias("_n"))
+    vectors = cut_lineage(features.select(*RUN_KEYS, "feature", "feature_data"))
+    size = F.regexp_extract("feature", r"-([0-9]+)$", 1).cast("long").alias("chunk_size")
+    n_per = vectors.groupBy(size).agg(F.sum(F.size("feature_data")).cast("long").alias("_n"))
     sizes = {r["chunk_size"]: r["_n"] for r in n_per.collect()}  # one row per chunk size
     consts = F.array(*[
-        F.struct(F.lit(d).alias("draw"), F.lit(a).cast("long").alias("_a"), F.lit(b).cast("long").alias("_bc"))
-        for d, a, b in draw_constants(draws, seed)
+        F.struct(F.lit(d).alias("draw"), *[F.lit(v).cast("long").alias(f"_{n}") for n, v in zip(DRAW_CONSTANTS, values)])
+        for d, *values in draw_constants(draws, seed)
     ])
+    pooled = pooled_values(vectors)
+    hashed = pooled.withColumn("_md5", F.md5(F.concat_ws(":", F.lit(seed), _identity(pooled))))
+    hashed = hashed.select(*pooled.columns, *[_hex(F.col("_md5"), 1 + 7 * i).alias(f"_x{i + 1}") for i in range(3)])
+    half = lambda k: F.pmod(
+        F.col(f"_a{k}") * F.col("_x1") + F.col(f"_b{k}") * F.col("_x2") + F.col(f"_c{k}") * F.col("_x3") + F.col(f"_e{k}"), F.lit(HASH_PRIME)
+    )
     factor = oversample
     while True:
         frac = F.least(F.lit(1.0), F.lit(factor * draw_size) / F.col("_n"))
-        limit = (frac * F.lit(float(HASH_PRIME))).cast("long")
-        expanded = vals.join(F.broadcast(n_per), "chunk_size").select("*", F.inline(consts))
-        key = F.pmod(F.col("_a") * F.col("_x") + F.col("_bc"), F.lit(HASH_PRIME))
+        limit = (frac * F.lit(float(HASH_PRIME))).cast("long") + F.lit(1)
+        expanded = hashed.join(F.broadcast(n_per), "chunk_size").select("*", F.inline(consts))
+        near = expanded.withColumn("_high", half(1)).where(F.col("_high") < limit).withColumn("_h", F.col("_high") * F.lit(1 << 31) + half(2))
         # The thinned draws are small (about oversample x draw_size rows per draw):
         # materialise them once so the check and the ranking read the same rows.
-        thin = cut_lineage(expanded.withColumn("_h", key).where(F.col("_h") < limit).drop("_a", "_bc", "_x"))
+        thin = cut_lineage(near.select(*pooled.columns, "_n", "draw", "_h"))
         # One row per (chunk size, draw): a bounded check, then widen if short.
         kept = thin.groupBy("chunk_size", "draw").agg(F.count(F.lit(1)).alias("_k")).collect()
         complete = len(kept) == len(sizes) * draws and all(
@@ -110,10 +121,10 @@ def repeated_samples(
         if complete or factor * draw_size >= max(sizes.values(), default=0):
             break
         factor *= 4
-    w = Window.partitionBy("chunk_size", "draw").orderBy("_h", "sample", "feature", "bin")
+    w = Window.partitionBy("chunk_size", "draw").orderBy("_h", *RUN_KEYS, "feature", "bin")
     ranked = thin.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= draw_size)
     return ranked.select(
-        "chunk_size", "draw", "sample", "feature", "bin", "value",
+        "chunk_size", "draw", *RUN_KEYS, "feature", "bin", "value",
         (F.lit(float(draws * draw_size)) / F.col("_n") * F.lit(100.0)).alias("sampled_pct"),
     )
 

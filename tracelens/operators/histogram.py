@@ -17,9 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.catalog import truncate
 from .chunks import MIN_CHUNKS_FOR_HISTOGRAM, feature_name, min_chunks_gate
 
 # Histogram ranges per chunk size and the bin count of the
@@ -33,12 +34,6 @@ HISTOGRAM_RANGES: dict[int, tuple[int, int]] = {
 BINS = 1024
 
 
-def ranges_frame(spark: SparkSession, ranges: Mapping[int, tuple[int, int]]) -> DataFrame:
-    """The range parameter table (chunk_size, lo, hi): a handful of rows."""
-    rows = [(int(n), int(lo), int(hi)) for n, (lo, hi) in sorted(ranges.items())]
-    return spark.createDataFrame(rows, "chunk_size long, lo long, hi long")
-
-
 def _check_sizes(deltas: DataFrame, ranges: Mapping[int, tuple[int, int]]) -> Column:
     known = [int(n) for n in ranges]
     return F.when(
@@ -67,7 +62,6 @@ def with_bins(deltas: DataFrame, ranges: Mapping[int, tuple[int, int]] = HISTOGR
     in_range = (F.col("delta_num") >= lo_d) & (F.col("delta_num") <= hi_d)
     width = ((F.col("hi") - F.col("lo")).cast(dec) * den).cast(dec)
     scaled = ((F.col("delta_num") - lo_d).cast(dec) * F.lit(bins).cast(dec)).cast(dec)
-    raw_bin = F.expr("CAST(NULL AS BIGINT)")
     out = deltas.withColumn("lo", lo).withColumn("hi", hi).withColumn("in_range", in_range)
     raw_bin = F.when(F.col("in_range"), F.least(F.expr("`_scaled` div `_width`"), F.lit(bins - 1)))
     return (
@@ -96,11 +90,6 @@ def delta_histogram(
     return binned.groupBy(*keys, "access", "chunk_size", "mode", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _trunc(c: Column) -> Column:
-    # int() of the reference: toward zero (floor would be wrong on negatives).
-    return F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c))
-
-
 def histogram_metadata(
     deltas: DataFrame, keys: Sequence[str], min_chunks: int = MIN_CHUNKS_FOR_HISTOGRAM
 ) -> DataFrame:
@@ -119,10 +108,10 @@ def histogram_metadata(
         "access",
         "chunk_size",
         "mode",
-        _trunc(F.col("_min")).cast("decimal(38,0)").alias("histogram_min"),
-        _trunc(F.col("_max")).cast("decimal(38,0)").alias("histogram_max"),
-        _trunc(F.col("_mean")).cast("decimal(38,0)").alias("histogram_mean"),
-        _trunc(F.col("_std")).cast("decimal(38,0)").alias("histogram_std_dev"),
+        truncate(F.col("_min")).cast("decimal(38,0)").alias("histogram_min"),
+        truncate(F.col("_max")).cast("decimal(38,0)").alias("histogram_max"),
+        truncate(F.col("_mean")).cast("decimal(38,0)").alias("histogram_mean"),
+        truncate(F.col("_std")).cast("decimal(38,0)").alias("histogram_std_dev"),
     )
 
 
@@ -138,8 +127,8 @@ def feature_vectors(
     One pass over the deltas: a grouping-sets aggregate yields both the
     per-bin counts (set ``feature, bin``) and the metadata over all deltas of
     the feature (set ``feature``), map-side combined.  A second aggregate
-    gathers a feature's bins - at most ``bins`` entries - into a map that is
-    expanded to a dense array with zeros.  Features whose deltas all fall out
+    gathers a feature's bins - at most ``bins`` entries - in order, with zeros
+    between them.  Features whose deltas all fall out
     of range still get a vector of zeros, as numpy's histogram does.
     """
     keys = list(keys)
@@ -156,13 +145,18 @@ def feature_vectors(
     is_bin = (F.col("_gid") == 0) & F.col("bin").isNotNull()
     is_all = F.col("_gid") != 0
     per_feature = per_set.groupBy(*fkeys).agg(
-        F.map_from_entries(F.collect_list(F.when(is_bin, F.struct("bin", "_n")))).alias("_m"),
+        F.array_sort(F.collect_list(F.when(is_bin, F.struct(F.col("bin").cast("int").alias("bin"), "_n")))).alias("_m"),
         F.max(F.when(is_all, F.col("_min"))).alias("_min"),
         F.max(F.when(is_all, F.col("_max"))).alias("_max"),
         F.max(F.when(is_all, F.col("_mean"))).alias("_mean"),
         F.max(F.when(is_all, F.col("_std"))).alias("_std"),
     )
-    dense = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0).cast("long")))
+    # Zeros up to each entry, the entry, and zeros behind the last: linear in the bins, no lookups.
+    zero = F.lit(0).cast("long")
+    before = lambda i: F.when(i > 0, F.col("_m")[i - 1]["bin"]).otherwise(F.lit(-1))
+    filled = F.transform("_m", lambda e, i: F.concat(F.array_repeat(zero, e["bin"] - before(i) - 1), F.array(e["_n"])))
+    last = F.coalesce(F.try_element_at("_m", F.lit(-1))["bin"], F.lit(-1))
+    dense = F.concat(F.flatten(filled), F.array_repeat(zero, F.lit(bins - 1) - last))
     return per_feature.select(
         *keys,
         feature_name(F.col("access"), F.col("mode"), F.col("chunk_size")).alias("feature"),
@@ -170,10 +164,10 @@ def feature_vectors(
         "chunk_size",
         "mode",
         dense.alias("feature_data"),
-        _trunc(F.col("_min")).cast("decimal(38,0)").alias("histogram_min"),
-        _trunc(F.col("_max")).cast("decimal(38,0)").alias("histogram_max"),
-        _trunc(F.col("_mean")).cast("decimal(38,0)").alias("histogram_mean"),
-        _trunc(F.col("_std")).cast("decimal(38,0)").alias("histogram_std_dev"),
+        truncate(F.col("_min")).cast("decimal(38,0)").alias("histogram_min"),
+        truncate(F.col("_max")).cast("decimal(38,0)").alias("histogram_max"),
+        truncate(F.col("_mean")).cast("decimal(38,0)").alias("histogram_mean"),
+        truncate(F.col("_std")).cast("decimal(38,0)").alias("histogram_std_dev"),
     )
 
 

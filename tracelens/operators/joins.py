@@ -42,22 +42,23 @@ def samples_without_upload(catalogue: DataFrame, uploads: DataFrame, col: str =
 
 
 def pack_table(spark: SparkSession) -> DataFrame:
-    """The fixed pack lookup ``(pack, family, extractor)``: a few constant rows."""
-    rows = []
-    for pack, fams in PACK_FAMILIES.items():
-        for fam, ext in zip(fams, PACK_EXTRACTORS.get(pack, [None] * len(fams))):
-            rows.append((pack, fam, ext))
-    return spark.createDataFrame(rows, "pack string, family string, extractor string")
+    """The two fixed pack lookups side by side ``(pack, families, extractors)``: a few constant rows."""
+    rows = [(p, PACK_FAMILIES.get(p, []), PACK_EXTRACTORS.get(p, [])) for p in sorted({*PACK_FAMILIES, *PACK_EXTRACTORS})]
+    return spark.createDataFrame(rows, "pack string, families array<string>, extractors array<string>")
 
 
 def pack_feature_map(uploads: DataFrame, pack_col: str = "extractor_pack") -> DataFrame:
-    """Uploads with the feature family and extractor of their pack.
+    """Uploads with a row for each feature family and each extractor of their pack.
 
-    The pack table is a fixed constant (size known), so it is broadcast; an
+    The two lookups are independent maps, so a pack's families and extractors
+    don't pair up by position; a pack without families or extractors keeps a
+    row with a null there. The pack table is a fixed constant (size known), so it is broadcast; an
     unknown pack yields no extractor (inner join drops it).
     """
     packs = F.broadcast(pack_table(uploads.sparkSession))
-    return uploads.join(packs, uploads[pack_col] == packs["pack"], "inner").drop("pack")
+    return uploads.join(packs, uploads[pack_col] == packs["pack"], "inner").select(
+        *uploads.columns, F.explode_outer("families").alias("family"), "extractors"
+    ).select(*uploads.columns, "family", F.explode_outer("extractors").alias("extractor"))
 
 
 def attach_scan_report(samples: DataFrame, sidecars: DataFrame, path_col: str = "path") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import safe_div
+from ..session import cut_lineage
 
 METRIC_COLS = ("accuracy", "precision", "recall", "specificity", "f1", "auroc")
 
@@ -60,47 +61,41 @@ def auroc(
     score: str = "score",
     label: str = "label",
     groups: Sequence[str] = (),
-    n_buckets: int = 1024,
+    n_buckets: int = 64,
 ) -> DataFrame:
     """Exact area under the ROC curve of real-valued scores.
 
     AUC = sum over positives of (negatives with a lower score + half the
     negatives with an equal score) / (P * N), i.e. average ranks for ties.
 
-    Rows are first combined per distinct (group, score).  The running count
-    of negatives below each score is two-level: approximate-quantile cut
-    points of the distinct scores (one small array per group) split them into
-    ``n_buckets`` buckets of similar size whatever the score distribution;
-    the small per-bucket table gets prefix offsets, and the window over
-    distinct scores runs inside one bucket at a time.  Equal scores always
-    share a bucket, so ties are exact.
+    Rows are first combined per distinct (group, score). The running count of
+    negatives below each score is two-level: the distinct scores are dealt out
+    by range of (group, score) into ``n_buckets`` partitions of similar size,
+    whatever the distribution, and staged, so that a partition is a bucket.
+    The small per-bucket table gets prefix offsets, and the window over
+    distinct scores runs inside one bucket at a time. Equal scores share a
+    bucket, so ties are exact. Null groups are groups like any other.
     """
     out_groups = list(groups)
-    groups = out_groups or ["_all"]
-    if not out_groups:
-        df = df.withColumn("_all", F.lit(0))
+    key = F.struct(*out_groups) if out_groups else F.struct(F.lit(0).alias("_all"))
     lab = F.col(label).cast("double")
-    per_score = df.groupBy(*groups, F.col(score).cast("double").alias("_s")).agg(
+    per_score = df.groupBy(key.alias("_g"), F.col(score).cast("double").alias("_s")).agg(
         F.count_if(lab == 1.0).alias("_p"), F.count_if(lab == 0.0).alias("_n")
     )
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = per_score.groupBy(*groups).agg(
-        F.percentile_approx("_s", probs, 10 * n_buckets).alias("_cuts") if probs else F.array().cast("array<double>").alias("_cuts")
-    )
-    b = per_score.join(cuts, on=groups, how="inner")
-    b = b.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).cast("long")).drop("_cuts")
-    per_bucket = b.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
-    before_b = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*groups, "_b", F.coalesce(F.sum("_bn").over(before_b), F.lit(0)).alias("_off"))
-    before_s = Window.partitionBy(*groups, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    b = cut_lineage(per_score.repartitionByRange(n_buckets, "_g", "_s").withColumn("_b", F.spark_partition_id().cast("long")))
+    per_bucket = b.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"))
+    before_b = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select("_g", "_b", F.coalesce(F.sum("_bn").over(before_b), F.lit(0)).alias("_off"))
+    before_s = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     within = b.withColumn("_below", F.coalesce(F.sum("_n").over(before_s), F.lit(0)))
-    scored = within.join(offsets, on=[*groups, "_b"], how="inner").withColumn(
+    scored = within.join(offsets, on=["_g", "_b"], how="inner").withColumn(
         "_credit", F.col("_p") * ((F.col("_off") + F.col("_below")).cast("double") + F.col("_n") / F.lit(2.0))
     )
-    agg = scored.groupBy(*groups).agg(
-        F.sum("_credit").alias("_c"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg")
+    agg = scored.groupBy("_g").agg(F.sum("_credit").alias("_c"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
+    return agg.select(
+        *[F.col("_g")[g].alias(g) for g in out_groups], "n_pos", "n_neg",
+        safe_div(F.col("_c"), F.col("n_pos") * F.col("n_neg")).alias("auroc"),
     )
-    return agg.select(*out_groups, "n_pos", "n_neg", safe_div(F.col("_c"), F.col("n_pos") * F.col("n_neg")).alias("auroc"))
 
 
 def mean_over_folds(per_fold: DataFrame, config_cols: Sequence[str], metric_cols: Sequence[str] = METRIC_COLS) -> DataFrame:
@@ -111,6 +106,7 @@ def mean_over_folds(per_fold: DataFrame, config_cols: Sequence[str], metric_cols
 def metrics_report(metrics: DataFrame, label_cols: Sequence[str], metric_cols: Sequence[str] = METRIC_COLS) -> DataFrame:
     """Text, JSON and CSV renderings of metric rows."""
     label = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in label_cols])
+    # Fixed value: the report line of the reference.
     text = F.format_string(
         "[Accuracy: %f, Precision: %f, Recall: %f, Specificity: %f, F1: %f AuROC: %f]", *[F.col(m) for m in metric_cols]
     )
@@ -119,5 +115,12 @@ def metrics_report(metrics: DataFrame, label_cols: Sequence[str], metric_cols: S
     return metrics.select(*label_cols, label.alias("label"), text.alias("text"), js.alias("json"), csv.alias("csv"))
 
 
-# Header of the metrics CSV (fixed value of the reference, with our f1/auroc names).
+# Fixed value: header of the reference's metrics CSV.
 CSV_HEADER = "feature,accuracy,precision,recall,specificity,f1-score,AuROC"
+
+
+def metrics_csv(metrics: DataFrame, label_cols: Sequence[str], metric_cols: Sequence[str] = METRIC_COLS) -> DataFrame:
+    """Metric rows under one label column and the header of the report file (K7)."""
+    label = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in label_cols])
+    names = CSV_HEADER.split(",")
+    return metrics.select(label.alias(names[0]), *[F.col(m).alias(n) for m, n in zip(metric_cols, names[1:])])

@@ -65,7 +65,7 @@ def make_classifier(name: str, seed: int = 0):
         # The reference's SGD-SVM defaults: L2 0.01, 100 iterations, no intercept, tol 1e-3.
         return LinearSVC(
             featuresCol="features_n", labelCol="label", regParam=SVM_REG, maxIter=SVM_ITERATIONS,
-            fitIntercept=False, tol=SVM_TOL,
+            fitIntercept=False, tol=SVM_TOL, standardization=False,
         )
     if name == "dt":
         return DecisionTreeClassifier(

@@ -39,11 +39,10 @@ def featured_samples(features: DataFrame, sets_col: str = "n_feature_sets") -> D
 def featured_by_source(uploads: DataFrame, samples: DataFrame, features: DataFrame, status_col: str = "status") -> DataFrame:
     """Of the samples with a good upload, per source, how many have features (A3)."""
     good = uploads.where(F.col(status_col) == STATUS_OK).select("sample").distinct()
-    good_src = good.join(samples.select("sample", "source"), on="sample", how="inner")
-    with_f = good_src.join(featured_samples(features), on="sample", how="left_semi")
-    return good_src.groupBy("source").agg(F.countDistinct("sample").alias("n_good")).join(
-        with_f.groupBy("source").agg(F.countDistinct("sample").alias("n_featured")), on="source", how="left"
-    ).select("source", "n_good", F.coalesce("n_featured", F.lit(0)).alias("n_featured"))
+    flagged = good.join(featured_samples(features).withColumn("_has", F.lit(True)), on="sample", how="left")
+    each = flagged.join(samples.select("sample", "source").distinct(), on="sample", how="inner")
+    # One aggregate with a flag: sources that are null form a group like any other.
+    return each.groupBy("source").agg(F.count(F.lit(1)).alias("n_good"), F.count("_has").alias("n_featured"))
 
 
 def list_for_source(

@@ -31,37 +31,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 DEFAULT_BUCKET_ROWS = 1 << 20
+_NULL_BUCKET = -(1 << 62)
 
 
 def _bucket(order_col: str, bucket_rows: int) -> Column:
-    return F.floor(F.col(order_col) / F.lit(bucket_rows)).cast("long")
+    # Rows without an order value come first, in a bucket of their own.
+    return F.coalesce(F.floor(F.col(order_col) / F.lit(bucket_rows)).cast("long"), F.lit(_NULL_BUCKET))
 
 
-def _with_buckets(base: DataFrame, order_col: str, bucket_rows: int, adaptive: bool) -> DataFrame:
+def _with_buckets(base: DataFrame, order_cols: Sequence[str], bucket_rows: int, adaptive: bool) -> DataFrame:
     """Add ``_b`` to rows keyed by ``_k``.
 
     Fixed: ``order_col div bucket_rows`` - right when the order column is a
-    dense position such as a line number.  Adaptive: a per-key width from a
-    small ``(min, max, count)`` aggregate, so a key's buckets hold about
-    ``bucket_rows`` rows whatever the spread of its order values; that per-key
-    table is joined before the shuffle (broadcast when AQE measures it small,
-    skew-split otherwise).
+    dense position such as a line number. Adaptive: the rows are dealt out by
+    range of (key, order columns) into partitions of about ``bucket_rows`` rows
+    and staged, and the partition is the bucket, so buckets are even whatever
+    the spread of the order values.
     """
     if not adaptive:
-        return base.withColumn("_b", _bucket(order_col, bucket_rows))
-    span = base.groupBy("_k").agg(
-        F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"), F.count(F.lit(1)).alias("_cnt")
-    )
-    width = F.greatest(
-        F.lit(1).cast("long"),
-        F.ceil((F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") * F.lit(float(bucket_rows)) / F.col("_cnt")).cast("long"),
-    )
-    return (
-        base.join(span.select("_k", "_lo", width.alias("_w")), "_k")
-        .withColumn("_b", F.expr(f"(`{order_col}` - _lo) div _w"))
-        .drop("_lo", "_w")
-    )
+        return base.withColumn("_b", _bucket(order_cols[0], bucket_rows))
+    spark = base.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // bucket_rows))
+    dealt = base.repartitionByRange(parts, "_k", *order_cols)
+    return cut_lineage(dealt.withColumn("_b", F.spark_partition_id().cast("long")))
 
 
 def access_positions(
@@ -92,7 +87,7 @@ def access_positions(
             F.struct(*keys).alias("_k"), *[c for c in order_cols if c not in keys], rw_col,
             *[c for c in carry if c not in order_cols],
         ),
-        order_cols[0], bucket_rows, adaptive,
+        order_cols, bucket_rows, adaptive,
     )
 
     # (2) + (3): per-bucket counts and exclusive prefix sums over the small table.
@@ -162,21 +157,21 @@ def ordered_positions(
     :func:`access_positions` for a single view.
 
     The bucket is ``order_cols[0] div bucket_rows`` (the first order column
-    must be numeric and not null; for timestamps pass epoch microseconds, for
+    must be numeric; rows where it is null come first; for timestamps pass epoch microseconds, for
     which ``bucket_rows`` is a time width), or the given ``bucket_col``, which
     must be monotone in the order.  With ``with_totals`` also returns the
     per-key row counts ``(keys, n)`` computed from the same exchange.
 
-    With ``adaptive`` the bucket width is chosen per key (see
-    :func:`_with_buckets`), for order values of any spread.
+    With ``adaptive`` the rows are dealt out by range instead (see
+    :func:`_with_buckets`), for order values of any type and spread.
     """
     keys = list(keys)
     order_cols = list(order_cols)
     base = df.withColumn("_k", F.struct(*keys))
     if bucket_col:
-        base = base.withColumn("_b", F.col(bucket_col))
+        base = base.withColumn("_b", F.coalesce(F.col(bucket_col).cast("long"), F.lit(_NULL_BUCKET)))
     else:
-        base = _with_buckets(base, order_cols[0], bucket_rows, adaptive)
+        base = _with_buckets(base, order_cols, bucket_rows, adaptive)
     counts = base.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_k", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -38,14 +38,15 @@ def pooled_distribution(spark, sf_dir):
 _DRAWS_SQL = _VALS + """,
 nper AS (SELECT chunk_size, count(*) AS n FROM vals GROUP BY chunk_size),
 hx AS (
-  SELECT v.*, ('0x' || substr(md5(':' || v.sample || ':' || v.feature || ':' || CAST(v.bin AS VARCHAR)), 1, 8))::BIGINT % 2147483647 AS x
-  FROM vals v),
-dc(draw, a, b) AS (VALUES {DRAW_CONSTANTS}),
+  SELECT m.*, ('0x' || substr(m5, 1, 7))::BIGINT AS x1, ('0x' || substr(m5, 8, 7))::BIGINT AS x2, ('0x' || substr(m5, 15, 7))::BIGINT AS x3
+  FROM (SELECT v.*, md5(':' || v.sample || ':u0:0:' || v.feature || ':' || CAST(v.bin AS VARCHAR)) AS m5 FROM vals v) m),
+dc(draw, a1, b1, c1, e1, a2, b2, c2, e2) AS (VALUES {DRAW_CONSTANTS}),
 dr AS (
-  SELECT hx.*, CAST(dc.draw AS INTEGER) AS draw, (dc.a * hx.x + dc.b) % 2147483647 AS h
+  SELECT hx.*, CAST(dc.draw AS INTEGER) AS draw,
+         ((a1 * x1 + b1 * x2 + c1 * x3 + e1) % 2147483647) * 2147483648 + (a2 * x1 + b2 * x2 + c2 * x3 + e2) % 2147483647 AS h
   FROM hx CROSS JOIN dc),
 rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)""".replace(
-    "{DRAW_CONSTANTS}", ", ".join(f"({d}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))" for d, a, b in D.draw_constants(D.DRAWS))
+    "{DRAW_CONSTANTS}", ", ".join(f"({d}, {', '.join(f'CAST({v} AS BIGINT)' for v in values)})" for d, *values in D.draw_constants(D.DRAWS))
 )
 
 

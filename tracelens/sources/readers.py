@@ -19,16 +19,15 @@ from ..functions import trace as TF
 
 SCAN_MAP = T.MapType(T.StringType(), T.StructType([T.StructField("detected", T.BooleanType())]))
 REPORT = T.StructType([T.StructField("scans", SCAN_MAP), T.StructField("additional_info", T.StringType())])
-SAMPLE_METADATA = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("arch", T.StringType()),
-        T.StructField("label", T.StringType()),
-        T.StructField(CF.METADATA_VERSION_KEY, T.StringType()),
-        T.StructField("vti", REPORT),
-        T.StructField("existing", REPORT),
-    ]
-)
+
+
+def sample_metadata_schema(version_key: str = CF.METADATA_VERSION_KEY) -> T.StructType:
+    """Fields of a sample metadata document whose importer version stands under ``version_key``."""
+    text = [T.StructField(n, T.StringType()) for n in ("source", "arch", "label", version_key)]
+    return T.StructType([*text, T.StructField("vti", REPORT), T.StructField("existing", REPORT)])
+
+
+
 UPLOAD_METADATA = T.StructType(
     [
         T.StructField(n, T.StringType())
@@ -180,7 +179,8 @@ def read_uploads(
 ) -> DataFrame:
     """Upload metadata of every ``<sample>/<uuid>/<run_id>`` tree.
 
-    Unreadable documents are skipped (DROPMALFORMED).  Keys come from the
+    Unreadable documents are skipped (DROPMALFORMED); a single unreadable
+    field is null, and its document stays.  Keys come from the
     path (plain or ``key=value`` directories); the real run id is used (D3).
     With ``stream`` the same documents are read as a file stream (W1 source):
     each new metadata file is one new upload.
@@ -196,23 +196,23 @@ def read_uploads(
     return raw.select(
         F.regexp_extract(path, _UPLOAD_PATH, 1).alias("sample"),
         F.regexp_extract(path, _UPLOAD_PATH, 2).alias("uuid"),
-        F.regexp_extract(path, _UPLOAD_PATH, 3).cast("int").alias("run_id"),
+        F.regexp_extract(path, _UPLOAD_PATH, 3).try_cast("int").alias("run_id"),
         "node",
         F.col("`extractor-pack`").alias("extractor_pack"),
         "status",
         "status_msg",
-        F.col("`runs-left`").cast("int").alias("runs_left"),
+        F.col("`runs-left`").try_cast("int").alias("runs_left"),
         "manifest",
-        F.col("output_before_gz").cast("long").alias("output_before_gz"),
-        F.col("output_after_gz").cast("long").alias("output_after_gz"),
+        F.col("output_before_gz").try_cast("long").alias("output_before_gz"),
+        F.col("output_after_gz").try_cast("long").alias("output_after_gz"),
         CF.parse_ts(F.col("exec_start_tm")).alias("exec_start_tm"),
         CF.parse_ts(F.col("exec_end_tm")).alias("exec_end_tm"),
     )
 
 
-def read_sample_metadata(spark: SparkSession, samples_dir: str) -> DataFrame:
+def read_sample_metadata(spark: SparkSession, samples_dir: str, version_key: str = CF.METADATA_VERSION_KEY) -> DataFrame:
     """``<sha>.json`` sample metadata documents (S3); sample id from the name."""
-    raw = spark.read.schema(SAMPLE_METADATA).option("multiLine", True).json(f"{samples_dir.rstrip('/')}/*.json")
+    raw = spark.read.schema(sample_metadata_schema(version_key)).option("multiLine", True).json(f"{samples_dir.rstrip('/')}/*.json")
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
     return raw.where(CF.is_sha256_meta_name(F.col("_metadata.file_name"))).select(name.alias("sample"), "*")
 

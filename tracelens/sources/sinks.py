@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.catalog import METADATA_VERSION_KEY
 from ..operators.chunks import FEATURE_FAMILY, FEATURE_VERSION
+from ..operators.metrics import metrics_csv
 
 
 def latest_version(df: DataFrame, id_cols: Sequence[str], version_cols: Sequence[str]) -> DataFrame:
@@ -124,9 +125,9 @@ def write_sample_set(doc: DataFrame, path: str) -> None:
     doc.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_metrics_csv(metrics: DataFrame, path: str) -> None:
-    """Metrics table with a header: feature/classifier/normaliser rows (K7)."""
-    metrics.write.mode("overwrite").option("header", True).csv(path)
+def write_metrics_csv(metrics: DataFrame, path: str, label_cols: Sequence[str] = ("feature", "classifier", "normaliser")) -> None:
+    """Metrics table: one label column, the report's header, a row per label (K7)."""
+    metrics_csv(metrics, label_cols).write.mode("overwrite").option("header", True).csv(path)
 
 
 def save_model(model, path: str) -> None:
@@ -140,9 +141,9 @@ def rebuild_tables(tables: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
 
 
-def metadata_document(df: DataFrame, version: str = "0.0.1") -> DataFrame:
+def metadata_document(df: DataFrame, version: str = "0.0.1", version_key: str = METADATA_VERSION_KEY) -> DataFrame:
     """Sample metadata JSON; optional vti / label / existing only when present."""
-    cols = [F.col("source"), F.col("arch"), F.lit(version).alias(METADATA_VERSION_KEY)]
+    cols = [F.col("source"), F.col("arch"), F.lit(version).alias(version_key)]
     for opt in ("label", "vti", "existing"):
         if opt in df.columns:
             cols.append(F.col(opt))
