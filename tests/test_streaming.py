@@ -1,12 +1,12 @@
 """Streaming forms equal their batch forms."""
 
-import datetime as dt
-import os
-
+import pytest
 from pyspark.sql import functions as F
 
+from tracelens.operators.rank import _with_buckets
 from tracelens.plans.registry import QUERIES
 from tracelens.streaming import state as ST
+from tracelens.streaming.uploads import process_uploads, read_uploads_output
 
 from .conftest import SF_SMALL
 
@@ -25,43 +25,98 @@ def test_stream_uploads_equals_backfill(spark):
     assert s.exceptAll(b).count() == 0
 
 
-def test_liveness_stream_emits_expiry(spark, tmp_dir):
-    t0 = dt.datetime(2024, 1, 1)
-    batches = [
-        [(1, t0), (2, t0)],
-        [(1, t0 + dt.timedelta(seconds=200)), (2, t0 + dt.timedelta(seconds=100))],
-        [(1, t0 + dt.timedelta(seconds=1000))],
-        [(1, t0 + dt.timedelta(seconds=1100))],
-    ]
+def _beats(spark, path, batches):
     for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, "node long, ts timestamp").coalesce(1).write.parquet(os.path.join(tmp_dir, "in", f"b{i}"))
-    src = spark.readStream.schema("node long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(os.path.join(tmp_dir, "in", "*"))
-    q = (
-        ST.liveness_stream(src, delay="0 seconds").writeStream.format("memory").queryName("live_t")
-        .option("checkpointLocation", os.path.join(tmp_dir, "ck")).outputMode("append").start()
-    )
-    q.processAllAvailable()
-    q.stop()
-    got = spark.sql("SELECT node FROM live_t").collect()
-    assert [r["node"] for r in got] == [2]
+        spark.createDataFrame([(n, s * 1_000_000) for n, s in rows], "node long, ts_us long").coalesce(1).write.parquet(f"{path}/b{i}")
+    return spark.readStream.schema("node long, ts_us long").option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
 
 
-def test_upload_batches_idempotent_on_replay(spark, tmp_dir):
-    from tracelens.streaming.uploads import process_uploads
+BEATS = [[(1, 0), (2, 0)], [(1, 200), (2, 100), (3, 190)], [(1, 1000)], [(1, 1001), (1, 1500), (2, 1500), (None, 9)], [(1, 1600)]]
 
-    out = os.path.join(tmp_dir, "out")
-    calls = []
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_liveness_reports_every_silence_once(spark, tmp_dir, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = ST.liveness_stream(_beats(spark, f"{tmp_dir}/in", BEATS), f"{tmp_dir}/live", f"{tmp_dir}/ck").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted((r.node, r.last_seen_us // 10**6) for r in got) == [(1, 200), (1, 1001), (2, 100), (3, 190)]
+    assert all(r.expired_at_us - r.last_seen_us == 300 * 10**6 for r in got)
+
+
+def test_liveness_does_not_depend_on_batches(spark, tmp_dir):
+    whole = spark.createDataFrame([(n, s * 1_000_000) for b in BEATS for n, s in b], "node long, ts_us long")
+    ST.expire_nodes(whole, 0, f"{tmp_dir}/one")
+    ST.expire_nodes(whole, 0, f"{tmp_dir}/one")  # a replay
+    got = spark.read.parquet(f"{tmp_dir}/one/out").collect()
+    assert sorted((r.node, r.last_seen_us // 10**6) for r in got) == [(1, 200), (1, 1001), (2, 100), (3, 190)]
+
+
+def test_run_counter_goes_on_over_batches_and_replays(spark, tmp_dir):
+    rows = spark.range(4000).selectExpr("7 as uuid", "id as event_id", "timestamp_micros(id) as ts")
+    ST.count_runs(rows.where("event_id < 3000").withColumn("ts", F.when(F.col("event_id") > 0, F.col("ts"))), 0, tmp_dir)
+    ST.count_runs(rows.where("event_id >= 3000"), 1, tmp_dir)
+    ST.count_runs(rows.where("event_id >= 3000"), 1, tmp_dir)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.where("run_id = event_id").count() == out.count() == 4000
+
+
+def test_range_buckets_are_even_whatever_the_spread(spark):
+    """A hot key with one far outlier, ordered by time: no bucket is much larger than asked for."""
+    rows = spark.range(20_000).selectExpr("named_struct('uuid', 7) as _k", "id as event_id", "if(id = 5, timestamp'2200-01-01', timestamp_micros(id)) as ts")
+    buckets = _with_buckets(rows, ["ts", "event_id"], 1000, True).groupBy("_b").count().collect()
+    assert len(buckets) > 10 and max(r["count"] for r in buckets) < 3000 and sum(r["count"] for r in buckets) == 20_000
+
+
+def _process(spark, rows, epoch, out, run="r", force=False, log=None):
+    batch = spark.createDataFrame(rows, "sample string, uuid string, run_id int, status string")
 
     def extract(todo):
-        calls.append(sorted(r["sample"] for r in todo.collect()))
-        return todo.select("sample", "uuid", "run_id", F.lit(1).alias("feature"))
-
-    b0 = spark.createDataFrame([("a", "u", 0, "OK"), ("b", "u", 0, "ERR"), ("c", "u", 0, "WARN")],
-                               "sample string, uuid string, run_id int, status string")
-    process_uploads(b0, 0, out, extract, ["sample", "uuid", "run_id"])
-    process_uploads(b0, 0, out, extract, ["sample", "uuid", "run_id"])  # replay of epoch 0
-    b1 = spark.createDataFrame([("a", "u", 0, "OK"), ("d", "u", 0, "OK")], "sample string, uuid string, run_id int, status string")
-    process_uploads(b1, 1, out, extract, ["sample", "uuid", "run_id"])
+        if log is not None:
+            log.append(sorted(r["sample"] for r in todo.collect()))
+        return todo.where("sample <> 'short'").select("sample", "uuid", "run_id", F.lit(1).alias("feature"))
+
+    process_uploads(batch, epoch, out, extract, force=force, run=run)
+
+
+def _samples(spark, out):
+    return sorted(r["sample"] for r in read_uploads_output(spark, out).collect())
+
+
+def test_upload_batches_idempotent_on_replay(spark, tmp_dir):
+    calls = []
+    b0 = [("a", "u", 0, "OK"), ("b", "u", 0, "ERR"), ("c", "u", 0, "WARN")]
+    _process(spark, b0, 0, tmp_dir, log=calls)
+    _process(spark, b0, 0, tmp_dir, log=calls)  # replay of epoch 0
+    _process(spark, [("a", "u", 0, "OK"), ("d", "u", 0, "OK")], 1, tmp_dir, log=calls)
     assert calls == [["a", "c"], ["a", "c"], ["d"]]
-    got = sorted(r["sample"] for r in spark.read.parquet(out).collect())
-    assert got == ["a", "c", "d"]
+    assert _samples(spark, tmp_dir) == ["a", "c", "d"]
+
+
+def test_new_checkpoint_neither_loses_nor_doubles(spark, tmp_dir):
+    _process(spark, [("a", "u", 0, "OK")], 0, tmp_dir, run="one")
+    _process(spark, [("b", "u", 0, "OK")], 1, tmp_dir, run="one")
+    _process(spark, [("b", "u", 0, "OK"), ("c", "u", 0, "OK")], 0, tmp_dir, run="two")
+    assert _samples(spark, tmp_dir) == ["a", "b", "c"]
+
+
+def test_force_extracts_again_without_doubling(spark, tmp_dir):
+    calls = []
+    _process(spark, [("a", "u", 0, "OK")], 0, tmp_dir, log=calls)
+    _process(spark, [("a", "u", 0, "OK")], 1, tmp_dir, force=True, log=calls)
+    assert calls == [["a"], ["a"]] and _samples(spark, tmp_dir) == ["a"]
+
+
+def test_empty_results_count_as_done(spark, tmp_dir):
+    calls = []
+    _process(spark, [("short", "u", 0, "OK")], 0, tmp_dir, log=calls)
+    _process(spark, [("short", "u", 0, "OK")], 1, tmp_dir, log=calls)
+    assert calls == [["short"], []] and _samples(spark, tmp_dir) == []
+
+
+def test_stream_resume_equals_backfill(spark):
+    s = QUERIES["stream_uploads_resume"](spark, SF_SMALL)
+    b = QUERIES["backfill_features"](spark, SF_SMALL)
+    assert s.count() == b.count() > 0 and s.exceptAll(b).count() == 0

@@ -221,16 +221,21 @@ def supplier_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_weekly_event_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Write ``(uuid=user_id, event_id, ts)`` of ``events`` one week per
-    directory, oldest week first, so a file stream sees them in time order."""
+    """Write ``(uuid=user_id, event_id, ts)`` of ``events`` in one pass, a file
+    a week, oldest first, so that a file stream with one file per trigger sees
+    whole weeks in time order (file names carry the week; the files' times are set to match)."""
     from ..functions.catalog import epoch_us
 
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("uuid"), "event_id", "ts")
     wk = F.floor(epoch_us(F.col("ts")) / F.lit(7 * 86400 * 1_000_000)).cast("long")
-    e = e.withColumn("_wk", wk)
-    weeks = sorted(r["_wk"] for r in e.select("_wk").distinct().collect())  # a few rows
-    for w in weeks:
-        e.where(F.col("_wk") == w).drop("_wk").coalesce(1).write.mode("overwrite").parquet(f"{root}/w={w:06d}")
+    weeks = e.withColumn("w", F.format_string("%06d", wk)).repartition("w")
+    weeks.write.mode("overwrite").partitionBy("w").parquet(root)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = fs_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = sorted(str(f.getPath()) for f in system.globStatus(fs_path(f"{root}/w=*")))  # one a week
+    for k, folder in enumerate(folders):
+        for f in system.listStatus(fs_path(folder)):
+            system.setTimes(f.getPath(), 1_000_000_000_000 + k * 1000, -1)
     return f"{root}/*"
 
 

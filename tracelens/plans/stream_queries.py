@@ -64,15 +64,35 @@ def stream_uploads(spark, sf_dir):
     tree) stream in, half of the files per micro-batch; successful, not
     yet extracted uploads get their traces chunked and histogrammed into an
     epoch-idempotent sink (S2, W1, K2, F7)."""
+    root = scratch_path(spark, f"stream-uploads-{uuid.uuid4().hex[:8]}")
+    n_files = _write_upload_files(spark, sf_dir, f"{root}/in")
+    out = SU.stream_uploads(spark, _upload_source(spark, f"{root}/in", -(-n_files // 2)), f"{root}/out", f"{root}/ckpt", _extractor(spark, sf_dir))
+    return _feature_summary(out)
+
+
+def _write_upload_files(spark, sf_dir, path, where="true"):
+    meta = A.supplier_uploads(spark, sf_dir).where(where)
+    meta.write.mode("append").partitionBy("sample", "uuid", "run_id").json(path)
+    return meta.count()
+
+
+def _upload_source(spark, path, per_batch):
     from ..sources.readers import read_uploads
 
-    root = scratch_path(spark, f"stream-uploads-{uuid.uuid4().hex[:8]}")
-    meta = A.supplier_uploads(spark, sf_dir)
-    meta.write.partitionBy("sample", "uuid", "run_id").json(f"{root}/in")
-    n_files = meta.count()
-    src = read_uploads(spark, f"{root}/in", meta_glob="*/*/*/*.json", stream=True,
-                       max_files_per_trigger=max(1, -(-n_files // 2)))
-    out = SU.stream_uploads(spark, src, f"{root}/out", f"{root}/ckpt", _extractor(spark, sf_dir))
+    return read_uploads(spark, path, meta_glob="*/*/*/*.json", stream=True, max_files_per_trigger=max(1, per_batch))
+
+
+@register("stream_uploads_resume", _EXTRACT_SQL)
+def stream_uploads_resume(spark, sf_dir):
+    """Two runs of the upload stream on two checkpoints into one sink: the
+    first half of the uploads, then all of them; what the first run did is
+    neither lost nor doubled (W1, K2)."""
+    root = scratch_path(spark, f"stream-resume-{uuid.uuid4().hex[:8]}")
+    extract = _extractor(spark, sf_dir)
+    first = _write_upload_files(spark, sf_dir, f"{root}/in", "length(sample) % 2 = 0")
+    SU.stream_uploads(spark, _upload_source(spark, f"{root}/in", first), f"{root}/out", f"{root}/ckpt-1", extract)
+    rest = _write_upload_files(spark, sf_dir, f"{root}/in", "length(sample) % 2 = 1")
+    out = SU.stream_uploads(spark, _upload_source(spark, f"{root}/in", first + rest), f"{root}/out", f"{root}/ckpt-2", extract)
     return _feature_summary(out)
 
 
@@ -84,43 +104,24 @@ def backfill_features(spark, sf_dir):
 
 @register("stream_run_counter", ORACLE["run_counter"])
 def stream_run_counter(spark, sf_dir):
-    """Run numbers per uuid from a callback stream (one week of events per
-    micro-batch, keyed state), equal to the batch counter (W5)."""
+    """Run numbers per uuid from a callback stream, some files of events per
+    micro-batch in time order, equal to the batch counter (W5)."""
     root = scratch_path(spark, f"stream-runs-{uuid.uuid4().hex[:8]}")
     glob = A.write_weekly_event_files(spark, sf_dir, f"{root}/in")
-    schema = "uuid long, event_id long, ts timestamp_ntz"
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(glob)
-    q = (
-        ST.run_counter_stream(src)
-        .writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/ckpt")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.schema(ST.RUN_COUNTER_OUT).parquet(f"{root}/out")
+    src = spark.readStream.schema("uuid long, event_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(glob)
+    return ST.run_counter_stream(src, f"{root}/runs", f"{root}/ckpt")
 
 
-@register("stream_node_liveness")
+@register("stream_node_liveness", """
+WITH beats AS (SELECT user_id AS node, epoch_us(ts) AS us FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+gaps AS (SELECT node, us, lead(us) OVER (PARTITION BY node ORDER BY us) AS next, max(us) OVER () AS now FROM beats)
+SELECT node, us AS last_seen_us, us + 300000000 AS expired_at_us FROM gaps WHERE coalesce(next, now) - us > 300000000""")
 def stream_node_liveness(spark, sf_dir):
-    """Heartbeats stream in a week per micro-batch; a node's keyed state times
-    out when the event-time watermark passes its last heartbeat + 300 s and
-    one expiry row is emitted (W3, W4 trigger)."""
+    """Heartbeats stream in time order over several micro-batches; every
+    silence over 300 s gives one expiry row, also those open when the stream
+    has ended that much later (W3, W4 trigger)."""
     root = scratch_path(spark, f"stream-live-{uuid.uuid4().hex[:8]}")
     glob = A.write_weekly_event_files(spark, sf_dir, f"{root}/in")
     src = spark.readStream.schema("uuid long, event_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(glob)
-    # NTZ wall time read as UTC instants: independent of the session time zone.
-    beats = src.select(F.col("uuid").alias("node"), F.timestamp_micros(epoch_us(F.col("ts"))).alias("ts"))
-    q = (
-        ST.liveness_stream(beats, delay="0 seconds")
-        .writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/ckpt")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.schema(ST.LIVENESS_OUT).parquet(f"{root}/out")
+    beats = src.select(F.col("uuid").alias("node"), epoch_us(F.col("ts")).alias("ts_us"))
+    return ST.liveness_stream(beats, f"{root}/live", f"{root}/ckpt")

@@ -4,48 +4,58 @@ New upload records arrive as files; each micro-batch keeps the successful
 runs (F7), skips uploads whose features already exist (K2), extracts the
 features of its traces (the same batch operators), and writes them.
 
-The sink is idempotent per epoch: micro-batch ``k`` overwrites
-``<out>/epoch=k`` and only consults the outputs of earlier epochs when
-skipping, so a batch replayed after a failure rewrites exactly its own
-output.  The checkpoint replaces the reference's processing list.
+Each micro-batch writes under ``run=<query id>/epoch=<k>``, by overwriting:
+first its features, then the keys of its uploads, which mark them as done even
+where nothing could be extracted. A batch replayed after a failure rewrites
+exactly its own output, and consults everything but that when skipping. The
+query id comes from the checkpoint, so a new checkpoint writes beside earlier
+runs, skips what they did, and loses nothing of it. With ``force`` uploads are
+extracted again; :func:`read_uploads_output` takes an upload's newest features.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.catalog import run_ok
 from ..sources.sinks import skip_existing
+from .runs import path_exists, query_id
 
 Extract = Callable[[DataFrame], DataFrame]
+KEYS = ("sample", "uuid", "run_id")
 
 
-def _prior_outputs(spark: SparkSession, out_dir: str, epoch: int) -> DataFrame | None:
-    # Works on any Hadoop file system (the shared folder of a cluster).
-    try:
-        done = spark.read.parquet(out_dir)
-    except AnalysisException:
-        return None
-    if "epoch" not in done.columns:
-        return None
-    return done.where(F.col("epoch") < epoch)
+def _done(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """Keys of the uploads done so far, with run, epoch and time; None before the first batch."""
+    path = f"{out_dir.rstrip('/')}/done"
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def process_uploads(
-    batch: DataFrame, epoch: int, out_dir: str, extract: Extract, keys: Sequence[str], force: bool = False
+    batch: DataFrame, epoch: int, out_dir: str, extract: Extract, keys: Sequence[str] = KEYS, force: bool = False, run: str = "batch"
 ) -> None:
     """One micro-batch: successful, not yet extracted uploads -> features (W1 body)."""
     spark = batch.sparkSession
     todo = batch.where(run_ok(F.col("status"))).dropDuplicates(list(keys))
-    prior = _prior_outputs(spark, out_dir, epoch)
-    if prior is not None:
-        todo = skip_existing(todo, prior.select(*keys).distinct(), keys, force=force)
-    features = extract(todo)
-    features.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch}")
+    done = _done(spark, out_dir)
+    if done is not None:
+        others = done.where(~((F.col("run") == run) & (F.col("epoch") >= epoch)))
+        todo = skip_existing(todo, others, keys, force=force)
+    own = f"run={run}/epoch={epoch}"
+    extract(todo).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/features/{own}")
+    marks = todo.select(*keys, F.unix_micros(F.current_timestamp()).alias("done_us"))
+    marks.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/done/{own}")
+
+
+def read_uploads_output(spark: SparkSession, out_dir: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Features of every upload done, each from the newest batch that did it."""
+    newest = _done(spark, out_dir).groupBy(*keys).agg(F.max(F.struct("done_us", "run", "epoch")).alias("_at"))
+    newest = newest.select(*keys, F.col("_at.run").alias("run"), F.col("_at.epoch").alias("epoch"))
+    features = spark.read.parquet(f"{out_dir.rstrip('/')}/features")
+    return features.join(newest, [*keys, "run", "epoch"], "left_semi").drop("run", "epoch")
 
 
 def stream_uploads(
@@ -54,27 +64,27 @@ def stream_uploads(
     out_dir: str,
     checkpoint_dir: str,
     extract: Extract,
-    keys: Sequence[str] = ("sample", "uuid", "run_id"),
+    keys: Sequence[str] = KEYS,
     available_now: bool = True,
-) -> DataFrame:
+    force: bool = False,
+):
     """Run the upload stream until the files present are processed.
 
     ``uploads`` is a streaming DataFrame of upload records, e.g.
-    ``read_uploads(..., stream=True)``.  ``available_now`` processes
-    everything available and stops (the batch equivalent; W2 backfill is
-    the same extraction in batch); without it the query keeps running on new
-    files every 10 seconds.
+    ``read_uploads(..., stream=True)``. ``available_now`` processes everything
+    available, stops and returns the features so far (the batch equivalent; W2
+    backfill is the same extraction in batch); without it the running query is
+    returned and takes new files every 10 seconds.
     """
-    writer = (
-        uploads.writeStream.foreachBatch(lambda df, epoch: process_uploads(df, epoch, out_dir, extract, keys))
-        .option("checkpointLocation", checkpoint_dir)
-    )
+    writer = uploads.writeStream.foreachBatch(
+        lambda df, epoch: process_uploads(df, epoch, out_dir, extract, keys, force, query_id(df))
+    ).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    q = writer.start()
-    if available_now:
-        q.awaitTermination()
-        return spark.read.parquet(out_dir)
-    return None
+    query = writer.start()
+    if not available_now:
+        return query
+    query.awaitTermination()
+    return read_uploads_output(spark, out_dir, keys)
 
 
 def backfill(uploads: DataFrame, extract: Extract, keys: Sequence[str] = ("sample", "uuid", "run_id")) -> DataFrame:
