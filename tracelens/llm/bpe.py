@@ -20,6 +20,7 @@ Null texts count as empty; a word that is only exotic white space has no ids.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +35,22 @@ from . import word_blocks as W
 BATCH = 4096
 
 
-def _encoder(content: str):
-    from tokenizers import Tokenizer
+#: The tokenizer that this Python process has built: building one costs time and memory, and a worker runs many groups.
+_built: dict[int, object] = {}
+
 
-    tokenizer = Tokenizer.from_str(content)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+def _encoder(content: str):
+    name = hash(content)
+    if name not in _built:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(content)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        _built.clear()
+        _built[name] = tokenizer
+    return _built[name]
 
 
 def pieces(content: str) -> list[bytes]:
