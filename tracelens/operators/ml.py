@@ -10,6 +10,7 @@ fold sizes (k rows) and one metric row per grid configuration.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,9 +21,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path, stage_table
 from .metrics import auroc, confusion_metrics, mean_over_folds
-from .sampling import DEFAULT_FOLDS, k_fold
+from .sampling import DEFAULT_FOLDS, k_fold, train_test
 
 # Classifier settings of the reference (tree depth, bins,
 # forest size) and its configuration grid.
@@ -49,11 +50,14 @@ def _run_all(tasks, parallelism: int):
         return list(pool.map(lambda t: t(), tasks))
 
 
-def labelled_vectors(features: DataFrame, feature: str | None = None, data_col: str = "feature_data", label_col: str = "label") -> DataFrame:
-    """``(sample, features VECTOR, label DOUBLE)`` for one feature (M1)."""
+def labelled_vectors(
+    features: DataFrame, feature: str | None = None, data_col: str = "feature_data", label_col: str = "label", extra: Sequence[str] = ()
+) -> DataFrame:
+    """``(sample, extra..., features VECTOR, label DOUBLE)`` for one feature (M1)."""
     f = features if feature is None else features.where(F.col("feature") == feature)
     return f.select(
         "sample",
+        *extra,
         array_to_vector(F.col(data_col).cast("array<double>")).alias("features"),
         F.col(label_col).cast("double").alias("label"),
     )
@@ -104,6 +108,39 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.withColumn("score", vector_to_array(score)[1]).drop("features_n")
 
 
+def _fold_predictions(data: DataFrame, folds: Sequence[int], classifier: str, normalizer: str | None, seed: int, keys: Sequence[str], parallelism: int) -> DataFrame | None:
+    """Each fold's rows predicted by a model of the other folds; ``data`` has its fold column."""
+
+    def fold_fit(i: int):
+        def run():
+            train, test = train_test(data, i)
+            model = train_model(train, classifier, normalizer, seed)
+            return predict(model, test).select(*keys, "fold", "label", "prediction", "score")
+
+        return run
+
+    preds = None
+    for p in _run_all([fold_fit(i) for i in folds], parallelism):
+        preds = p if preds is None else preds.unionByName(p)
+    return preds
+
+
+def _usable_folds(data: DataFrame) -> list[int]:
+    """Folds with rows and with rows outside; at most k rows are read."""
+    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    return sorted(i for i, n in sizes.items() if 0 < n < total)
+
+
+def _fold_means(preds: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Mean metrics over folds, per group. AuROC from the classifier's score (probability, or the SVM margin) is the
+    default; ``auroc_hard`` is the area of the hard 0/1 predictions (D2)."""
+    per_fold = confusion_metrics(preds, groups=[*groups, "fold"]).join(
+        auroc(preds, "score", "label", [*groups, "fold"]).select(*groups, "fold", "auroc"), on=[*groups, "fold"], how="left"
+    )
+    return mean_over_folds(per_fold, groups, METRIC_NAMES)
+
+
 def cross_validate(
     vectors: DataFrame,
     classifier: str,
@@ -122,36 +159,17 @@ def cross_validate(
     # The vectors are read by every fold's fit: checkpoint them once into the
     # shared folder (also cuts the lineage if an executor is lost mid-loop).
     data = cut_lineage(k_fold(vectors, key_col, k, seed))
-    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
-    total = sum(sizes.values())
-    def fold_fit(i: int):
-        def run():
-            train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
-            model = train_model(train, classifier, normalizer, seed)
-            return predict(model, test).select(key_col, "fold", "label", "prediction", "score")
-
-        return run
-
-    folds = [i for i in range(k) if 0 < sizes.get(i, 0) < total]
-    preds = None
-    for p in _run_all([fold_fit(i) for i in folds], parallelism):
-        preds = p if preds is None else preds.unionByName(p)
+    preds = _fold_predictions(data, _usable_folds(data), classifier, normalizer, seed, [key_col], parallelism)
     if preds is None:
         return vectors.sparkSession.createDataFrame([], ", ".join(f"{m} double" for m in METRIC_NAMES))
     # Predictions (one row per sample) feed several metric aggregates:
     # materialise them once instead of re-running every fold's model.
-    preds = cut_lineage(preds)
-    # AuROC from the classifier's score (probability, or the SVM margin) is the
-    # default; ``auroc_hard`` is the area of the hard 0/1 predictions.
-    per_fold = confusion_metrics(preds, groups=["fold"]).join(
-        auroc(preds, "score", "label", ["fold"]).select("fold", "auroc"), on="fold", how="left"
-    )
-    return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"], METRIC_NAMES).drop("_cfg")
+    return _fold_means(cut_lineage(preds).withColumn("_cfg", F.lit(1)), ["_cfg"]).drop("_cfg")
 
 
 def evaluate_grid(
     features: DataFrame,
-    feature_names: Sequence[str],
+    feature_names: Sequence[str] | None = None,
     classifiers: Sequence[str] = CLASSIFIERS,
     normalizers: Sequence[str | None] = NORMALIZERS,
     k: int = DEFAULT_FOLDS,
@@ -160,27 +178,39 @@ def evaluate_grid(
 ) -> DataFrame:
     """Every feature x classifier x normaliser, cross-validated.
 
-    The vector table is checkpointed once (into the shared checkpoint
-    folder) so the many fits read it instead of recomputing the lineage.
-    Grid cells run ``parallelism`` at a time; inside a cell the folds run
-    one after another (the pool is not nested).
+    The labelled vectors are staged once, partitioned by feature and with
+    their folds, so a grid cell reads its feature alone. Cells run
+    ``parallelism`` at a time; a cell's predictions are staged, and one grouped
+    aggregate over all of them gives the metrics. Without ``feature_names``
+    every feature that the rows have is evaluated.
     """
-    base = cut_lineage(features.select("sample", "feature", "feature_data", "label"))
+    spark = features.sparkSession
+    rows = k_fold(features.select("sample", "feature", "feature_data", "label"), "sample", k, seed)
+    base = stage_table(rows, "grid-vectors", ("feature",))
+    if feature_names is None:
+        feature_names = sorted(r["feature"] for r in base.select("feature").distinct().collect())  # the grid's names
+    root = scratch_path(spark, f"grid-predictions-{uuid.uuid4().hex[:12]}")
 
     def cell(feat, clf, norm):
         def run():
-            vec = labelled_vectors(base, feat)
-            m = cross_validate(vec, clf, norm, k, seed, parallelism=1)
-            # Materialise the one-row result so the cell's jobs run in this thread.
-            return [tuple(r) for r in m.collect()]
+            own = base.where(F.col("feature") == feat)
+            data = labelled_vectors(own, extra=("fold",))
+            preds = _fold_predictions(data, _usable_folds(own), clf, norm, seed, ["sample"], 1)
+            if preds is not None:
+                named = preds.select(F.lit(feat).alias("feature"), F.lit(clf).alias("classifier"), F.lit(norm).cast("string").alias("normaliser"), "fold", "label", "prediction", "score")
+                named.write.mode("overwrite").parquet(f"{root}/cell={feat}-{clf}-{norm}")
 
         return run
 
     grid = [(f, c, n) for f in feature_names for c in classifiers for n in normalizers]
-    results = _run_all([cell(*g) for g in grid], parallelism)
-    rows = [(f, c, n, *vals) for (f, c, n), res in zip(grid, results) for vals in res]
-    schema = "feature string, classifier string, normaliser string, " + ", ".join(f"{m} double" for m in METRIC_NAMES)
-    return base.sparkSession.createDataFrame(rows, schema)
+    _run_all([cell(*g) for g in grid], parallelism)
+    schema = "feature string, classifier string, normaliser string, fold int, label double, prediction double, score double"
+    if not grid:
+        return spark.createDataFrame([], "feature string, classifier string, normaliser string, " + ", ".join(f"{m} double" for m in METRIC_NAMES))
+    preds = spark.read.schema(schema).parquet(f"{root}/*")
+    named = preds.withColumn("_norm", F.coalesce("normaliser", F.lit("None")))
+    means = _fold_means(named, ["feature", "classifier", "_norm"])
+    return means.select("feature", "classifier", F.when(F.col("_norm") != "None", F.col("_norm")).alias("normaliser"), *METRIC_NAMES)
 
 
 def ensemble_vote(predictions: DataFrame, id_col: str = "id", pred_col: str = "prediction") -> DataFrame:
@@ -201,21 +231,24 @@ def train_ensemble(
     k: int = DEFAULT_FOLDS,
     seed: int = 0,
     key_col: str = "sample",
+    run_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Train each member on one half, vote on the other half, score over k folds of it.
 
-    Returns the mean metrics over the k folds of the held-out half.
+    ``run_cols`` tell a key's runs apart (uuid and run id, D5): every run has
+    its own vote, and the runs of a key stay in one half and one fold. Returns the mean metrics over the k folds of the held-out half.
     """
     halves = cut_lineage(k_fold(vectors, key_col, 2, seed).withColumnRenamed("fold", "_half"))
     train, held = halves.where(F.col("_half") == 0).drop("_half"), halves.where(F.col("_half") == 1).drop("_half")
     long = None
     for i, (clf, norm) in enumerate(members):
         p = predict(train_model(train, clf, norm, seed), held).select(
-            key_col, F.lit(i).alias("model"), "prediction"
+            key_col, *run_cols, F.lit(i).alias("model"), "prediction"
         )
         long = p if long is None else long.unionByName(p)
-    votes = ensemble_vote(long, key_col)
-    scored = k_fold(held.select(key_col, "label"), key_col, k, seed + 1).join(votes, key_col)
+    run = [key_col, *run_cols]
+    votes = ensemble_vote(long.withColumn("_run", F.struct(*run)), "_run")
+    scored = k_fold(held.select(F.struct(*run).alias("_run"), key_col, "label"), key_col, k, seed + 1).join(votes, "_run")
     # A vote is a hard 0/1 output: its AuROC is the hard one.
     per_fold = confusion_metrics(scored, prediction="vote", groups=["fold"]).withColumn("auroc", F.col("auroc_hard"))
     return mean_over_folds(per_fold.withColumn("_cfg", F.lit(1)), ["_cfg"], METRIC_NAMES).drop("_cfg")

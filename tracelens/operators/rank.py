@@ -167,7 +167,10 @@ def ordered_positions(
     """
     keys = list(keys)
     order_cols = list(order_cols)
-    base = df.withColumn("_k", F.struct(*keys))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    # Floating-point keys as text: Spark partitions those by another expression than the column, and would shuffle again.
+    plain = [(F.col(c) + F.lit(0.0)).cast("string").alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in keys]
+    base = df.withColumn("_k", F.struct(*plain))
     if bucket_col:
         base = base.withColumn("_b", F.coalesce(F.col(bucket_col).cast("long"), F.lit(_NULL_BUCKET)))
     else:
@@ -185,6 +188,6 @@ def ordered_positions(
     )
     if with_totals:
         return out, counts.groupBy("_k").agg(F.sum("_n").alias("n")).select(
-            *[F.col("_k")[k].alias(k) for k in keys], "n"
+            *[F.col("_k")[k].cast(kinds[k]).alias(k) for k in keys], "n"
         )
     return out

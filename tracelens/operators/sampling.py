@@ -129,14 +129,13 @@ def in_flight_union(*id_sets: DataFrame, col: str = "sample") -> DataFrame:
 def dedup_by_content(df: DataFrame, hash_col: str = "sample", order_col: str | None = None) -> DataFrame:
     """One row per content hash (U9); survivor = smallest ``order_col``.
 
-    A min-by aggregate (map-side combined), not a window: a hash with
-    millions of copies is still combined in every task first.
+    A rank filtered to its first row: Spark keeps one row a hash in every task
+    before the shuffle, so a hash with millions of copies is no hot group.
     """
     if order_col is None:
         return df.dropDuplicates([hash_col])
-    others = [c for c in df.columns if c != hash_col]
-    agg = df.groupBy(hash_col).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_s"))
-    return agg.select(hash_col, "_s.*")
+    nth = F.row_number().over(Window.partitionBy(hash_col).orderBy(order_col))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def _top_by_hash(df: DataFrame, key_col: str, n: int, seed: str | int) -> DataFrame:

@@ -180,7 +180,7 @@ def document_binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_events_trace_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+def write_events_trace_files(spark: SparkSession, sf_dir: str, root: str, compression: str = "none") -> str:
     """Write the tracer text of ``events`` as one text file per trace under
     ``root/sample=<s>/uuid=u0/run_id=0/`` in line order; returns the glob."""
     lines = events_trace_text(spark, sf_dir).select(
@@ -192,9 +192,10 @@ def write_events_trace_files(spark: SparkSession, sf_dir: str, root: str) -> str
         .select("sample", "uuid", "run_id", "value")
         .write.mode("overwrite")
         .partitionBy("sample", "uuid", "run_id")
+        .option("compression", compression)
         .text(root)
     )
-    return f"{root.rstrip('/')}/*/*/*/*.txt"
+    return f"{root.rstrip('/')}/*/*/*/*.txt*"
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ trace AS (
          CAST(round(l_extendedprice * 100) AS BIGINT) AS tgt
   FROM lineitem
   WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal IS NULL OR s_acctbal >= 0))"""
-_EXTRACT_SQL = hist_sql(_OK_SUPPLIER_TRACE, LINEITEM_ORDER, A.LINEITEM_CHUNKS, A.LINEITEM_RANGES) + """
+EXTRACT_SQL = hist_sql(_OK_SUPPLIER_TRACE, LINEITEM_ORDER, A.LINEITEM_CHUNKS, A.LINEITEM_RANGES) + """
 SELECT m.sample, printf('%s-MemOffsetMode.%s-%d', m.access, m.mode, m.chunk_size) AS feature,
        CAST(coalesce((SELECT sum(h.n) FROM hist h WHERE h.sample = m.sample AND h.access = m.access
                        AND h.chunk_size = m.chunk_size AND h.mode = m.mode), 0) AS BIGINT) AS n_binned,
@@ -58,7 +58,7 @@ def _feature_summary(df):
     )
 
 
-@register("stream_uploads", _EXTRACT_SQL)
+@register("stream_uploads", EXTRACT_SQL)
 def stream_uploads(spark, sf_dir):
     """Upload metadata documents (one JSON file per ``sample/uuid/run_id``
     tree) stream in, half of the files per micro-batch; successful, not
@@ -82,7 +82,7 @@ def _upload_source(spark, path, per_batch):
     return read_uploads(spark, path, meta_glob="*/*/*/*.json", stream=True, max_files_per_trigger=max(1, per_batch))
 
 
-@register("stream_uploads_resume", _EXTRACT_SQL)
+@register("stream_uploads_resume", EXTRACT_SQL)
 def stream_uploads_resume(spark, sf_dir):
     """Two runs of the upload stream on two checkpoints into one sink: the
     first half of the uploads, then all of them; what the first run did is
@@ -96,7 +96,7 @@ def stream_uploads_resume(spark, sf_dir):
     return _feature_summary(out)
 
 
-@register("backfill_features", _EXTRACT_SQL)
+@register("backfill_features", EXTRACT_SQL)
 def backfill_features(spark, sf_dir):
     """All successful existing uploads re-extracted as one batch."""
     return _feature_summary(SU.backfill(A.supplier_uploads(spark, sf_dir), _extractor(spark, sf_dir)))

@@ -247,14 +247,18 @@ def read_binaries(spark: SparkSession, input_dir: str) -> DataFrame:
     return raw.select(F.sha2("content", 256).alias("sample"), "path", "length", "content")
 
 
-def read_features(spark: SparkSession, features_dir: str, run_id: str = "*", file_name: str = "ext-mem-rw-dump-0.0.1.json") -> DataFrame:
+def read_features(
+    spark: SparkSession, features_dir: str, run_id: str = "*", file_name: str = "ext-mem-rw-dump-0.0.1.json", pattern: str | None = None
+) -> DataFrame:
     """Feature documents exploded to one row per feature set.
 
-    Hidden sample directories are skipped; documents with an empty
+    ``pattern`` is the glob below ``features_dir``, by default
+    ``<sample>/<run_id>/<file_name>``; ``s=*/u=*/r=*/*.json`` reads what
+    ``write_feature_documents`` wrote. Hidden sample directories are skipped; documents with an empty
     ``feature_sets`` contribute no row.
     """
     raw = spark.read.schema(FEATURE_DOC).option("multiLine", True).json(
-        f"{features_dir.rstrip('/')}/[!.]*/{run_id}/{file_name}"
+        f"{features_dir.rstrip('/')}/{pattern or f'[!.]*/{run_id}/{file_name}'}"
     )
     return raw.where(F.size("feature_sets") > 0).select(
         F.col("sample_id").alias("sample"),

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.catalog import METADATA_VERSION_KEY
+from ..functions.redact import redact_sample_document
 from ..operators.chunks import FEATURE_FAMILY, FEATURE_VERSION
 from ..operators.metrics import metrics_csv
 
@@ -19,14 +20,15 @@ from ..operators.metrics import metrics_csv
 def latest_version(df: DataFrame, id_cols: Sequence[str], version_cols: Sequence[str]) -> DataFrame:
     """Replace-on-same-id: the row with the greatest version per id (K3-K5).
 
-    ``max_by`` over a struct is a map-side combined aggregate, so an id with
-    very many versions is reduced in every task before the shuffle (a window
-    would put all versions of one id on one task).
+    A rank filtered to its first row: Spark keeps one row an id in every task
+    before the shuffle, so an id with very many versions is no hot group, and
+    payloads are not sorted in aggregation buffers. Equal versions are told
+    apart by a hash of the other columns, so a recomputation takes the same.
     """
-    others = [c for c in df.columns if c not in id_cols]
-    version = F.struct(*[F.col(c) for c in version_cols])
-    agg = df.groupBy(*id_cols).agg(F.max_by(F.struct(*others), version).alias("_row"))
-    return agg.select(*id_cols, "_row.*")
+    others = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in (*id_cols, *version_cols) and "map<" not in f.dataType.simpleString()]
+    order = [*[F.col(c).desc_nulls_last() for c in version_cols], F.xxhash64(*others) if others else F.lit(0)]
+    nth = F.row_number().over(Window.partitionBy(*id_cols).orderBy(*order))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def upsert(existing: DataFrame, updates: DataFrame, id_cols: Sequence[str], version_col: str = "_version") -> DataFrame:
@@ -40,6 +42,16 @@ def upsert(existing: DataFrame, updates: DataFrame, id_cols: Sequence[str], vers
     return latest_version(old.unionByName(new, allowMissingColumns=True), id_cols, [version_col]).drop(version_col)
 
 
+def upsert_samples(existing: DataFrame, updates: DataFrame, id_cols: Sequence[str] = ("sample",)) -> DataFrame:
+    """Sample documents redacted below their depth, then upserted (K5)."""
+    return upsert(existing, redact_sample_document(updates), id_cols)
+
+
+def upsert_features(existing: DataFrame, updates: DataFrame, sets_col: str = "feature_sets", id_cols: Sequence[str] = ("sample", "uuid", "run_id")) -> DataFrame:
+    """Feature documents upserted; those whose set map is empty are skipped (K4)."""
+    return upsert(existing, updates.where(F.size(sets_col) > 0), id_cols)
+
+
 def upload_doc_id(df: DataFrame) -> DataFrame:
     """Add the upload/feature document id ``sample-uuid-run_id`` (K3, K4)."""
     return df.withColumn("id", F.concat_ws("-", F.col("sample").cast("string"), F.col("uuid"), F.col("run_id").cast("string")))
@@ -52,26 +64,42 @@ def skip_existing(todo: DataFrame, done: DataFrame, keys: Sequence[str], force:
     return todo.join(done.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
-def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Feature table as Parquet partitioned by family and version (K1).
+def write_features(features: DataFrame, path: str, batch: str | None = None) -> None:
+    """Feature table as Parquet partitioned by family, version and batch (K1).
 
-    Keyed by (sample, uuid, run_id, feature): two detonations with the same
-    run id no longer collide (D5).  Partition overwrite is dynamic, so
-    re-running one family/version replaces only its partition.
+    A write replaces nothing but its own batch, so other uploads' features
+    stay. The batch is a digest of the (sample, uuid, run_id) it holds unless
+    named, so a job that runs again rewrites its own partition. Where batches
+    overlap, :func:`read_feature_table` takes an upload's newest.
     """
+    keys = ["sample", "uuid", "run_id"]
     out = features
     if "feature_set_name" not in out.columns:
         out = out.withColumn("feature_set_name", F.lit(FEATURE_FAMILY))
     if "feature_set_ver" not in out.columns:
         out = out.withColumn("feature_set_ver", F.lit(FEATURE_VERSION))
+    if batch is None:
+        mark = features.select(*keys).distinct().agg(F.sum(F.xxhash64(*keys).cast("decimal(20,0)")), F.count(F.lit(1))).first()
+        batch = f"{mark[0]}_{mark[1]}".replace("-", "m")
     (
-        out.write.mode(mode)
+        out.withColumn("batch", F.lit(batch))
+        .withColumn("written_us", F.unix_micros(F.current_timestamp()))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("feature_set_name", "feature_set_ver")
+        .partitionBy("feature_set_name", "feature_set_ver", "batch")
         .parquet(path)
     )
 
 
+def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_features` wrote: of each upload, family and version the newest batch."""
+    table = spark.read.parquet(path)
+    keys = ["sample", "uuid", "run_id", "feature_set_name", "feature_set_ver"]
+    newest = table.groupBy(*keys).agg(F.max(F.struct("written_us", "batch")).alias("_at"))
+    newest = newest.select(*keys, F.col("_at.written_us").alias("written_us"), F.col("_at.batch").alias("batch"))
+    return table.join(newest, [*keys, "written_us", "batch"], "left_semi").drop("written_us", "batch")
+
+
 def feature_documents(features: DataFrame, meta: DataFrame | None = None) -> DataFrame:
     """One JSON document per (sample, uuid, run_id, set name, version) (K1 export).
 
@@ -120,6 +148,15 @@ def write_json_documents(docs: DataFrame, path: str) -> None:
     to_json_documents(docs).write.mode("overwrite").text(path)
 
 
+def write_feature_documents(docs: DataFrame, path: str) -> None:
+    """Feature documents as a JSON file each, in a folder a sample, upload and run, which ``read_features`` reads (K1).
+
+    The folders are ``s=<sample>/u=<uuid>/r=<run_id>``; Spark names the files.
+    """
+    keyed = docs.select("*", F.col("sample_id").alias("s"), F.col("uuid").alias("u"), F.col("run_id").alias("r"))
+    keyed.repartition("s", "u", "r").write.mode("overwrite").partitionBy("s", "u", "r").json(path)
+
+
 def write_sample_set(doc: DataFrame, path: str) -> None:
     """Sample set JSON ``{name, tags, data: {benign, malware}}`` (K6)."""
     doc.coalesce(1).write.mode("overwrite").json(path)
