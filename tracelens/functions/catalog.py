@@ -50,10 +50,8 @@ def run_ok(status: Column) -> Column:
 
 def parse_ts(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with an optional fraction (F10), as a
-    time-zone-free TIMESTAMP_NTZ (the text carries no zone)."""
-    return F.when(
-        text.rlike(r"\.[0-9]+$"), F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    ).otherwise(F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss")))
+    time-zone-free TIMESTAMP_NTZ (the text carries no zone); null for other texts."""
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?$"), text.try_cast("timestamp_ntz"))
 
 
 def epoch_us(ts: Column) -> Column:
