@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 
@@ -90,3 +91,17 @@ def test_scratch_tables_go_when_dropped(spark):
     assert not os.path.exists(path.removeprefix("file:"))
     with pytest.raises(ValueError):
         session.drop_scratch(spark, "/tmp")
+
+
+def test_traces_of_an_upload_open_its_folders_only(spark, tmp_dir):
+    for k in range(6):
+        folder = os.path.join(tmp_dir, "text", f"sample=s{k}", "uuid=u", "run_id=0")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "t.txt"), "w") as file:
+            file.write("".join(f"0x{i:x}: R 0x{100 + k:x} 4 0x1\n" for i in range(5)))
+    K.ingest_traces(spark, f"{tmp_dir}/text/*/*/*/*.txt", f"{tmp_dir}/traces")
+    uploads = spark.createDataFrame([("s2", "u", 0)], "sample string, uuid string, run_id int")
+    got = K.read_traces(spark, f"{tmp_dir}/traces", uploads)
+    assert {r["sample"] for r in got.collect()} == {"s2"} and got.count() == 5
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", got._jdf.queryExecution().sparkPlan().toString())
+    assert K.read_traces(spark, f"{tmp_dir}/traces").count() == 30

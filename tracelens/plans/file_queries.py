@@ -33,7 +33,7 @@ def ingest_traces(spark, sf_dir):
     root = scratch_path(spark, f"ingest-{uuid.uuid4().hex[:8]}")
     glob = A.write_events_trace_files(spark, sf_dir, f"{root}/text", compression="gzip")
     K.ingest_traces(spark, glob, f"{root}/traces")
-    d = C.chunk_deltas(spark.read.parquet(f"{root}/traces"), A.TRACE_KEYS, A.EVENTS_CHUNKS)
+    d = C.chunk_deltas(K.read_traces(spark, f"{root}/traces"), A.TRACE_KEYS, A.EVENTS_CHUNKS)
     return d.select(
         "sample", "access", F.col("chunk_size").cast("long").alias("chunk_size"), "mode",
         F.col("chunk_id").cast("long").alias("chunk_id"), F.round(F.col("delta").cast("double"), 6).alias("delta"),

@@ -187,20 +187,42 @@ def metadata_document(df: DataFrame, version: str = "0.0.1", version_key: str =
     return df.select("sample", F.to_json(F.struct(*cols), {"ignoreNullFields": "true"}).alias("value"))
 
 
+#: Folders of an ingested trace table; a trace is in the one that its keys hash to.
+TRACE_BUCKETS = 64
+TRACE_KEYS = ("sample", "uuid", "run_id")
+
+
+def _trace_bucket():
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in TRACE_KEYS]), F.lit(TRACE_BUCKETS)).cast("int")
+
+
 def ingest_traces(spark, paths, out: str, on_error: str = "raise") -> None:
     """Parse tracer text once into the canonical trace table (S1 -> Parquet).
 
     Rows ``(sample, uuid, run_id, seq, ins, rw, tgt)`` with ``seq`` the line
     number in the file, clustered by trace and line inside each output file
     (a local sort, no shuffle), so later chunking reads Parquet with column
-    pruning instead of re-reading text (gz files are one split each).
+    pruning instead of re-reading text (gz files are one split each). The
+    table is partitioned by a hash of the trace's keys, so that
+    :func:`read_traces` opens the folders of the uploads at hand alone.
     """
     from .readers import read_trace
 
-    tr = read_trace(spark, paths, on_error=on_error, dense_seq=True)
+    tr = read_trace(spark, paths, on_error=on_error, dense_seq=True).withColumn("bucket", _trace_bucket())
     (
-        tr.sortWithinPartitions("sample", "uuid", "run_id", "seq")
+        tr.sortWithinPartitions("bucket", *TRACE_KEYS, "seq")
         .write.mode("overwrite")
         .option("compression", "zstd")
+        .partitionBy("bucket")
         .parquet(out)
     )
+
+
+def read_traces(spark: SparkSession, path: str, uploads: DataFrame | None = None) -> DataFrame:
+    """The ingested traces, or those of the given uploads: their folders are chosen before the scan, then their keys."""
+    table = spark.read.parquet(path)
+    if uploads is None:
+        return table.drop("bucket")
+    wanted = uploads.select(*TRACE_KEYS).distinct()
+    buckets = [r[0] for r in wanted.select(_trace_bucket()).distinct().collect()]  # at most TRACE_BUCKETS
+    return table.where(F.col("bucket").isin(buckets)).drop("bucket").join(wanted, list(TRACE_KEYS), "left_semi")
