@@ -65,14 +65,19 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as signed long."""
+    """(doc_id, text_key, fp): a hash that tells texts of one id apart, and the fingerprint as signed long."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = np.array([fingerprint(t, shingle) for t in C.large_binary(batch.column("text")).to_pylist()], dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(values.view(np.int64))], names=["doc_id", "text_key", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return C.map_blocks(docs.select(F.col(id_col).alias("doc_id"), C.text_bytes(text_col).alias("text")), f"doc_id {kind}, fp long", work)
+    rows = docs.select(F.col(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), C.text_bytes(text_col).alias("text"))
+    return C.map_blocks(rows, f"doc_id {kind}, text_key long, fp long", work)
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -194,23 +199,31 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return dealt.mapInArrow(work, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint (hex), component_id (smallest id reachable over links)."""
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, fp, component_id)."""
     prints = stage_table(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    named = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    named = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     parts = connected_components(links(named.select("fp"), distance))
-    members = parts.join(named.withColumnRenamed("fp", "node"), "node")
+    members = parts.join(named.select(F.col("fp").alias("node"), "least"), "node")
     names = members.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = members.join(names, "component").select(F.col("node").alias("fp"), "component_id")
-    distinct = named.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(distinct, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # Documents alone with their fingerprint name themselves; the others' names are staged, so that Spark can split a hot fingerprint in the join.
+    shared = named.join(linked, "fp", "left").where("n > 1 or component_id is not null").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.lit(True).alias("shared"))
+    joined = prints.join(stage_table(shared, "simhash-shared"), "fp", "left")
+    return joined.select("doc_id", "text_key", "fp", F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def simhash_groups(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, fingerprint (hex), component_id (smallest id reachable over links)."""
+    return _grouped(docs, shingle, distance, id_col, text_col).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, of which one document a component stays: the one that names it.
 
-    Rows without id stay where nothing with an id reaches them.
+    Rows that share an id are told apart by their texts (equal ones stay or
+    go together). Rows without id go if their component has a name, else they stay.
     """
-    groups = simhash_groups(docs, shingle, distance, id_col, text_col)
-    gone = groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    groups = _grouped(docs, shingle, distance, id_col, text_col)
+    gone = groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("__near_id"), F.col("text_key").alias("__near_key")).distinct()
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__near_id")) & (_text_key(text_col) == F.col("__near_key")), "left_anti")
