@@ -197,7 +197,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
     )
     checked = F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share a fingerprint and a SHA-256")).cast("long")).otherwise(F.col("group_size"))
-    return rows, groups.withColumn("group_size", checked).where("group_size > 1").drop("texts")
+    # Staged, so that the joins with it are plain ones, which Spark splits where a text is hot.
+    return rows, stage_table(groups.withColumn("group_size", checked).where("group_size > 1").drop("texts"), "dedup-groups")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,12 +225,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows, groups = exact_groups(docs, id_col, text_col)
     fate = rows.join(groups, ["fp", "text_sha256"], "left")
-    dropped = fate.where("group_size is not null and not (doc_id <=> keep_id)").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    dropped = fate.where("group_size is not null and not (doc_id <=> keep_id)").select(F.col("doc_id").alias("__copy_id"), F.col("text_sha256").alias("__copy_sha"))
     again = fate.where("group_size is not null and doc_id <=> keep_id").groupBy("doc_id", "text_sha256").count().where("count > 1")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    left = docs.withColumn("_sha_", sha)
-    left = left.join(dropped, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha_") == F.col("_sha")), "left_anti")
+    left = docs.withColumn("__own_sha", sha)
+    left = left.join(dropped, F.col(id_col).eqNullSafe(F.col("__copy_id")) & (F.col("__own_sha") == F.col("__copy_sha")), "left_anti")
     if again.isEmpty():
-        return left.drop("_sha_")
-    order = Window.partitionBy(id_col, "_sha_").orderBy(F.lit(0))
-    return left.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth", "_sha_")
+        return left.drop("__own_sha")
+    order = Window.partitionBy(id_col, "__own_sha").orderBy(F.lit(0))
+    return left.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth", "__own_sha")
