@@ -47,3 +47,23 @@ def test_entry_and_registry(spark):
     assert set(o) <= set(q) and len(q) >= 60
     for name in o:
         assert "limit" not in o[name].lower()
+
+
+def test_registered_grid_covers_every_size_and_fold(spark, monkeypatch):
+    from tracelens.operators.sampling import DEFAULT_FOLDS
+    from tracelens.plans import adapters as A
+    from tracelens.plans import io_queries as Q
+
+    from .conftest import SF_SMALL
+
+    asked = {}
+
+    def grid(features, feature_names=None, classifiers=ML.CLASSIFIERS, normalizers=ML.NORMALIZERS, k=DEFAULT_FOLDS, **_):
+        asked.update(names=feature_names, classifiers=classifiers, normalizers=normalizers, k=k)
+        asked["sizes"] = {int(r["feature"].rsplit("-", 1)[1]) for r in features.select("feature").distinct().collect()}
+        none = [F.lit(None).cast("double").alias(m) for m in ML.METRIC_NAMES]
+        return spark.range(1).select(F.lit("f").alias("feature"), F.lit("dt").alias("classifier"), F.lit("std").alias("normaliser"), *none)
+
+    monkeypatch.setattr(Q.ML, "evaluate_grid", grid)
+    Q.evaluate_feature_grid(spark, SF_SMALL)
+    assert asked == {"names": None, "classifiers": ML.CLASSIFIERS, "normalizers": ML.NORMALIZERS, "k": DEFAULT_FOLDS, "sizes": set(A.LINEITEM_CHUNKS)}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import chunks as C
 from ..operators import histogram as H
 from ..operators import ml as ML
+from ..operators.sampling import DEFAULT_FOLDS
 from ..session import scratch_path
 from ..sources import readers as R
 from . import adapters as A
@@ -84,23 +85,18 @@ def train_ensemble(spark, sf_dir):
     return m.select(*[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
 
 
-#: Folds of the registered grid: fewer than the default ten, as it fits every feature with every configuration.
-GRID_FOLDS = 2
-
-
 @register("evaluate_feature_grid")
 def evaluate_feature_grid(spark, sf_dir):
     """End to end: supplier traces -> chunk deltas -> dense histogram vectors
-    -> labelled samples -> cross-validated grid of every feature with every
-    classifier, raw and scaled (M1-M10), two folds each."""
-    g = ML.evaluate_grid(_labelled_features(spark, sf_dir), k=GRID_FOLDS, seed=13, parallelism=8)
+    -> labelled samples -> cross-validated grid of every feature of every chunk
+    size with every classifier, raw and scaled (M1-M10), over the default folds."""
+    g = ML.evaluate_grid(_labelled_features(spark, sf_dir), k=DEFAULT_FOLDS, seed=13, parallelism=8)
     return g.select("feature", "classifier", "normaliser", *[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
 
 
-def _labelled_features(spark, sf_dir):
+def _labelled_features(spark, sf_dir, sizes=A.LINEITEM_CHUNKS):
     tr = A.lineitem_trace(spark, sf_dir)
-    size = min(A.LINEITEM_CHUNKS)  # the size that all these traces fill; its twelve features are all evaluated
-    d = C.chunk_deltas(tr, A.TRACE_KEYS, (size,), order_cols=A.LINEITEM_ORDER)
+    d = C.chunk_deltas(tr, A.TRACE_KEYS, sizes, order_cols=A.LINEITEM_ORDER)
     fv = H.feature_vectors(d, A.TRACE_KEYS, A.LINEITEM_RANGES).select(*A.TRACE_KEYS, "feature", "feature_data")
     return fv.join(A.supplier_labels(spark, sf_dir), "sample")
 
@@ -108,7 +104,7 @@ def _labelled_features(spark, sf_dir):
 @register("train_ensemble_histogram")
 def train_ensemble_histogram(spark, sf_dir):
     """The voting ensemble on one histogram feature of the supplier traces, a vote per run."""
-    rows = _labelled_features(spark, sf_dir)
+    rows = _labelled_features(spark, sf_dir, (min(A.LINEITEM_CHUNKS),))  # the size of its one feature
     vec = ML.labelled_vectors(rows, ENSEMBLE_FEATURE, extra=("uuid", "run_id"))
     return ML.train_ensemble(vec, seed=5, run_cols=("uuid", "run_id")).select(*[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
 
