@@ -104,6 +104,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(got[k] == brute_pii(t) for k, t in rows[:30])
 
 
+def _brute_patterns(text, start, end):
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    l2, l1 = (["^", "^"] + words(text[:start]))[-2:]
+    return [f"{l2} {l1} _", f"{l1} _ {(words(text[end:]) + ['$'])[0]}"]
+
+
+def test_contexts_come_from_the_text_itself(spark):
+    rng = random.Random(8)
+    word = ["ipv4", "address", "addr", "443", "a@b.c", "1.2.3.4", "x7[at]y", "(no", "4111111111111111", "+1 (882) 555-3834", "end.", "é1", "-" * 100, "\n", "日本"]
+    rows = [(k, " ".join(rng.choice(word) for _ in range(rng.choice([1, 5, 30, 150])))) for k in range(120)]
+    rows += [(200, "use ipv4 address 1.2.3.4 443"), (201, "use ipv4 address 1.2.3[.]4 443"), (202, "@"), (203, "a@b" + ".c" * 300 + " tail")]
+    got = {r.doc_id: r.entities for r in P.entities(frame(spark, rows)).collect()}
+    for k, text in rows:
+        assert [list(e.patterns) for e in got[k]] == [_brute_patterns(text, e.start, e.end) for e in got[k]]
+    assert {tuple(e.patterns) for k in (200, 201) for e in got[k] if e.found.startswith("1.2")} == {("ipv4 address _", "address _ 443")}
+
+
 def test_card_digits_are_checked_by_luhn(spark):
     rng = np.random.default_rng(6)
     rows = [(k, "".join(map(str, rng.integers(0, 10, rng.integers(14, 21))))) for k in range(300)]

@@ -9,7 +9,7 @@ Bootstrapping, over all documents:
 * entities are the seeds and the other identifier-like tokens (white-space
   separated, with a digit or ``@``, punctuation at the ends stripped);
 * an entity's lexical patterns are its two words to the left, and its word to
-  the left with its word to the right;
+  the left with its word to the right, of the text itself for seeds and tokens alike;
 * patterns and instances (the entities' text) make a graph. A seed scores 1
   for its kind. In each round, a pattern scores the mean of its instances for
   the kind, smoothed towards 0, and any other instance one minus the product
@@ -51,8 +51,8 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _TOKEN = r"(?<!\S)(?=\S*?[0-9@])\S++"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-#: Characters to either side of an entity, up to the next match of its expression, in which its context words are looked for.
-_NEAR = 80
+#: A piece of text with up to 32 words and what is between them: pieces follow each other without a gap and cut no word.
+_PIECE = r"(?:[^\p{L}\p{N}]*+[\p{L}\p{N}]++){1,32}+[^\p{L}\p{N}]*+"
 
 ROUNDS = 3
 SUPPORT = 5
@@ -90,7 +90,7 @@ def _checked(kind: str):
 
 
 def _named(kind: str):
-    return lambda span: F.struct(F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), span["found"].alias("found"), span["before"].alias("before"), span["behind"].alias("behind"))
+    return lambda span: F.struct(F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), span["found"].alias("found"))
 
 
 def _valid(kind: str, found: Column) -> Column:
@@ -105,32 +105,63 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 def _with_spans(rows: DataFrame, patterns: dict[str, str], needs: dict[str, str]) -> DataFrame:
-    """Adds for each name an array of its matches in ``text``: (start, end, found) in code points, and the text next to them."""
+    """Adds for each name an array of its matches in ``text``: (start, end, found) in code points."""
     columns = rows.columns
     here = {k: F.col("text").contains(v) if v else F.lit(True) for k, v in needs.items()}
     found = rows.select(
         *columns,
         *(F.when(here[k], F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(F.expr("CAST(array() AS array<string>)")).alias(f"_m_{k}") for k, p in patterns.items()),
     )
-    gap = lambda g: F.struct(F.length(g).alias("n"), F.substring(g, 1, _NEAR).alias("head"), F.right(g, F.lit(_NEAR)).alias("tail"))
     gaps = found.select(
         *found.columns,
-        *(F.when(F.size(f"_m_{k}") > 0, F.transform(F.split("text", p, -1), gap)).alias(f"_g_{k}") for k, p in patterns.items()),
+        *(F.when(F.size(f"_m_{k}") > 0, F.transform(F.split("text", p, -1), F.length)).alias(f"_g_{k}") for k, p in patterns.items()),
     )
-    sizes = gaps.select(*gaps.columns, *(F.when(F.col(f"_g_{k}").isNotNull(), F.zip_with(f"_m_{k}", F.slice(f"_g_{k}", F.lit(1), F.size(f"_m_{k}")), lambda m, g: F.length(m) + g["n"])).alias(f"_n_{k}") for k in patterns))
+    sizes = gaps.select(*gaps.columns, *(F.when(F.col(f"_g_{k}").isNotNull(), F.zip_with(f"_m_{k}", F.slice(f"_g_{k}", F.lit(1), F.size(f"_m_{k}")), lambda m, g: F.length(m) + g)).alias(f"_n_{k}") for k in patterns))
     ends = sizes.select(*sizes.columns, *(F.when(F.col(f"_n_{k}").isNotNull(), _running(F.col(f"_n_{k}"))).alias(f"_e_{k}") for k in patterns))
 
     def spans(k: str) -> Column:
-        m, e, g = (F.col(f"_{x}_{k}") for x in "meg")
-        one = lambda i: F.struct((e[i] - F.length(m[i])).alias("start"), e[i].alias("end"), m[i].alias("found"), g[i]["tail"].alias("before"), g[i + 1]["head"].alias("behind"))
-        none = F.expr("CAST(array() AS array<struct<start:int,end:int,found:string,before:string,behind:string>>)")
+        m, e = (F.col(f"_{x}_{k}") for x in "me")
+        one = lambda i: F.struct((e[i] - F.length(m[i])).alias("start"), e[i].alias("end"), m[i].alias("found"))
+        none = F.expr("CAST(array() AS array<struct<start:int,end:int,found:string>>)")
         return F.when(e.isNotNull(), F.transform(F.sequence(F.lit(0), F.size(m) - 1), one)).otherwise(none).alias(k)
 
     return ends.select(*columns, *(spans(k) for k in patterns))
 
 
+def _piece_at(ends: Column, place: Column) -> Column:
+    """Number of the piece that holds a place, by halving: pieces that end at the place or before it."""
+
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.shiftright(a["low"] + a["high"], 1)
+        right = F.coalesce(F.get(ends, middle) <= place, F.lit(False)) & (a["low"] < a["high"])
+        return F.struct(F.when(right, middle + 1).otherwise(a["low"]).alias("low"), F.when(right, a["high"]).otherwise(middle).alias("high"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(26)), F.struct(F.lit(0).alias("low"), F.size(ends).alias("high")), halve)["low"]
+
+
+def _with_surroundings(rows: DataFrame) -> DataFrame:
+    """Adds to each of ``entities`` the text before and behind it, from the pieces that hold its start and end and those next to them."""
+    others = [c for c in rows.columns if c not in ("entities", "text")]
+    none = F.expr("CAST(array() AS array<string>)")
+    cut = rows.select(*others, "entities", F.when(F.size("entities") > 0, F.regexp_extract_all("text", F.lit(_PIECE), F.lit(0))).otherwise(none).alias("_pieces"))
+    ended = cut.select(*others, "entities", "_pieces", _running(F.transform("_pieces", F.length)).alias("_ends"))
+    pieces, ends = F.col("_pieces"), F.col("_ends")
+    places = F.transform("entities", lambda e: F.struct(e.alias("e"), _piece_at(ends, e["start"]).alias("first"), _piece_at(ends, e["end"]).alias("last")))
+    placed = ended.select(*others, places.alias("entities"), "_pieces", "_ends")
+    piece = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
+    begin = lambda k: F.coalesce(F.get(ends, k - 1), F.lit(0))
+
+    def one(x: Column) -> Column:
+        e, first, last = x["e"], x["first"], x["last"]
+        before = F.concat(piece(first - 1), F.substr(piece(first), F.lit(1), e["start"] - begin(first)))
+        behind = F.concat(F.substr(piece(last), e["end"] - begin(last) + 1), piece(last + 1))
+        return F.struct(*(e[c].alias(c) for c in ("kind", "start", "end", "found")), before.alias("before"), behind.alias("behind"))
+
+    return placed.select(*others, F.transform("entities", one).alias("entities"))
+
+
 def _context(span: Column) -> tuple[Column, Column, Column]:
-    """The two words before and the one behind a span, lower case; a mark where there is none up to the next match."""
+    """The two words before and the one behind a span, lower case; a mark where the text has none."""
     words = lambda text: F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     before, behind = words(span["before"]), words(span["behind"])
     back = lambda k: F.coalesce(F.try_element_at(before, F.lit(-k)), F.lit("^"))
@@ -145,7 +176,7 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     seeds = [F.transform(k, _named(k)) for k in KINDS]
     lead = lambda s: F.length(F.regexp_extract(s["found"], r"^[^\p{L}\p{N}+@]*+", 0))
     body = lambda s: F.regexp_replace(s["found"], r"^[^\p{L}\p{N}+@]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
-    tokens = F.transform("token", lambda s: F.struct(F.lit("").alias("kind"), (s["start"] + lead(s)).alias("start"), (s["start"] + lead(s) + F.length(body(s))).alias("end"), body(s).alias("found"), s["before"].alias("before"), s["behind"].alias("behind")))
+    tokens = F.transform("token", lambda s: F.struct(F.lit("").alias("kind"), (s["start"] + lead(s)).alias("start"), (s["start"] + lead(s) + F.length(body(s))).alias("end"), body(s).alias("found")))
     known = valid.withColumn("seeds", reduce(F.concat, seeds)).withColumn("tokens", tokens)
     fresh = F.filter("tokens", lambda t: (t["start"] < t["end"]) & ~F.exists("seeds", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
 
@@ -153,7 +184,8 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         l2, l1, r1 = _context(e)
         return F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end"), F.lower(e["found"]).alias("found"), F.array(F.concat(l2, F.lit(" "), l1, F.lit(" _")), F.concat(l1, F.lit(" _ "), r1)).alias("patterns"))
 
-    whole = known.select("row", "doc_id", *KINDS, F.transform(F.concat(F.col("seeds"), fresh), with_patterns).alias("entities"))
+    near = _with_surroundings(known.select("row", "doc_id", *KINDS, "text", F.concat(F.col("seeds"), fresh).alias("entities")))
+    whole = near.select("row", "doc_id", *KINDS, F.transform("entities", with_patterns).alias("entities"))
     return stage_table(whole, "pii-entities")
 
 
