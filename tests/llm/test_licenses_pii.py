@@ -121,6 +121,17 @@ def test_contexts_come_from_the_text_itself(spark):
     assert {tuple(e.patterns) for k in (200, 201) for e in got[k] if e.found.startswith("1.2")} == {("ipv4 address _", "address _ 443")}
 
 
+def test_finds_back_further_contexts(spark):
+    rows = [(k, f"note {k} contact email u{k}@ex.com please") for k in range(100)]
+    rows += [(200 + k, f"blah contact email joe{k}[at]ex.com please") for k in range(20)]
+    rows += [(300 + k, f"just reach mailbox joe{k}[at]ex.com today") for k in range(20)]  # no seed stands here
+    rows += [(400, "or reach mailbox zed9[at]ex.com today"), (401, "room mailbox 12 on floor 3 today")]
+    got = {r.doc_id: [tuple(s) for s in r.found] for r in P.find_pii(frame(spark, rows)).collect()}
+    assert got[400] == [("email", 17, 31)] and got[401] == [] and all(len(got[300 + k]) == 1 for k in range(20))
+    first = {r.doc_id: [tuple(s) for s in r.found] for r in P.find_pii(frame(spark, rows), rounds=1).collect()}
+    assert first[200] and not first[300] and not first[400]
+
+
 def test_card_digits_are_checked_by_luhn(spark):
     rng = np.random.default_rng(6)
     rows = [(k, "".join(map(str, rng.integers(0, 10, rng.integers(14, 21))))) for k in range(300)]

@@ -14,9 +14,11 @@ Bootstrapping, over all documents:
   for its kind. In each round, a pattern scores the mean of its instances for
   the kind, smoothed towards 0, and any other instance one minus the product
   of its patterns' doubts;
-* a pattern of at least ``SUPPORT`` distinct seeds of a kind and a score of at
-  least ``CONFIDENCE`` takes the tokens in its places as that kind, unless a
-  base span overlaps them.
+* a pattern takes part from the round on in which it has at least ``SUPPORT``
+  distinct instances of a kind that are seeds, or that a confident pattern of
+  the round before took;
+* at the end, such a pattern with a score of at least ``CONFIDENCE`` takes the
+  tokens in its places as that kind, unless a base span overlaps them.
 
 The regular expressions are written so that they find the same as the plain
 ones in linear time and without deep recursion: a run of characters that
@@ -191,24 +193,29 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def strong_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(pattern, kind, score) of the patterns that may take unseen identifiers, from :func:`entities`."""
-    places = found.select(F.explode("entities").alias("e")).select(F.explode("e.patterns").alias("pattern"), F.col("e.found").alias("instance"), F.col("e.kind").alias("kind"))
-    edges = stage_table(places.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    # Patterns that no seed supports enough can't become strong, nor lend a score: they leave before the rounds.
-    seeds = edges.where("kind <> ''").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support)
-    backed = stage_table(seeds, "pii-backed")
-    graph = stage_table(edges.withColumnRenamed("kind", "of").join(backed, "pattern").select("pattern", "kind", "instance", "of", "n"), "pii-graph")
-    scores = None
-    for _ in range(rounds):
+    places = found.select(F.explode("entities").alias("e")).select(F.explode("e.patterns").alias("pattern"), F.col("e.found").alias("instance"), F.col("e.kind").alias("of"))
+    edges = stage_table(places.groupBy("pattern", "instance", "of").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
+    known = edges.where("of <> ''").select("pattern", F.col("of").alias("kind"), "instance")
+    sure = scores = None
+    for k in range(rounds):
+        # A pattern is backed by the distinct seeds and the sure discovered instances in its places: each round takes in those that the last one's finds back.
+        if sure is not None:
+            own = edges.where("of = ''").select("pattern", "instance").join(sure.select("instance", "kind"), "instance")
+            known = edges.where("of <> ''").select("pattern", F.col("of").alias("kind"), "instance").unionByName(own.select("pattern", "kind", "instance")).distinct()
+        backed = stage_table(known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("backing")).where(F.col("backing") >= support), "pii-backed")
+        graph = edges.join(backed.select("pattern", "kind"), "pattern")
         if scores is None:
-            known = F.when(F.col("of") == F.col("kind"), 1.0).otherwise(0.0)
-            rated = graph.withColumn("instance_score", known)
+            rated = graph.withColumn("instance_score", F.when(F.col("of") == F.col("kind"), 1.0).otherwise(0.0))
         else:
-            doubts = graph.where("of = ''").join(scores, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.product(F.lit(1.0) - F.col("score")).alias("doubt"))
+            doubts = edges.where("of = ''").join(scores, "pattern").groupBy("instance", "kind").agg(F.product(F.lit(1.0) - F.col("score")).alias("doubt"))
             doubts = stage_table(doubts, "pii-doubts")
             rated = graph.join(doubts, ["instance", "kind"], "left").withColumn(
                 "instance_score", F.when(F.col("of") == F.col("kind"), 1.0).when(F.col("of") == "", 1 - F.coalesce("doubt", F.lit(1.0))).otherwise(0.0)
             )
         scores = stage_table(rated.groupBy("pattern", "kind").agg((F.sum("instance_score") / (F.count(F.lit(1)) + F.lit(_SMOOTH))).alias("score")), "pii-scores")
+        if k + 1 < rounds:
+            strong = scores.where(F.col("score") >= confidence)
+            sure = stage_table(edges.where("of = ''").join(strong, "pattern").select("instance", "kind").distinct(), "pii-sure")
     return scores.where(F.col("score") >= confidence)
 
 
