@@ -97,6 +97,23 @@ def test_parsing_counts_longest_matches(monkeypatch):
                 assert n == want
 
 
+def test_matches_cross_segments():
+    rng = random.Random(3)
+    learned = {k: bytes(rng.choice(b"ab c") for _ in range(3000)) for k in "xy"}
+    sizes = [0, 1, I.SEGMENT - 1, I.SEGMENT, I.SEGMENT + 1, 2 * I.SEGMENT, 5 * I.SEGMENT + 17]
+    texts = [(learned["x"][700:] + learned["y"]) * 3] + [bytes(rng.choice(b"ab cd") for _ in range(n)) for n in sizes]
+    parser = I.Parser(learned)
+    for t, row in zip(texts, parser.phrases(texts), strict=True):
+        for k, n in zip(parser.languages, row, strict=True):
+            at = want = 0
+            while at < len(t):
+                size = 1
+                while at + size < len(t) and t[at : at + size + 1] in learned[k]:
+                    size += 1
+                at, want = at + size, want + 1
+            assert n == want
+
+
 def test_languages(spark):
     docs = C.table(spark, SF, "documents")
     got = I.identify_languages(docs).toPandas().merge(docs.toPandas()[["doc_id", "lang"]], on="doc_id")

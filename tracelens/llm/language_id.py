@@ -15,8 +15,8 @@ aren't held out, those with the smallest hash of their id, rows of at most
 alone; every text is parsed whole.
 
 The automata become tables of transitions, and many texts are walked at once
-in numpy, a byte each step, longer ones in segments of ``SEGMENT`` bytes that
-are parsed by themselves. Text is compared in lower case, all but letters as
+in numpy, a byte each step, in segments of ``SEGMENT`` bytes whose states are
+carried on, so that a match may cross a cut. Text is compared in lower case, all but letters as
 single spaces.
 
 A text that is null or has no letter is ``und`` with score 0, and so is
@@ -110,27 +110,27 @@ class Parser:
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text in each language."""
-        owner = np.repeat(np.arange(len(texts)), [max(1, -(-len(t) // SEGMENT)) for t in texts])
-        lanes = [t[i : i + SEGMENT] for t in texts for i in range(0, max(1, len(t)), SEGMENT)]
-        sizes = np.array([len(x) for x in lanes])
+        sizes = np.array([len(t) for t in texts])
         order = np.argsort(-sizes, kind="stable")
         sizes = sizes[order]
-        symbols = np.zeros((len(lanes), max(1, int(sizes[0]))), np.uint8)
-        for i, k in enumerate(order):
-            symbols[i, : sizes[i]] = self.symbol[np.frombuffer(lanes[k], np.uint8)]
-        symbols = np.ascontiguousarray(symbols.T)
         roots = np.array(self.roots, np.int64)[:, None]
-        state = np.repeat(roots, len(lanes), axis=1)
+        state = np.repeat(roots, len(texts), axis=1)
         total = np.zeros(state.shape, np.int64)
-        live = np.searchsorted(-sizes, -np.arange(symbols.shape[0]), side="left")  # lanes longer than each step
-        for step in range(symbols.shape[0]):
-            n = live[step]
-            moved = self.table[state[:, :n] * self.width + symbols[step, :n]]
-            total[:, :n] += moved & 3
-            state[:, :n] = moved >> 2
+        for at in range(0, int(sizes[0]), SEGMENT):  # states go on from segment to segment
+            widths = np.minimum(sizes[: np.searchsorted(-sizes, -at, side="left")] - at, SEGMENT)
+            symbols = np.zeros((len(widths), int(widths[0])), np.uint8)
+            for i, k in enumerate(order[: len(widths)]):
+                symbols[i, : widths[i]] = self.symbol[np.frombuffer(texts[k], np.uint8, widths[i], at)]
+            symbols = np.ascontiguousarray(symbols.T)
+            live = np.searchsorted(-widths, -np.arange(symbols.shape[0]), side="left")  # lanes longer than each step
+            for step in range(symbols.shape[0]):
+                n = live[step]
+                moved = self.table[state[:, :n] * self.width + symbols[step, :n]]
+                total[:, :n] += moved & 3
+                state[:, :n] = moved >> 2
         total += state != roots  # the last match
         out = np.zeros((len(texts), len(roots)), np.int64)
-        np.add.at(out, owner[order], total.T)
+        out[order] = total.T
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
