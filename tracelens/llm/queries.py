@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, pii, quality, simhash, token_counts
+from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, merge_replay, pii, quality, simhash, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -83,9 +83,20 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe(spark, sf_dir):
+    """Byte-level token ids of all documents and their decoded bytes, as digests."""
+    import public_tokenizers
+
+    docs = C.table(spark, sf_dir, "documents")
+    return merge_replay.encode_and_decode(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False, with_text=False)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_licenses, op2_pii, op3_quality, op4_token_counts, op5_lm_score, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup)
+    for f in (
+        op1_licenses, op2_pii, op3_quality, op4_token_counts, op5_lm_score, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup,
+        op12_byte_bpe,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
