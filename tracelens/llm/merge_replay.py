@@ -331,9 +331,10 @@ def block_texts(docs: DataFrame, pattern: str, most: int = MOST) -> DataFrame:
 def replay_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The rows of :func:`block_words` with each word's ids: (block, hash, codes, sizes, ids), packed."""
     shared = words.sparkSession.sparkContext.broadcast(ranks)
+    name = hashlib.sha256(repr(list(ranks.items())).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _once(f"table {shared.id}", lambda: MergeTable(shared.value))
+        table = _once(f"table {name}", lambda: MergeTable(shared.value))
         known: dict[bytes, bytes] = {}
         for batch in batches:
             rows = batch.to_pylist()
