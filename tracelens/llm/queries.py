@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, merge_replay, pii, quality, simhash, token_counts
+from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, merge_replay, pii, quality, simhash, text_tries, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -83,6 +83,11 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    """Five filters over all documents in every order, by language."""
+    return text_tries.filter_audit(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
 def op12_byte_bpe(spark, sf_dir):
     """Byte-level token ids of all documents and their decoded bytes, as digests."""
     import public_tokenizers
@@ -95,7 +100,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_licenses, op2_pii, op3_quality, op4_token_counts, op5_lm_score, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup,
-        op12_byte_bpe,
+        op11_filter_audit, op12_byte_bpe,
     )
 }
 
@@ -125,4 +130,38 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN marks USING (doc_id)),
+c AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT o, step, o[step] AS f, o[1:step - 1] AS before FROM orders, unnest([1, 2, 3, 4, 5]) AS u(step)),
+r AS (
+  SELECT part, o, step, f, fails, good, toxic, n, contains(fails, f) AS here, translate(fails, before, '') <> fails AS earlier
+  FROM c, steps),
+q AS (
+  SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, f,
+         CAST(coalesce(sum(n) FILTER (NOT here AND NOT earlier), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (here AND NOT earlier), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (here AND earlier), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (fails = f), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (here AND NOT earlier AND good), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (here AND NOT earlier AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM r GROUP BY part, o, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM q""",
 }
