@@ -74,6 +74,22 @@ def test_split_in_stretches():
             assert [w for part in M.split(text, pattern, most) for w in part] == pattern.findall(text)
 
 
+def test_units_part_no_match():
+    import pyarrow as pa
+
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    signs = ["a", "é", "x1", "\u00a0", " ", " ", "  ", "\n", "\u3000", "\x85", "日", ".", "'s", "\x1f", "😀", "¿"]
+    texts = [t or "" for _, t in TEXTS] + ODD + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    for cut in (True, False):
+        found, offsets = M.units(pa.array([t.encode() for t in texts], pa.large_binary())[3:], cut)
+        pieces = [u.decode() for u in found.to_pylist()]
+        for text, a, b in zip(texts[3:], offsets[:-1], offsets[1:], strict=True):
+            assert "".join(pieces[a:b]) == text
+            assert [w for u in pieces[a:b] for w in pattern.findall(u)] == pattern.findall(text)
+            assert cut or b - a == (text != "")
+
+
 def test_replay_in_parts(monkeypatch):
     ranks = M.read_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
     table = M.MergeTable(ranks)

@@ -1,17 +1,19 @@
 """Byte-level BPE through a corpus-level replay of the merges.
 
-1. Texts are split by the tokenizer's pattern into words. A block of texts
-   (up to ``MOST`` bytes in one task) numbers its distinct words and deals them
-   out to buckets by hash, packed; every distinct word of the corpus meets in
-   one bucket, once for each block that holds it, so no word is hot.
+1. Texts are cut before spaces into units, places that no match of the
+   tokenizer's pattern crosses. A block of texts (up to ``MOST`` bytes in one
+   task) numbers its distinct units and deals them out to buckets by hash,
+   packed; every distinct unit of the corpus meets in one bucket, once for
+   each block that holds it, so none is hot. There it is split by the pattern
+   into words.
 2. A bucket's distinct words lie behind each other as one sequence of byte
    tokens with links to the left and right neighbour. An inverted index leads
    from a merge (the token that a pair of tokens makes) to the places where
    that pair stands. Merges are replayed in rank order over all words at once;
    a merge visits its places alone, and only the pairs with the touched
    neighbours are looked up and entered in the index anew.
-3. Ids go back to the blocks by position in their word tables. A text's ids
-   are those of its words in a row; decoding joins ids with the id-to-bytes
+3. Ids go back to the blocks by position in their unit tables. A text's ids
+   are those of its units in a row; decoding joins ids with the id-to-bytes
    table.
 
 Merging all places of one rank at once equals merging word by word, leftmost
@@ -49,8 +51,8 @@ from . import common as C
 from . import word_blocks as W
 
 #: Bytes of text in a block, about.
-MOST = 8 << 20
-#: Buckets of words for each partition of the texts. A bucket holds the distinct words of a fixed amount of text.
+MOST = 16 << 20
+#: Buckets of units for each partition of the texts: a bucket holds the distinct units of a fixed amount of text.
 BUCKETS = 4
 #: Bytes of distinct words that one replay holds; a bucket with more is replayed in parts.
 REPLAY_BYTES = 4 << 20
@@ -272,52 +274,65 @@ def _once(name: str, build):
     return _built[name]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, most: int):
-    """Each block: its name, a hash of what it holds, its rows, distinct words, their codes in a row and where each text's begin."""
-    compiled = _once(f"pattern {pattern}", lambda: regex.compile(pattern))
+def units(texts: pa.LargeBinaryArray, cut: bool = True) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The units of all texts in a row, and where each text's begin (one place more at the end).
+
+    Texts are cut before a space that follows a character which is certainly
+    no white space: an ASCII sign, or a two-byte character from U+00C0 on.
+    """
+    ends = np.frombuffer(texts.buffers()[1], np.int64, count=len(texts) + 1 + texts.offset)[texts.offset :]
+    data = texts.buffers()[2]
+    body = np.frombuffer(data if data is not None else b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    starts = ends[:-1][np.diff(ends) > 0]
+    if cut:
+        spaces = np.flatnonzero(body == 32)
+        spaces = spaces[spaces > 1]
+        before, lead = body[spaces - 1], body[spaces - 2]
+        sure = ((before > 32) & (before < 127)) | ((before >= 128) & (lead >= 0xC3) & (lead <= 0xDF))
+        starts = np.union1d(starts, spaces[sure])
+    bounds = np.append(starts, len(body)).astype(np.int64)
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body))])
+    return found, np.searchsorted(starts, ends)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], cut: bool, most: int):
+    """Each block: its name, a hash of what it holds, its rows, distinct units, their codes in a row and where each text's begin."""
     part = TaskContext.get().partitionId() << 24
     for number, batch in enumerate(C.blocks(batches, "text", most)):
-        check, sizes, chunks = xxhash.xxh64(), [], [pa.array([], pa.large_string())]
-        for data in batch.column("text"):
-            data = data.as_py()
-            check.update(len(data).to_bytes(8, "little") + data)
-            n = 0
-            for found in split(data.decode("utf-8", "replace"), compiled):
-                chunks.append(pa.array(found, pa.large_string()))
-                n += len(found)
-            sizes.append(n)
-        coded = pa.chunked_array(chunks).combine_chunks().dictionary_encode()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.combine_chunks()
-        offsets = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))])
-        yield part + number, check.intdigest() >> 1, batch, coded.dictionary.cast(pa.large_binary()).to_pylist(), np.asarray(coded.indices, dtype=np.int64), offsets
-
-
-def block_words(docs: DataFrame, pattern: str, buckets: int, most: int = MOST) -> DataFrame:
-    """(bucket, block, hash, codes, sizes, words): each block's distinct words of each bucket, packed."""
+        texts = C.large_binary(batch.column("text"))
+        found, offsets = units(texts, cut)
+        coded = found.dictionary_encode()
+        check = xxhash.xxh64(found.buffers()[2])
+        check.update(offsets.tobytes())
+        yield part + number, check.intdigest() >> 1, batch, coded.dictionary.to_pylist(), np.asarray(coded.indices, dtype=np.int64), offsets
+
+
+def block_units(docs: DataFrame, buckets: int, cut: bool = True, most: int = MOST) -> DataFrame:
+    """(bucket, block, hash, codes, sizes, units): each block's distinct units of each bucket, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, check, _, words, _, _ in _blocks(batches, pattern, most):
-            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+        for block, check, _, distinct, _, _ in _blocks(batches, cut, most):
+            bucket = np.fromiter((zlib.crc32(u) % buckets for u in distinct), np.int64, len(distinct))
             order = np.argsort(bucket, kind="stable")
             rows = []
             for a, b in _runs(bucket[order]):
-                mine = [words[i] for i in order[a:b].tolist()]
-                rows.append({"bucket": int(bucket[order[a]]), "block": block, "hash": check, "codes": W.pack(order[a:b]), "sizes": W.pack(np.array([len(w) for w in mine])), "words": zstandard.compress(b"".join(mine), 1)})
+                mine = [distinct[i] for i in order[a:b].tolist()]
+                rows.append({"bucket": int(bucket[order[a]]), "block": block, "hash": check, "codes": W.pack(order[a:b]), "sizes": W.pack(np.array([len(u) for u in mine])), "units": zstandard.compress(b"".join(mine), 1)})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("hash", pa.int64()), ("codes", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary())])
-    return docs.mapInArrow(run, "bucket int, block long, hash long, codes binary, sizes binary, words binary")
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("hash", pa.int64()), ("codes", pa.binary()), ("sizes", pa.binary()), ("units", pa.binary())])
+    return docs.mapInArrow(run, "bucket int, block long, hash long, codes binary, sizes binary, units binary")
 
 
-def block_texts(docs: DataFrame, pattern: str, most: int = MOST) -> DataFrame:
+def block_texts(docs: DataFrame, cut: bool = True, most: int = MOST) -> DataFrame:
     """(block, hash, all columns but text, codes) of the same blocks."""
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(["block long", "hash long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "codes binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, check, batch, _, codes, offsets in _blocks(batches, pattern, most):
+        for block, check, batch, _, codes, offsets in _blocks(batches, cut, most):
             n = batch.num_rows
             packed = [W.pack(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             columns = [pa.array(np.full(n, block)), pa.array(np.full(n, check)), *(batch.column(f.name) for f in rest), pa.array(packed, pa.binary())]
@@ -328,31 +343,50 @@ def block_texts(docs: DataFrame, pattern: str, most: int = MOST) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def replay_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """The rows of :func:`block_words` with each word's ids: (block, hash, codes, sizes, ids), packed."""
-    shared = words.sparkSession.sparkContext.broadcast(ranks)
+def encode_units(distinct: list[bytes], pattern: regex.Pattern, table: MergeTable) -> list[bytes]:
+    """Ids of each unit, as little-endian 32-bit integers: those of its words, of which each distinct one is encoded once."""
+    code: dict[str, int] = {}
+    flat, sizes = array("q"), []
+    for unit in distinct:
+        n = len(flat)
+        for found in split(unit.decode("utf-8", "replace"), pattern):
+            flat.extend([code.setdefault(w, len(code)) for w in found])
+        sizes.append(len(flat) - n)
+    known = encode_distinct([w.encode() for w in code], table)
+    words = flat.tolist()
+    out, at = [], 0
+    for n in sizes:
+        out.append(known[words[at]] if n == 1 else b"".join([known[i] for i in words[at : at + n]]))
+        at += n
+    return out
+
+
+def replay_units(packed: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """The rows of :func:`block_units` with each unit's ids: (block, hash, codes, sizes, ids), packed."""
+    shared = packed.sparkSession.sparkContext.broadcast(ranks)
     name = hashlib.sha256(repr(list(ranks.items())).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _once(f"table {name}", lambda: MergeTable(shared.value))
+        compiled = _once(f"pattern {pattern}", lambda: regex.compile(pattern))
         known: dict[bytes, bytes] = {}
         for batch in batches:
             rows = batch.to_pylist()
             lists = []
             for r in rows:
-                data, ends = zstandard.decompress(r["words"]), np.cumsum(W.unpack(r["sizes"])).tolist()
+                data, ends = zstandard.decompress(r["units"]), np.cumsum(W.unpack(r["sizes"])).tolist()
                 lists.append([data[a:b] for a, b in zip([0, *ends], ends)])
-            new = [w for w in dict.fromkeys(w for x in lists for w in x) if w not in known]
-            known.update(zip(new, encode_distinct(new, table), strict=True))
-            sizes = [W.pack(np.array([len(known[w]) // 4 for w in x])) for x in lists]
-            ids = [W.pack(np.frombuffer(b"".join([known[w] for w in x]), "<u4")) for x in lists]
+            new = [u for u in dict.fromkeys(u for x in lists for u in x) if u not in known]
+            known.update(zip(new, encode_units(new, compiled, table), strict=True))
+            sizes = [W.pack(np.array([len(known[u]) // 4 for u in x])) for x in lists]
+            ids = [W.pack(np.frombuffer(b"".join([known[u] for u in x]), "<u4")) for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("hash"), batch.column("codes"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], names=["block", "hash", "codes", "sizes", "ids"])
 
-    return words.groupBy("bucket").applyInArrow(run, "block long, hash long, codes binary, sizes binary, ids binary")
+    return packed.groupBy("bucket").applyInArrow(run, "block long, hash long, codes binary, sizes binary, ids binary")
 
 
-class WordForms:
-    """Of a block's words, by code: ids, their decimal form and the bytes they decode to."""
+class UnitForms:
+    """Of a block's units, by code: ids, their decimal form and the bytes they decode to."""
 
     def __init__(self, rows: list[dict], bytes_of: list[bytes]):
         none = [np.zeros(0, np.int64)]
@@ -371,15 +405,16 @@ class WordForms:
         return self.flat[np.arange(size.sum()) + np.repeat(self.first[codes] - np.cumsum(size) + size, size)]
 
 
-def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True) -> DataFrame:
+def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True, cut: bool = True) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded.
 
     ids_sha256 is over the decimal ids joined by one space, decoded_sha256
-    over the decoded bytes; ``decoded`` is those bytes.
+    over the decoded bytes; ``decoded`` is those bytes. Without ``cut`` a text
+    is one unit, for patterns that match across a space within a word.
     """
     ranks = read_ranks(ranks_path)
     own = docs.select(F.col(id_col).alias("doc_id"), C.text_bytes(text_col).alias("text"))
-    words = replay_words(block_words(own, pattern, max(16, BUCKETS * own.rdd.getNumPartitions())), ranks)
+    encoded = replay_units(block_units(own, max(16, BUCKETS * own.rdd.getNumPartitions()), cut), ranks, pattern)
     table = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
@@ -388,8 +423,8 @@ def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: st
     fields = [f"doc_id {id_type}", "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
     fields += ["ids array<int>"] * with_ids + ["decoded binary"] * with_text
 
-    def work(texts: pa.Table, words: list[dict]) -> pa.Table:
-        forms = WordForms(words, shared.value)
+    def work(texts: pa.Table, packed: list[dict]) -> pa.Table:
+        forms = UnitForms(packed, shared.value)
         n, shas, back, ids_out, text_out = [], [], [], [], []
         for data in texts.column("codes"):
             codes = W.unpack(data.as_py())
@@ -410,4 +445,4 @@ def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: st
             columns, names = [*columns, pa.array(text_out, pa.binary())], [*names, "decoded"]
         return pa.table(columns, names=names)
 
-    return W.with_words(block_texts(own, pattern), words, work, ", ".join(fields))
+    return W.with_words(block_texts(own, cut), encoded, work, ", ".join(fields))
