@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, licenses, lm, merge_replay, pii, quality, simhash, text_tries, token_counts
+from . import bpe, conversation_repair, decontaminate, exact_dedup, language_id, licenses, lm, merge_replay, pii, quality, simhash, text_tries, token_counts
 from . import common as C
 
 #: The public tokenizer that the pipeline and the query encode with; its file is read where it is installed.
@@ -96,11 +96,18 @@ def op12_byte_bpe(spark, sf_dir):
     return merge_replay.encode_and_decode(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False, with_text=False)
 
 
+def op13_conversation_repair(spark, sf_dir):
+    """Cheapest repairs of all conversations after damage."""
+    conversations = C.table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(conversations)
+    return conversation_repair.repair(rows, all_ids=conversations, keep_rows=False, count_col="n").summary
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_licenses, op2_pii, op3_quality, op4_token_counts, op5_lm_score, op6_simhash, op7_bpe, op8_decontaminate, op9_language_id, op10_exact_dedup,
-        op11_filter_audit, op12_byte_bpe,
+        op11_filter_audit, op12_byte_bpe, op13_conversation_repair,
     )
 }
 
