@@ -132,3 +132,34 @@ def test_simhash_edges(spark):
     stays = Counter(r.doc_id for r in S.drop_near_copies(frame(spark)).collect())
     assert stays == Counter(i for (i, _), p in zip(TEXTS, prints, strict=True) if i == names[of[p]])
     assert S.simhash_groups(empty(spark)).count() == S.drop_near_copies(empty(spark)).count() == 0
+
+
+def test_helper_columns_clash_with_none(spark):
+    """Columns with every name that the operators use themselves stay, in any case."""
+    names = ["own_sha", "GONE_ID", "gone_sha", "gone_key", "one", "filter_at", "filter_row", "filter_words", "__own_sha", "__nth", "tag", "fp"]
+    rows = [(i, t, *[f"{n}{k}" for n in names]) for k, (i, t) in enumerate([(1, "a b c"), (2, "a b c"), (2, "a b c"), (3, "something else"), (None, None), (None, "")])]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"`{n}` string" for n in names)]))
+    for drop, kept in ((X.drop_copies, [2, 3, None]), (S.drop_near_copies, [1, 3, None, None])):
+        got = drop(docs)
+        assert got.columns == docs.columns
+        left = sorted(got.collect(), key=str)
+        assert sorted((r.doc_id for r in left), key=str) == sorted(kept, key=str)
+        assert {tuple(r) for r in left} <= set(rows)
+
+
+def test_key_filter_loses_no_key(spark, monkeypatch):
+    from tracelens.llm import key_filter as K
+
+    monkeypatch.setattr(K, "LEAST_BITS", 1 << 13)
+    rng = np.random.default_rng(6)
+    keys = rng.integers(-(1 << 63), (1 << 63) - 1, 900)
+    others = rng.integers(-(1 << 63), (1 << 63) - 1, 3000)
+    rows = spark.createDataFrame([(int(k), True) for k in keys] + [(int(k), False) for k in others] + [(None, False)], "filter_at long, member boolean")
+    made = K.KeyFilter(spark.createDataFrame([(int(k),) for k in keys], "k long"))
+    maybe, rest = made.split(rows, rows["filter_at"])
+    assert made.bits == 1 << 14 and maybe.columns == rows.columns
+    assert maybe.where("member").count() == 900 and maybe.where("not member").count() < 400
+    assert maybe.count() + rest.count() == 3901
+    monkeypatch.setattr(K, "MOST_BITS", 1 << 10)
+    maybe, rest = K.KeyFilter(spark.createDataFrame([(int(k),) for k in keys], "k long")).split(rows, rows["filter_at"])
+    assert (maybe.count(), rest.count()) == (3901, 0)

@@ -10,9 +10,9 @@
    counts of equal remainders add up. A merged range holds about
    ``range_entries`` fingerprints, whatever the corpus holds.
 4. Fingerprints with a count above one route their texts to byte
-   verification. A bitmap of fixed size, the one thing broadcast, spares the
-   rest the shuffle; a bit set by another fingerprint only costs a shuffle
-   of that text, for the grouping compares whole texts.
+   verification. A bitmap over them (:mod:`key_filter`), the one thing
+   broadcast, spares the rest the shuffle; a bit set by another fingerprint
+   only costs a shuffle of that text, for the grouping compares whole texts.
 5. Byte verification groups by the whole text (pre-aggregated in each
    partition), and the verified groups go back to the rows by fingerprint
    and SHA-256, without the texts.
@@ -29,16 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from . import common as C
+from .key_filter import KeyFilter, free_names
 
 #: Fingerprints in one merged range of the filter, about.
 RANGE_ENTRIES = 1 << 20
-#: Bits of the broadcast bitmap: 4 MB, at every size of the input.
-BITMAP_BITS = 1 << 25
 #: Fingerprints that a task holds before it emits their filters.
 TASK_ENTRIES = 1 << 21
 
@@ -155,82 +153,59 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
     return filters.groupBy("part").applyInArrow(merge, "fp long, n long")
 
 
-def _bitmap(repeated: DataFrame) -> np.ndarray:
-    """Which of BITMAP_BITS positions a repeated fingerprint falls on; at most BITMAP_BITS / 64 rows reach the driver."""
-    at = F.col("fp").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    words = repeated.select(F.shiftright(at, 6).alias("word"), F.expr("shiftleft(1L, CAST(fp & 63 AS INT))").alias("bit"))
-    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bits = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
-    bits[got["word"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64)
-    return bits
-
-
-def _is_set(bits, fp: Column) -> Column:
-
-    @F.pandas_udf("boolean")
-    def test(values):
-        import pandas as pd
-
-        v = values.to_numpy(dtype=np.int64)
-        word = bits.value[(v & (BITMAP_BITS - 1)) >> 6]
-        return pd.Series((word >> (v & 63)) & 1 == 1)
-
-    return test(fp)
-
-
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows with their keys, and the groups of two or more equal texts.
 
-    Rows: (id, fp, text_sha256), a staged table. Groups: (fp, text_sha256,
-    keep_id, group_size), verified byte by byte.
+    Rows: (doc_id, fp, text_sha256, tag), a staged table; the tag tells rows
+    apart. Groups: (fp, text_sha256, keep_id, keep_tag, group_size), verified
+    byte by byte, a staged table too.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))
-    rows = stage_table(keyed.select("doc_id", "fp", F.sha2("text", 256).alias("text_sha256")), "dedup-keys")
-    repeated = repeated_fingerprints(rows, rows.count())
-    bits = spark.sparkContext.broadcast(_bitmap(repeated))
-    candidates = keyed.where(_is_set(bits, F.col("fp")))
-    verified = candidates.groupBy("fp", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    rows = stage_table(keyed.select("doc_id", "fp", F.sha2("text", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("tag")), "dedup-keys")
+    repeated = KeyFilter(stage_table(repeated_fingerprints(rows, rows.count()).select("fp"), "dedup-repeated"))
+    verified = repeated.split(keyed, F.col("fp"))[0].groupBy("fp", "text").agg(F.count(F.lit(1)).alias("group_size"))
     # Two different texts under one fingerprint and one SHA-256 would be mixed up on the way back: such a find is an error.
-    groups = verified.select("fp", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size").groupBy("fp", "text_sha256").agg(
-        F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
-    )
+    sizes = verified.select("fp", F.sha2("text", 256).alias("text_sha256"), "group_size").groupBy("fp", "text_sha256").agg(F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
     checked = F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share a fingerprint and a SHA-256")).cast("long")).otherwise(F.col("group_size"))
+    # The row that stays: the largest id; of rows repeated with it, the one with the least tag.
+    keepers = repeated.split(rows, F.col("fp"))[0].groupBy("fp", "text_sha256").agg(F.max(F.struct("doc_id", (-F.col("tag")).alias("tag"))).alias("keep"))
+    groups = sizes.withColumn("group_size", checked).where("group_size > 1").join(keepers, ["fp", "text_sha256"])
     # Staged, so that the joins with it are plain ones, which Spark splits where a text is hot.
-    return rows, stage_table(groups.withColumn("group_size", checked).where("group_size > 1").drop("texts"), "dedup-groups")
+    return rows, stage_table(groups.select("fp", "text_sha256", F.col("keep.doc_id").alias("keep_id"), (-F.col("keep.tag")).alias("keep_tag"), "group_size"), "dedup-groups")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows, groups = exact_groups(docs, id_col, text_col)
-    joined = rows.join(groups, ["fp", "text_sha256"], "left").select(
-        "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        "text_sha256",
-    )
-    same = Window.partitionBy("doc_id", "text_sha256").orderBy("keep_id")
-    first = F.row_number().over(same) == 1  # rows repeated with their id: one of them stays
-    return joined.withColumn("first", first).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("first")).alias("kept"), "text_sha256"
+    alone = F.col("group_size").isNull()
+    return rows.join(groups, ["fp", "text_sha256"], "left").select(
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("tag") == F.col("keep_tag"), F.lit(True)).alias("kept"), "text_sha256",
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without the copies that :func:`exact_dedup` drops.
 
-    Copies leave by an anti join on id and SHA-256; where one id stands for
-    several rows of the text that stays, one of those rows stays.
+    Only rows whose text can be a copy are joined; the others pass by. Copies
+    leave by an anti join on id and SHA-256. Where one id stands for several
+    rows of the text that stays, one of them stays: the one whose columns (but
+    maps) hash lowest.
     """
     rows, groups = exact_groups(docs, id_col, text_col)
-    fate = rows.join(groups, ["fp", "text_sha256"], "left")
-    dropped = fate.where("group_size is not null and not (doc_id <=> keep_id)").select(F.col("doc_id").alias("__copy_id"), F.col("text_sha256").alias("__copy_sha"))
-    again = fate.where("group_size is not null and doc_id <=> keep_id").groupBy("doc_id", "text_sha256").count().where("count > 1")
-    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    left = docs.withColumn("__own_sha", sha)
-    left = left.join(dropped, F.col(id_col).eqNullSafe(F.col("__copy_id")) & (F.col("__own_sha") == F.col("__copy_sha")), "left_anti")
-    if again.isEmpty():
-        return left.drop("__own_sha")
-    order = Window.partitionBy(id_col, "__own_sha").orderBy(F.lit(0))
-    return left.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").drop("__nth", "__own_sha")
+    fate = rows.join(groups, ["fp", "text_sha256"])
+    sha, gone_id, gone_sha, one = free_names(docs, "own_sha", "gone_id", "gone_sha", "one")
+    named = lambda df: df.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha))
+    dropped = named(fate.where("not (doc_id <=> keep_id)"))
+    again = stage_table(named(fate.where("doc_id <=> keep_id").groupBy("doc_id", "text_sha256").count().where("count > 1")), "dedup-again")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    maybe, alone = KeyFilter(groups.select("fp")).split(docs, F.xxhash64(text))
+    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(sha) == F.col(gone_sha))
+    left = maybe.withColumn(sha, F.sha2(text, 256)).join(dropped, same, "left_anti")
+    if not again.isEmpty():
+        twice = left.join(again, same, "left_semi")
+        order = F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+        single = twice.groupBy(id_col, sha).agg(F.min_by(F.struct(*docs.columns), order).alias(one)).select(f"{one}.*")
+        return alone.unionByName(left.join(again, same, "left_anti").drop(sha)).unionByName(single)
+    return alone.unionByName(left.drop(sha))

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import stage_table
 from . import common as C
 from .components import connected_components
+from .key_filter import KeyFilter, free_names
 
 BITS = 64
 #: Fingerprints in a chunk of a large key; a cell holds two chunks at most.
@@ -225,5 +226,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 3, id_co
     go together). Rows without id go if their component has a name, else they stay.
     """
     groups = _grouped(docs, shingle, distance, id_col, text_col)
-    gone = groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("__near_id"), F.col("text_key").alias("__near_key")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__near_id")) & (_text_key(text_col) == F.col("__near_key")), "left_anti")
+    gone_id, gone_key = free_names(docs, "gone_id", "gone_key")
+    gone = stage_table(groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key)).distinct(), "simhash-gone")
+    # Only rows that can be among them are joined; the others pass by.
+    maybe, stay = KeyFilter(gone.select(gone_key)).split(docs, _text_key(text_col))
+    return stay.unionByName(maybe.join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (_text_key(text_col) == F.col(gone_key)), "left_anti"))
