@@ -1,18 +1,15 @@
 """Model training and evaluation with Spark ML.
 
 Feature vectors stay distributed: a feature's dense bins become an ML vector
-column, classifiers are ``Pipeline`` stages (optional scaler + classifier),
+column, a single model is a ``Pipeline`` (optional scaler + classifier),
 cross-validation folds come from a seeded hash, predictions are a DataFrame
-and metrics are grouped aggregates.  The driver only loops over
-configurations (each fit is a distributed job) and reads bounded results: the
-fold sizes (k rows) and one metric row per grid configuration.
+and metrics are grouped aggregates.  The models of a cross-validation or a
+grid are learned together (:mod:`grid`), not one after the other.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, RandomForestClassifier
@@ -21,9 +18,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path, stage_table
+from ..session import cut_lineage, stage_table
+from . import grid
 from .metrics import auroc, confusion_metrics, mean_over_folds
-from .sampling import DEFAULT_FOLDS, k_fold, train_test
+from .sampling import DEFAULT_FOLDS, k_fold
+from .svm import SgdSvm
 
 # Classifier settings of the reference (tree depth, bins,
 # forest size) and its configuration grid.
@@ -33,21 +32,12 @@ TREE_MAX_DEPTH = 5
 TREE_MAX_BINS = 32
 FOREST_TREES = 6
 SVM_REG = 0.01
+SVM_STEP = 1.0
 SVM_ITERATIONS = 100
 SVM_TOL = 1e-3
 ENSEMBLE_FEATURE = "W-MemOffsetMode.MIN_REF-5000"
 ENSEMBLE_MEMBERS = (("dt", "std"), ("rf", None), ("svm", "std"))
 METRIC_NAMES = ("accuracy", "precision", "recall", "specificity", "f1", "auroc", "auroc_hard")
-# Fits submitted concurrently from the driver (each fit is its own Spark jobs),
-# like the ``parallelism`` parameter of Spark ML's tuning classes.
-DEFAULT_PARALLELISM = 4
-
-
-def _run_all(tasks, parallelism: int):
-    if parallelism <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda t: t(), tasks))
 
 
 def labelled_vectors(
@@ -66,7 +56,9 @@ def labelled_vectors(
 def make_classifier(name: str, seed: int = 0):
     """A fresh classifier by name (M3-M5)."""
     if name == "svm":
-        # The reference's SGD-SVM defaults: L2 0.01, 100 iterations, no intercept, tol 1e-3.
+        return SgdSvm(featuresCol="features_n", maxIter=SVM_ITERATIONS, regParam=SVM_REG, stepSize=SVM_STEP, tol=SVM_TOL, seed=seed)
+    if name == "svm_owlqn":
+        # The same loss and L2 term, minimised to convergence by Spark ML's own optimiser.
         return LinearSVC(
             featuresCol="features_n", labelCol="label", regParam=SVM_REG, maxIter=SVM_ITERATIONS,
             fitIntercept=False, tol=SVM_TOL, standardization=False,
@@ -108,30 +100,6 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return out.withColumn("score", vector_to_array(score)[1]).drop("features_n")
 
 
-def _fold_predictions(data: DataFrame, folds: Sequence[int], classifier: str, normalizer: str | None, seed: int, keys: Sequence[str], parallelism: int) -> DataFrame | None:
-    """Each fold's rows predicted by a model of the other folds; ``data`` has its fold column."""
-
-    def fold_fit(i: int):
-        def run():
-            train, test = train_test(data, i)
-            model = train_model(train, classifier, normalizer, seed)
-            return predict(model, test).select(*keys, "fold", "label", "prediction", "score")
-
-        return run
-
-    preds = None
-    for p in _run_all([fold_fit(i) for i in folds], parallelism):
-        preds = p if preds is None else preds.unionByName(p)
-    return preds
-
-
-def _usable_folds(data: DataFrame) -> list[int]:
-    """Folds with rows and with rows outside; at most k rows are read."""
-    sizes = {r["fold"]: r["n"] for r in data.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    return sorted(i for i, n in sizes.items() if 0 < n < total)
-
-
 def _fold_means(preds: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Mean metrics over folds, per group. AuROC from the classifier's score (probability, or the SVM margin) is the
     default; ``auroc_hard`` is the area of the hard 0/1 predictions (D2)."""
@@ -141,6 +109,10 @@ def _fold_means(preds: DataFrame, groups: Sequence[str]) -> DataFrame:
     return mean_over_folds(per_fold, groups, METRIC_NAMES)
 
 
+def _settings(k: int, seed: int) -> grid.Settings:
+    return grid.Settings(k=k, seed=seed, max_depth=TREE_MAX_DEPTH, max_bins=TREE_MAX_BINS, trees=FOREST_TREES, iterations=SVM_ITERATIONS, step=SVM_STEP, reg=SVM_REG, tol=SVM_TOL)
+
+
 def cross_validate(
     vectors: DataFrame,
     classifier: str,
@@ -148,23 +120,19 @@ def cross_validate(
     k: int = DEFAULT_FOLDS,
     seed: int = 0,
     key_col: str = "sample",
-    parallelism: int = DEFAULT_PARALLELISM,
 ) -> DataFrame:
     """k-fold cross-validation: per-fold metrics averaged.
 
     Folds are a seeded hash of the key, so every recomputation sees the same
-    split; the fold fits run ``parallelism`` at a time.  Returns one row with
-    the mean of each metric over folds.
+    split; the models of all folds are learned at once (:mod:`grid`). Returns
+    one row with the mean of each metric over folds, none if no fold has rows
+    both inside and outside.
     """
-    # The vectors are read by every fold's fit: checkpoint them once into the
-    # shared folder (also cuts the lineage if an executor is lost mid-loop).
-    data = cut_lineage(k_fold(vectors, key_col, k, seed))
-    preds = _fold_predictions(data, _usable_folds(data), classifier, normalizer, seed, [key_col], parallelism)
-    if preds is None:
-        return vectors.sparkSession.createDataFrame([], ", ".join(f"{m} double" for m in METRIC_NAMES))
-    # Predictions (one row per sample) feed several metric aggregates:
-    # materialise them once instead of re-running every fold's model.
-    return _fold_means(cut_lineage(preds).withColumn("_cfg", F.lit(1)), ["_cfg"]).drop("_cfg")
+    rows = k_fold(vectors, key_col, k, seed).select(
+        F.lit("").alias("feature"), F.col(key_col).alias("sample"), "fold", "label", vector_to_array("features").alias("feature_data")
+    )
+    preds = stage_table(grid.grid_predictions(rows, [classifier], [normalizer], _settings(k, seed)), "cv-predictions")
+    return _fold_means(preds, ["feature"]).drop("feature")
 
 
 def evaluate_grid(
@@ -174,42 +142,19 @@ def evaluate_grid(
     normalizers: Sequence[str | None] = NORMALIZERS,
     k: int = DEFAULT_FOLDS,
     seed: int = 0,
-    parallelism: int = DEFAULT_PARALLELISM,
 ) -> DataFrame:
     """Every feature x classifier x normaliser, cross-validated.
 
-    The labelled vectors are staged once, partitioned by feature and with
-    their folds, so a grid cell reads its feature alone. Cells run
-    ``parallelism`` at a time; a cell's predictions are staged, and one grouped
-    aggregate over all of them gives the metrics. Without ``feature_names``
-    every feature that the rows have is evaluated.
+    The models of all cells and folds are learned at once (:mod:`grid`), and
+    one grouped aggregate over all predictions gives the metrics. Without
+    ``feature_names`` every feature that the rows have is evaluated.
     """
-    spark = features.sparkSession
     rows = k_fold(features.select("sample", "feature", "feature_data", "label"), "sample", k, seed)
-    base = stage_table(rows, "grid-vectors", ("feature",))
-    if feature_names is None:
-        feature_names = sorted(r["feature"] for r in base.select("feature").distinct().collect())  # the grid's names
-    root = scratch_path(spark, f"grid-predictions-{uuid.uuid4().hex[:12]}")
-
-    def cell(feat, clf, norm):
-        def run():
-            own = base.where(F.col("feature") == feat)
-            data = labelled_vectors(own, extra=("fold",))
-            preds = _fold_predictions(data, _usable_folds(own), clf, norm, seed, ["sample"], 1)
-            if preds is not None:
-                named = preds.select(F.lit(feat).alias("feature"), F.lit(clf).alias("classifier"), F.lit(norm).cast("string").alias("normaliser"), "fold", "label", "prediction", "score")
-                named.write.mode("overwrite").parquet(f"{root}/cell={feat}-{clf}-{norm}")
-
-        return run
-
-    grid = [(f, c, n) for f in feature_names for c in classifiers for n in normalizers]
-    _run_all([cell(*g) for g in grid], parallelism)
-    schema = "feature string, classifier string, normaliser string, fold int, label double, prediction double, score double"
-    if not grid:
-        return spark.createDataFrame([], "feature string, classifier string, normaliser string, " + ", ".join(f"{m} double" for m in METRIC_NAMES))
-    preds = spark.read.schema(schema).parquet(f"{root}/*")
-    named = preds.withColumn("_norm", F.coalesce("normaliser", F.lit("None")))
-    means = _fold_means(named, ["feature", "classifier", "_norm"])
+    if feature_names is not None:
+        rows = rows.where(F.col("feature").isin(list(feature_names)))
+    preds = stage_table(grid.grid_predictions(rows, classifiers, normalizers, _settings(k, seed)), "grid-predictions")
+    # "None" stands for no normaliser, as a key of joins.
+    means = _fold_means(preds.withColumn("_norm", F.coalesce("normaliser", F.lit("None"))), ["feature", "classifier", "_norm"])
     return means.select("feature", "classifier", F.when(F.col("_norm") != "None", F.col("_norm")).alias("normaliser"), *METRIC_NAMES)
 
 

@@ -90,7 +90,7 @@ def evaluate_feature_grid(spark, sf_dir):
     """End to end: supplier traces -> chunk deltas -> dense histogram vectors
     -> labelled samples -> cross-validated grid of every feature of every chunk
     size with every classifier, raw and scaled (M1-M10), over the default folds."""
-    g = ML.evaluate_grid(_labelled_features(spark, sf_dir), k=DEFAULT_FOLDS, seed=13, parallelism=8)
+    g = ML.evaluate_grid(_labelled_features(spark, sf_dir), k=DEFAULT_FOLDS, seed=13)
     return g.select("feature", "classifier", "normaliser", *[F.round(c, 6).alias(c) for c in ML.METRIC_NAMES])
 
 
