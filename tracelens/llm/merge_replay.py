@@ -284,13 +284,15 @@ def units(texts: pa.LargeBinaryArray, cut: bool = True) -> tuple[pa.LargeBinaryA
     data = texts.buffers()[2]
     body = np.frombuffer(data if data is not None else b"", np.uint8)[ends[0] : ends[-1]]
     ends = ends - ends[0]
-    starts = ends[:-1][np.diff(ends) > 0]
+    begins = np.zeros(len(body), dtype=bool)
+    begins[ends[:-1][np.diff(ends) > 0]] = True
     if cut:
         spaces = np.flatnonzero(body == 32)
         spaces = spaces[spaces > 1]
         before, lead = body[spaces - 1], body[spaces - 2]
         sure = ((before > 32) & (before < 127)) | ((before >= 128) & (lead >= 0xC3) & (lead <= 0xDF))
-        starts = np.union1d(starts, spaces[sure])
+        begins[spaces[sure]] = True
+    starts = np.flatnonzero(begins)
     bounds = np.append(starts, len(body)).astype(np.int64)
     found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body))])
     return found, np.searchsorted(starts, ends)
