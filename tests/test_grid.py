@@ -63,6 +63,8 @@ def test_svm_equals_numpy(spark, tol, monkeypatch):
     blocks = G.vector_blocks(rows)
     facts = G.fold_facts(blocks, 3, True)
     weights = G.descend(blocks, facts, [None, "std"], s)["f"]
+    monkeypatch.setattr(G, "TASK_ROWS", 0)  # steps over all tasks
+    np.testing.assert_allclose(G.descend(blocks, facts, [None, "std"], s)["f"], weights, rtol=0, atol=1e-12)
     monkeypatch.setattr(G, "DRIVER_SUMS", 2)  # sums in stages
     np.testing.assert_allclose(G.descend(blocks, facts, [None, "std"], s)["f"], weights, rtol=0, atol=1e-12)
     fold = {r["sample"]: r["fold"] for r in rows.collect()}

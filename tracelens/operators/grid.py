@@ -18,10 +18,11 @@ table of sparse vectors, packed in blocks:
   with Poisson weights and dimensions for each node, both by seeded hashes.
 - *SVMs*: a step is one pass that adds up hinge-loss gradients of all models;
   tasks pre-add theirs, and a second stage adds those up where tasks are many.
+  Features small enough for one task take all their steps in it.
 
 To the driver come split candidates, best splits, gradient sums and weights:
 their size follows from the number of models, nodes and dimensions, not of
-rows. Jobs: some two a level and one a step, whatever the size of the grid.
+rows. Jobs: some two a level and one a step, whatever the number of models.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from ..session import stage_table
 
 #: Rows of a block, and partial sums that the driver adds up itself.
 BLOCK_ROWS, DRIVER_SUMS = 2048, 32
+#: A feature of no more rows takes all its gradient steps in one task.
+TASK_ROWS = 16_384
 #: Rows of a feature, about, that split candidates are looked for in (a fixed value of Spark ML).
 SPLIT_ROWS = 10_000
 #: Nodes with an impurity below this are pure.
@@ -119,15 +122,19 @@ def vector_blocks(rows: DataFrame) -> DataFrame:
     return stage_table(dealt.mapInArrow(run, _BLOCK), "grid-blocks")
 
 
+_KINDS = (("label", np.float64), ("fold", np.int32), ("key", np.int64), ("row", np.int32), ("index", np.int32), ("value", np.float64))
+
+
+def _block(row: dict) -> Block:
+    return Block(row["feature"], row["dims"], **{c: np.frombuffer(row[c], t) for c, t in _KINDS})
+
+
 def _each(blocks: DataFrame, work: Callable[[Iterator[Block]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                part = {c: np.frombuffer(r[c], t) for c, t in (("label", np.float64), ("fold", np.int32), ("key", np.int64), ("row", np.int32), ("index", np.int32), ("value", np.float64))}
-                yield Block(r["feature"], r["dims"], **part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work(_block(r) for batch in batches for r in batch.to_pylist())
 
-    return blocks.mapInArrow(lambda batches: work(read(batches)), schema)
+    return blocks.mapInArrow(run, schema)
 
 
 # --- what folds add up to -----------------------------------------------------
@@ -454,6 +461,63 @@ def grow_trees(blocks: DataFrame, facts: dict[str, Facts], classifiers: Sequence
 # --- SVMs ---------------------------------------------------------------------
 
 
+@dataclass
+class Descent:
+    """The SVMs of one feature on their way: a weight vector for each (normaliser, fold left out)."""
+
+    folds: np.ndarray
+    #: Factors of the dimensions that a model sees, and how many rows it learns from, on average, in a step.
+    scale: np.ndarray
+    rows: np.ndarray
+    weights: np.ndarray
+    #: Models that still move.
+    live: np.ndarray
+
+    @classmethod
+    def start(cls, x: Facts, models: Sequence[tuple[str | None, int]], s: Settings) -> Descent:
+        scale = np.stack([np.ones(x.dims) if n is None or k < 0 else x.inverse[k] for n, k in models])
+        rows = np.array([float(x.rows.sum() if k < 0 else x.train[k]) for _, k in models]) * s.batch_fraction
+        live = np.array([k < 0 or bool(x.usable[k]) for _, k in models])  # without rows to learn from, weights stay zero
+        return cls(np.array([k for _, k in models]), scale, rows, np.zeros(scale.shape), live)
+
+    def open_models(self) -> tuple[np.ndarray, np.ndarray]:
+        """Folds and weights, as they apply to vectors that are not scaled, of the models that still move."""
+        return self.folds[self.live], (self.weights * self.scale)[self.live]
+
+    def advance(self, i: int, gradient: np.ndarray, s: Settings) -> None:
+        """Step ``i`` of the models that still move, by their sums of gradients."""
+        rate, which = s.step / np.sqrt(i), np.flatnonzero(self.live)
+        old = self.weights[which]
+        new = old * (1.0 - rate * s.reg) - rate * (gradient * self.scale[which] / self.rows[which][:, None])
+        self.weights[which] = new
+        moved = np.sqrt(((new - old) ** 2).sum(axis=1))
+        if i > 1:  # the first step has nothing to be held against
+            self.live[which[moved < s.tol * np.maximum(np.sqrt((new**2).sum(axis=1)), 1.0)]] = False
+
+
+def gradients(b: Block, i: int, folds: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
+    """Sums over the block's rows of the hinge loss's gradients, by (model, dimension)."""
+    sign = 2.0 * b.label - 1.0
+    starts = np.searchsorted(b.row, np.arange(len(sign)))
+    margin = np.zeros((len(sign), len(weights)))
+    some = np.append(starts[1:], len(b.row)) > starts
+    if some.any():
+        margin[some] = np.add.reduceat(weights.T[b.index] * b.value[:, None], starts[some], axis=0)
+    learns = (b.fold[:, None] != folds[None, :]) & (sign[:, None] * margin < 1.0)
+    if s.batch_fraction < 1.0:
+        learns &= (_mixed(b.key, s.seed + 31 * i) < s.batch_fraction)[:, None]
+    coefficient = np.where(learns, -sign[:, None], 0.0)
+    out = np.zeros(weights.shape)
+    order = np.argsort(b.index, kind="stable")
+    if len(order):
+        dims, first = np.unique(b.index[order], return_index=True)
+        out[:, dims] = np.add.reduceat(coefficient[b.row[order]] * b.value[order][:, None], first, axis=0).T
+    return out
+
+
+_SUMS = pa.schema([("feature", pa.string()), ("part", pa.int64()), ("grad", pa.binary())])
+
+
 def _add_up(sums: DataFrame, tasks: int) -> DataFrame:
     """Sums (feature, part, grad) of few tasks as they are; of many, added up in Spark first, in stages of DRIVER_SUMS."""
 
@@ -463,7 +527,7 @@ def _add_up(sums: DataFrame, tasks: int) -> DataFrame:
             for data in batch.column("grad"):
                 one = np.frombuffer(data.as_py(), np.float64)
                 total = one.copy() if total is None else total + one
-        yield pa.RecordBatch.from_pydict({"feature": [key[0].as_py()], "part": [key[1].as_py()], "grad": [total.tobytes()]}, schema=pa.schema([("feature", pa.string()), ("part", pa.int64()), ("grad", pa.binary())]))
+        yield pa.RecordBatch.from_pydict({"feature": [key[0].as_py()], "part": [key[1].as_py()], "grad": [total.tobytes()]}, schema=_SUMS)
 
     while tasks > DRIVER_SUMS:
         sums = sums.groupBy("feature", F.expr(f"part div {DRIVER_SUMS}").alias("part")).applyInArrow(add, "feature string, part long, grad binary")
@@ -471,6 +535,52 @@ def _add_up(sums: DataFrame, tasks: int) -> DataFrame:
     return sums
 
 
+def _descend_in_tasks(blocks: DataFrame, given: dict[str, Descent], s: Settings) -> None:
+    """All steps of small features, each in the task that holds its blocks."""
+    shared = blocks.sparkSession.sparkContext.broadcast(given)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        feature = key[0].as_py()
+        own, held = shared.value[feature], [_block(r) for r in table.to_pylist()]
+        for i in range(1, s.iterations + 1):
+            if not own.live.any():
+                break
+            folds, weights = own.open_models()
+            own.advance(i, sum(gradients(b, i, folds, weights, s) for b in held), s)
+        return pa.table({"feature": [feature], "part": [0], "grad": [own.weights.tobytes()]}, schema=_SUMS)
+
+    mine = blocks.where(F.col("feature").isin(list(given)))
+    for r in mine.groupBy("feature").applyInArrow(run, "feature string, part long, grad binary").toLocalIterator():
+        own = given[r["feature"]]
+        own.weights = np.frombuffer(r["grad"], np.float64).reshape(own.weights.shape)
+    shared.unpersist()
+
+
+def _step(blocks: DataFrame, tasks: int, i: int, given: dict[str, Descent], s: Settings) -> None:
+    """One step of large features: every task adds up the gradients of its blocks."""
+    models = {f: d.open_models() for f, d in given.items()}
+    shared = blocks.sparkSession.sparkContext.broadcast(models)
+
+    def run(some: Iterator[Block]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        sums: dict[str, np.ndarray] = {}
+        for b in some:
+            if b.feature in shared.value:
+                found = gradients(b, i, *shared.value[b.feature], s)
+                sums[b.feature] = sums[b.feature] + found if b.feature in sums else found
+        part = TaskContext.get().partitionId()
+        for f, total in sums.items():
+            yield pa.RecordBatch.from_pydict({"feature": [f], "part": [part], "grad": [total.tobytes()]}, schema=_SUMS)
+
+    total = {f: np.zeros(w.shape) for f, (_, w) in models.items()}
+    for r in _add_up(_each(blocks, run, "feature string, part long, grad binary"), tasks).collect():
+        total[r["feature"]] += np.frombuffer(r["grad"], np.float64).reshape(total[r["feature"]].shape)
+    shared.unpersist()
+    for f, gradient in total.items():
+        given[f].advance(i, gradient, s)
+
+
 def descend(blocks: DataFrame, facts: dict[str, Facts], normalizers: Sequence[str | None], s: Settings, folds: Sequence[int] | None = None) -> dict[str, np.ndarray]:
     """Weights (normaliser, fold, dimension) of each feature's SVMs, for vectors as they are (not scaled).
 
@@ -478,70 +588,23 @@ def descend(blocks: DataFrame, facts: dict[str, Facts], normalizers: Sequence[st
     sqrt(i), weights shrunk by the L2 term first, until a step moves the
     weights by less than ``tol`` of their length. ``folds`` are those left
     out, one model each (-1: none). A batch of less than all rows is drawn by
-    a seeded hash of row and step.
+    a seeded hash of row and step. A feature of up to TASK_ROWS rows takes all
+    its steps in one task; of a larger one, every step is a pass over all tasks.
     """
     folds = list(range(s.k)) if folds is None else list(folds)
     models = [(n, k) for n in normalizers for k in folds]
-    scale = {f: np.stack([np.ones(x.dims) if n is None or k < 0 else x.inverse[k] for n, k in models]) if models else np.zeros((0, x.dims)) for f, x in facts.items()}
-    weights = {f: np.zeros((len(models), x.dims)) for f, x in facts.items()}
-    # A model without rows to learn from stays at zero.
-    live = {f: np.array([k < 0 or bool(x.usable[k]) for _, k in models]) for f, x in facts.items()}
-    out_of = np.array([k for _, k in models])
-    sc = blocks.sparkSession.sparkContext
-    tasks = blocks.rdd.getNumPartitions()
-
-    def step(i: int, given) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-        shared = sc.broadcast(given)
-
-        def run(given_blocks: Iterator[Block]) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            sums: dict[str, np.ndarray] = {}
-            for b in given_blocks:
-                mine = shared.value.get(b.feature)
-                if mine is None:
-                    continue
-                which, w = mine
-                sign = 2.0 * b.label - 1.0
-                starts = np.searchsorted(b.row, np.arange(len(sign)))
-                margin = np.zeros((len(sign), len(w)))
-                some = np.append(starts[1:], len(b.row)) > starts
-                if some.any():
-                    margin[some] = np.add.reduceat(w.T[b.index] * b.value[:, None], starts[some], axis=0)
-                learns = (b.fold[:, None] != out_of[which][None, :]) & (sign[:, None] * margin < 1.0)
-                if s.batch_fraction < 1.0:
-                    learns &= (_mixed(b.key, s.seed + 31 * i) < s.batch_fraction)[:, None]
-                coefficient = np.where(learns, -sign[:, None], 0.0)
-                total = sums.setdefault(b.feature, np.zeros((len(w), b.dims)))
-                order = np.argsort(b.index, kind="stable")
-                if len(order):
-                    dims, first = np.unique(b.index[order], return_index=True)
-                    total[:, dims] += np.add.reduceat(coefficient[b.row[order]] * b.value[order][:, None], first, axis=0).T
-            part = TaskContext.get().partitionId()
-            for f, total in sums.items():
-                yield pa.RecordBatch.from_pydict({"feature": [f], "part": [part], "grad": [total.tobytes()]}, schema=pa.schema([("feature", pa.string()), ("part", pa.int64()), ("grad", pa.binary())]))
-
-        out = {f: np.zeros_like(w) for f, (_, w) in given.items()}
-        for r in _add_up(_each(blocks, run, "feature string, part long, grad binary"), tasks).collect():
-            out[r["feature"]] += np.frombuffer(r["grad"], np.float64).reshape(out[r["feature"]].shape)
-        shared.unpersist()
-        return out
-
+    all_ = {f: Descent.start(x, models, s) for f, x in facts.items()}
+    small = {f: d for f, d in all_.items() if facts[f].rows.sum() <= TASK_ROWS}
+    large = {f: d for f, d in all_.items() if f not in small}
+    if small:
+        _descend_in_tasks(blocks, small, s)
+    tasks = blocks.rdd.getNumPartitions() if large else 0
     for i in range(1, s.iterations + 1):
-        given = {f: (np.flatnonzero(on), (weights[f] * scale[f])[on]) for f, on in live.items() if on.any()}
-        if not given:
+        moving = {f: d for f, d in large.items() if d.live.any()}
+        if not moving:
             break
-        rate = s.step / np.sqrt(i)
-        for f, gradient in step(i, given).items():
-            which, x = given[f][0], facts[f]
-            n = np.array([x.rows.sum() if k < 0 else x.train[k] for _, k in models])[which] * s.batch_fraction
-            old = weights[f][which]
-            new = old * (1.0 - rate * s.reg) - rate * (gradient * scale[f][which] / n[:, None])
-            weights[f][which] = new
-            moved = np.sqrt(((new - old) ** 2).sum(axis=1))
-            if i > 1:  # the first step has nothing to be held against
-                live[f][which[moved < s.tol * np.maximum(np.sqrt((new**2).sum(axis=1)), 1.0)]] = False
-    return {f: (w * scale[f]).reshape(len(normalizers), len(folds), -1) for f, w in weights.items()}
+        _step(blocks, tasks, i, moving, s)
+    return {f: (d.weights * d.scale).reshape(len(normalizers), len(folds), -1) for f, d in all_.items()}
 
 
 # --- the grid -----------------------------------------------------------------
