@@ -137,3 +137,22 @@ def test_card_digits_are_checked_by_luhn(spark):
     rows = [(k, "".join(map(str, rng.integers(0, 10, rng.integers(14, 21))))) for k in range(300)]
     got = {r.doc_id: len(r.base) for r in P.find_pii(frame(spark, rows)).collect()}
     assert got == {k: len(brute_pii(t)) for k, t in rows} and 0 < sum(got.values()) < 100
+
+
+def test_overlaps_with_seeds_of_any_kind(spark):
+    """Tokens beside, inside and across base spans, many in one text: none that overlaps one is an entity of its own."""
+    rng = random.Random(8)
+    parts = ["a@b.co", "x9", "10.0.0.1", "+49 170 1234567", "4111 1111 1111 1111", "(a@b.co,c@d.io)", "7", "word", "id:10.0.0.1/24", "+1-202-555-0143x"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(0, 400))) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in P.entities(docs).collect():
+        seeds = [(e.start, e.end) for e in r.entities if e.kind]
+        tokens = {(e.start, e.end) for e in r.entities if not e.kind}
+        want = set()
+        for m in re.finditer(r"(?<!\S)(?=\S*[0-9@])\S+", texts[r.doc_id]):
+            body = m.group().lstrip("".join(c for c in set(m.group()) if not c.isalnum() and c not in "+@"))
+            start = m.end() - len(body)
+            end = start + len(body.rstrip("".join(c for c in set(body) if not c.isalnum())))
+            if start < end and not any(a < end and start < b for a, b in seeds):
+                want.add((start, end))
+        assert tokens == want and len(seeds) == sum(len(getattr(r, k)) for k in P.KINDS)

@@ -127,6 +127,8 @@ def test_language_edges(spark):
     assert got[4] == got[5] == got[6] == got[9] == ("und", 0.0) and got[1][0] == "en"
     unlabelled = frame(spark).selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in I.identify_languages(unlabelled).collect()} == {"und"}
+    signs = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ ٣ _"), (3, "½ ª"), (4, "ʰ"), (5, "語")], "doc_id long, text string")
+    assert [(r.doc_id, r.lang_pred) for r in I.identify(signs, {"en": b" the of ", "fr": b" le la "}).orderBy("doc_id").collect() if r.lang_pred == "und"] == [(1, "und"), (2, "und")]
     assert I.identify_languages(empty(spark)).count() == 0
     long = spark.createDataFrame([(1, "a", "x" * 200_000)], "doc_id long, lang string, text string")
     assert len(I.references(long)["a"]) == 200_002  # a language's only row, though longer than the bound

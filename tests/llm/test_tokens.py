@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import struct
 
@@ -33,6 +34,20 @@ def test_bpe_equals_the_library(spark, monkeypatch):
     assert bpe.encode_and_decode(empty(spark), tokenizer_path()).count() == 0
 
 
+def test_other_tokenizers_are_refused(spark):
+    with pytest.raises(ValueError, match="decoder of its own"):
+        bpe.encode_and_decode(frame(spark), tokenizer_path("byte_bpe_50k.json"))
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        spec = json.load(file)
+    spaced = spec | {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+    with pytest.raises(ValueError, match="word by word"):
+        bpe.check_supported(json.dumps(spaced))
+    greedy = spec | {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}
+    with pytest.raises(ValueError, match="added tokens"):
+        bpe.check_supported(json.dumps(greedy))
+    bpe.check_supported(json.dumps(spec))
+
+
 def test_small_blocks_give_the_same(spark):
     docs = frame(spark).select("doc_id", "text")
     own = docs.selectExpr("doc_id", "coalesce(cast(text as binary), cast('' as binary)) as text")

@@ -10,7 +10,8 @@
    them into ids.
 4. Decoding joins ids with the vocabulary's id-to-piece table, by position in
    it; a text's decoded form is its pieces joined by a space, as the
-   tokenizer, which has no decoder of its own, gives them.
+   tokenizer, which has no decoder of its own, gives them. Other kinds of
+   tokenizer are refused (:func:`check_supported`).
 
 A word is in a block once whatever the skew of texts or words. The tokenizer
 and its piece table are broadcast: they are as large as the vocabulary file.
@@ -20,6 +21,7 @@ Null texts count as empty; a word that is only exotic white space has no ids.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -53,6 +55,24 @@ def _encoder(content: str):
     return _built[name]
 
 
+#: Texts that tell a tokenizer of the supported kind from others.
+PROBES = ["Hello world  two", " a\tb\r\nc ", "it's 12 x-y, isn't it?", "Éa é 日本 語 😀 ½", "\u00a0x \u3000y", "one", ""]
+
+
+def check_supported(content: str) -> None:
+    """Raises ValueError unless a text's ids are its words' ids in a row, and it decodes to its pieces joined by a space."""
+    if json.loads(content).get("decoder") is not None:
+        raise ValueError("a tokenizer with a decoder of its own is not supported: see merge_replay for byte-level ones")
+    tokenizer, table = _encoder(content), pieces(content)
+    if any(t.content.split() != [t.content] or t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values()):
+        raise ValueError("a tokenizer whose added tokens take in white space is not supported")
+    for text in PROBES:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        by_word = [i for w in text.encode().split() for i in tokenizer.encode(w.decode(), add_special_tokens=False).ids]
+        if ids != by_word or tokenizer.decode(ids, skip_special_tokens=False).encode() != b" ".join([table[i] for i in ids]):
+            raise ValueError(f"not a tokenizer that drops white space: it parts {text!r} otherwise than word by word")
+
+
 def pieces(content: str) -> list[bytes]:
     """The id-to-piece table: the piece of id i, special tokens included, at place i."""
     vocabulary = _encoder(content).get_vocab(with_added_tokens=True)
@@ -118,6 +138,7 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         content = file.read()
+    check_supported(content)
     names_of = {f"carry{i}": c for i, c in enumerate(carry)}  # so that no carried name meets one used here
     own = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(k) for k, c in names_of.items()), C.text_bytes(text_col).alias("text"))
     kept = [f for f in own.schema.fields if f.name != "text"]

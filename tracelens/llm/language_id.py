@@ -27,10 +27,9 @@ one language).
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +39,8 @@ REFERENCE_ROWS = 200
 REFERENCE_BYTES = 64 << 10
 SEGMENT = 2048
 
-_letter = re.compile(r"[^\W\d_]")
+#: Unicode category L; numerals such as ½ or Ⅷ are none.
+_letter = regex.compile(r"\p{L}")
 #: ASCII letters, bytes of other characters and the space stay.
 _KEPT = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _built: dict[int, Parser] = {}
