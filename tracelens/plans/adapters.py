@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -228,8 +228,14 @@ def write_weekly_event_files(spark: SparkSession, sf_dir: str, root: str) -> str
     from ..functions.catalog import epoch_us
 
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("uuid"), "event_id", "ts")
-    wk = F.floor(epoch_us(F.col("ts")) / F.lit(7 * 86400 * 1_000_000)).cast("long")
-    weeks = e.withColumn("w", F.format_string("%06d", wk)).repartition("w")
+    return write_weekly_files(e, epoch_us(F.col("ts")), root)
+
+
+def write_weekly_files(rows: DataFrame, us: Column, root: str) -> str:
+    """Write rows with a time (epoch microseconds), a file a week, oldest first."""
+    spark = rows.sparkSession
+    wk = F.floor(us / F.lit(7 * 86400 * 1_000_000)).cast("long")
+    weeks = rows.withColumn("w", F.format_string("%06d", wk)).repartition("w")
     weeks.write.mode("overwrite").partitionBy("w").parquet(root)
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     system = fs_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

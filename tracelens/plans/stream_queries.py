@@ -12,6 +12,7 @@ from ..operators import histogram as H
 from ..session import scratch_path
 from ..streaming import state as ST
 from ..streaming import uploads as SU
+from ..streaming import watchdog as WD
 from . import adapters as A
 from .oracle import LINEITEM_ORDER, hist_sql
 from .registry import ORACLE, register
@@ -125,3 +126,38 @@ def stream_node_liveness(spark, sf_dir):
     src = spark.readStream.schema("uuid long, event_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(glob)
     beats = src.select(F.col("uuid").alias("node"), epoch_us(F.col("ts")).alias("ts_us"))
     return ST.liveness_stream(beats, f"{root}/live", f"{root}/ckpt")
+
+
+def _watchdog(spark, sf_dir, clock_us=None):
+    """Heartbeats of events, then the orders in process as work that starts when the last heartbeat is in; a tick so much later."""
+    root = scratch_path(spark, f"stream-watch-{uuid.uuid4().hex[:8]}")
+    none = lambda kind: F.lit(None).cast(kind)
+    beats = A.table(spark, sf_dir, "events").where("user_id is not null and ts is not null").select(
+        F.lit("beat").alias("kind"), F.col("user_id").cast("long").alias("node"), none("string").alias("item"), epoch_us(F.col("ts")).alias("ts_us")
+    )
+    now = beats.agg(F.max("ts_us")).first()[0]
+    orders = A.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    starts = orders.select(F.lit("start").alias("kind"), F.col("o_custkey").cast("long").alias("node"), F.col("o_orderkey").cast("string").alias("item"), F.lit(now).alias("ts_us"))
+    rows = beats.unionByName(starts)
+    if clock_us:
+        rows = rows.unionByName(spark.range(1).select(F.lit("tick").alias("kind"), none("long").alias("node"), none("string").alias("item"), F.lit(now + clock_us).alias("ts_us")))
+    glob = A.write_weekly_files(rows, F.col("ts_us"), f"{root}/in")
+    source = spark.readStream.schema(WD.EVENTS).option("maxFilesPerTrigger", 1).parquet(glob)
+    return WD.watchdog_stream(source, f"{root}/watch", f"{root}/ckpt").withColumn("orderkey", F.col("item").cast("long"))
+
+
+@register("stream_timeout_runs", ORACLE["timeout_runs"])
+def stream_timeout_runs(spark, sf_dir):
+    """Heartbeats and work in flight stream in; work on nodes that are silent
+    for too long becomes an ERR run, the same as in the batch form (W4)."""
+    return _watchdog(spark, sf_dir).select("node", "orderkey", "status", "status_msg")
+
+
+@register("stream_all_silent", """
+WITH hb AS (SELECT user_id AS node, epoch_us(max(ts)) AS last_us FROM events WHERE user_id IS NOT NULL GROUP BY user_id),
+now AS (SELECT epoch_us(max(ts)) AS now_us FROM events WHERE user_id IS NOT NULL)
+SELECT o.o_custkey AS node, o.o_orderkey AS orderkey, greatest(now_us, coalesce(last_us + 300000001, now_us)) AS failed_at_us
+FROM orders o CROSS JOIN now LEFT JOIN hb ON hb.node = o.o_custkey WHERE o.o_orderstatus = 'P'""")
+def stream_all_silent(spark, sf_dir):
+    """The heartbeats end and only the clock goes on: the work of every node fails, at the end of its node's limit."""
+    return _watchdog(spark, sf_dir, clock_us=3600 * 1_000_000).select("node", "orderkey", "failed_at_us")

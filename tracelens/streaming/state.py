@@ -28,16 +28,16 @@ def _epoch(root: str, kind: str, run: str, epoch: int) -> str:
     return f"{root.rstrip('/')}/{kind}/run={run}/epoch={epoch}"
 
 
-def _state(spark: SparkSession, root: str, run: str, epoch: int, schema: str) -> DataFrame:
-    before = _epoch(root, "state", run, epoch - 1)
+def _state(spark: SparkSession, root: str, run: str, epoch: int, schema: str, kind: str = "state") -> DataFrame:
+    before = _epoch(root, kind, run, epoch - 1)
     if path_exists(spark, before):
         return spark.read.schema(schema).parquet(before)
     return spark.createDataFrame([], schema)
 
 
-def _keep(spark: SparkSession, state: DataFrame, root: str, run: str, epoch: int) -> None:
-    state.write.mode("overwrite").parquet(_epoch(root, "state", run, epoch))
-    remove(spark, _epoch(root, "state", run, epoch - 2))  # a replay of this epoch needs the one before it, no older one
+def _keep(spark: SparkSession, state: DataFrame, root: str, run: str, epoch: int, kind: str = "state") -> None:
+    state.write.mode("overwrite").parquet(_epoch(root, kind, run, epoch))
+    remove(spark, _epoch(root, kind, run, epoch - 2))  # a replay of this epoch needs the one before it, no older one
 
 
 def count_runs(batch: DataFrame, epoch: int, root: str, run: str = "batch") -> None:
