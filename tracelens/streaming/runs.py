@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    system, target = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(target) if f.isDirectory()) if system.exists(target) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing needs any more, if it is there."""
     system, target = _file_system(spark, path)

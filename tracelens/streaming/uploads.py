@@ -6,7 +6,7 @@ features of its traces (the same batch operators), and writes them.
 
 Each micro-batch writes under ``run=<query id>/epoch=<k>``, by overwriting:
 first its features, then the keys of its uploads, which mark them as done even
-where nothing could be extracted. A batch replayed after a failure rewrites
+where nothing could be extracted (:mod:`.done_index`). A batch replayed after a failure rewrites
 exactly its own output, and consults everything but that when skipping. The
 query id comes from the checkpoint, so a new checkpoint writes beside earlier
 runs, skips what they did, and loses nothing of it. With ``force`` uploads are
@@ -21,38 +21,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.catalog import run_ok
-from ..sources.sinks import skip_existing
-from .runs import path_exists, query_id
+from .done_index import DoneIndex
+from .runs import query_id, remove
 
 Extract = Callable[[DataFrame], DataFrame]
 KEYS = ("sample", "uuid", "run_id")
 
 
-def _done(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    """Keys of the uploads done so far, with run, epoch and time; None before the first batch."""
-    path = f"{out_dir.rstrip('/')}/done"
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+def _index(spark: SparkSession, out_dir: str, keys: Sequence[str]) -> DoneIndex:
+    return DoneIndex(spark, f"{out_dir.rstrip('/')}/done", keys)
 
 
 def process_uploads(
     batch: DataFrame, epoch: int, out_dir: str, extract: Extract, keys: Sequence[str] = KEYS, force: bool = False, run: str = "batch"
 ) -> None:
-    """One micro-batch: successful, not yet extracted uploads -> features (W1 body)."""
+    """One micro-batch: successful, not yet extracted uploads -> features (W1 body).
+
+    The batch's documents are parsed once: the uploads to do are staged, for
+    the skip, the features and the marks.
+    """
     spark = batch.sparkSession
-    todo = batch.where(run_ok(F.col("status"))).dropDuplicates(list(keys))
-    done = _done(spark, out_dir)
-    if done is not None:
-        others = done.where(~((F.col("run") == run) & (F.col("epoch") >= epoch)))
-        todo = skip_existing(todo, others, keys, force=force)
     own = f"run={run}/epoch={epoch}"
+    index, staged = _index(spark, out_dir, keys), f"{out_dir.rstrip('/')}/todo/{own}"
+    batch.where(run_ok(F.col("status"))).dropDuplicates(list(keys)).write.mode("overwrite").parquet(staged)
+    todo = spark.read.parquet(staged)
+    if not force:
+        todo = index.unseen(todo, run, epoch)
     extract(todo).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/features/{own}")
-    marks = todo.select(*keys, F.unix_micros(F.current_timestamp()).alias("done_us"))
-    marks.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/done/{own}")
+    index.mark(todo, run, epoch)
+    index.compact(run, epoch)
+    remove(spark, staged)
 
 
 def read_uploads_output(spark: SparkSession, out_dir: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Features of every upload done, each from the newest batch that did it."""
-    newest = _done(spark, out_dir).groupBy(*keys).agg(F.max(F.struct("done_us", "run", "epoch")).alias("_at"))
+    newest = _index(spark, out_dir, keys).all().groupBy(*keys).agg(F.max(F.struct("done_us", "run", "epoch")).alias("_at"))
     newest = newest.select(*keys, F.col("_at.run").alias("run"), F.col("_at.epoch").alias("epoch"))
     features = spark.read.parquet(f"{out_dir.rstrip('/')}/features")
     return features.join(newest, [*keys, "run", "epoch"], "left_semi").drop("run", "epoch")
