@@ -35,6 +35,8 @@ from . import word_blocks as W
 
 #: Words sent to the tokenizer at once.
 BATCH = 4096
+#: Bytes of text in a block: a task holds the forms of one block's words at a time.
+BLOCK = 8 << 20
 
 
 #: The tokenizer that this Python process has built: building one costs time and memory, and a worker runs many groups.
@@ -118,8 +120,7 @@ class BlockIds:
         self.flat = np.concatenate([W.unpack(r["ids"]) for r in rows] or none)
         self.first, self.size = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         self.first[order], self.size[order] = np.cumsum(size) - size, size
-        ids = self.flat.tolist()
-        self.forms = [b" ".join([table[i] for i in ids[a : a + n]]) for a, n in zip(self.first.tolist(), self.size.tolist(), strict=True)]
+        self.forms = [b" ".join([table[i] for i in self.flat[a : a + n].tolist()]) for a, n in zip(self.first.tolist(), self.size.tolist(), strict=True)]
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
         size = self.size[codes]
@@ -142,7 +143,7 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     names_of = {f"carry{i}": c for i, c in enumerate(carry)}  # so that no carried name meets one used here
     own = docs.select(F.col(id_col).alias("doc_id"), *(F.col(c).alias(k) for k, c in names_of.items()), C.text_bytes(text_col).alias("text"))
     kept = [f for f in own.schema.fields if f.name != "text"]
-    words = encode_words(W.block_words(own, W.buckets_for(own)), content)
+    words = encode_words(W.block_words(own, W.buckets_for(own), BLOCK), content)
     table = docs.sparkSession.sparkContext.broadcast(pieces(content))
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
     fields += ["ids array<int>"] * with_ids + ["decoded string"] * with_text
@@ -168,4 +169,4 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
             columns, names = [*columns, pa.array(text_out, pa.string())], [*names, "decoded"]
         return pa.table(columns, names=names)
 
-    return W.with_words(W.block_texts(own), words, work, ", ".join(fields)).withColumnsRenamed(names_of)
+    return W.with_words(W.block_texts(own, BLOCK), words, work, ", ".join(fields)).withColumnsRenamed(names_of)
