@@ -1,25 +1,20 @@
 """Feature-value distributions: pooled stats, repeated draws, KDE (H6-H8).
 
-Values are the entries of the dense feature vectors, pooled by chunk size. A
-value's identity is (sample, uuid, run id, feature, bin index), hashed once
-into three 28-bit numbers of the md5 of ``seed:identity``. Draw ``d`` ranks
-values by two sums ``a*x1 + b*x2 + c*x3 + e mod p`` (p = 2^31 - 1), the first as
-the high and the second as the low half of a 62-bit key, then by identity:
-members of a pairwise independent family over the whole identity, whose
-constants come from the seed. Values that fall together in one draw part in
-others, and no pool is too large for the key. It is long arithmetic (the sums
-stay below 2^62), so draws are reproducible and the same in any engine.
+Values are the entries of the dense feature vectors, pooled by chunk size and
+numbered in order of (sample, uuid, run id, feature, bin index). A draw takes
+the numbers to which a seeded permutation moves the first ones, so it repeats
+none, and hashes as many numbers as it draws, not all values for every draw.
+The arithmetic is that of longs and md5, the same in any engine.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_table
 
 # Fixed values of the reference's distribution report.
 DRAWS = 50
@@ -50,81 +45,71 @@ def pooled_distribution(features: DataFrame) -> DataFrame:
     )
 
 
-HASH_PRIME = (1 << 31) - 1
+#: Rounds of the position shuffle.
+ROUNDS = 48
 
 
-def draw_constants(draws: int, seed: str = "") -> list[tuple[int, ...]]:
-    """``(draw, a, b, c, e, a', b', c', e')`` per draw, derived from the seed: factors from 1 to p - 1, offsets below p."""
-    number = lambda d, name: int(hashlib.md5(f"{seed}:{name}:{d}".encode()).hexdigest()[:15], 16)
-    return [
-        (d, *(number(d, n) % HASH_PRIME if n.startswith("e") else 1 + number(d, n) % (HASH_PRIME - 1) for n in DRAW_CONSTANTS))
-        for d in range(draws)
-    ]
+def seeded_positions(sizes: DataFrame, draws: int, draw_size: int, seed: str = "") -> DataFrame:
+    """``draw_size`` distinct positions below ``_n`` for each draw and row of ``sizes`` (all of them where there are no more).
 
+    Position ``i`` of draw ``d`` is where a seeded permutation of 0..n-1 takes
+    ``i``: a swap-or-not shuffle, which is one for every n. In each round x has
+    the partner ``k - x`` mod n, and the pair changes places if a hash of its
+    larger member is odd.
+    """
+    text = lambda *parts: F.md5(F.concat_ws(":", F.lit(seed), F.col("draw"), *parts))
 
-DRAW_CONSTANTS = ("a1", "b1", "c1", "e1", "a2", "b2", "c2", "e2")
+    def round_(x: Column, r: Column) -> Column:
+        key = F.conv(F.substring(text(r), 1, 13), 16, 10).cast("long") % F.col("_n")
+        partner = (key + F.col("_n") - x) % F.col("_n")
+        odd = F.substring(text(r, F.greatest(x, partner)), 1, 1).isin(*"13579bdf")
+        return F.when(odd, partner).otherwise(x)
 
+    each = sizes.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    picked = each.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(draw_size), F.col("_n")) - 1)))
+    return picked.withColumn("position", F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.col("_i"), round_)).drop("_i")
 
-def _identity(df: DataFrame) -> Column:
-    return F.concat_ws(":", *[F.col(c).cast("string") for c in (*RUN_KEYS, "feature", "bin")])
 
+def _vector_places(vectors: DataFrame) -> DataFrame:
+    """(chunk_size, _vid, _first, _len): where each vector's values begin among those of its chunk size, in order of keys, feature and row.
 
-def _hex(text: Column, start: int) -> Column:
-    """28 bits of a hex text."""
-    return F.conv(F.substring(text, start, 7), 16, 10).cast("long")
+    Lengths are summed within ranges of that order, and the ranges' totals before each.
+    """
+    order = ["chunk_size", *RUN_KEYS, "feature", "_vid"]
+    dealt = cut_lineage(vectors.select(*order, F.size("feature_data").cast("long").alias("_len")).where("_len > 0").repartitionByRange(*order).withColumn("_b", F.spark_partition_id()))
+    per = dealt.groupBy("chunk_size", "_b").agg(F.sum("_len").alias("_bl"))
+    before = Window.partitionBy("chunk_size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("chunk_size", "_b", F.coalesce(F.sum("_bl").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("chunk_size", "_b").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn("_in", F.coalesce(F.sum("_len").over(within), F.lit(0))).join(offsets, ["chunk_size", "_b"]).select("chunk_size", "_vid", (F.col("_off") + F.col("_in")).alias("_first"), "_len")
 
 
-def repeated_samples(
-    features: DataFrame, draws: int = DRAWS, draw_size: int = DRAW_SIZE, seed: str = "", oversample: float = 3.0
-) -> DataFrame:
+def repeated_samples(features: DataFrame, draws: int = DRAWS, draw_size: int = DRAW_SIZE, seed: str = "") -> DataFrame:
     """``draws`` independent draws of ``draw_size`` values per chunk size,
     without replacement inside a draw (H7).
 
-    Each draw keeps the values with the smallest draw key (module docstring).
-    The vectors are checkpointed as they are, one row a feature; values are
-    hashed and expanded over the draws inside the scan of those, and every
-    (value, draw) pair is thinned to keys under about
-    ``oversample * draw_size / n`` of the range (the smallest keys are exactly
-    the ones kept), so only a few hundred rows per draw are ever written,
-    shuffled and ranked. If a draw comes out short the threshold is widened and
-    the draw recomputed; nothing is capped.
+    Positions are drawn, not values: see :func:`seeded_positions`. The vectors
+    are staged once; a position leads to its vector through prefix sums of
+    lengths, by an equi-join on cells as wide as the longest vector. What is
+    broadcast are the positions, draws x draw_size a chunk size, whatever the
+    number of values; no vector is shuffled.
     Output adds ``sampled_pct = draws * draw_size / n * 100``.
     """
-    vectors = cut_lineage(features.select(*RUN_KEYS, "feature", "feature_data"))
-    size = F.regexp_extract("feature", r"-([0-9]+)$", 1).cast("long").alias("chunk_size")
-    n_per = vectors.groupBy(size).agg(F.sum(F.size("feature_data")).cast("long").alias("_n"))
-    sizes = {r["chunk_size"]: r["_n"] for r in n_per.collect()}  # one row per chunk size
-    consts = F.array(*[
-        F.struct(F.lit(d).alias("draw"), *[F.lit(v).cast("long").alias(f"_{n}") for n, v in zip(DRAW_CONSTANTS, values)])
-        for d, *values in draw_constants(draws, seed)
-    ])
-    pooled = pooled_values(vectors)
-    hashed = pooled.withColumn("_md5", F.md5(F.concat_ws(":", F.lit(seed), _identity(pooled))))
-    hashed = hashed.select(*pooled.columns, *[_hex(F.col("_md5"), 1 + 7 * i).alias(f"_x{i + 1}") for i in range(3)])
-    half = lambda k: F.pmod(
-        F.col(f"_a{k}") * F.col("_x1") + F.col(f"_b{k}") * F.col("_x2") + F.col(f"_c{k}") * F.col("_x3") + F.col(f"_e{k}"), F.lit(HASH_PRIME)
+    vectors = stage_table(
+        features.select(F.regexp_extract("feature", r"-([0-9]+)$", 1).cast("long").alias("chunk_size"), *RUN_KEYS, "feature", "feature_data", F.monotonically_increasing_id().alias("_vid")), "draw-vectors"
     )
-    factor = oversample
-    while True:
-        frac = F.least(F.lit(1.0), F.lit(factor * draw_size) / F.col("_n"))
-        limit = (frac * F.lit(float(HASH_PRIME))).cast("long") + F.lit(1)
-        expanded = hashed.join(F.broadcast(n_per), "chunk_size").select("*", F.inline(consts))
-        near = expanded.withColumn("_high", half(1)).where(F.col("_high") < limit).withColumn("_h", F.col("_high") * F.lit(1 << 31) + half(2))
-        # The thinned draws are small (about oversample x draw_size rows per draw):
-        # materialise them once so the check and the ranking read the same rows.
-        thin = cut_lineage(near.select(*pooled.columns, "_n", "draw", "_h"))
-        # One row per (chunk size, draw): a bounded check, then widen if short.
-        kept = thin.groupBy("chunk_size", "draw").agg(F.count(F.lit(1)).alias("_k")).collect()
-        complete = len(kept) == len(sizes) * draws and all(
-            r["_k"] >= min(sizes[r["chunk_size"]], draw_size) for r in kept
-        )
-        if complete or factor * draw_size >= max(sizes.values(), default=0):
-            break
-        factor *= 4
-    w = Window.partitionBy("chunk_size", "draw").orderBy("_h", *RUN_KEYS, "feature", "bin")
-    ranked = thin.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= draw_size)
-    return ranked.select(
-        "chunk_size", "draw", *RUN_KEYS, "feature", "bin", "value",
+    size = F.size("feature_data")
+    sizes = vectors.where(size > 0).groupBy("chunk_size").agg(F.sum(size).cast("long").alias("_n"), F.max(size).cast("long").alias("_wide"))
+    positions = seeded_positions(stage_table(sizes, "draw-sizes"), draws, draw_size, seed)
+    positions = stage_table(positions.withColumn("_cell", F.expr("position div _wide")), "draw-positions")
+    wide = positions.select("chunk_size", "_wide").distinct()
+    places = _vector_places(vectors).join(F.broadcast(wide), "chunk_size")
+    cells = places.withColumn("_cell", F.explode(F.sequence(F.expr("_first div _wide"), F.expr("(_first + _len - 1) div _wide")))).drop("_wide")
+    inside = (F.col("position") >= F.col("_first")) & (F.col("position") < F.col("_first") + F.col("_len"))
+    picked = cells.join(F.broadcast(positions.drop("_wide")), ["chunk_size", "_cell"]).where(inside)
+    picked = stage_table(picked.select("_vid", "draw", "_n", (F.col("position") - F.col("_first")).cast("int").alias("bin")), "draw-picks")
+    return vectors.join(F.broadcast(picked), "_vid").select(
+        "chunk_size", "draw", *RUN_KEYS, "feature", "bin", F.get("feature_data", F.col("bin")).alias("value"),
         (F.lit(float(draws * draw_size)) / F.col("_n") * F.lit(100.0)).alias("sampled_pct"),
     )
 

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import safe_div
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_table
 
+#: Distinct scores in one window of :func:`auroc`, about.
+SCORES_A_BUCKET = 1 << 16
 METRIC_COLS = ("accuracy", "precision", "recall", "specificity", "f1", "auroc")
 
 
@@ -61,7 +63,7 @@ def auroc(
     score: str = "score",
     label: str = "label",
     groups: Sequence[str] = (),
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve of real-valued scores.
 
@@ -70,8 +72,9 @@ def auroc(
 
     Rows are first combined per distinct (group, score). The running count of
     negatives below each score is two-level: the distinct scores are dealt out
-    by range of (group, score) into ``n_buckets`` partitions of similar size,
-    whatever the distribution, and staged, so that a partition is a bucket.
+    by range of (group, score) into ``n_buckets`` partitions of similar size (by
+    default one for each SCORES_A_BUCKET of them), whatever the distribution,
+    and staged, so that a partition is a bucket.
     The small per-bucket table gets prefix offsets, and the window over
     distinct scores runs inside one bucket at a time. Equal scores share a
     bucket, so ties are exact. Null groups are groups like any other.
@@ -82,7 +85,9 @@ def auroc(
     per_score = df.groupBy(key.alias("_g"), F.col(score).cast("double").alias("_s")).agg(
         F.count_if(lab == 1.0).alias("_p"), F.count_if(lab == 0.0).alias("_n")
     )
-    b = cut_lineage(per_score.repartitionByRange(n_buckets, "_g", "_s").withColumn("_b", F.spark_partition_id().cast("long")))
+    per_score = stage_table(per_score, "auroc-scores")  # read to count, to find the ranges, and to deal
+    buckets = n_buckets or max(1, -(-per_score.count() // SCORES_A_BUCKET))
+    b = cut_lineage(per_score.repartitionByRange(buckets, "_g", "_s").withColumn("_b", F.spark_partition_id().cast("long")))
     per_bucket = b.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"))
     before_b = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select("_g", "_b", F.coalesce(F.sum("_bn").over(before_b), F.lit(0)).alias("_off"))

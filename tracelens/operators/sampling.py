@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as LF
+from ..session import stage_table
 from .rank import ordered_positions
 
 HASH_BUCKET_BITS = 20
@@ -108,17 +109,38 @@ def overlapping_subsets(
 ) -> DataFrame:
     """``n_sets`` class-balanced subsets, each ``floor(class/3)`` rows per class,
     no repeats inside a set, overlap between sets (U5).  Adds ``set_id``."""
-    exploded = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_sets - 1))).alias("set_id"))
+    inside, edge = _subset_parts(df, n_sets, label_col, key_col, fraction_den, seed)
+    return inside.unionByName(edge)
+
+
+#: Leading bits of the hash that place a row before, in or behind the last bucket of a subset.
+CUT_BITS = 12
+
+
+def _subset_parts(df: DataFrame, n_sets: int, label_col: str, key_col: str, fraction_den: int, seed: str | int) -> tuple[DataFrame, DataFrame]:
+    """The rows that are in a subset by their hash alone, and those of the bucket that its size cuts.
+
+    Hash buckets of each (set, class) are counted, map-side first; where the
+    running count meets the subset's size lies the cut. Rows before it are
+    taken in the scan. Only rows of the cut's bucket, one in 2^CUT_BITS, are
+    shuffled and ranked.
+    """
+    held = stage_table(df, "subset-rows")  # read three times
+    exploded = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_sets - 1))).alias("set_id"))
     keyed = exploded.withColumn("_sk", F.concat_ws(":", F.col("set_id").cast("string"), F.col(key_col).cast("string")))
-    ranked, totals = hash_rank(keyed, ["set_id", label_col], "_sk", seed, pos_col="_r", with_totals=True)
-    # Every set holds every row once, so any set's class sizes are the class sizes;
-    # the (set, class) table has n_sets x classes rows.
-    limits = totals.select(
-        "set_id", label_col, F.floor(F.min("n").over(Window.partitionBy()) / F.lit(fraction_den)).alias("_size")
-    )
-    return ranked.join(limits, on=["set_id", label_col]).where(F.col("_r") <= F.col("_size")).drop(
-        "_r", "_h", "_sk", "_size"
-    )
+    keyed = keyed.withColumn("_top", F.shiftright(_hash_prefix(hash_key(F.col("_sk"), seed)), 60 - CUT_BITS))
+    counts = stage_table(keyed.groupBy("set_id", label_col, "_top").agg(F.count(F.lit(1)).alias("_n")), "subset-counts")
+    # Every set holds every row once: n_sets x classes rows, at most 2^CUT_BITS counts each.
+    totals = counts.groupBy("set_id", label_col).agg(F.sum("_n").alias("_total"))
+    size = F.floor(F.min("_total").over(Window.partitionBy("set_id")) / F.lit(fraction_den)).alias("_size")
+    order = Window.partitionBy("set_id", label_col).orderBy("_top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("_upto", F.sum("_n").over(order)).join(totals.select("set_id", label_col, size), ["set_id", label_col])
+    cuts = running.where("_upto >= _size").groupBy("set_id", label_col).agg(F.min(F.struct("_top", F.col("_size") - F.col("_upto") + F.col("_n"))).alias("_c"))
+    cuts = stage_table(cuts.select("set_id", label_col, F.col("_c._top").alias("_cut"), F.col("_c.col2").alias("_rest")), "subset-cuts")
+    placed = keyed.join(F.broadcast(cuts), ["set_id", label_col])
+    columns = [*df.columns, "set_id"]
+    ranked = hash_rank(placed.where("_top = _cut"), ["set_id", label_col], "_sk", seed, pos_col="_r")
+    return placed.where("_top < _cut").select(columns), ranked.where("_r <= _rest").select(columns)
 
 
 def in_flight_union(*id_sets: DataFrame, col: str = "sample") -> DataFrame:

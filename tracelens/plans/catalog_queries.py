@@ -495,7 +495,7 @@ SELECT lang, CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(n) AS BIGINT) AS n_neg,
 FROM cum GROUP BY lang""")
 def auroc_scores(spark, sf_dir):
     """Exact AuROC of document length as a quality score, per language, ties averaged."""
-    a = M.auroc(_pairs(spark, sf_dir), "score", "label", ["lang"], n_buckets=16)
+    a = M.auroc(_pairs(spark, sf_dir), "score", "label", ["lang"])
     return a.select("lang", "n_pos", "n_neg", _r6(F.col("auroc")).alias("auroc"))
 
 

@@ -35,24 +35,24 @@ def pooled_distribution(spark, sf_dir):
     return D.pooled_distribution(_features(spark, sf_dir))
 
 
-_DRAWS_SQL = _VALS + """,
+_DRAWS_SQL = _VALS.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
 nper AS (SELECT chunk_size, count(*) AS n FROM vals GROUP BY chunk_size),
-hx AS (
-  SELECT m.*, ('0x' || substr(m5, 1, 7))::BIGINT AS x1, ('0x' || substr(m5, 8, 7))::BIGINT AS x2, ('0x' || substr(m5, 15, 7))::BIGINT AS x3
-  FROM (SELECT v.*, md5(':' || v.sample || ':u0:0:' || v.feature || ':' || CAST(v.bin AS VARCHAR)) AS m5 FROM vals v) m),
-dc(draw, a1, b1, c1, e1, a2, b2, c2, e2) AS (VALUES {DRAW_CONSTANTS}),
-dr AS (
-  SELECT hx.*, CAST(dc.draw AS INTEGER) AS draw,
-         ((a1 * x1 + b1 * x2 + c1 * x3 + e1) % 2147483647) * 2147483648 + (a2 * x1 + b2 * x2 + c2 * x3 + e2) % 2147483647 AS h
-  FROM hx CROSS JOIN dc),
-rk AS (SELECT *, row_number() OVER (PARTITION BY chunk_size, draw ORDER BY h, sample, feature, bin) AS r FROM dr)""".replace(
-    "{DRAW_CONSTANTS}", ", ".join(f"({d}, {', '.join(f'CAST({v} AS BIGINT)' for v in values)})" for d, *values in D.draw_constants(D.DRAWS))
-)
+numbered AS (SELECT *, row_number() OVER (PARTITION BY chunk_size ORDER BY sample, feature, bin) - 1 AS position FROM vals),
+shuffled AS (
+  SELECT chunk_size, n, CAST(d.draw AS INTEGER) AS draw, i.i AS slot, 0 AS r, CAST(i.i AS BIGINT) AS x
+  FROM nper CROSS JOIN range(0, {D.DRAWS}) d(draw) CROSS JOIN range(0, {D.DRAW_SIZE}) i(i) WHERE i.i < n
+  UNION ALL
+  SELECT chunk_size, n, draw, slot, r + 1,
+         CASE WHEN substr(md5(':' || draw || ':' || r || ':' || greatest(x, y)), 1, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f') THEN y ELSE x END
+  FROM (SELECT *, ((('0x' || substr(md5(':' || draw || ':' || r), 1, 13))::BIGINT % n) + n - x) % n AS y FROM shuffled WHERE r < {D.ROUNDS})),
+sel AS (
+  SELECT v.*, s.draw, s.n FROM numbered v JOIN (SELECT * FROM shuffled WHERE r = {D.ROUNDS}) s
+  ON s.chunk_size = v.chunk_size AND s.x = v.position)"""
 
 
 @register("repeated_samples", _DRAWS_SQL + """
-SELECT rk.chunk_size, draw, sample, feature, bin, value, round(50 * 150 / CAST(nper.n AS DOUBLE) * 100, 6) AS sampled_pct
-FROM rk JOIN nper USING (chunk_size) WHERE r <= 150""")
+SELECT chunk_size, draw, sample, feature, bin, value, round(50 * 150 / CAST(n AS DOUBLE) * 100, 6) AS sampled_pct
+FROM sel""")
 def repeated_samples(spark, sf_dir):
     """50 seeded draws of 150 pooled values per chunk size, no repeats within a draw (H7)."""
     r = D.repeated_samples(_features(spark, sf_dir))
@@ -63,18 +63,18 @@ def repeated_samples(spark, sf_dir):
 
 
 @register("kde_curve", _DRAWS_SQL + """,
-sel AS (SELECT chunk_size, draw, CAST(value AS DOUBLE) AS v FROM rk WHERE r <= 150),
+drawn AS (SELECT chunk_size, draw, CAST(value AS DOUBLE) AS v FROM sel),
 per AS (
   SELECT chunk_size, draw, count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
          stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw
-  FROM sel GROUP BY chunk_size, draw),
+  FROM drawn GROUP BY chunk_size, draw),
 grid AS (
   SELECT per.*, CAST(g.i AS INTEGER) AS gi,
          (lo - 3.0 * bw) + g.i * ((hi - lo + 6.0 * bw) / 99) AS x
   FROM per CROSS JOIN range(0, 100) g(i))
 SELECT grid.chunk_size, grid.draw, gi, round(x, 6) AS x,
-       round(CASE WHEN bw > 0 THEN sum(exp(-0.5 * pow((x - sel.v) / bw, 2.0))) * (1.0 / sqrt(2 * pi())) / (n * bw) END, 9) AS density
-FROM grid JOIN sel USING (chunk_size, draw)
+       round(CASE WHEN bw > 0 THEN sum(exp(-0.5 * pow((x - drawn.v) / bw, 2.0))) * (1.0 / sqrt(2 * pi())) / (n * bw) END, 9) AS density
+FROM grid JOIN drawn USING (chunk_size, draw)
 GROUP BY grid.chunk_size, grid.draw, gi, x, bw, n""")
 def kde_curve(spark, sf_dir):
     """Gaussian KDE of every draw on a 100-point grid, Scott bandwidth (H8)."""
