@@ -30,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -37,22 +38,31 @@ DEFAULT_BUCKET_ROWS = 1 << 20
 _NULL_BUCKET = -(1 << 62)
 
 
-def _bucket(order_col: str, bucket_rows: int) -> Column:
-    # Rows without an order value come first, in a bucket of their own.
-    return F.coalesce(F.floor(F.col(order_col) / F.lit(bucket_rows)).cast("long"), F.lit(_NULL_BUCKET))
+def _bucket(base: DataFrame, order_cols: Sequence[str], bucket_rows: int) -> Column:
+    """The bucket of a row: a number, or with ``bucket_rows=1`` and a second whole-number order column a pair.
+
+    Such a pair is (split, row div DEFAULT_BUCKET_ROWS): a file that can't be
+    split, however long, lies in as many buckets as it fills. Rows without an
+    order value come first, in a bucket of their own.
+    """
+    cut = lambda col, rows: F.coalesce(F.floor(F.col(col) / F.lit(rows)).cast("long"), F.lit(_NULL_BUCKET))
+    first = cut(order_cols[0], bucket_rows)
+    if bucket_rows > 1 or len(order_cols) < 2 or not isinstance(base.schema[order_cols[1]].dataType, T.IntegralType):
+        return first
+    return F.struct(first.alias("split"), cut(order_cols[1], DEFAULT_BUCKET_ROWS).alias("block"))
 
 
 def _with_buckets(base: DataFrame, order_cols: Sequence[str], bucket_rows: int, adaptive: bool) -> DataFrame:
     """Add ``_b`` to rows keyed by ``_k``.
 
-    Fixed: ``order_col div bucket_rows`` - right when the order column is a
+    Fixed: ``order_col div bucket_rows`` (see :func:`_bucket`) - right when the order column is a
     dense position such as a line number. Adaptive: the rows are dealt out by
     range of (key, order columns) into partitions of about ``bucket_rows`` rows
     and staged, and the partition is the bucket, so buckets are even whatever
     the spread of the order values.
     """
     if not adaptive:
-        return base.withColumn("_b", _bucket(order_cols[0], bucket_rows))
+        return base.withColumn("_b", _bucket(base, order_cols, bucket_rows))
     spark = base.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // bucket_rows))
     dealt = base.repartitionByRange(parts, "_k", *order_cols)

@@ -82,10 +82,22 @@ def sample_set_file(spark, sf_dir):
     """Sample set exported as its JSON document and read back as rows."""
     root = scratch_path(spark, f"set-{uuid.uuid4().hex[:8]}")
     feats = A.order_features(spark, sf_dir).where(F.col("n_feature_sets") > 0)
-    K.write_sample_set(L.sample_set_document(L.build_sample_set(_resolved(spark, sf_dir), feats, "all")), root)
+    K.export_sample_set(L.build_sample_set(_resolved(spark, sf_dir), feats, "all"), root)
     return R.read_sample_set(spark, root)
 
 
+@register("sample_set_rows", f"""WITH {RESOLVED}, {FEATURES},
+featured AS (SELECT * FROM resolved WHERE sample IN (SELECT sample FROM features WHERE n_feature_sets > 0)),
+{BALANCED.format(src='featured')}
+SELECT 'all' AS name, sample, label_value AS label FROM balanced""")
+def sample_set_rows(spark, sf_dir):
+    """Sample set kept as rows by (name, label), and read back."""
+    root = scratch_path(spark, f"set-rows-{uuid.uuid4().hex[:8]}")
+    feats = A.order_features(spark, sf_dir).where(F.col("n_feature_sets") > 0)
+    K.write_sample_set_rows(L.build_sample_set(_resolved(spark, sf_dir), feats, "all"), root)
+    return R.read_sample_set_rows(spark, root, "all")
+
+
 @register("metrics_file", f"""WITH {PAIRS}
 SELECT lang || '/None' AS feature,
        CAST((count(*) FILTER (WHERE label = prediction)) AS DOUBLE) / count(*) AS accuracy
@@ -160,3 +172,17 @@ def train_test_split(spark, sf_dir):
     rows = SMP.k_fold(A.embedding_vectors(spark, sf_dir).select("sample"), "sample", 5, 3, method="md5")
     train, test = SMP.train_test(rows, 2)
     return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
+
+
+@register("samples_from_folder", "SELECT sha256(CAST(c_custkey AS VARCHAR) || ':' || c_name) AS sample, CAST(strlen(CAST(c_custkey AS VARCHAR) || ':' || c_name) AS BIGINT) AS length, n_name AS source FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
+def samples_from_folder(spark, sf_dir):
+    """Binary samples named by their hash, and a metadata document beside each: files written, then read by the readers, verified and joined."""
+    c, n = A.table(spark, sf_dir, "customer"), A.table(spark, sf_dir, "nation")
+    body = F.concat_ws(":", F.col("c_custkey").cast("string"), "c_name")
+    rows = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select(F.sha2(body, 256).alias("sample"), body.alias("content"), F.col("n_name").alias("source"), F.lit("32").alias("arch"))
+    root = scratch_path(spark, f"samples-{uuid.uuid4().hex[:8]}")
+    docs = K.metadata_document(rows).select("sample", "value")
+    K.write_named_files(rows.select(F.col("sample").alias("file"), "content"), f"{root}/samples")
+    K.write_named_files(docs.select(F.concat("sample", F.lit(".json")).alias("file"), F.col("value").alias("content")), f"{root}/metadata")
+    meta = R.read_sample_metadata(spark, f"{root}/metadata").select("sample", "source")
+    return R.read_samples(spark, f"{root}/samples").select("sample", "length").join(meta, "sample")

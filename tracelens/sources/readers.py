@@ -119,7 +119,8 @@ def read_trace_lines(spark: SparkSession, paths: str | Sequence[str], dense_seq:
 
     * ``dense_seq=False`` returns ``(path, split_start, split_row, value)``
       from a single scan; rank with ``order_cols=("split_start",
-      "split_row")`` and ``bucket_rows=1`` (one bucket per split).
+      "split_row")`` and ``bucket_rows=1`` (a bucket per 2^20 lines of a split,
+      so that a gz file, which is one split, is no single group).
     * ``dense_seq=True`` (default) adds ``seq``, the 0-based line number in
       the file, from a per-split line count (one row per split) - a second,
       cheap pass over the text.
@@ -274,6 +275,12 @@ def read_features(
     )
 
 
+def read_sample_set_rows(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """``(name, sample, label)`` of a set kept as rows (:func:`.sinks.write_sample_set_rows`); one set's folders only, if named."""
+    rows = spark.read.parquet(f"{path.rstrip('/')}/rows").select("name", "sample", "label")
+    return rows if name is None else rows.where(F.col("name") == name)
+
+
 def read_sample_set(spark: SparkSession, path: str) -> DataFrame:
     """Sample set JSON -> ``(name, sample, label)`` rows."""
     raw = spark.read.schema(SAMPLE_SET).json(path)

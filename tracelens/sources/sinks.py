@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.catalog import METADATA_VERSION_KEY
 from ..functions.redact import redact_sample_document
 from ..operators.chunks import FEATURE_FAMILY, FEATURE_VERSION
+from ..operators.labelling import sample_set_document
 from ..operators.metrics import metrics_csv
 
 
@@ -157,9 +158,40 @@ def write_feature_documents(docs: DataFrame, path: str) -> None:
     keyed.repartition("s", "u", "r").write.mode("overwrite").partitionBy("s", "u", "r").json(path)
 
 
+#: Ids in one file of a sample set, about, and in a set's JSON document, at most.
+SET_FILE_ROWS, SET_DOCUMENT_ROWS = 250_000, 1_000_000
+
+
+def write_sample_set_rows(sample_set: DataFrame, path: str) -> None:
+    """Sample sets ``(name, sample, label)`` as rows, partitioned by name and label, with a manifest of their sizes (K6).
+
+    A member goes to one of as many files as its (name, label) fills, by a
+    hash of its id; no task holds a set.
+    """
+    root = path.rstrip("/")
+    sizes = sample_set.groupBy("name", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes.write.mode("overwrite").parquet(f"{root}/manifest")
+    files = sample_set.sparkSession.read.parquet(f"{root}/manifest").select("name", "label", F.ceil(F.col("n") / F.lit(SET_FILE_ROWS)).alias("_files"))
+    # One row a (name, label): a small side, which Spark broadcasts by its measured size.
+    dealt = sample_set.join(files, ["name", "label"]).withColumn("_file", F.pmod(F.xxhash64("sample"), F.col("_files")))
+    dealt.repartition("name", "label", "_file").drop("_files", "_file").write.mode("overwrite").partitionBy("name", "label").parquet(f"{root}/rows")
+
+
+def export_sample_set(sample_set: DataFrame, path: str, tags: Sequence[str] = (), most: int = SET_DOCUMENT_ROWS) -> None:
+    """Each set as one JSON document ``{name, tags, data: {benign, malware}}`` (K6), for sets of at most ``most`` ids.
+
+    The document is a single value, which one task has to hold: larger sets
+    are refused and stay rows.
+    """
+    largest = sample_set.groupBy("name").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"a sample set of {largest} ids is too large for one document: keep it as rows")
+    write_sample_set(sample_set_document(sample_set, list(tags)), path)
+
+
 def write_sample_set(doc: DataFrame, path: str) -> None:
-    """Sample set JSON ``{name, tags, data: {benign, malware}}`` (K6)."""
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    """Sample set documents ``{name, tags, data: {benign, malware}}``, a line each (K6)."""
+    doc.write.mode("overwrite").json(path)
 
 
 def write_metrics_csv(metrics: DataFrame, path: str, label_cols: Sequence[str] = ("feature", "classifier", "normaliser")) -> None:
@@ -178,6 +210,39 @@ def rebuild_tables(tables: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
 
 
+def write_named_files(files: DataFrame, path: str) -> None:
+    """Rows (file, content) as a file each, in one folder, under their own names.
+
+    Each task writes its rows through the Arrow file system of the path, to a
+    hidden name first and then renamed, so a task that runs again leaves no
+    half file. For samples and documents, which other tools know by their names.
+    """
+    from pyspark.errors import PySparkValueError
+
+    if "://" in path and not path.startswith("file:"):
+        scheme = path.split("://", 1)[0]
+        if scheme not in ("hdfs", "s3", "gs", "abfs", "abfss"):
+            raise PySparkValueError(f"no named files on {scheme}")
+
+    def run(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path if ":" in path.split("/", 1)[0] else f"file://{path}")
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hidden = f"{root}/.{name}-{uuid.uuid4().hex[:8]}"
+                with system.open_output_stream(hidden) as out:
+                    out.write(content)
+                system.move(hidden, f"{root}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    files.select("file", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def metadata_document(df: DataFrame, version: str = "0.0.1", version_key: str = METADATA_VERSION_KEY) -> DataFrame:
     """Sample metadata JSON; optional vti / label / existing only when present."""
     cols = [F.col("source"), F.col("arch"), F.lit(version).alias(version_key)]
