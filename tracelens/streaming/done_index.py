@@ -1,13 +1,13 @@
 """Which keys are done: marks in buckets by key hash, compacted, with a Bloom filter a bucket.
 
-Every epoch writes its marks as a delta, ``delta/run=<r>/epoch=<k>/bucket=<b>``.
-When ``COMPACT_EPOCHS`` deltas have come together, the buckets that they touch
+Every epoch writes its marks as a delta, ``delta/run=<r>/epoch=<k>``, a few files
+in order of buckets. When ``COMPACT_EPOCHS`` deltas have come together, the buckets that they touch
 are rewritten, each from its marks so far and the new ones, as ``base/v=<n>``;
 the other buckets stay in the versions that they are in. ``manifest/v=<n>`` is
 written last and makes version n the current one: it says for each bucket its
 version, holds its Bloom filter, and names the deltas that are in. A batch
-opens, of the base, the buckets whose filter its keys hit, and of the few
-deltas outside the base, the buckets that its keys hash to.
+opens, of the base, the buckets whose filter its keys hit, and the few deltas
+outside the base, of which it takes the buckets that its keys hash to.
 
 A compaction that fails before its manifest leaves the version before it
 current. A replayed epoch overwrites its own delta, and consults no mark of its
@@ -74,7 +74,7 @@ class DoneIndex:
         parts = []
         for run, epoch in deltas:
             path = f"{self.root}/delta/run={run}/epoch={epoch}"
-            if path_exists(self.spark, f"{path}/_SUCCESS") and any(c.startswith("bucket=") for c in children(self.spark, path)):
+            if path_exists(self.spark, f"{path}/_SUCCESS"):
                 table = self.spark.read.parquet(path)
                 table = table if buckets is None else table.where(F.col("bucket").isin(list(buckets)))
                 parts.append(table.withColumns({"run": F.lit(run), "epoch": F.lit(epoch).cast("long")}))
@@ -90,6 +90,9 @@ class DoneIndex:
     def opened(self, batch: DataFrame) -> tuple[list[tuple[str, int]], list[tuple[int, int]], list[int]]:
         """What a batch of keys has to open: deltas, (version, bucket) folders of the base, and its own buckets."""
         manifest = self._manifest()
+        deltas = self._deltas(self._covered(manifest))
+        if not deltas and manifest.isEmpty():
+            return [], [], []
         hashed = batch.select(self._hash().alias("h"), self._bucket())
         mine = [r[0] for r in hashed.select("bucket").distinct().collect()]  # at most BUCKETS
         filters = manifest.where("bucket is not null").select("bucket", "version", "bits", "words")
@@ -97,7 +100,7 @@ class DoneIndex:
         # 64 bits a word; a word that is not there has no bit. One row a bucket of bounded size: broadcast.
         bit = lambda p: F.getbit(F.coalesce(F.element_at("words", F.shiftright(p, 6)), F.lit(0).cast("long")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
         hits = hashed.join(F.broadcast(filters), "bucket").where(bit(places[0]) & bit(places[1])).select("version", "bucket").distinct()
-        return self._deltas(self._covered(manifest)), sorted((r[0], r[1]) for r in hits.collect()), mine
+        return deltas, sorted((r[0], r[1]) for r in hits.collect()), mine
 
     def unseen(self, batch: DataFrame, run: str, epoch: int) -> DataFrame:
         """The rows of a batch whose keys have no mark but those of this run from this epoch on. The batch is read three times."""
@@ -117,7 +120,7 @@ class DoneIndex:
     def mark(self, batch: DataFrame, run: str, epoch: int) -> None:
         """Marks the batch's keys as done by this epoch."""
         marks = batch.select(*self.keys, F.unix_micros(F.current_timestamp()).alias("done_us"), self._bucket())
-        marks.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/delta/run={run}/epoch={epoch}")
+        marks.sortWithinPartitions("bucket").write.mode("overwrite").parquet(f"{self.root}/delta/run={run}/epoch={epoch}")
 
     def compact(self, run: str, epoch: int, least: int | None = None) -> bool:
         """Takes the deltas into the base if there are enough of them: all of other runs, of this one those before the epoch."""
