@@ -1,6 +1,7 @@
 """Sample sets as rows, named files, and long files that can't be split."""
 
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,28 @@ def test_named_files_are_samples(spark, tmp_dir):
     assert sorted(r["length"] for r in R.read_samples(spark, tmp_dir).collect()) == [2, 3, 5000]
 
 
+def test_the_driver_lists_no_named_files(spark, tmp_dir):
+    """Files lie in folders by a hash of their names, and tasks list these: no plan holds a file index."""
+    rows = spark.range(600).select(F.sha2(F.col("id").cast("string"), 256).alias("sample"), F.lit("zoo").alias("source"), F.lit("32").alias("arch"), F.col("id").cast("string").alias("content"))
+    K.write_named_files(rows.select(F.col("sample").alias("file"), "content"), f"{tmp_dir}/s")
+    K.write_named_files(K.metadata_document(rows).select(F.concat("sample", F.lit(".json")).alias("file"), F.col("value").alias("content")), f"{tmp_dir}/m")
+    folders = os.listdir(f"{tmp_dir}/s")
+    assert len(folders) > 200 and max(len(os.listdir(f"{tmp_dir}/s/{x}")) for x in folders) < 20
+    samples, meta = R.read_samples(spark, f"{tmp_dir}/s"), R.read_sample_metadata(spark, f"{tmp_dir}/m")
+    assert not samples.inputFiles() and not meta.inputFiles()
+    assert {(r["sample"], r["content"].decode(), r["length"]) for r in samples.collect()} == {(r["sample"], r["content"], len(r["content"])) for r in rows.collect()}
+    assert samples.join(meta.where("source = 'zoo' AND arch = '32'"), "sample").count() == 600
+
+
+def test_metadata_documents_of_other_forms(spark, tmp_dir):
+    """Arrays give a row a document, what does not parse a row of nulls, empty files none; other names are passed by."""
+    for name, text in (("a" * 64 + ".json", '[{"source": "x"}, {"source": "y"}]'), ("b" * 64 + ".json", "{broken"), ("c" * 64 + ".json", ""), ("d" * 64 + "_json", "{}"), ("e.json", "{}")):
+        with open(f"{tmp_dir}/{name}", "w") as out:
+            out.write(text)
+    got = sorted((r["sample"][0], r["source"] or "") for r in R.read_sample_metadata(spark, tmp_dir).collect())
+    assert got == [("a", "x"), ("a", "y"), ("b", "")]
+
+
 def test_a_gz_trace_lies_in_several_buckets(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(rank, "DEFAULT_BUCKET_ROWS", 100)
     with gzip.open(f"{tmp_dir}/t.gz", "wt") as out:

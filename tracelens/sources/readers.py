@@ -6,8 +6,12 @@ searches are plain filters Catalyst pushes into the scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import fnmatch
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +19,9 @@ from pyspark.sql import types as T
 from ..functions import catalog as CF
 from ..functions import trace as TF
 
+#: Bytes of file contents in a batch, about.
+READ_BYTES = 8 << 20
+
 # -- schemas ----------------------------------------------------------------
 
 SCAN_MAP = T.MapType(T.StringType(), T.StructType([T.StructField("detected", T.BooleanType())]))
@@ -211,11 +218,76 @@ def read_uploads(
     )
 
 
+def read_named_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(file, length, content) of the files in ``path`` whose names match the regular expression ``pattern``.
+
+    The files lie in the folder itself or in the folders that
+    ``write_named_files`` deals them out to; a glob may stand for the last part
+    of the path. Tasks list and read the folders, so the driver holds no file
+    names. Of a store that Arrow does not know, Spark's reader lists the folder.
+    """
+    from .sinks import arrow_file_system
+
+    folder, _, last = path.rstrip("/").rpartition("/")
+    at, glob = (folder, last) if re.search(r"[*?\[{]", last) else (path.rstrip("/"), None)
+    if arrow_file_system(at) is None or re.search(r"[*?\[{]", at) or (glob and "{" in glob):
+        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return raw.select(F.col("_metadata.file_name").alias("file"), "length", "content").where(F.col("file").rlike(pattern))
+
+    def named(info) -> bool:
+        return info.is_file and re.search(pattern, info.base_name) is not None
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Files and folders of the path itself."""
+        for batch in batches:
+            for given in batch.column(0).to_pylist():
+                system, root = arrow_file_system(given)
+                found = system.get_file_info(root)
+                entries = [found] if found.is_file else system.get_file_info(fs.FileSelector(root))
+                if glob:
+                    keep = [e for e in entries if fnmatch.fnmatchcase(e.base_name, glob) and e.base_name[0] not in "._" and (named(e) or not e.is_file)]
+                else:
+                    keep = [e for e in entries if named(e) or (not e.is_file and re.fullmatch("[0-9a-f]{2,}", e.base_name))]
+                for start in range(0, len(keep), 10_000):
+                    part = keep[start : start + 10_000]
+                    yield pa.RecordBatch.from_pydict({"entry": [e.path for e in part]})
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = arrow_file_system(at)
+        held: list[tuple[str, bytes]] = []
+        size = 0
+        for batch in batches:
+            for entry in batch.column(0).to_pylist():
+                found = system.get_file_info(entry)
+                for info in [found] if found.is_file else system.get_file_info(fs.FileSelector(entry)):
+                    if not named(info):
+                        continue
+                    with system.open_input_stream(info.path, compression=None) as data:
+                        held.append((info.base_name, data.read()))
+                    size += len(held[-1][1]) + 256
+                    if size >= READ_BYTES:
+                        yield packed(held)
+                        held, size = [], 0
+        if held:
+            yield packed(held)
+
+    def packed(held: list[tuple[str, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([n for n, _ in held]), pa.array([len(c) for _, c in held], pa.int64()), pa.array([c for _, c in held], pa.binary())], names=["file", "length", "content"])
+
+    entries = spark.createDataFrame([(at,)], "entry string").coalesce(1).mapInArrow(top, "entry string")
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return entries.repartition(spread, "entry").mapInArrow(contents, "file string, length long, content binary")
+
+
 def read_sample_metadata(spark: SparkSession, samples_dir: str, version_key: str = CF.METADATA_VERSION_KEY) -> DataFrame:
     """``<sha>.json`` sample metadata documents (S3); sample id from the name."""
-    raw = spark.read.schema(sample_metadata_schema(version_key)).option("multiLine", True).json(f"{samples_dir.rstrip('/')}/*.json")
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    return raw.where(CF.is_sha256_meta_name(F.col("_metadata.file_name"))).select(name.alias("sample"), "*")
+    schema = sample_metadata_schema(version_key)
+    raw = read_named_files(spark, samples_dir, CF.SHA256_META_NAME).where((F.col("length") > 0) & F.col("file").endswith(".json"))
+    name = F.regexp_extract("file", r"^(.*)\.json$", 1)
+    # A document is an object or an array of them; one that does not parse is a row of nulls.
+    parsed = raw.select(name.alias("sample"), F.from_json(F.col("content").cast("string"), T.ArrayType(schema)).alias("m"))
+    each = parsed.where(F.coalesce(F.size("m"), F.lit(-1)) != 0).select("sample", F.explode_outer("m").alias("m"))
+    return each.select("sample", *[F.col("m").getField(n).alias(n) for n in schema.names])
 
 
 def read_sidecar_reports(spark: SparkSession, input_dir: str) -> DataFrame:
@@ -233,10 +305,7 @@ def read_sidecar_reports(spark: SparkSession, input_dir: str) -> DataFrame:
 def read_samples(spark: SparkSession, samples_dir: str, verify: bool = True) -> DataFrame:
     """Binary samples ``(sample, length, content)`` (S4): only 64-character
     names; with ``verify`` the content hash must equal the name."""
-    raw = spark.read.format("binaryFile").load(samples_dir)
-    out = raw.select(
-        F.col("_metadata.file_name").alias("sample"), "length", "content"
-    ).where(CF.is_sha256_name(F.col("sample")))
+    out = read_named_files(spark, samples_dir, CF.SHA256_NAME).select(F.col("file").alias("sample"), "length", "content")
     if verify:
         out = out.where(F.sha2(F.col("content"), 256) == F.lower(F.col("sample")))
     return out

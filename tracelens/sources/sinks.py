@@ -210,8 +210,21 @@ def rebuild_tables(tables: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
 
 
+#: Folders that named files are dealt out to, by a hash of the name: no folder has to be listed as a whole by one process.
+NAMED_FOLDERS = 256
+
+
+def arrow_file_system(path: str):
+    """The Arrow file system of a path, and the path in it; None where Arrow knows no such scheme."""
+    from pyarrow import fs
+
+    if "://" in path and path.split("://", 1)[0] not in ("file", "hdfs", "s3", "gs", "abfs", "abfss"):
+        return None
+    return fs.FileSystem.from_uri(path if ":" in path.split("/", 1)[0] else f"file://{path}")
+
+
 def write_named_files(files: DataFrame, path: str) -> None:
-    """Rows (file, content) as a file each, in one folder, under their own names.
+    """Rows (file, content) as a file each, under their own names, in NAMED_FOLDERS folders by a hash of the name.
 
     Each task writes its rows through the Arrow file system of the path, to a
     hidden name first and then renamed, so a task that runs again leaves no
@@ -226,18 +239,23 @@ def write_named_files(files: DataFrame, path: str) -> None:
 
     def run(batches):
         import uuid
+        import zlib
 
         import pyarrow as pa
-        from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(path if ":" in path.split("/", 1)[0] else f"file://{path}")
+        system, root = arrow_file_system(path)
         system.create_dir(root, recursive=True)
+        made = set()
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hidden = f"{root}/.{name}-{uuid.uuid4().hex[:8]}"
+                folder = f"{root}/{zlib.crc32(str(name).encode()) % NAMED_FOLDERS:02x}"
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                hidden = f"{folder}/.{name}-{uuid.uuid4().hex[:8]}"
                 with system.open_output_stream(hidden) as out:
                     out.write(content)
-                system.move(hidden, f"{root}/{name}")
+                system.move(hidden, f"{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     files.select("file", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
