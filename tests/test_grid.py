@@ -142,3 +142,26 @@ def test_scaler_equals_spark_ml(spark):
     train = ML.labelled_vectors(rows.where("fold = 1"))
     std = StandardScaler(inputCol="features", outputCol="o", withStd=True, withMean=False).fit(train).std.toArray()
     np.testing.assert_allclose(facts.inverse[0], np.divide(1, std, out=np.zeros_like(std), where=std > 0), atol=1e-9)
+
+
+def test_blocks_hold_every_row_once(spark, monkeypatch):
+    """Blocks cut at features, at BLOCK_ROWS and at Arrow's batches hold each row's values; features are dealt out to several tasks."""
+    monkeypatch.setattr(G, "BLOCK_ROWS", 7)
+    x, y = _data(4, n=90)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        rows = _frame(spark, x, y).unionByName(_frame(spark, 2 * x, y, "g")).withColumn("fold", F.lit(1))
+        none = spark.createDataFrame([("s0", "h", None, 1.0, 1)], "sample string, feature string, feature_data array<double>, label double, fold int")
+        blocks = G.vector_blocks(rows.unionByName(none))
+        assert blocks.agg(F.max("n")).first()[0] == 7
+        held = [G._block(r.asDict()) for r in blocks.collect()]
+        with pytest.raises(Exception, match="differ in length"):
+            G.vector_blocks(rows.where("feature = 'f'").unionByName(none.withColumn("feature", F.lit("f"))))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(b.dims, len(b.label)) for b in held if b.feature == "h"] == [(0, 1)]
+    for feature, factor in (("f", 1), ("g", 2)):
+        mine = [b for b in held if b.feature == feature]
+        got = sorted((*row, label) for b in mine for row, label in zip(b.dense().tolist(), b.label.tolist()))
+        assert got == sorted((*row, label) for row, label in zip((factor * x).tolist(), y.tolist()))
+    assert blocks.repartition(G._spread(blocks, 28), "feature").rdd.getNumPartitions() >= 8

@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,25 +97,38 @@ def vector_blocks(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        now = None
+        n, now, dims = 0, None, 0
 
         def packed() -> pa.RecordBatch:
-            label, fold, key = (np.array([h[k] for h in held], t) for k, t in ((0, np.float64), (1, np.int32), (2, np.int64)))
-            data = [np.array(h[3] if h[3] is not None else [], np.float64) for h in held]
-            if len({len(x) for x in data}) > 1:
-                raise ValueError(f"vectors of feature {now!r} differ in length")
-            whole = np.stack(data)
-            row, index = np.nonzero(whole)
-            parts = [label, fold, key, row.astype(np.int32), index.astype(np.int32), whole[row, index]]
-            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([len(held)], pa.int32()), pa.array([whole.shape[1]], pa.int32()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], names=[c.split()[0] for c in _BLOCK.split(", ")])
+            starts = np.cumsum([0, *(len(h[0]) for h in held)])
+            label, fold, key, row, index, value = (np.concatenate(c) for c in zip(*((*h[:3], h[3] + start, *h[4:]) for h, start in zip(held, starts)), strict=True))
+            parts = [label, fold, key, row.astype(np.int32), index, value]
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([n], pa.int32()), pa.array([dims], pa.int32()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
         for batch in batches:
-            for feature, key, fold, label, data in zip(*(batch.column(c).to_pylist() for c in ("feature", "key", "fold", "label", "data")), strict=True):
-                if held and (feature != now or len(held) == BLOCK_ROWS):
-                    yield packed()
-                    held.clear()
-                now = feature
-                held.append((label, fold, key, data))
+            if not batch.num_rows:
+                continue
+            label, fold, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold", "key"))
+            if batch.column("fold").null_count:
+                raise ValueError("a row without fold")
+            names = batch.column("feature").dictionary_encode()
+            runs = np.flatnonzero(np.diff(names.indices.to_numpy())) + 1
+            for a, z in zip([0, *runs.tolist()], [*runs.tolist(), batch.num_rows], strict=True):
+                feature = names[a].as_py()
+                while a < z:
+                    if held and (feature != now or n == BLOCK_ROWS):
+                        yield packed()
+                        held, n = [], 0
+                    b = min(z, a + BLOCK_ROWS - n)
+                    data = batch.column("data").slice(a, b - a)
+                    lengths = pc.unique(pc.fill_null(pc.list_value_length(data), 0)).to_pylist()
+                    if len(lengths) > 1 or (held and lengths[0] != dims):
+                        raise ValueError(f"vectors of feature {feature!r} differ in length")
+                    now, dims = feature, lengths[0]
+                    whole = data.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(b - a, dims)
+                    row, index = np.nonzero(whole)
+                    held.append((label[a:b].astype(np.float64), fold[a:b].astype(np.int32), key[a:b].astype(np.int64), row, index.astype(np.int32), whole[row, index]))
+                    n, a = n + b - a, b
         if held:
             yield packed()
 
@@ -137,6 +151,11 @@ def _each(blocks: DataFrame, work: Callable[[Iterator[Block]], Iterator[pa.Recor
     return blocks.mapInArrow(run, schema)
 
 
+def _spread(blocks: DataFrame, features: int) -> int:
+    """Partitions that deal features out: a number of its own, so that small features don't meet in one task."""
+    return min(max(1, 2 * features), max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.sparkSession.sparkContext.defaultParallelism))
+
+
 # --- what folds add up to -----------------------------------------------------
 
 
@@ -160,6 +179,12 @@ class Facts:
         return (self.rows > 0) & (self.train > 0)
 
 
+def _found(rows: DataFrame) -> Iterator[dict]:
+    """Rows on the driver, from all partitions at once (``toLocalIterator`` runs one task after the other)."""
+    for batch in rows.toArrow().to_batches():
+        yield from batch.to_pylist()
+
+
 def fold_facts(blocks: DataFrame, k: int, scaled: bool) -> dict[str, Facts]:
 
     def sizes(given: Iterator[Block]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +218,7 @@ def fold_facts(blocks: DataFrame, k: int, scaled: bool) -> dict[str, Facts]:
 
         sums = _each(blocks, run, "feature string, fold long, dim long, n double, s double, q double").groupBy("feature", "fold", "dim")
         out = {f: np.zeros((3, k, facts.dims)) for f, facts in found.items()}
-        for r in sums.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).toLocalIterator():
+        for r in _found(sums.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))):
             out[r["feature"]][:, r["fold"], r["dim"]] = r["n"], r["s"], r["q"]
         shared.unpersist()
         return out
@@ -272,7 +297,7 @@ def add_split_candidates(blocks: DataFrame, facts: dict[str, Facts], s: Settings
 
     kept = _each(blocks, some, "feature string, fold long, data binary")
     held: dict[tuple[str, int], list] = {}
-    for r in kept.groupBy("feature").applyInArrow(find, "feature string, fold long, dim long, splits array<double>").toLocalIterator():
+    for r in _found(kept.repartition(_spread(blocks, len(facts)), "feature").groupBy("feature").applyInArrow(find, "feature string, fold long, dim long, splits array<double>")):
         held.setdefault((r["feature"], r["fold"]), []).append((r["dim"], r["splits"]))
     for f, x in facts.items():
         for k in range(s.k):
@@ -360,44 +385,50 @@ def _node_counts(blocks: DataFrame, facts, forests, open_, kinds: TreeKinds, dep
                 continue
             f = all_facts[b.feature]
             node, weight, label = all_forests[b.feature].place(b.dense(), depth), kinds.weights(b), b.label.astype(np.int64)
-            bins, zero, known = [], [], []
-            for k in range(kinds.s.k):
+            by_dim = np.argsort(b.index, kind="stable")
+            dims, first = np.unique(b.index[by_dim], return_index=True)
+            same_dim = list(zip(dims.tolist(), np.split(by_dim, first[1:]))) if len(dims) else []
+            bins, zero, known = {}, {}, {}
+            for k in {kinds.models[m][0] for m in mine}:
                 at = np.full(b.dims, -1)
                 at[f.split_dims[k]] = np.arange(len(f.split_dims[k]))
-                where = at[b.index]
-                known.append(where >= 0)
-                bins.append((f.splits[k][where] < b.value[:, None]).sum(axis=1) if len(f.splits[k]) else np.zeros(len(where), np.int64))
-                zero.append((at, (f.splits[k] < 0.0).sum(axis=1)))
+                known[k] = at[b.index] >= 0
+                bins[k] = np.zeros(len(b.index), np.int64)
+                for dim, places in same_dim:
+                    if at[dim] >= 0:
+                        bins[k][places] = np.searchsorted(f.splits[k][at[dim]], b.value[places])
+                bins[k][np.isnan(b.value)] = 0  # no threshold is below it
+                zero[k] = (at, (f.splits[k] < 0.0).sum(axis=1))
             for model, nodes in mine.items():
                 k = kinds.models[model][0]
-                w, own = weight[:, model], node[:, model]
-                rows: list[tuple] = []
-                for v in nodes:
-                    here = (own == v) & (w > 0)
-                    if not here.any():
-                        continue
-                    total = np.bincount(label[here], weights=w[here], minlength=2)
-                    rows.append((np.array([v]), np.array([-1]), np.array([0]), np.array([0]), total[:1], total[1:]))
-                    use = here[b.row] & known[k]
-                    drawn = kinds.drawn_dims(model, v, b.dims)
-                    if drawn is not None:
-                        use &= drawn[b.index]
-                    if not use.any():
-                        continue
-                    key = b.index[use].astype(np.int64) * kinds.s.max_bins + bins[k][use]
+                w, own = weight[:, model], np.full(2 << depth, -1)
+                own[nodes] = np.arange(len(nodes))
+                place = np.where(w > 0, own[np.minimum(node[:, model], len(own) - 1)], -1)
+                here = place >= 0
+                if not here.any():
+                    continue
+                total = np.bincount(place[here] * 2 + label[here], weights=w[here], minlength=2 * len(nodes)).reshape(-1, 2)
+                filled = np.unique(place[here])
+                v, none = np.array(nodes), np.zeros(len(filled), np.int64)
+                rows: list[tuple] = [(v[filled], none - 1, none, none, total[filled, 0], total[filled, 1])]
+                use = here[b.row] & known[k]
+                if kinds.models[model][1] >= 0:
+                    drawn = np.stack([kinds.drawn_dims(model, x, b.dims) for x in nodes])
+                    use &= drawn[place[b.row], b.index]
+                if use.any():
+                    key = (place[b.row[use]] * b.dims + b.index[use]) * kinds.s.max_bins + bins[k][use]
                     keys, at = np.unique(key, return_inverse=True)
                     side, ww = label[b.row[use]], w[b.row[use]]
                     n1 = np.bincount(at, weights=ww * side, minlength=len(keys))
                     n0 = np.bincount(at, weights=ww * (1 - side), minlength=len(keys))
-                    dims = np.unique(b.index[use])
-                    place, zero_bin = zero[k]
-                    none = np.zeros(len(dims))
-                    rows.append((np.full(len(keys), v), keys // kinds.s.max_bins, keys % kinds.s.max_bins, np.zeros(len(keys), np.int64), n0, n1))
-                    rows.append((np.full(len(dims), v), dims, zero_bin[place[dims]], np.ones(len(dims), np.int64), none, none))
-                if rows:
-                    cols = [np.concatenate(c) for c in zip(*rows)]
-                    n = len(cols[0])
-                    yield pa.RecordBatch.from_arrays([pa.array([b.feature] * n), pa.array(np.full(n, model, np.int32)), *(pa.array(c.astype(np.int32)) for c in cols[:4]), *(pa.array(c.astype(np.float64)) for c in cols[4:])], schema=arrow)
+                    cells = np.unique(keys // kinds.s.max_bins)
+                    split, zero_bin = zero[k]
+                    none = np.zeros(len(cells))
+                    rows.append((v[keys // kinds.s.max_bins // b.dims], keys // kinds.s.max_bins % b.dims, keys % kinds.s.max_bins, np.zeros(len(keys), np.int64), n0, n1))
+                    rows.append((v[cells // b.dims], cells % b.dims, zero_bin[split[cells % b.dims]], np.ones(len(cells), np.int64), none, none))
+                cols = [np.concatenate(c) for c in zip(*rows)]
+                n = len(cols[0])
+                yield pa.RecordBatch.from_arrays([pa.array([b.feature] * n), pa.array(np.full(n, model, np.int32)), *(pa.array(c.astype(np.int32)) for c in cols[:4]), *(pa.array(c.astype(np.float64)) for c in cols[4:])], schema=arrow)
 
     cell = ["feature", "model", "node", "dim", "bin"]
     return _each(blocks, run, schema).groupBy(*cell).agg(F.max("zero").alias("zero"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -435,7 +466,7 @@ def grow_trees(blocks: DataFrame, facts: dict[str, Facts], classifiers: Sequence
     open_ = {f: {m: [1] for m, (k, _) in enumerate(kinds.models) if x.usable[k]} for f, x in facts.items()}
     for depth in range(s.max_depth):
         following: dict[str, dict[int, list[int]]] = {}
-        for r in best_splits(_node_counts(blocks, facts, forests, open_, kinds, depth)).toLocalIterator():
+        for r in _found(best_splits(_node_counts(blocks, facts, forests, open_, kinds, depth))):
             forest, model, node = forests[r["feature"]], r["model"], r["node"]
             total = np.array([r["t0"], r["t1"]])
             forest.counts[model, node] = total
@@ -550,7 +581,7 @@ def _descend_in_tasks(blocks: DataFrame, given: dict[str, Descent], s: Settings)
         return pa.table({"feature": [feature], "part": [0], "grad": [own.weights.tobytes()]}, schema=_SUMS)
 
     mine = blocks.where(F.col("feature").isin(list(given)))
-    for r in mine.groupBy("feature").applyInArrow(run, "feature string, part long, grad binary").toLocalIterator():
+    for r in _found(mine.repartition(_spread(blocks, len(given)), "feature").groupBy("feature").applyInArrow(run, "feature string, part long, grad binary")):
         own = given[r["feature"]]
         own.weights = np.frombuffer(r["grad"], np.float64).reshape(own.weights.shape)
     shared.unpersist()
