@@ -185,3 +185,72 @@ def test_training_helps(spark):
     docs = C.table(spark, SF, "documents")
     before, after = (lm.score_texts(docs, updates=k).toPandas() for k in (0, lm.UPDATES))
     assert after[after.held_out].score.sum() > before[before.held_out].score.sum() > before[before.held_out].base_score.sum()
+
+
+def _others(counts, buckets=5):
+    """Counts with numbers for all words but the frequent ones, and each word's number."""
+    ranked = sorted(((-n, w) for w, n in counts.items()))
+    words, tokens, place, number = np.zeros((buckets, lm.LEVELS), np.int64), np.zeros(lm.LEVELS, np.int64), collections.Counter(), {}
+    for n, w in ranked:
+        words[zlib.crc32(w) % buckets, lm._level(np.array(-n))] += 1
+        tokens[lm._level(np.array(-n))] -= n
+    best = ranked[: lm.FREQUENT - 1]
+    others = lm.other_words(words, tokens, best)
+    for k, (n, w) in enumerate(ranked):
+        bucket = zlib.crc32(w) % buckets
+        number[w] = k + 1 if k < len(best) else lm.FREQUENT + int(others.numbers(bucket, np.array([-n]), np.array([place[bucket]]))[0])
+        place[bucket] += 1
+    total = sum(counts.values())
+    return lm.Counts(total + 9, len(counts) + 1, [w for _, w in best], [-n for n, _ in best], 9, others), number
+
+
+def test_every_word_has_a_way_of_its_own():
+    """Words past the frequent ones: numbers of their own, and with the unknown all sum to one in any context."""
+    rng = np.random.default_rng(4)
+    for many, most in ((lm.FREQUENT + 3000, 900), (lm.FREQUENT, 3), (7, 5), (0, 1)):
+        counts, number = _others({f"w{i}".encode(): int(n) for i, n in enumerate(rng.integers(1, most + 1, many))})
+        unknown = max([lm.FREQUENT - 1, *number.values()]) + 1 if many >= lm.FREQUENT else lm.FREQUENT
+        assert len(set(number.values())) == many and counts.others.tree.starts[-1] == unknown - lm.FREQUENT + 1
+        w = lm.first_weights(counts)
+        for table in (w.classes, w.slots, w.nodes):
+            table[:] = rng.normal(0, 0.5, table.shape)
+        ids = np.array([0, *number.values(), unknown])
+        for before in ([5, unknown, lm._START], [unknown - 1, 1, 0]):
+            each = lm.Batch(ids, np.repeat(np.array([before]).T, len(ids), axis=1)).log10(w)
+            assert np.isclose((10**each).sum(), 1, atol=1e-4)
+
+
+def test_rare_words_depend_on_what_stands_before():
+    """Two words of equal count, both past the frequent ones, each after one of two others."""
+    counts, number = _others({f"w{i}".encode(): 2 for i in range(lm.FREQUENT + 500)})
+    x, y = lm.FREQUENT + 40, lm.FREQUENT + 300
+    ids, before = np.tile([x, y], 200), np.array([np.tile([3, 4], 200)] * 3)
+    w = lm.first_weights(counts)
+    zero = lambda *k: lm.Weights(np.zeros(0), np.zeros(0), *(np.zeros((n, m), np.float32) for n, m in zip((lm.ROWS, lm.ROWS, lm.NODE_ROWS), k, strict=True)))
+    seen, due, seen_too, by_bias = zero(lm.CLASSES, lm.SLOTS, lm.WAYS), zero(lm.CLASSES, lm.SLOTS, lm.WAYS), zero(lm.CLASSES, lm.SLOTS, lm.WAYS), zero(1, len(w.slot_bias), len(w.tree.bias))
+    batch = lm.Batch(ids, before)
+    batch.add_expected(w, seen, due)
+    batch.add_observed(w, seen_too, by_bias)
+    want = lm.expected_by_bias(w, by_bias)  # the first update's way, to the same counts
+    for name in ("classes", "slots", "nodes"):
+        assert np.allclose(getattr(due, name), getattr(want, name), atol=1e-2) and (getattr(seen, name) == getattr(seen_too, name)).all()
+    for name in ("classes", "nodes"):
+        table = getattr(w, name)
+        table += lm.STEP * np.log1p((getattr(seen, name) - getattr(due, name)) / (getattr(due, name) + lm.SMOOTH))
+    w.factors.clear()
+    right, wrong = (lm.Batch(np.array([x]), np.array([[k]] * 3)).log10(w)[0] for k in (3, 4))
+    assert right > wrong + 0.3
+
+
+def test_numbers_of_words_in_texts(spark):
+    """Texts of more words than the frequent ones: each word its own number, rare ones too."""
+    rows = [(i, " ".join(f"w{j}" for j in range(i, 3200, 1 + i % 3))) for i in range(40)]
+    encoded, counts = lm.encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    number = collections.defaultdict(set)
+    for r in encoded.collect():
+        for w, k in zip(dict(rows)[r.doc_id].split(), lm.W.unpack(r.ids).tolist(), strict=False):
+            number[w].add(k)
+    learned = {w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split()}
+    assert {len(k) for k in number.values()} == {1}
+    assert len({min(number[w]) for w in learned}) == len(learned) > lm.FREQUENT
+    assert counts.others.tree.starts[-1] == len(learned) - (lm.FREQUENT - 1) + 1

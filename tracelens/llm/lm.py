@@ -9,16 +9,23 @@ classes of ``SLOTS`` by rank; class 0 is every other word. A token's
 probability is that of its class times that of its slot in the class, both
 softmaxes over the summed weights of the active features: a bias, the word
 before, the two words before, and as skips the second and the third word
-before, hashed to ``ROWS`` rows of weights. A word of class 0 then has its
-share of that class by its count plus one, so that all words, one unknown
-included, sum to one.
+before, hashed to ``ROWS`` rows of weights. The words of class 0, however many,
+and one unknown are the leaves of a tree: its root has a child for each of up
+to ``WAYS`` bands of counts, and in a band the words' numbers, digit by digit,
+lead to the word. Each node is a softmax of its own, with the features of
+slots hashed with the node to ``NODE_ROWS`` rows. A word is a context as
+itself. All words, the unknown included, sum to one.
+
+The numbers need no list of words: a bucket ranks its words by count, and the
+driver adds up how many words of each band the buckets before it have.
 
 Training takes one pass over the training tokens in ``UPDATES`` parts. In each
 update, tasks sum the gradient of the log likelihood (observed less expected
 feature counts) and the expected counts over all tokens of their rows; the
 sums of all tasks meet in a grouped sum, first over groups of tasks; the
 driver takes a step scaled by the expected counts and broadcasts the weights.
-Weights and gradients have ``ROWS`` rows, whatever the corpus holds.
+Weights and gradients have ``ROWS`` and ``NODE_ROWS`` rows, whatever the corpus
+holds; words, nodes of the tree and contexts grow with it and share them.
 
 Scoring runs over the encoded texts in sparse numpy batches: row numbers of
 active features pick rows of weights.
@@ -30,7 +37,7 @@ is 0, the one unknown word is all there is, and both scores are 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -45,28 +52,107 @@ from . import word_blocks as W
 #: Tokens with a class of their own, slots in a class, and classes (class 0 is all other words).
 FREQUENT, SLOTS = 2016, 32
 CLASSES = FREQUENT // SLOTS + 1
-#: Hashed identities of other words as contexts.
-OTHERS = 1024
-#: Rows of weights, and the number of updates.
-ROW_BITS = 13
-ROWS = 1 << ROW_BITS
+#: Children of a node of the tree of other words, as bits; digits of a word's number; levels of counts (half octaves).
+WAY_BITS, DIGITS, LEVELS = 4, 8, 64
+WAYS = 1 << WAY_BITS
+#: Rows of weights of classes and slots and of nodes, and the number of updates.
+ROW_BITS, NODE_BITS = 13, 15
+ROWS, NODE_ROWS = 1 << ROW_BITS, 1 << NODE_BITS
 UPDATES = 3
 #: Step and smoothing of an update.
 STEP, SMOOTH = 0.5, 2.0
+#: Least weight beside the largest of its row: with the biases, products of exponentials stay in single precision.
+LEAST = -15.0
 #: Tokens in a numpy batch of training, where more share a row, and of scoring, where fewer stay in the cache.
-BATCH, SCORE_BATCH = 1 << 14, 1 << 12
+BATCH, SCORE_BATCH = 1 << 15, 1 << 14
 #: Rows of weights in one row of the gradient table, and groups of tasks whose sums meet first.
 PART_ROWS, TASK_GROUPS = 256, 64
 
-_START = FREQUENT + OTHERS  # what stands before a text
+_START = (1 << 32) - 1  # what stands before a text; no word has this number
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _row(values: np.ndarray, kind: int) -> np.ndarray:
+def _row(values: np.ndarray, kind: int, bits: int = ROW_BITS) -> np.ndarray:
     """Hashed row of a feature."""
     x = (values.astype(np.uint64) * np.uint64(16) + np.uint64(kind)) * _MIX
     x ^= x >> np.uint64(29)
-    return ((x * _MIX) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+    return ((x * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Level of a count: half octaves."""
+    return np.minimum(2 * np.log2(np.maximum(counts, 1)) + 1e-9, LEVELS - 1).astype(np.int64)
+
+
+class Tree:
+    """The other words and the unknown, the last, as leaves: numbers from ``starts[b]`` on are band ``b``, of so many tokens (``masses``)."""
+
+    def __init__(self, starts: np.ndarray, masses: np.ndarray):
+        self.starts, sizes = starts, np.diff(starts)
+        self.depths = np.array([next(d for d in range(DIGITS + 1) if WAYS**d >= n) for n in sizes.tolist()])
+        # a level of a band has one node that may lack leaves, its last; in all others the children are alike
+        self.last = np.full((WAYS, DIGITS), -1)
+        leaves = np.ones((2 + WAYS * DIGITS, WAYS))
+        leaves[0] = masses / masses.sum()
+        for b, (n, d) in enumerate(zip(sizes.tolist(), self.depths.tolist(), strict=True)):
+            for level in range(d):
+                each = WAYS ** (d - level - 1)
+                self.last[b, level] = (n - 1) // (each * WAYS)
+                leaves[2 + b * DIGITS + level] = np.clip(n - self.last[b, level] * each * WAYS - each * np.arange(WAYS), 0, each) / each
+        with np.errstate(divide="ignore"):
+            self.bias = np.log(leaves).astype(np.float32)
+
+    def paths(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All nodes on the way to each number: its place in ``numbers``, the node, the row of its bias, and the child taken."""
+        band = np.searchsorted(self.starts, numbers, side="right") - 1
+        inside, depth = numbers - self.starts[band], self.depths[band]
+        steps = [(np.arange(len(numbers)), np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64), band)]
+        for level in range(int(depth.max(initial=0))):
+            at = np.flatnonzero(depth > level)
+            b = band[at]
+            down = inside[at] >> WAY_BITS * (depth[at] - level - 1)
+            node = down >> WAY_BITS
+            steps.append((at, (b * DIGITS + level + 1 << 32) + node, np.where(node == self.last[b, level], 2 + b * DIGITS + level, 1), down & WAYS - 1))
+        return tuple(np.concatenate(x) for x in zip(*steps, strict=True))
+
+
+@dataclass
+class Others:
+    """Numbers of the other words: a word's rank in its bucket plus the shift of bucket and band; the first ``frequent`` of a bucket have none."""
+
+    tree: Tree
+    bands: np.ndarray
+    shifts: np.ndarray
+    frequent: np.ndarray
+
+    def numbers(self, bucket: int, totals: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        return np.where(totals > 0, ranks + self.shifts[bucket, self.bands[_level(totals)]], self.tree.starts[-1] - 1)
+
+
+def other_words(words: np.ndarray, tokens: np.ndarray, best: list[tuple[int, bytes]]) -> Others:
+    """The tree and numbers, out of the words of each bucket and level, the tokens of each level, and the frequent words."""
+    bucket = np.array([W.zlib.crc32(w) % len(words) for _, w in best], np.int64)
+    count = np.array([-n for n, _ in best], np.int64)
+    level = _level(count)
+    left, tokens = words.copy(), tokens.copy()
+    np.subtract.at(left, (bucket, level), 1)
+    np.subtract.at(tokens, level, count)
+    groups = [[k] for k in reversed(range(LEVELS)) if left[:, k].any()] or [[0]]
+    while len(groups) > WAYS:
+        k = min(range(len(groups) - 1), key=lambda k: tokens[groups[k] + groups[k + 1]].sum())
+        groups[k : k + 2] = [groups[k] + groups[k + 1]]
+    frequent = np.bincount(bucket, minlength=len(words))
+    bands, masses, sizes = np.zeros(LEVELS, np.int64), np.zeros(WAYS), np.zeros(WAYS, np.int64)
+    shifts = np.zeros((len(words), WAYS), np.int64)
+    for b, levels in enumerate(groups):
+        bands[levels], masses[b] = b, tokens[levels].sum()
+        here = left[:, levels].sum(axis=1)
+        before = np.maximum(frequent, words[:, max(levels) + 1 :].sum(axis=1))
+        shifts[:, b] = sizes[:b].sum() + np.cumsum(here) - here - before
+        sizes[b] = here.sum()
+    sizes[len(groups) - 1] += 1  # the unknown
+    masses[len(groups) - 1] += 1
+    return Others(Tree(np.concatenate([[0], np.cumsum(sizes)]), masses), bands, shifts, frequent)
 
 
 @dataclass
@@ -78,22 +164,30 @@ class Counts:
     words: list[bytes]
     word_counts: list[int]
     ends: int
+    others: Others | None = None
 
     def other_tokens(self) -> int:
         return self.tokens - self.ends - sum(self.word_counts)
 
-    def other_distinct(self) -> int:
-        return self.distinct - len(self.words) - (self.ends > 0)
-
 
 @dataclass
 class Weights:
-    """Bias and feature weights of classes and of slots."""
+    """Bias and feature weights of classes, of slots and, where there is a tree, of its nodes."""
 
     class_bias: np.ndarray
     slot_bias: np.ndarray
     classes: np.ndarray
     slots: np.ndarray
+    nodes: np.ndarray = field(default_factory=lambda: np.zeros((NODE_ROWS, WAYS), np.float32))
+    tree: Tree | None = None
+    learned: bool = False
+    factors: dict[str, np.ndarray] = field(default_factory=dict)
+
+    def factor(self, name: str) -> np.ndarray:
+        """Exponentials of a table, made once: a softmax of sums is a product of these over its sum."""
+        if name not in self.factors:
+            self.factors[name] = np.exp(self.tree.bias if name == "tree" else getattr(self, name), dtype=np.float32)
+        return self.factors[name].reshape(-1, self.factors[name].shape[-1])
 
 
 def first_weights(counts: Counts) -> Weights:
@@ -107,80 +201,132 @@ def first_weights(counts: Counts) -> Weights:
         slot_bias = np.where(grid > 0, np.log(np.maximum(grid, 1)), -np.inf)
         class_bias = np.where(classes > 0, np.log(np.maximum(classes, 1e-9)), -np.inf)
     slot_bias[~np.isfinite(slot_bias).any(axis=1)] = 0  # classes without words are never asked for
-    return Weights(class_bias.astype(np.float32), slot_bias.astype(np.float32), np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, SLOTS), np.float32))
+    class_bias -= class_bias.max()
+    slot_bias -= slot_bias.max(axis=1, keepdims=True)
+    tree = counts.others.tree if counts.others else None
+    return Weights(class_bias.astype(np.float32), slot_bias.astype(np.float32), np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, SLOTS), np.float32), tree=tree)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+def _shares(x: np.ndarray) -> np.ndarray:
+    x /= np.einsum("ij->i", x)[:, None]
     return x
 
 
 def _row_sums(rows: np.ndarray, values: np.ndarray, few: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their values: small groups member by member, all at once, large ones each by itself."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
-    ranked, sorted_values = rows[order], values[order]
+    ranked = rows[order]
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     sizes = np.diff(np.append(first, len(rows)))
-    sums = np.zeros((len(first), values.shape[1]), values.dtype)
-    for k in np.flatnonzero(sizes > few).tolist():
-        sums[k] = sorted_values[first[k] : first[k] + sizes[k]].sum(axis=0)
-    small = np.flatnonzero(sizes <= few)
-    for member in range(few):
-        small = small[sizes[small] > member]
-        if not len(small):
+    falling = np.argsort(few + 1 - np.minimum(sizes, few + 1).astype(np.uint16), kind="stable")  # groups of more than k members come first
+    first, sizes = first[falling], sizes[falling]
+    sums = np.take(values, order[first], axis=0, mode="clip")
+    more = np.bincount(np.minimum(sizes, few + 1), minlength=few + 2)[::-1].cumsum()[::-1]
+    large = int(more[few + 1])
+    for k in range(large):
+        sums[k] = np.take(values, order[first[k] : first[k] + sizes[k]], axis=0, mode="clip").sum(axis=0)
+    for member in range(1, few):
+        n = int(more[member + 1])
+        if n == large:
             break
-        sums[small] += sorted_values[first[small] + member]
+        sums[large:n] += np.take(values, order[first[large:n] + member], axis=0, mode="clip")
     return ranked[first], sums
 
 
+def _count(table: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> None:
+    np.add.at(table.reshape(-1), rows * table.shape[1] + columns, table.dtype.type(1))
+
+
+@dataclass
+class Part:
+    """Softmaxes of one kind: the names of their weights and biases, each one's row of bias, the rows of its features, and what it hits."""
+
+    name: str
+    bias: str
+    of: np.ndarray
+    rows: list[np.ndarray]
+    hit: np.ndarray
+
+    def products(self, w: Weights) -> np.ndarray:
+        """Exponentials of bias plus the weights of all features."""
+        x = np.take(w.factor(self.bias), self.of, axis=0, mode="clip")
+        row, table = np.empty_like(x), w.factor(self.name)
+        for rows in self.rows:
+            x *= np.take(table, rows, axis=0, out=row, mode="clip")
+        return x
+
+    def log10(self, w: Weights) -> np.ndarray:
+        x = self.products(w)
+        return np.log10(np.maximum(x[np.arange(len(x)), self.hit] / np.einsum("ij->i", x), np.finfo(np.float32).tiny)).astype(np.float64)
+
+
 class Batch:
     """Features of a run of tokens, given with the three tokens before it."""
 
     def __init__(self, ids: np.ndarray, before: np.ndarray):
         one, two, three = before
         self.ids = ids
-        pair = one * (_START + 1) + two
+        pair = one * 0x100000001B3 + two
         self.class_rows = [_row(one, 1), _row(pair, 2), _row(two, 3), _row(three, 4)]
         self.classes = np.where(ids < FREQUENT, ids // SLOTS + 1, 0)
         self.inner = np.flatnonzero(ids < FREQUENT)
         own = self.classes[self.inner]
         self.slot_rows = [_row(f[self.inner] * CLASSES + own, k) for k, f in ((5, one), (6, pair), (7, two))]
         self.own, self.slots = own, ids[self.inner] % SLOTS
+        self.contexts = (8, one), (9, pair), (10, two)
 
-    def class_probabilities(self, w: Weights) -> np.ndarray:
-        x = np.tile(w.class_bias, (len(self.ids), 1))
-        for rows in self.class_rows:
-            x += w.classes[rows]
-        return _softmax(x)
+    def _class_part(self) -> Part:
+        return Part("classes", "class_bias", np.zeros(len(self.ids), np.int64), self.class_rows, self.classes)
 
-    def slot_probabilities(self, w: Weights) -> np.ndarray:
-        x = w.slot_bias[self.own - 1]
-        for rows in self.slot_rows:
-            x += w.slots[rows]
-        return _softmax(x)
+    def _slot_part(self) -> Part:
+        return Part("slots", "slot_bias", self.own - 1, self.slot_rows, self.slots)
+
+    def _node_part(self, tree: Tree) -> tuple[Part, np.ndarray]:
+        """The nodes on the ways to the other words, and the token of each."""
+        other = np.flatnonzero(self.ids >= FREQUENT)
+        at, node, bias, child = tree.paths(self.ids[other] - FREQUENT)
+        token, salt = other[at], node * 0x9E3779B1
+        return Part("nodes", "tree", bias, [_row(f[token] + salt, k, NODE_BITS) for k, f in self.contexts], child), token
+
+    def _parts(self, w: Weights) -> list[Part]:
+        return [self._class_part(), self._slot_part(), *([self._node_part(w.tree)[0]] if w.tree else [])]
+
+    def class_probabilities(self, w: Weights) -> np.ndarray:
+        return _shares(self._class_part().products(w))
 
     def log10(self, w: Weights) -> np.ndarray:
-        """log10 probability of each token's class and, for frequent tokens, slot."""
-        out = np.log10(np.maximum(self.class_probabilities(w)[np.arange(len(self.ids)), self.classes], 1e-30)).astype(np.float64)
-        out[self.inner] += np.log10(np.maximum(self.slot_probabilities(w)[np.arange(len(self.inner)), self.slots], 1e-30))
+        """log10 probability of each token: of its class and, for frequent tokens, slot, for others, way through the tree."""
+        out = self._class_part().log10(w)
+        out[self.inner] += self._slot_part().log10(w)
+        if w.tree:
+            part, token = self._node_part(w.tree)
+            out += np.bincount(token, part.log10(w), len(out))
         return out
 
     def add_expected(self, w: Weights, observed: Weights, expected: Weights) -> None:
         """Adds this batch's feature counts, as they are and as the model expects them."""
-        for rows, p, hit, seen, due in (
-            (self.class_rows, self.class_probabilities(w), self.classes, observed.classes, expected.classes),
-            (self.slot_rows, self.slot_probabilities(w), self.slots, observed.slots, expected.slots),
-        ):
-            for r in rows:
+        for part in self._parts(w):
+            p, seen, due = _shares(part.products(w)), getattr(observed, part.name), getattr(expected, part.name)
+            for r in part.rows:
                 if not len(r):
                     continue
                 distinct, sums = _row_sums(r, p)
-                due[distinct] += sums
-                flat = r * seen.shape[1] + hit
-                places, n = np.unique(flat, return_counts=True)
-                seen.reshape(-1)[places] += n
+                sums += np.take(due, distinct, axis=0, mode="clip")  # much faster than by index
+                due[distinct] = sums
+                _count(seen, r, part.hit)
+
+    def add_observed(self, w: Weights, observed: Weights, of_bias: Weights) -> None:
+        """The same while no feature says anything: counts of features by row of bias will do, see :func:`expected_by_bias`."""
+        for part in self._parts(w):
+            for r in part.rows:
+                _count(getattr(observed, part.name), r, part.hit)
+                _count(getattr(of_bias, part.name), r, part.of)
+
+
+def expected_by_bias(w: Weights, of_bias: Weights) -> Weights:
+    """Feature counts as the biases alone expect them: so many tokens of a row have these probabilities."""
+    none = np.zeros(0)
+    return Weights(none, none, *(counts @ _shares(w.factor(bias).copy()) for counts, bias in ((of_bias.classes, "class_bias"), (of_bias.slots, "slot_bias"), (of_bias.nodes, "tree"))))
 
 
 def batches(texts: list[np.ndarray], most: int = BATCH) -> Iterator[tuple[Batch, np.ndarray]]:
@@ -210,7 +356,10 @@ def _grouped_texts(rows: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Itera
 
 
 def count_words(words: DataFrame) -> DataFrame:
-    """Rows of block_words with counts over all rows: (block, hash, codes, words, totals); block -1 sums up a bucket: words and totals are its most frequent."""
+    """Rows of block_words with counts over all rows: (block, hash, codes, words, totals, ranks), ranks by count in the bucket.
+
+    Block -1 sums up the bucket ``hash``: words and totals are its most frequent, codes the words and the tokens of each level of counts.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -221,43 +370,63 @@ def count_words(words: DataFrame) -> DataFrame:
                 total[w] = total.get(w, 0) + k
         known = sorted(((-n, w) for w, n in total.items() if n))
         top = known[:FREQUENT]
-        out = [{"block": r["block"], "hash": r["hash"], "codes": r["codes"], "words": r["words"], "totals": W.pack(np.array([total[w] for w in x])), "tokens": 0, "distinct": 0} for r, x in zip(rows, lists, strict=True)]
-        out.append({"block": -1, "hash": 0, "codes": b"", "words": W.zstandard.compress(b"\n".join([w for _, w in top]), 1), "totals": W.pack(np.array([-n for n, _ in top])), "tokens": -sum(n for n, _ in known), "distinct": len(known)})
+        rank = {w: k for k, (_, w) in enumerate(known)}
+        out = [
+            {"block": r["block"], "hash": r["hash"], "codes": r["codes"], "words": r["words"], "totals": W.pack(np.array([total[w] for w in x])), "ranks": W.pack(np.array([rank.get(w, 0) for w in x])), "tokens": 0, "distinct": 0}
+            for r, x in zip(rows, lists, strict=True)
+        ]
+        each = np.array([-n for n, _ in known], np.int64)
+        levels = np.zeros((2, LEVELS), np.int64)
+        np.add.at(levels[0], _level(each), 1)
+        np.add.at(levels[1], _level(each), each)
+        out.append({"block": -1, "hash": rows[0]["bucket"], "codes": levels.tobytes(), "words": W.zstandard.compress(b"\n".join([w for _, w in top]), 1), "totals": W.pack(each[:FREQUENT]), "ranks": b"", "tokens": -sum(n for n, _ in known), "distinct": len(known)})
         return pa.Table.from_pylist(out, schema=schema)
 
-    schema = pa.schema({"block": pa.int64(), "hash": pa.int64(), "codes": pa.binary(), "words": pa.binary(), "totals": pa.binary(), "tokens": pa.int64(), "distinct": pa.int64()})
-    return words.groupBy("bucket").applyInArrow(run, "block long, hash long, codes binary, words binary, totals binary, tokens long, distinct long")
+    schema = pa.schema({"block": pa.int64(), "hash": pa.int64(), "codes": pa.binary(), "words": pa.binary(), "totals": pa.binary(), "ranks": pa.binary(), "tokens": pa.int64(), "distinct": pa.int64()})
+    return words.groupBy("bucket").applyInArrow(run, "block long, hash long, codes binary, words binary, totals binary, ranks binary, tokens long, distinct long")
 
 
-def corpus_counts(counted: DataFrame, ends: int) -> Counts:
-    """Totals and the frequent words, merged over the buckets a few at a time."""
+def corpus_counts(counted: DataFrame, ends: int, buckets: int) -> Counts:
+    """Totals, the frequent words and the numbers of the others, merged over the buckets a few at a time."""
     tokens = distinct = ends
     distinct = int(ends > 0)
     best: list[tuple[int, bytes]] = []
-    for row in counted.where("block = -1").select("words", "totals", "tokens", "distinct").toLocalIterator():
+    levels, level_tokens = np.zeros((buckets, LEVELS), np.int64), np.zeros(LEVELS, np.int64)
+    for row in counted.where("block = -1").select("hash", "codes", "words", "totals", "tokens", "distinct").toLocalIterator():
+        here = np.frombuffer(row["codes"], np.int64).reshape(2, LEVELS)
+        levels[row["hash"]] = here[0]
+        level_tokens += here[1]
         tokens, distinct = tokens + row["tokens"], distinct + row["distinct"]
         n = W.unpack(row["totals"])
         if len(n):
             best = sorted(best + [(-k, w) for k, w in zip(n.tolist(), W.unpack_words(row["words"]), strict=True)])[: FREQUENT - 1]
-    return Counts(tokens, distinct, [w for _, w in best], [-n for n, _ in best], ends)
+    return Counts(tokens, distinct, [w for _, w in best], [-n for n, _ in best], ends, other_words(levels, level_tokens, best))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Counts]:
-    """A staged row per document: doc_id, held_out, n_tokens, n_known, base_score, other_score (shares within class 0), ids; and the counts."""
+    """A staged row per document: doc_id, held_out, n_tokens, n_known, base_score, ids; and the counts."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), C.held_out(id_col, 7, 2).alias("held_out"), (~C.held_out(id_col, 7, 2)).alias("train"), C.text_bytes(text_col).alias("text"))
-    words = W.block_words(own, W.buckets_for(own), lower=True, counted="train")
+    buckets = W.buckets_for(own)
+    words = W.block_words(own, buckets, lower=True, counted="train")
     counted = stage_table(count_words(words), "lm-words")
-    counts = corpus_counts(counted, own.where("train").count())
+    counts = corpus_counts(counted, own.where("train").count(), buckets)
     shared = spark.sparkContext.broadcast(counts)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {w: i + 1 for i, w in enumerate(shared.value.words)}
+        ids, others = {w: i + 1 for i, w in enumerate(shared.value.words)}, shared.value.others
         for batch in batches:
-            numbers = [W.pack(np.array([ids[w] if w in ids else FREQUENT + W.zlib.crc32(w) % OTHERS for w in W.unpack_words(x)])) for x in batch.column("words").to_pylist()]
+            numbers = []
+            for x, totals, ranks in zip(*(batch.column(n).to_pylist() for n in ("words", "totals", "ranks")), strict=True):
+                own, totals, ranks = W.unpack_words(x), W.unpack(totals), W.unpack(ranks)
+                bucket = W.zlib.crc32(own[0]) % buckets
+                number = FREQUENT + others.numbers(bucket, totals, ranks)
+                for i in np.flatnonzero((ranks < others.frequent[bucket]) & (totals > 0)).tolist():
+                    number[i] = ids[own[i]]
+                numbers.append(W.pack(number))
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("hash"), batch.column("codes"), batch.column("totals"), pa.array(numbers, pa.binary())], names=["block", "hash", "codes", "totals", "ids"])
 
-    numbered = counted.where("block >= 0").select("block", "hash", "codes", "words", "totals").mapInArrow(number, "block long, hash long, codes binary, totals binary, ids binary")
+    numbered = counted.where("block >= 0").select("block", "hash", "codes", "words", "totals", "ranks").mapInArrow(number, "block long, hash long, codes binary, totals binary, ids binary")
 
     def work(texts: pa.Table, rows: list[dict]) -> pa.Table:
         c = shared.value
@@ -267,68 +436,76 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
         total[order] = np.concatenate([W.unpack(r["totals"]) for r in rows] or none)
         ids[order] = np.concatenate([W.unpack(r["ids"]) for r in rows] or none)
         base = np.log10((total + 1) / (c.tokens + c.distinct + 1))
-        other = np.where(ids >= FREQUENT, np.log10((total + 1) / (c.other_tokens() + c.other_distinct() + 1)), 0.0)
         end = np.log10((c.ends + 1) / (c.tokens + c.distinct + 1))
-        out = {"n_tokens": [], "n_known": [], "base_score": [], "other_score": [], "ids": []}
+        out = {"n_tokens": [], "n_known": [], "base_score": [], "ids": []}
         for data in texts.column("codes"):
             codes = W.unpack(data.as_py())
             out["n_tokens"].append(len(codes) + 1)
             out["n_known"].append(int((total[codes] > 0).sum()) + (c.ends > 0))
             out["base_score"].append(float(base[codes].sum() + end))
-            out["other_score"].append(float(other[codes].sum()))
             out["ids"].append(W.pack(np.append(ids[codes], 0)))
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "other_score": pa.float64(), "ids": pa.binary()}
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "ids": pa.binary()}
         return pa.table([texts.column("doc_id"), texts.column("held_out"), *(pa.array(out[k], t) for k, t in kinds.items())], names=["doc_id", "held_out", *kinds])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    encoded = W.with_words(W.block_texts(own.drop("train"), lower=True), numbered, work, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, other_score double, ids binary")
+    encoded = W.with_words(W.block_texts(own.drop("train"), lower=True), numbered, work, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, ids binary")
     return stage_table(encoded, "lm-texts"), counts
 
 
 def _gradient(rows: DataFrame, weights: Weights) -> list:
-    """Observed and expected feature counts over all tokens of ``rows``, as parts of the weight rows."""
+    """Observed and expected feature counts over all tokens of ``rows``, as parts of the weight rows: of classes and slots, then of nodes."""
     shared = rows.sparkSession.sparkContext.broadcast(weights)
-    width = 2 * (CLASSES + SLOTS)
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zero = lambda: Weights(np.zeros(0), np.zeros(0), np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, SLOTS), np.float32))
-        seen, due, some = zero(), zero(), False
+        w, none, some = shared.value, np.zeros(0), False
+        zero = lambda *widths: Weights(none, none, *(np.zeros((n, k), np.float32) for n, k in zip((ROWS, ROWS, NODE_ROWS), widths, strict=True)))
+        seen = zero(CLASSES, SLOTS, WAYS)
+        due = zero(CLASSES, SLOTS, WAYS) if w.learned else zero(1, len(w.slot_bias), len(w.tree.bias))
         for _, texts in _grouped_texts(batches_):
             for batch, _ in batches(texts):
-                batch.add_expected(shared.value, seen, due)
+                (batch.add_expected if w.learned else batch.add_observed)(w, seen, due)
                 some = True
         if some:
-            whole = np.concatenate([seen.classes, due.classes, seen.slots, due.slots], axis=1)
+            due = due if w.learned else expected_by_bias(w, due)
             group = TaskContext.get().partitionId() % TASK_GROUPS
-            parts = whole.reshape(-1, PART_ROWS, width)
+            parts = [t[k : k + PART_ROWS] for t in (np.concatenate([seen.classes, due.classes, seen.slots, due.slots], axis=1), np.concatenate([seen.nodes, due.nodes], axis=1)) for k in range(0, len(t), PART_ROWS)]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), group)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "group", "sums"])
 
     def add(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PART_ROWS * width, np.float32)
-        part = group = None
+        total = part = group = None
         for batch in batches_:
             for data in batch.column("sums").to_pylist():
-                total += np.frombuffer(data, np.float32)
+                sums = np.frombuffer(data, np.float32)
+                total = sums.copy() if total is None else np.add(total, sums, out=total)
             part, group = batch.column("part")[0].as_py(), batch.column("group")[0].as_py()
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([group]), pa.array([total.tobytes()], pa.binary())], names=["part", "group", "sums"])
 
     schema = "part long, group long, sums binary"
     tasks = rows.select("ids").mapInArrow(run, schema)
-    return tasks.groupBy("part", "group").applyInArrow(add, schema).groupBy("part").applyInArrow(add, schema).collect()  # ROWS / PART_ROWS rows
+    return tasks.groupBy("part", "group").applyInArrow(add, schema).groupBy("part").applyInArrow(add, schema).collect()  # (ROWS + NODE_ROWS) / PART_ROWS rows
 
 
 def train(encoded: DataFrame, counts: Counts, updates: int = UPDATES) -> Weights:
     """One pass over the training rows, a part of them in each update."""
     weights = first_weights(counts)
     rows = encoded.where("not held_out")
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // max(updates, 1))  # each sends whole tables
     for k in range(updates):
-        part = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(updates)) == k)
+        part = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(updates)) == k).coalesce(tasks)
         for row in _gradient(part, weights):
-            at = slice(row["part"] * PART_ROWS, (row["part"] + 1) * PART_ROWS)
+            first = row["part"] * PART_ROWS
             sums = np.frombuffer(row["sums"], np.float32).reshape(PART_ROWS, -1)
             a, b, c = CLASSES, 2 * CLASSES, 2 * CLASSES + SLOTS
-            for table, seen, due in ((weights.classes, sums[:, :a], sums[:, a:b]), (weights.slots, sums[:, b:c], sums[:, c:])):
-                table[at] += STEP * np.log1p((seen - due) / (due + SMOOTH))  # the gradient in units of the expected counts
+            if first < ROWS:
+                tables = ((weights.classes, first, sums[:, :a], sums[:, a:b]), (weights.slots, first, sums[:, b:c], sums[:, c:]))
+            else:
+                tables = ((weights.nodes, first - ROWS, sums[:, :WAYS], sums[:, WAYS:]),)
+            for table, start, seen, due in tables:
+                of = table[start : start + PART_ROWS]
+                of += STEP * np.log1p((seen - due) / (due + SMOOTH))  # the gradient in units of the expected counts
+                of -= of.max(axis=1, keepdims=True)  # a softmax stays the same
+                np.maximum(of, LEAST, out=of)
+        weights.learned = True
     return weights
 
 
@@ -341,7 +518,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _grouped_texts(rows):
-            score = np.asarray(batch.column("other_score")).copy()
+            score = np.zeros(len(texts))
             for part, of in batches(texts, SCORE_BATCH) if learned else ():
                 score += np.bincount(of, part.log10(shared.value), len(texts))
             names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
