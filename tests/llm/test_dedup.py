@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tracelens.llm import exact_dedup as X
 from tracelens.llm import simhash as S
@@ -114,6 +115,14 @@ def test_links_of_a_hot_key_are_whole(spark, monkeypatch):
     assert got == {v: c for v, c in want.items() if sizes[c] > 1}
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark, tmp_path):
+    """24 rows a fingerprint: a table of fingerprints below the threshold must not bring its keys to the driver."""
+    spark.range(3000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    found = S.links(spark.read.parquet(f"{tmp_path}/fps"), 3)
+    found.collect()
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (200, 100), (5, 5)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -165,7 +165,8 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     grid = F.ceil(F.col("n") / F.lit(CELL)).cast("int")
     chunk = F.pmod(F.xxhash64("fp"), F.col("grid")).cast("int")
-    shared = keyed.join(sizes, "key").select("key", "fp", grid.alias("grid")).withColumn("chunk", chunk)
+    # Spark takes the exploded keys for as small as the fingerprints and would broadcast them: 24 rows each, through the driver.
+    shared = keyed.join(sizes.hint("merge"), "key").select("key", "fp", grid.alias("grid")).withColumn("chunk", chunk)
     other = F.explode(F.when(F.col("grid") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("grid") - 1), lambda c: c != F.col("chunk"))))
     cells = shared.withColumn("other", other).select("key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "fp")
 
