@@ -34,6 +34,14 @@ def test_bpe_equals_the_library(spark, monkeypatch):
     assert bpe.encode_and_decode(empty(spark), tokenizer_path()).count() == 0
 
 
+def test_a_worker_that_decodes_holds_no_tokenizer():
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        content = file.read()
+    assert bpe._encoder(content) is bpe._encoder(content) and bpe._built
+    bpe.drop_encoder()
+    assert not bpe._built and bpe._encoder(content).encode("a b").ids
+
+
 def test_other_tokenizers_are_refused(spark):
     with pytest.raises(ValueError, match="decoder of its own"):
         bpe.encode_and_decode(frame(spark), tokenizer_path("byte_bpe_50k.json"))
