@@ -181,6 +181,24 @@ def test_gradient_counts_match_plain_sums():
     assert np.allclose(due.classes, want, atol=1e-4) and seen.classes.sum() == 800 and np.isclose(due.slots.sum(), seen.slots.sum(), atol=1e-2)
 
 
+def test_gradient_sums_groups_of_any_size_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    w = lm.first_weights(lm.Counts(9000, 400, [f"w{i}".encode() for i in range(300)], [9] * 300, 20))
+    before = np.array([np.repeat(np.arange(200), 40), np.where(np.arange(8000) < 3000, 7, rng.integers(0, 301, 8000)), np.full(8000, 3)])
+    batch = lm.Batch(rng.integers(0, 301, 8000), before)
+    zero = lambda: lm.Weights(np.zeros(0), np.zeros(0), np.zeros_like(w.classes), np.zeros_like(w.slots))
+    seen, due, calls = zero(), zero(), []
+    take = np.take
+    monkeypatch.setattr(np, "take", lambda *a, **b: (calls.append(1), take(*a, **b))[1])
+    batch.add_expected(w, seen, due)
+    monkeypatch.undo()
+    want, p = np.zeros_like(w.classes), batch.class_probabilities(w)
+    for rows in batch.class_rows:
+        np.add.at(want, rows, p)
+    assert np.allclose(due.classes, want, rtol=1e-4, atol=1e-3) and seen.classes.sum() == 32000
+    assert len(calls) < 400  # 518 when each large group was taken by itself
+
+
 def test_training_helps(spark):
     docs = C.table(spark, SF, "documents")
     before, after = (lm.score_texts(docs, updates=k).toPandas() for k in (0, lm.UPDATES))

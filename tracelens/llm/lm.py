@@ -63,8 +63,10 @@ UPDATES = 3
 STEP, SMOOTH = 0.5, 2.0
 #: Least weight beside the largest of its row: with the biases, products of exponentials stay in single precision.
 LEAST = -15.0
-#: Tokens in a numpy batch of training, where more share a row, and of scoring, where fewer stay in the cache.
-BATCH, SCORE_BATCH = 1 << 15, 1 << 14
+#: Tokens in a numpy batch of training, where more share a row, and of scoring.
+BATCH, SCORE_BATCH = 1 << 16, 1 << 15
+#: Numbers in a piece of softmaxes that is worked on at once: two of them stay in a core's cache.
+PIECE = 1 << 17
 #: Rows of weights in one row of the gradient table, and groups of tasks whose sums meet first.
 PART_ROWS, TASK_GROUPS = 256, 64
 
@@ -207,29 +209,53 @@ def first_weights(counts: Counts) -> Weights:
     return Weights(class_bias.astype(np.float32), slot_bias.astype(np.float32), np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, SLOTS), np.float32), tree=tree)
 
 
+class Room:
+    """Arrays that are used again: fresh ones of some MB cost more, page by page, than what is computed in them."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, rows: int, width: int) -> np.ndarray:
+        """``rows`` by ``width`` single-precision numbers, whatever they are; valid until the name is asked for again."""
+        size = rows * width
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size + size // 4, np.float32)
+        return self.held[name][:size].reshape(rows, width)
+
+
 def _shares(x: np.ndarray) -> np.ndarray:
     x /= np.einsum("ij->i", x)[:, None]
     return x
 
 
-def _row_sums(rows: np.ndarray, values: np.ndarray, few: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their values: small groups member by member, all at once, large ones each by itself."""
+def _row_sums(rows: np.ndarray, values: np.ndarray, room: Room, few: int = 16, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct rows and the sums of their values, in parts that share no row; a part is valid until the next is asked for.
+
+    All groups are summed at once, member by member. Larger ones than ``few`` are cut into runs first, whose sums are the next values.
+    """
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     ranked = rows[order]
-    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    sizes = np.diff(np.append(first, len(rows)))
-    falling = np.argsort(few + 1 - np.minimum(sizes, few + 1).astype(np.uint16), kind="stable")  # groups of more than k members come first
+    start = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    sizes = np.diff(np.append(start, len(rows)))
+    small = sizes <= few
+    if small.any():
+        yield _sums(ranked, order, start[small], sizes[small], values, room, 0)
+    if not small.all():
+        start, sizes = start[~small], sizes[~small]
+        runs = (sizes + few - 1) // few
+        nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+        first, left = np.repeat(start, runs) + nth * few, np.repeat(sizes, runs) - nth * few
+        yield from _row_sums(*_sums(ranked, order, first, np.minimum(left, few), values, room, depth + 1), room, few, depth + 1)
+
+
+def _sums(ranked: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray, values: np.ndarray, room: Room, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    falling = np.argsort(int(sizes.max()) - sizes.astype(np.uint8), kind="stable")  # groups of more than k members come first
     first, sizes = first[falling], sizes[falling]
-    sums = np.take(values, order[first], axis=0, mode="clip")
-    more = np.bincount(np.minimum(sizes, few + 1), minlength=few + 2)[::-1].cumsum()[::-1]
-    large = int(more[few + 1])
-    for k in range(large):
-        sums[k] = np.take(values, order[first[k] : first[k] + sizes[k]], axis=0, mode="clip").sum(axis=0)
-    for member in range(1, few):
-        n = int(more[member + 1])
-        if n == large:
-            break
-        sums[large:n] += np.take(values, order[first[large:n] + member], axis=0, mode="clip")
+    sums = np.take(values, order[first], axis=0, out=room.array(f"sums {depth}", len(first), values.shape[1]), mode="clip")
+    more = np.bincount(sizes)[::-1].cumsum()[::-1].tolist()
+    for member in range(1, len(more) - 1):
+        n = more[member + 1]
+        sums[:n] += np.take(values, order[first[:n] + member], axis=0, out=room.array("row", n, values.shape[1]), mode="clip")
     return ranked[first], sums
 
 
@@ -246,26 +272,46 @@ class Part:
     of: np.ndarray
     rows: list[np.ndarray]
     hit: np.ndarray
+    room: Room
+
+    def products(self, w: Weights, start: int, out: np.ndarray) -> np.ndarray:
+        """Exponentials of bias plus the weights of all features, of the softmaxes from ``start`` on."""
+        part = slice(start, start + len(out))
+        row, table, bias = self.room.array("row", *out.shape), w.factor(self.name), w.factor(self.bias)
+        np.take(table, self.rows[0][part], axis=0, out=out, mode="clip")
+        out *= bias[0] if self.bias == "class_bias" else np.take(bias, self.of[part], axis=0, out=row, mode="clip")
+        for rows in self.rows[1:]:
+            out *= np.take(table, rows[part], axis=0, out=row, mode="clip")
+        return out
 
-    def products(self, w: Weights) -> np.ndarray:
-        """Exponentials of bias plus the weights of all features."""
-        x = np.take(w.factor(self.bias), self.of, axis=0, mode="clip")
-        row, table = np.empty_like(x), w.factor(self.name)
-        for rows in self.rows:
-            x *= np.take(table, rows, axis=0, out=row, mode="clip")
+    def _pieces(self, w: Weights) -> tuple[int, Iterator[tuple[int, int]]]:
+        n, width = len(self.of), w.factor(self.name).shape[1]
+        step = max(1, PIECE // width)
+        return width, ((k, min(step, n - k)) for k in range(0, n, step))
+
+    def shares(self, w: Weights) -> np.ndarray:
+        """Probabilities; valid until the batch's next ones."""
+        width, pieces = self._pieces(w)
+        x = self.room.array("shares", len(self.of), width)
+        for start, n in pieces:
+            _shares(self.products(w, start, x[start : start + n]))
         return x
 
     def log10(self, w: Weights) -> np.ndarray:
-        x = self.products(w)
-        return np.log10(np.maximum(x[np.arange(len(x)), self.hit] / np.einsum("ij->i", x), np.finfo(np.float32).tiny)).astype(np.float64)
+        width, pieces = self._pieces(w)
+        out = np.empty(len(self.of), np.float32)
+        for start, n in pieces:
+            x = self.products(w, start, self.room.array("piece", n, width))
+            np.divide(x[np.arange(n), self.hit[start : start + n]], np.einsum("ij->i", x), out=out[start : start + n])
+        return np.log(np.maximum(out, np.finfo(np.float32).tiny)).astype(np.float64) / np.log(10)
 
 
 class Batch:
     """Features of a run of tokens, given with the three tokens before it."""
 
-    def __init__(self, ids: np.ndarray, before: np.ndarray):
+    def __init__(self, ids: np.ndarray, before: np.ndarray, room: Room | None = None):
         one, two, three = before
-        self.ids = ids
+        self.ids, self.room = ids, room or Room()
         pair = one * 0x100000001B3 + two
         self.class_rows = [_row(one, 1), _row(pair, 2), _row(two, 3), _row(three, 4)]
         self.classes = np.where(ids < FREQUENT, ids // SLOTS + 1, 0)
@@ -276,23 +322,23 @@ class Batch:
         self.contexts = (8, one), (9, pair), (10, two)
 
     def _class_part(self) -> Part:
-        return Part("classes", "class_bias", np.zeros(len(self.ids), np.int64), self.class_rows, self.classes)
+        return Part("classes", "class_bias", np.zeros(len(self.ids), np.int64), self.class_rows, self.classes, self.room)
 
     def _slot_part(self) -> Part:
-        return Part("slots", "slot_bias", self.own - 1, self.slot_rows, self.slots)
+        return Part("slots", "slot_bias", self.own - 1, self.slot_rows, self.slots, self.room)
 
     def _node_part(self, tree: Tree) -> tuple[Part, np.ndarray]:
         """The nodes on the ways to the other words, and the token of each."""
         other = np.flatnonzero(self.ids >= FREQUENT)
         at, node, bias, child = tree.paths(self.ids[other] - FREQUENT)
         token, salt = other[at], node * 0x9E3779B1
-        return Part("nodes", "tree", bias, [_row(f[token] + salt, k, NODE_BITS) for k, f in self.contexts], child), token
+        return Part("nodes", "tree", bias, [_row(f[token] + salt, k, NODE_BITS) for k, f in self.contexts], child, self.room), token
 
     def _parts(self, w: Weights) -> list[Part]:
         return [self._class_part(), self._slot_part(), *([self._node_part(w.tree)[0]] if w.tree else [])]
 
     def class_probabilities(self, w: Weights) -> np.ndarray:
-        return _shares(self._class_part().products(w))
+        return self._class_part().shares(w).copy()
 
     def log10(self, w: Weights) -> np.ndarray:
         """log10 probability of each token: of its class and, for frequent tokens, slot, for others, way through the tree."""
@@ -306,13 +352,11 @@ class Batch:
     def add_expected(self, w: Weights, observed: Weights, expected: Weights) -> None:
         """Adds this batch's feature counts, as they are and as the model expects them."""
         for part in self._parts(w):
-            p, seen, due = _shares(part.products(w)), getattr(observed, part.name), getattr(expected, part.name)
+            p, seen, due = part.shares(w), getattr(observed, part.name), getattr(expected, part.name)
             for r in part.rows:
-                if not len(r):
-                    continue
-                distinct, sums = _row_sums(r, p)
-                sums += np.take(due, distinct, axis=0, mode="clip")  # much faster than by index
-                due[distinct] = sums
+                for distinct, sums in _row_sums(r, p, self.room) if len(r) else ():
+                    sums += np.take(due, distinct, axis=0, out=self.room.array("row", *sums.shape), mode="clip")  # much faster than by index
+                    due[distinct] = sums
                 _count(seen, r, part.hit)
 
     def add_observed(self, w: Weights, observed: Weights, of_bias: Weights) -> None:
@@ -329,16 +373,17 @@ def expected_by_bias(w: Weights, of_bias: Weights) -> Weights:
     return Weights(none, none, *(counts @ _shares(w.factor(bias).copy()) for counts, bias in ((of_bias.classes, "class_bias"), (of_bias.slots, "slot_bias"), (of_bias.nodes, "tree"))))
 
 
-def batches(texts: list[np.ndarray], most: int = BATCH) -> Iterator[tuple[Batch, np.ndarray]]:
+def batches(texts: list[np.ndarray], most: int = BATCH, room: Room | None = None) -> Iterator[tuple[Batch, np.ndarray]]:
     """The tokens of texts in batches, with the number of the text of each token."""
     ids = np.concatenate(texts)
     sizes = np.array([len(t) for t in texts])
     at = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     of = np.repeat(np.arange(len(texts)), sizes)
     before = [np.where(at >= k, np.concatenate([np.full(k, _START), ids])[: len(ids)], _START) for k in (1, 2, 3)]
+    room = room or Room()
     for start in range(0, len(ids), most):
         part = slice(start, start + most)
-        yield Batch(ids[part], np.array([b[part] for b in before])), of[part]
+        yield Batch(ids[part], np.array([b[part] for b in before]), room), of[part]
 
 
 def _grouped_texts(rows: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -461,8 +506,9 @@ def _gradient(rows: DataFrame, weights: Weights) -> list:
         zero = lambda *widths: Weights(none, none, *(np.zeros((n, k), np.float32) for n, k in zip((ROWS, ROWS, NODE_ROWS), widths, strict=True)))
         seen = zero(CLASSES, SLOTS, WAYS)
         due = zero(CLASSES, SLOTS, WAYS) if w.learned else zero(1, len(w.slot_bias), len(w.tree.bias))
+        room = Room()
         for _, texts in _grouped_texts(batches_):
-            for batch, _ in batches(texts):
+            for batch, _ in batches(texts, room=room):
                 (batch.add_expected if w.learned else batch.add_observed)(w, seen, due)
                 some = True
         if some:
@@ -517,9 +563,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     learned = counts.tokens > 0
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = Room()
         for batch, texts in _grouped_texts(rows):
             score = np.zeros(len(texts))
-            for part, of in batches(texts, SCORE_BATCH) if learned else ():
+            for part, of in batches(texts, SCORE_BATCH, room) if learned else ():
                 score += np.bincount(of, part.log10(shared.value), len(texts))
             names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score)], names=[*names, "score"])
