@@ -303,7 +303,7 @@ class Part:
         for start, n in pieces:
             x = self.products(w, start, self.room.array("piece", n, width))
             np.divide(x[np.arange(n), self.hit[start : start + n]], np.einsum("ij->i", x), out=out[start : start + n])
-        return np.log(np.maximum(out, np.finfo(np.float32).tiny)).astype(np.float64) / np.log(10)
+        return np.log10(np.maximum(out, np.finfo(np.float32).tiny)).astype(np.float64)
 
 
 class Batch:
