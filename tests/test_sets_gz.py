@@ -46,6 +46,17 @@ def test_the_driver_lists_no_named_files(spark, tmp_dir):
     assert samples.join(meta.where("source = 'zoo' AND arch = '32'"), "sample").count() == 600
 
 
+def test_joined_files_are_not_broadcast(spark, tmp_dir):
+    """The list of folders is small, the files in them need not be: they are shuffled at a join."""
+    rows = spark.range(600).select(F.sha2(F.col("id").cast("string"), 256).alias("sample"), F.lit("zoo").alias("source"), F.lit("32").alias("arch"), F.col("id").cast("string").alias("content"))
+    K.write_named_files(rows.select(F.col("sample").alias("file"), "content"), f"{tmp_dir}/s")
+    K.write_named_files(K.metadata_document(rows).select(F.concat("sample", F.lit(".json")).alias("file"), F.col("value").alias("content")), f"{tmp_dir}/m")
+    joined = R.read_samples(spark, f"{tmp_dir}/s").select("sample", "length").join(R.read_sample_metadata(spark, f"{tmp_dir}/m").select("sample", "source"), "sample")
+    assert len(joined.collect()) == 600
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_metadata_documents_of_other_forms(spark, tmp_dir):
     """Arrays give a row a document, what does not parse a row of nulls, empty files none; other names are passed by."""
     for name, text in (("a" * 64 + ".json", '[{"source": "x"}, {"source": "y"}]'), ("b" * 64 + ".json", "{broken"), ("c" * 64 + ".json", ""), ("d" * 64 + "_json", "{}"), ("e.json", "{}")):

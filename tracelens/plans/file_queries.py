@@ -177,7 +177,8 @@ def train_test_split(spark, sf_dir):
 @register("samples_from_folder", "SELECT sha256(CAST(c_custkey AS VARCHAR) || ':' || c_name) AS sample, CAST(strlen(CAST(c_custkey AS VARCHAR) || ':' || c_name) AS BIGINT) AS length, n_name AS source FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
 def samples_from_folder(spark, sf_dir):
     """Binary samples named by their hash, and a metadata document beside each: files written, then read by the readers, verified and joined."""
-    c, n = A.table(spark, sf_dir, "customer"), A.table(spark, sf_dir, "nation")
+    # A file costs its task much more than a row: rows are dealt out to all tasks, however few files the table has.
+    c, n = A.table(spark, sf_dir, "customer").repartition(R.tasks(spark), "c_custkey", "c_name"), A.table(spark, sf_dir, "nation")
     body = F.concat_ws(":", F.col("c_custkey").cast("string"), "c_name")
     rows = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select(F.sha2(body, 256).alias("sample"), body.alias("content"), F.col("n_name").alias("source"), F.lit("32").alias("arch"))
     root = scratch_path(spark, f"samples-{uuid.uuid4().hex[:8]}")

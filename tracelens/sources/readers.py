@@ -218,6 +218,11 @@ def read_uploads(
     )
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks to deal work on single files out to."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def read_named_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(file, length, content) of the files in ``path`` whose names match the regular expression ``pattern``.
 
@@ -225,6 +230,10 @@ def read_named_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     ``write_named_files`` deals them out to; a glob may stand for the last part
     of the path. Tasks list and read the folders, so the driver holds no file
     names. Of a store that Arrow does not know, Spark's reader lists the folder.
+
+    Spark knows the size of the list of folders, not of the files in them, and
+    would broadcast the files through the driver at a join: the hint has it
+    shuffle them.
     """
     from .sinks import arrow_file_system
 
@@ -275,8 +284,7 @@ def read_named_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([n for n, _ in held]), pa.array([len(c) for _, c in held], pa.int64()), pa.array([c for _, c in held], pa.binary())], names=["file", "length", "content"])
 
     entries = spark.createDataFrame([(at,)], "entry string").coalesce(1).mapInArrow(top, "entry string")
-    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return entries.repartition(spread, "entry").mapInArrow(contents, "file string, length long, content binary")
+    return entries.repartition(tasks(spark), "entry").mapInArrow(contents, "file string, length long, content binary").hint("merge")
 
 
 def read_sample_metadata(spark: SparkSession, samples_dir: str, version_key: str = CF.METADATA_VERSION_KEY) -> DataFrame:
