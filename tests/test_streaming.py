@@ -1,10 +1,17 @@
 """Streaming forms equal their batch forms."""
 
+import glob
+import os
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
 from tracelens.operators.rank import _with_buckets
+from tracelens.plans import stream_queries as SQ
 from tracelens.plans.registry import QUERIES
+from tracelens.sources import readers as R
+from tracelens.sources import sinks as K
 from tracelens.streaming import state as ST
 from tracelens.streaming.uploads import process_uploads, read_uploads_output
 
@@ -120,3 +127,43 @@ def test_stream_resume_equals_backfill(spark):
     s = QUERIES["stream_uploads_resume"](spark, SF_SMALL)
     b = QUERIES["backfill_features"](spark, SF_SMALL)
     assert s.count() == b.count() > 0 and s.exceptAll(b).count() == 0
+
+
+def test_upload_documents_are_written_by_several_tasks(spark, tmp_dir):
+    """One row of a table a file, of which rows may share their keys: a document each, from all tasks."""
+    rows = [(i, -1.0 if i % 2 else 1.0) for i in range(40)] + [(7, 5.0)]
+    spark.createDataFrame(rows, "s_suppkey long, s_acctbal double").coalesce(1).write.parquet(f"{tmp_dir}/supplier.parquet")
+    assert SQ._write_upload_files(spark, tmp_dir, f"{tmp_dir}/in", "length(sample) = 2") == 11
+    assert SQ._write_upload_files(spark, tmp_dir, f"{tmp_dir}/in", "length(sample) = 3") == 30
+    assert SQ._write_upload_files(spark, tmp_dir, f"{tmp_dir}/none", "sample = ''") == 0 and os.path.isdir(f"{tmp_dir}/none")
+    found = R.read_uploads(spark, f"{tmp_dir}/in", meta_glob="*/*/*/*.json").select("sample", "uuid", "run_id", "status").collect()
+    assert sorted(map(tuple, found)) == sorted((f"p{i}", "u0", 0, "ERR" if x < 0 else "OK") for i, x in rows)
+    names = glob.glob(f"{tmp_dir}/in/sample=p*/uuid=u0/run_id=0/*.json")
+    assert len({int(os.path.basename(n).split("-")[1]) >> 33 for n in names}) > 1
+
+
+def test_upload_documents_of_odd_keys(spark, tmp_dir):
+    rows = [("a b/c+d", "u=1", 3, None), ("ü%", "u0", 12, "OK")]
+    assert K.write_upload_documents(spark.createDataFrame(rows, "sample string, uuid string, run_id int, status string"), f"{tmp_dir}/in") == 2
+    found = R.read_uploads(spark, f"{tmp_dir}/in", meta_glob="*/*/*/*.json").select("run_id", "status").collect()
+    assert sorted(map(tuple, found)) == [(3, None), (12, "OK")]
+
+
+def test_upload_trees_are_listed_by_few_tasks(spark, tmp_dir):
+    """A stream lists its trees from their root, in as many tasks as run at once; documents at other depths or by other names are none."""
+    root = f"{tmp_dir}/in x"
+    for at in [f"p{i}/u0/0/run-0-meta.json" for i in range(300)] + ["p0/u0/run-0-meta.json", "p0/u0/0/deep/run-0-meta.json", "p0/u0/0/other.json"]:
+        os.makedirs(os.path.dirname(f"{root}/{at}"), exist_ok=True)
+        with open(f"{root}/{at}", "w") as out:
+            out.write('{"status": "OK"}')
+    spark.sparkContext.setJobGroup(group := uuid.uuid4().hex, "listing")
+    found = R.read_uploads(spark, root, stream=True, max_files_per_trigger=200)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(s.numTasks for s in stages if s) <= 2 * R.tasks(spark)
+    seen = []
+    query = found.writeStream.foreachBatch(lambda df, k: seen.append([tuple(r) for r in df.select("sample", "uuid", "run_id", "status").collect()])).trigger(availableNow=True)
+    query.option("checkpointLocation", f"{tmp_dir}/ckpt").start().awaitTermination()
+    assert sorted(r for batch in seen for r in batch) == sorted((f"p{i}", "u0", 0, "OK") for i in range(300)) and len(seen) == 2
+    assert found.sparkSession.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")

@@ -10,6 +10,7 @@ from ..functions.catalog import epoch_us
 from ..operators import chunks as C
 from ..operators import histogram as H
 from ..session import scratch_path
+from ..sources import sinks as K
 from ..streaming import state as ST
 from ..streaming import uploads as SU
 from ..streaming import watchdog as WD
@@ -72,9 +73,7 @@ def stream_uploads(spark, sf_dir):
 
 
 def _write_upload_files(spark, sf_dir, path, where="true"):
-    meta = A.supplier_uploads(spark, sf_dir).where(where)
-    meta.write.mode("append").partitionBy("sample", "uuid", "run_id").json(path)
-    return meta.count()
+    return K.write_upload_documents(A.supplier_uploads(spark, sf_dir).where(where), path)
 
 
 def _upload_source(spark, path, per_batch):

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import catalog as CF
 from ..functions import trace as TF
+from ..streaming.runs import qualified
 
 #: Bytes of file contents in a batch, about.
 READ_BYTES = 8 << 20
@@ -178,6 +179,27 @@ def read_trace(spark: SparkSession, paths: str | Sequence[str], on_error: str =
 
 # -- S2, S3, S5, S6: JSON documents -----------------------------------------
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks to deal work on single files out to."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _listing_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one, which lists files in as many tasks as run at once.
+
+    Spark's default is a task a path, up to 10,000, for each of a file stream's
+    listings. A number that the session sets itself stays.
+    """
+    key, own = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.newSession()
+    given = dict(spark.conf.getAll)
+    for name, value in given.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if key not in given:
+        own.conf.set(key, str(tasks(spark)))
+    return own
+
+
 def read_uploads(
     spark: SparkSession,
     root: str,
@@ -191,16 +213,25 @@ def read_uploads(
     field is null, and its document stays.  Keys come from the
     path (plain or ``key=value`` directories); the real run id is used (D3).
     With ``stream`` the same documents are read as a file stream (W1 source):
-    each new metadata file is one new upload.
+    each new metadata file is one new upload. The trees are then listed by
+    tasks, from the root: Spark resolves a glob folder by folder on the driver.
     """
+    path = F.col("_metadata.file_path")
     if stream:
-        reader = spark.readStream.schema(UPLOAD_METADATA)
+        reader = _listing_session(spark).readStream.schema(UPLOAD_METADATA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
         reader = spark.read.schema(UPLOAD_METADATA)
-    raw = reader.option("mode", "DROPMALFORMED").option("multiLine", True).json(f"{root.rstrip('/')}/{meta_glob}")
-    path = F.col("_metadata.file_path")
+    reader = reader.option("mode", "DROPMALFORMED").option("multiLine", True)
+    folders, _, name = meta_glob.rpartition("/")
+    if stream and folders == "*/*/*" and not re.search(r"[*?\[{]", root):
+        raw = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name).json(root)
+        # The scheme taken off, a document is three folders below the root.
+        below = F.size(F.split(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"))
+        raw = raw.where(below == len(qualified(spark, root).rstrip("/").split("/")) + 4)
+    else:
+        raw = reader.json(f"{root.rstrip('/')}/{meta_glob}")
     return raw.select(
         F.regexp_extract(path, _UPLOAD_PATH, 1).alias("sample"),
         F.regexp_extract(path, _UPLOAD_PATH, 2).alias("uuid"),
@@ -218,11 +249,6 @@ def read_uploads(
     )
 
 
-def tasks(spark: SparkSession) -> int:
-    """Tasks to deal work on single files out to."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
 def read_named_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """(file, length, content) of the files in ``path`` whose names match the regular expression ``pattern``.
 

@@ -6,7 +6,8 @@ re-run after an executor or driver loss produces the same output.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -223,12 +224,12 @@ def arrow_file_system(path: str):
     return fs.FileSystem.from_uri(path if ":" in path.split("/", 1)[0] else f"file://{path}")
 
 
-def write_named_files(files: DataFrame, path: str) -> None:
-    """Rows (file, content) as a file each, under their own names, in NAMED_FOLDERS folders by a hash of the name.
+def _write_files(files: DataFrame, path: str, place: Callable[[str], tuple[str, str]]) -> int:
+    """Rows (file, content) as a file each, in the folder under ``path`` and by the name that ``place`` gives; their number.
 
     Each task writes its rows through the Arrow file system of the path, to a
     hidden name first and then renamed, so a task that runs again leaves no
-    half file. For samples and documents, which other tools know by their names.
+    half file.
     """
     from pyspark.errors import PySparkValueError
 
@@ -238,27 +239,68 @@ def write_named_files(files: DataFrame, path: str) -> None:
             raise PySparkValueError(f"no named files on {scheme}")
 
     def run(batches):
-        import uuid
-        import zlib
-
         import pyarrow as pa
 
         system, root = arrow_file_system(path)
         system.create_dir(root, recursive=True)
         made = set()
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                folder = f"{root}/{zlib.crc32(str(name).encode()) % NAMED_FOLDERS:02x}"
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                folder, name = place(str(file))
                 if folder not in made:
-                    system.create_dir(folder, recursive=True)
-                    made.add(folder)
-                hidden = f"{folder}/.{name}-{uuid.uuid4().hex[:8]}"
+                    system.create_dir(f"{root}/{folder}", recursive=True)
+                    if len(made) < NAMED_FOLDERS:
+                        made.add(folder)
+                hidden = f"{root}/{folder}/.{name}-{uuid.uuid4().hex[:8]}"
                 with system.open_output_stream(hidden) as out:
                     out.write(content)
-                system.move(hidden, f"{folder}/{name}")
+                system.move(hidden, f"{root}/{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-    files.select("file", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    done = files.select("file", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long")
+    return done.agg(F.sum("n")).collect()[0][0] or 0
+
+
+def write_named_files(files: DataFrame, path: str) -> None:
+    """Rows (file, content) as a file each, under their own names, in NAMED_FOLDERS folders by a hash of the name.
+
+    For samples and documents, which other tools know by their names.
+    """
+
+    def place(name: str) -> tuple[str, str]:
+        import zlib
+
+        return f"{zlib.crc32(name.encode()) % NAMED_FOLDERS:02x}", name
+
+    _write_files(files, path, place)
+
+
+def write_upload_documents(uploads: DataFrame, root: str) -> int:
+    """Uploads as a JSON document each, ``<root>/sample=<s>/uuid=<u>/run_id=<r>/part-*.json``, beside those that are there; their number.
+
+    ``read_uploads`` reads them. All tasks write, however few files the uploads come from.
+    """
+    from .readers import tasks
+
+    spark = uploads.sparkSession
+    others = [F.col(f"`{c}`") for c in uploads.columns if c not in TRACE_KEYS]
+    folders = [
+        F.concat(F.lit(f"{k}="), F.coalesce(F.replace(F.url_encode(F.col(k).cast("string")), F.lit("+"), F.lit("%20")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+        for k in TRACE_KEYS
+    ]
+    documents = uploads.select(F.concat_ws("/", *folders).alias("folder"), F.to_json(F.struct(*others)).alias("content"))
+    # In order, so that a task that runs again gives its documents the same names.
+    dealt = documents.repartition(tasks(spark), "folder").sortWithinPartitions("folder", "content")
+    name = F.format_string(f"%s/part-%d-{uuid.uuid4().hex}.json", F.col("folder"), F.monotonically_increasing_id())
+    system, path = arrow_file_system(root) or (None, None)
+    if system is not None:
+        system.create_dir(path, recursive=True)  # also if there is no upload
+
+    def place(file: str) -> tuple[str, str]:
+        folder, _, last = file.rpartition("/")
+        return folder, last
+
+    return _write_files(dealt.select(name.alias("file"), "content"), root, place)
 
 
 def metadata_document(df: DataFrame, version: str = "0.0.1", version_key: str = METADATA_VERSION_KEY) -> DataFrame:

@@ -18,6 +18,12 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The whole path, without its scheme and host."""
+    system, target = _file_system(spark, path)
+    return system.makeQualified(target).toUri().getPath()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, on any Hadoop file system; errors other than its absence are raised."""
     system, target = _file_system(spark, path)
