@@ -167,3 +167,16 @@ def test_upload_trees_are_listed_by_few_tasks(spark, tmp_dir):
     query.option("checkpointLocation", f"{tmp_dir}/ckpt").start().awaitTermination()
     assert sorted(r for batch in seen for r in batch) == sorted((f"p{i}", "u0", 0, "OK") for i in range(300)) and len(seen) == 2
     assert found.sparkSession.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_a_stream_of_many_documents_keeps_no_listings(spark, tmp_dir):
+    """No cache of files on the driver's heap; what the session sets itself stays, and the session is as it was."""
+    key, cache = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.filesourcePartitionFileCacheSize"
+    before = dict(spark.conf.getAll)
+    try:
+        spark.conf.set(key, "77")
+        conf = R.read_uploads(spark, tmp_dir, stream=True).sparkSession.conf
+        assert conf.get(cache) == "0" and conf.get("spark.sql.sources.ignoreDataLocality") == "true" and conf.get(key) == "77"
+    finally:
+        spark.conf.unset(key)
+    assert dict(spark.conf.getAll) == before and cache not in before

@@ -184,19 +184,23 @@ def tasks(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+#: For a stream of many small files: no cache of files listed, which only keeps them on the driver's heap, and no block's hosts with each file.
+LEAN_LISTING = {"spark.sql.hive.filesourcePartitionFileCacheSize": "0", "spark.sql.sources.ignoreDataLocality": "true"}
+
+
 def _listing_session(spark: SparkSession) -> SparkSession:
-    """A session with the settings of this one, which lists files in as many tasks as run at once.
+    """A session with the settings of this one, which lists files in as many tasks as run at once and holds little of each.
 
     Spark's default is a task a path, up to 10,000, for each of a file stream's
-    listings. A number that the session sets itself stays.
+    listings. What the session sets itself stays.
     """
-    key, own = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.newSession()
-    given = dict(spark.conf.getAll)
+    given, own = dict(spark.conf.getAll), spark.newSession()
     for name, value in given.items():
         if own.conf.isModifiable(name):
             own.conf.set(name, value)
-    if key not in given:
-        own.conf.set(key, str(tasks(spark)))
+    for name, value in {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks(spark)), **LEAN_LISTING}.items():
+        if name not in given:
+            own.conf.set(name, value)
     return own
 
 

@@ -291,7 +291,7 @@ def write_upload_documents(uploads: DataFrame, root: str) -> int:
     documents = uploads.select(F.concat_ws("/", *folders).alias("folder"), F.to_json(F.struct(*others)).alias("content"))
     # In order, so that a task that runs again gives its documents the same names.
     dealt = documents.repartition(tasks(spark), "folder").sortWithinPartitions("folder", "content")
-    name = F.format_string(f"%s/part-%d-{uuid.uuid4().hex}.json", F.col("folder"), F.monotonically_increasing_id())
+    name = F.format_string(f"%s/part-%d-{uuid.uuid4().hex[:8]}.json", F.col("folder"), F.monotonically_increasing_id())
     system, path = arrow_file_system(root) or (None, None)
     if system is not None:
         system.create_dir(path, recursive=True)  # also if there is no upload
